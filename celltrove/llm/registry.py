@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, licenses, lm, topk
+from . import bpe, chat, decontaminate, licenses, lm, minhash, topk, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op2_decontaminate": decontaminate.op2_decontaminate,
         "op3_topk": topk.op3_topk,
         "op4_chat": chat.op4_chat,
+        "op5_minhash": minhash.op5_minhash,
         "op6_byte_bpe": bpe.op6_byte_bpe,
         "op8_licenses": licenses.op8_licenses,
         "op10_lm_score": lm.op10_lm_score,
