@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -53,6 +54,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver drop what it no longer refers to, so that Spark removes the shuffle files of finished steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(batches: Iterable[pa.RecordBatch], sized: int = 0, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy cuts of each batch whose column ``sized`` holds about ``most`` bytes (one row at least)."""
     for batch in batches:
