@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, licenses, lm, minhash, suffix_dedup, topk, toxicity
+from . import bpe, chat, decontaminate, licenses, lm, minhash, pii, suffix_dedup, topk, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_chat": chat.op4_chat,
         "op5_minhash": minhash.op5_minhash,
         "op6_byte_bpe": bpe.op6_byte_bpe,
+        "op7_pii": pii.op7_pii,
         "op8_licenses": licenses.op8_licenses,
         "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_lm_score": lm.op10_lm_score,
