@@ -84,7 +84,7 @@ def mfa(df: DataFrame, blocks: list[str], sizes: list[int], final: int, out: str
         df, _ = pca(df, k, block, f"_pc{i}")
         variance = df.select(Summarizer.variance(df[f"_pc{i}"]).alias("v")).first()["v"]
         root = math.sqrt(max(float(x) for x in variance)) or 1.0
-        df = df.withColumn(f"_b{i}", F.transform(vector_to_array(f"_pc{i}"), lambda x, r=root: x / r))
+        df = df.withColumn(f"_b{i}", F.transform(vector_to_array(f"_pc{i}"), lambda x: x / root))  # noqa: B023
         names.append(f"_b{i}")
     joined = df.withColumn("fused", F.concat(*names)).withColumn("_f", array_to_vector("fused"))
     done, _ = pca(joined, final, "_f", out)

@@ -64,7 +64,7 @@ def veto(df: DataFrame, group: Sequence[str], bad: Column) -> DataFrame:
 
 def valid_rings(df: DataFrame, ring: str = "ring") -> DataFrame:
     """Polygons of at least three points and a box with an area."""
-    xs, ys = (F.transform(ring, lambda p, k=k: p[k]) for k in ("x", "y"))
+    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
     spread = (F.array_max(xs) > F.array_min(xs)) & (F.array_max(ys) > F.array_min(ys))
     return df.filter(F.col(ring).isNotNull() & (F.size(ring) >= 3)).filter(spread)
 

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 WIDTH, OVERLAP = 256, 64
 
 
+def axes(ring: str) -> tuple[Column, Column]:
+    return F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
+
+
 def patch_grid(extents: DataFrame, width: int = WIDTH, overlap: int = OVERLAP) -> DataFrame:
     """(slide_id, patch_id, i, k, xmin, ymin, xmax, ymax) from (slide_id, x_size, y_size): ceil((L - overlap) / stride) patches a side."""
     stride = width - overlap
@@ -87,7 +91,7 @@ def label_points(points: DataFrame, polygons: DataFrame, cell: float, default: s
     ``polygons``: slide_id, layer, priority, ring array<struct<x,y>>.  Points have one
     bucket, polygons those their box covers, so the join is an equi-join.
     """
-    xs, ys = (F.transform("ring", lambda p, k=k: p[k]) for k in ("x", "y"))
+    xs, ys = axes("ring")
     boxes = polygons.filter(F.size("ring") >= 3).select("slide_id", "layer", "priority", "ring", *[F.floor(f(v) / cell).cast("bigint").alias(n) for n, f, v in (("_x0", F.array_min, xs), ("_x1", F.array_max, xs), ("_y0", F.array_min, ys), ("_y1", F.array_max, ys))])
     spread = boxes.withColumn("_x", F.explode(F.sequence("_x0", "_x1"))).withColumn("_y", F.explode(F.sequence("_y0", "_y1"))).drop("_x0", "_x1", "_y0", "_y1")
     at = points.withColumn("_x", F.floor(F.col("x") / cell).cast("bigint")).withColumn("_y", F.floor(F.col("y") / cell).cast("bigint"))
@@ -99,7 +103,7 @@ def label_points(points: DataFrame, polygons: DataFrame, cell: float, default: s
 def count_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, feature: str = "feature_name") -> DataFrame:
     """(slide_id, cell_id, feature, count) of the points in each cell polygon; a point in two cells counts in both."""
     named = polygons.select("slide_id", F.col("cell_id").alias("layer"), "ring")
-    xs, ys = (F.transform("ring", lambda p, k=k: p[k]) for k in ("x", "y"))
+    xs, ys = axes("ring")
     boxes = named.filter(F.size("ring") >= 3).select("slide_id", "layer", "ring", *[F.floor(f(v) / cell).cast("bigint").alias(n) for n, f, v in (("_x0", F.array_min, xs), ("_x1", F.array_max, xs), ("_y0", F.array_min, ys), ("_y1", F.array_max, ys))])
     spread = boxes.withColumn("_x", F.explode(F.sequence("_x0", "_x1"))).withColumn("_y", F.explode(F.sequence("_y0", "_y1"))).drop("_x0", "_x1", "_y0", "_y1")
     at = points.withColumn("_x", F.floor(F.col("x") / cell).cast("bigint")).withColumn("_y", F.floor(F.col("y") / cell).cast("bigint"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("core",)
+MODULES = ("core", "reports", "cells", "space", "columns", "models")
 
 
 def queries() -> dict:
