@@ -51,7 +51,7 @@ def comma_list(items: Column) -> Column:
 
 def comma_parts(text: Column) -> Column:
     """Parts of a comma list, stripped, without empty ones."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def nan_to(text: Column, value: str = "Unknown") -> Column:
@@ -79,7 +79,7 @@ def with_alpha(rgb: Column, alpha: float) -> Column:
 def inverted(mapping: Column) -> Column:
     """Map with keys and values exchanged; of equal values the last key stays."""
     entries = F.map_entries(mapping)
-    last = lambda e, i: F.not_(F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["value"] == e["value"]))
+    last = lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["value"] == e["value"])
     return F.map_from_entries(F.transform(F.filter(entries, last), lambda e: F.struct(e["value"], e["key"])))
 
 

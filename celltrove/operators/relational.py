@@ -249,4 +249,4 @@ def dedup_first(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
 def unique_names(df: DataFrame, column: str, order: str) -> DataFrame:
     """Repeated names get '-1', '-2', ... from the second on."""
     n = F.row_number().over(Window.partitionBy(column).orderBy(order)) - 1
-    return df.withColumn("_n", n).withColumn(column, F.when(F.col("_n") > 0, F.concat_ws("-", column, "_n")).otherwise(F.col(column))).drop("_n")
+    return df.withColumn("_n", n).withColumn(column, F.when(F.col("_n") > 0, F.concat_ws("-", column, "_n")).otherwise(F.col(column).cast("string"))).drop("_n")
