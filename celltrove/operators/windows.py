@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from .aggregates import disagreement, top_shares
 from .relational import map_literal
 
+#: Most distinct values that are gathered to finish a bracket of ``order_statistics``.
+COLLECT = 500_000
+
 
 def vote(df: DataFrame, counts: Column, names: Sequence[str], background: str = "Background") -> DataFrame:
     """Add label and proba: the most voted class, lowest index first among equals.
@@ -25,12 +29,50 @@ def vote(df: DataFrame, counts: Column, names: Sequence[str], background: str =
     return rows.withColumn("label", F.lit(list(names))[F.col("_w.i")]).withColumn("proba", -F.col("_w.n") / F.col("_t")).drop("_t", "_w")
 
 
+def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], collect: int = COLLECT) -> dict[int, float]:
+    """Exact values at the given ranks (from 0) of the non-null values, by narrowing brackets (actions).
+
+    Each round counts the values up to a few hundred cut points in one map-side
+    combined aggregation, and keeps for each rank the bracket that holds it; a bracket
+    of at most ``collect`` distinct values is finished by counting them.
+    """
+    rows = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
+    low, high = rows.agg(F.min("x"), F.max("x")).first()
+    found: dict[int, float] = {}
+    open_: dict[tuple[float, float], list[int]] = {(low, high): sorted(set(ranks))}
+    while open_:
+        (lo, hi), wanted = open_.popitem()
+        inside = rows.filter(F.col("x").between(lo, hi))
+        below = rows.filter(F.col("x") < lo).count() if lo > low else 0
+        if inside.select("x").distinct().limit(collect + 1).count() <= collect:
+            upto = below
+            for value, n in sorted(map(tuple, inside.groupBy("x").agg(F.count(F.lit(1))).collect())):
+                found |= {r: value for r in wanted if upto <= r < upto + n}
+                upto += n
+            continue
+        cuts = sorted({lo, hi, *inside.approxQuantile("x", [i / 128 for i in range(129)], 1e-3)})
+        at = F.array_size(F.filter(F.lit(cuts), lambda c: c < F.col("x")))
+        counts, upto = dict(map(tuple, inside.groupBy(at.alias("b")).agg(F.count(F.lit(1))).collect())), below
+        for i, cut in enumerate(cuts):  # bucket i holds the values above cut i - 1, up to cut i
+            n = counts.get(i, 0)
+            if here := [r for r in wanted if upto <= r < upto + n]:
+                start = math.nextafter(cuts[i - 1], math.inf) if i else lo
+                if start == cut:
+                    found |= dict.fromkeys(here, cut)
+                else:
+                    open_[start, cut] = here
+            upto += n
+    return found
+
+
 def quantile_edges(df: DataFrame, column: str, q: int, digits: int | None = None) -> list[float]:
-    """q + 1 linearly interpolated edges (an action); equal edges are an error."""
-    points = [i / q for i in range(q + 1)]
-    edges = df.filter(F.col(column).isNotNull()).agg(F.percentile(column, F.lit(points)).alias("e")).first()["e"]
-    if edges is None:
+    """q + 1 exact, linearly interpolated edges (actions); equal edges are an error."""
+    n = df.filter(F.col(column).isNotNull()).count()
+    if not n:
         return []
+    places = [(n - 1) * i / q for i in range(q + 1)]
+    at = order_statistics(df, column, [k for p in places for k in (math.floor(p), math.ceil(p))])
+    edges = [at[math.floor(p)] + (at[math.ceil(p)] - at[math.floor(p)]) * (p - math.floor(p)) for p in places]
     edges = [round(e, digits) if digits is not None else e for e in edges]
     if len(set(edges)) <= q:
         raise ValueError("bin edges are not unique")

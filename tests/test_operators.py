@@ -144,6 +144,13 @@ def test_quantile_bins(spark):
         W.quantile_bins(spark.createDataFrame([(1.0,)] * 100, "x double"), "x", 7)
 
 
+def test_order_statistics_by_narrowing(spark):
+    values = [float((i * 7919) % 1000) / 4 for i in range(3000)] + [5.0] * 500 + [-1e300, 1e300]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    ranks = [0, 1, 2, 500, 1750, 3499, 3500, 3501]
+    assert W.order_statistics(df, "x", ranks, collect=3) == W.order_statistics(df, "x", ranks) == {r: sorted(values)[r] for r in ranks}
+
+
 def test_clusters(spark):
     df = spark.createDataFrame([(1, "A", "Unknown"), (1, "A", "Unknown"), (1, "B", "A"), (2, "Unknown", "B"), (2, "Unknown", "C")], "c int, cells string, nuclei string")
     got = {r["c"]: r.asDict() for r in W.cluster_flags(df, "c", "cells", "nuclei").collect()}
