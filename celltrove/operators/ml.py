@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -91,20 +94,46 @@ def mfa(df: DataFrame, blocks: list[str], sizes: list[int], final: int, out: str
     return done.drop("_f", *names, *[f"_pc{i}" for i in range(len(blocks))])
 
 
-def knn(df: DataFrame, k: int, key: str, vec: str, buckets: int = 16) -> DataFrame:
-    """(key, rank, neighbour, score): exact k greatest inner products, ties to the smaller id.
+def knn(df: DataFrame, k: int, key: str, vec: str, block: int = 1024) -> DataFrame:
+    """(key, rank, neighbour, score): exact k greatest inner products (6 digits), ties to the smaller id.
 
-    Both sides are dealt into blocks and every block of one side meets each of the other
-    through an equi-join; per block only k rows of a query leave it.
+    Rows are dealt into blocks of about ``block`` vectors of one length.  Every block of
+    queries meets every block of candidates through an equi-join and one matrix product;
+    only k rows of a query leave a tile.  Null vectors take no part.
     """
-    q = df.select(F.col(key).alias("_q"), F.col(vec).alias("_qv"), F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_b"))
-    c = df.select(F.col(key).alias("_c"), F.col(vec).alias("_cv"), F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_cb")).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(buckets - 1).cast("bigint"))))
-    dot = F.aggregate(F.zip_with("_qv", "_cv", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, x: a + x)
-    pairs = q.join(c, "_b").filter("_q <> _c").select("_q", "_c", "_cb", F.round(dot, 6).alias("score"))
-    order = (F.desc("score"), F.asc("_c"))
-    near = pairs.withColumn("_n", F.row_number().over(Window.partitionBy("_q", "_cb").orderBy(*order))).filter(F.col("_n") <= k)
-    best = near.withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy(*order))).filter(F.col("rank") <= k)
-    return best.select(F.col("_q").alias(key), "rank", F.col("_c").alias("neighbour"), "score")
+    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter("v IS NOT NULL")
+    blocks = max(1, -(-rows.count() // block))
+    dealt = rows.groupBy(F.size("v").alias("d"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("b")).agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+    queries = dealt.select("d", F.col("b").alias("q"), F.col("rows").alias("qs"))
+    candidates = dealt.select("d", F.col("b").alias("c"), F.col("rows").alias("cs"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("q"))
+    kind = pa.list_(pa.struct([("id", pa.int64()), ("neighbour", pa.int64()), ("score", pa.float64())]))
+
+    def sides(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
+        for entry in column:
+            ids, vectors = entry.values.field("id").to_numpy(), entry.values.field("v")
+            flat = vectors.flatten().to_numpy(zero_copy_only=False)
+            out.append((ids, flat.reshape(len(ids), len(flat) // len(ids))))
+        return out
+
+    @F.arrow_udf("array<struct<id: bigint, neighbour: bigint, score: double>>")
+    def tile(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for qs, cs in columns:
+            out = []
+            for (qi, q), (ci, c) in zip(sides(qs), sides(cs), strict=True):
+                score = np.round(q @ c.T, 6)
+                score[qi[:, None] == ci[None, :]] = -np.inf
+                best = []
+                for i, s in enumerate(score):
+                    near = np.flatnonzero(s >= np.partition(s, -k)[-k]) if len(s) > k else np.arange(len(s))
+                    near = near[np.lexsort((ci[near], -s[near]))][:k]
+                    best += [{"id": int(qi[i]), "neighbour": int(ci[j]), "score": float(s[j])} for j in near if s[j] != -np.inf]
+                out.append(best)
+            yield pa.array(out, kind)
+
+    near = candidates.join(queries, ["d", "q"]).select("c", F.explode(tile("qs", "cs")).alias("t")).select("t.*")
+    best = near.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), F.asc("neighbour")))).filter(F.col("rank") <= k)
+    return best.select(F.col("id").alias(key), "rank", "neighbour", "score")
 
 
 def label_propagation(edges: DataFrame, a: str, b: str, rounds: int = 5) -> DataFrame:
