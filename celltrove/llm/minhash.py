@@ -10,10 +10,12 @@ In a band's bucket nobody meets everybody: each class is compared with the bucke
 central class (whose own buckets are the fullest), on the shingles of the texts
 themselves.  Links are closed into components.  What is left are pairs of one bucket in
 different components; those are all compared too, so no link of a shared bucket is lost,
-but only after exact bounds: in large buckets the shingles that no other class of such
+but only within exact bounds: in large buckets the shingles that no other class of such
 buckets has are counted, and with n shingles of which u are unique an intersection holds
 at most n - u.  Edited copies beyond the threshold fall to that bound without a
-comparison.  A pair is compared in the first band it shares.
+comparison; the others meet the least edited class of their bucket first, and what then
+remains is compared in tiles of blocks, through inverted lists, so that only pairs that
+reach the threshold become rows, which are confirmed on the texts like all others.
 
 Texts are shuffled once (classes in shared buckets), then pairs with their texts.
 Null, empty and wordless texts have empty sets and link with nothing.  Rows are the
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cuts, ship, slices, table, text_bytes, written
@@ -39,6 +41,8 @@ BANDS, ROWS = 24, 3
 WORDS, PERCENT = 4, 80
 #: Buckets of more classes are thinned by unique shingles before their pairs are made.
 LARGE = 16
+#: Classes and shingle hashes of a block of a tile.
+BLOCK, BLOCK_HASHES = 256, 1 << 18
 #: Word hashes a worker keeps.
 CACHE = 500_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -155,11 +159,11 @@ def _unique_counts(members: DataFrame, texts: DataFrame, size: int) -> DataFrame
     return alone.groupBy("node").agg(F.count(F.lit(1)).alias("u"))
 
 
-def _rest(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataFrame, percent: int, size: int) -> DataFrame:
-    """Pairs (a, b) still to compare: of one bucket, in different components, within the exact bounds."""
-    at = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _standing(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataFrame, percent: int, size: int) -> DataFrame:
+    """(key, node, c, n, shared, keys) of the buckets with several components, without classes that cannot link there."""
+    at = _rooted(members, roots)
     mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    at = written(at.join(mixed, "key"), "mixed")
+    at = written(members.join(mixed, "key"), "mixed")
     uniq = written(_unique_counts(at.filter(F.col("c") > LARGE), texts, size), "unique")
     info = nodes.join(uniq, "node", "left").select("node", "n", "keys", (F.col("n") - F.coalesce("u", F.lit(0))).alias("shared"))
     at = at.join(info, "node")
@@ -167,17 +171,102 @@ def _rest(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataFra
     least = at.groupBy("key").agg(F.min("n").alias("least"))
     best = F.greatest(F.col("shared"), F.col("least"))
     can = (F.col("c") <= LARGE) | (100 * F.col("shared") >= percent * (F.col("n") + best - F.col("shared")))
-    at = written(at.join(least, "key").filter(can).select("key", "node", "root", "leader_root", "n", "shared", "keys"), "survivors")
-    few = at.filter(F.col("root") != F.col("leader_root"))
-    x, y = few.alias("x"), at.alias("y")
-    shares = F.least(F.col("x.shared"), F.col("y.shared"))
-    bound = 100 * shares >= percent * (F.col("x.n") + F.col("y.n") - shares)
-    first = F.get(F.filter(F.zip_with("x.keys", "y.keys", lambda p, q: F.when(p == q, p)), lambda p: p.isNotNull()), F.lit(0)) == F.col("x.key")
-    once = (F.col("y.root") == F.col("y.leader_root")) | (F.col("x.node") < F.col("y.node"))
-    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & bound & once & first
+    return written(at.join(least, "key").filter(can).select("key", "node", "c", "n", "shared", "keys"), "standing")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
+    """Add the root of ``node``; a class without links is its own."""
+    known = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+    return rows.join(known, node, "left").withColumn(root, F.coalesce(root, node))
+
+
+def _bound(a: str, b: str, percent: int) -> Column:
+    """Whether two classes may link: their intersection holds at most the lesser of their shared shingles."""
+    most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared"))
+    return 100 * most >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - most)
+
+
+def _led(standing: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each class with the least edited class of its bucket, where they are in different components."""
+    top = standing.groupBy("key").agg(F.max(F.struct(F.col("shared") / F.col("n"), "node")).alias("top")).select("key", F.col("top.node").alias("node"))
+    lead = standing.join(top, ["key", "node"], "left_semi")
+    x, y = _rooted(standing, roots).alias("x"), _rooted(lead, roots).alias("y")
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _bound("x", "y", percent)
     return x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
+def _packed(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(main, nodes, roots, sizes, hashes): the classes of a group in blocks of about BLOCK, with their shingle hashes."""
+    number = rows.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+    dealt = rows.join(number, "main").join(texts, "node")
+    dealt = dealt.select("main", F.pmod(F.xxhash64("node"), "blocks").alias("block"), "node", "root", "text")
+    schema = "main binary, nodes array<binary>, roots array<binary>, sizes array<int>, hashes binary"
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, key, held = _Hashes(), None, []
+
+        def out() -> pa.RecordBatch:
+            columns = [[key[0]], [[r[0] for r in held]], [[r[1] for r in held]], [[len(r[2]) for r in held]], [b"".join(r[2].tobytes() for r in held)]]
+            kinds = (pa.binary(), pa.list_(pa.binary()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["main", "nodes", "roots", "sizes", "hashes"])
+
+        for batch in slices(batches, 4):
+            for main, block, node, root, text in zip(*(batch.column(i).to_pylist() for i in range(4)), text_bytes(batch.column(4)), strict=True):
+                if held and ((main, block) != key or sum(len(r[2]) for r in held) > BLOCK_HASHES):
+                    yield out()
+                    held = []
+                key = (main, block)
+                held.append((node, root, shingle_hashes(text, hashes, size)))
+        if held:
+            yield out()
+
+    return dealt.repartition("main", "block").sortWithinPartitions("main", "block").mapInArrow(pack, schema)
+
+
+def _tile(percent: int):
+    """Pairs of a tile's rows and columns that reach the threshold by their hashes, through an inverted list of the columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                x, y = (np.frombuffer(row[k], np.uint64) for k in ("hashes", "y_hashes"))
+                nx, ny = np.array(row["sizes"]), np.array(row["y_sizes"])
+                order = np.argsort(y, kind="stable")
+                owner, known = np.repeat(np.arange(len(ny)), ny)[order], y[order]
+                ends = np.cumsum(nx)
+                lo, hi = np.searchsorted(known, x), np.searchsorted(known, x, side="right")
+                a, b = [], []
+                for i in range(len(nx)):
+                    l, h = lo[ends[i] - nx[i] : ends[i]], hi[ends[i] - nx[i] : ends[i]]
+                    runs = h - l
+                    at = np.arange(int(runs.sum())) + np.repeat(l - (np.cumsum(runs) - runs), runs)
+                    both = np.bincount(owner[at], minlength=len(ny))
+                    for j in np.flatnonzero(100 * both >= percent * (nx[i] + ny - both)):
+                        if row["roots"][i] != row["y_roots"][j]:
+                            a.append(row["nodes"][i])
+                            b.append(row["y_nodes"][j])
+                yield pa.record_batch({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return run
+
+
+def _rest(standing: DataFrame, texts: DataFrame, roots: DataFrame, percent: int, size: int) -> DataFrame:
+    """Pairs (a, b) that are left: candidates of one bucket, in different components, that reach the threshold by their hashes.
+
+    One side of such a pair is outside its bucket's main component, that of the least
+    edited class.  The outsiders of a main component meet all classes of its buckets in
+    tiles of blocks, so pairs below the threshold never become rows.
+    """
+    at = _rooted(standing, roots)
+    main = at.groupBy("key").agg(F.max(F.struct(F.col("shared") / F.col("n"), "node", "root")).alias("top")).select("key", F.col("top.root").alias("main"))
+    at = written(at.join(main, "key").select("main", "node", "root").distinct(), "grouped")
+    few = at.filter(F.col("root") != F.col("main"))
+    x = written(_packed(few, texts, size), "outsiders")
+    y = _packed(at.join(few.select("main").distinct(), "main", "left_semi"), texts, size)
+    y = written(y.select("main", *[F.col(c).alias(f"y_{c}") for c in ("nodes", "roots", "sizes", "hashes")]), "members")
+    return x.join(y, "main").repartition(F.xxhash64("nodes"), F.xxhash64("y_nodes")).mapInArrow(_tile(percent), "a binary, b binary").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text); all links of at least ``percent``."""
     ship(docs.sparkSession)
@@ -199,12 +288,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS,
     pairs = members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = written(_confirmed(pairs, texts, percent, size), "links")
     roots = connected(links)
-    leader_roots = roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root"))
-    with_leader = members.join(leader_roots, "leader", "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
-    rest = written(_rest(with_leader, nodes, texts, roots, percent, size).join(pairs, ["a", "b"], "left_anti"), "rest")
-    more = written(_confirmed(rest, texts, percent, size), "links")
-    if more.limit(1).count():
-        roots = connected(links.unionByName(more))
+    standing = _standing(members, nodes, texts, roots, percent, size)
+    led = written(_led(standing, roots, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    for step in ("led", "rest"):  # first the least edited classes, then whatever is left
+        found = led if step == "led" else written(_rest(standing, texts, roots, percent, size), "pairs")
+        more = written(_confirmed(found, texts, percent, size), "links")
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            roots = connected(links)
     ids = nodes.join(roots, "node", "left").select("node", "min_id", F.coalesce("root", "node").alias("root"))
     comp = written(ids.join(ids.groupBy("root").agg(F.min("min_id").alias("component_id")), "root").select(F.col("node").alias("set_key"), "component_id"), "components")
     found = sketches.select("doc_id", "n", "set_key").join(comp, "set_key", "left")
