@@ -138,3 +138,17 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.sql("SELECT -7L AS conv_id, t AS turn, r AS role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return read_back(format_chat(rows))
+
+
+_ESCAPED = r"length(regexp_replace({}, '([<\[])(\\*)(/?s>|/?(?:SYS|INST|ROLE)\]|END\])', '\1\\\2\3', 'g'))"
+ORACLE = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum({_ESCAPED.format("text")} + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 18 + {_ESCAPED.format("role")} END) AS chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM g
+"""

@@ -3,7 +3,7 @@
 Signatures: one permutation sigma scatters a document's shingle hashes, a second one,
 pi, is used for every coordinate, circularly shifted by the coordinate's number: h_k is
 the least pi(sigma(v) + k) over the set.  BANDS bands of ROWS coordinates give a pair
-of Jaccard 0.8 a chance of 1 - 5e-8 to share a band.
+of Jaccard 0.8 a chance of 1 - 3e-8 to share a band.
 
 Documents of equal shingle sets are one class, and classes are the nodes from there on.
 In a band's bucket nobody meets everybody: each class is compared with the bucket's most
@@ -37,8 +37,8 @@ from .common import cuts, ship, slices, table, text_bytes, written
 from .components import connected
 
 BANDS, ROWS = 24, 3
-#: Words of a shingle and the least similarity in per cent.
-WORDS, PERCENT = 4, 80
+#: Words of a shingle and the least similarity in per cent, unless a caller says otherwise.
+WORDS, PERCENT = 5, 80
 #: Buckets of more classes are thinned by unique shingles before their pairs are made.
 LARGE = 16
 #: Classes and shingle hashes of a block of a tile.
@@ -320,5 +320,19 @@ def _own_text(rows: DataFrame, size: int) -> DataFrame:
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of near duplicates over all documents."""
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Components of near duplicates over all documents, on shingles of four words."""
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4)
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+v AS (SELECT doc_id, w, least(len(w), 4) AS k FROM w WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + k - 1), ' ') AS shingle FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM v)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN c x ON a = x.doc_id JOIN c y ON b = y.doc_id WHERE 100 * p.n >= 80 * (x.n + y.n - p.n)),
+r AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id),
+m AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM m LEFT JOIN c USING (doc_id)
+"""

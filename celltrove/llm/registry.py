@@ -21,4 +21,12 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": decontaminate.ORACLE, "op3_topk": topk.ORACLE, "op8_licenses": licenses.oracle()}
+    """SQL of those it can express; the others are tested against brute force, round trips or held-out labels."""
+    return {
+        "op2_decontaminate": decontaminate.ORACLE,
+        "op3_topk": topk.ORACLE,
+        "op4_chat": chat.ORACLE,
+        "op5_minhash": minhash.ORACLE,
+        "op8_licenses": licenses.oracle(),
+        "op9_suffix_dedup": suffix_dedup.ORACLE,
+    }

@@ -280,3 +280,18 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return done.select("doc_id", size.alias("n_bytes"), (size - F.octet_length("repeats.kept")).alias("n_removed"), F.size("repeats.spans").cast("long").alias("n_spans"), F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
+ORACLE = f"""
+WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, i, md5(b[i:i + {LENGTH - 1}]) AS h FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - {LENGTH - 2})) AS i FROM t)),
+d AS (SELECT doc_id, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+e AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {LENGTH} THEN 0 ELSE 1 END AS f FROM d),
+g AS (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM e),
+r AS (SELECT doc_id, island, min(i) AS lo, max(i) + {LENGTH - 1} AS hi FROM g GROUP BY ALL),
+z AS (SELECT doc_id, count(*) AS n, sum(hi - lo + 1) AS gone FROM r GROUP BY doc_id),
+k AS (SELECT doc_id, lo, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) + 1 AS a, lo - 1 AS z FROM (SELECT doc_id, lo, hi FROM r UNION ALL SELECT doc_id, octet_length(b) + 1, octet_length(b) FROM t)),
+x AS (SELECT doc_id, string_agg(hex(b[k.a:k.z]), '' ORDER BY lo) AS kept FROM k JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT t.doc_id, octet_length(b) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans, sha256(unhex(x.kept)) AS kept_sha256
+FROM t JOIN x USING (doc_id) LEFT JOIN z USING (doc_id)
+"""

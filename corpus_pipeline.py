@@ -6,7 +6,7 @@ All stages but the last return the columns of documents.  ``run`` applies them t
 documents.  Every stage works on all that its predecessor kept:
 
 * toxicity: documents predicted toxic go; labels come from the labels table;
-* near_dedup: of each component of near duplicates the document of the least id stays
+* near_dedup: of each component of near duplicates (shingles of five words) the document of the least id stays
   (once if its row repeats; the row of least text if one id has several texts; rows
   without an id stay once for each text);
 * decontaminate: documents holding a benchmark window go;

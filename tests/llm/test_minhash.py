@@ -8,13 +8,13 @@ from celltrove.llm.components import connected
 from .texts import AWKWARD
 
 
-def sets(text):
+def sets(text, size):
     w = (text or "").encode().lower().split()
-    return {tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))} if w else set()
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def brute(docs):
-    s = [sets(t) for _, t in docs]
+def brute(docs, size=4):
+    s = [sets(t, size) for _, t in docs]
     root = list(range(len(docs)))
 
     def find(i):
@@ -45,7 +45,7 @@ def family(rng, base, n, most):
 
 
 def run(spark, docs):
-    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size=4)
     return sorted(map(tuple, got.collect()), key=str)
 
 
@@ -70,3 +70,9 @@ def test_components_of_a_path(spark):
     rows = [(f"{i:03}", f"{i + 1:03}") for i in range(40)] + [("900", "901"), ("901", "902")]
     got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(rows, "a string, b string")).collect()}
     assert set(got.values()) == {"000", "900"} and got["040"] == "000" and got["902"] == "900"
+
+
+def test_query_uses_four_words(spark, save):
+    docs = [(i, t) for i, t in enumerate(["a b c d e", "a b c d e f", "x y", None])]
+    got = minhash.op5_minhash(spark, save(documents=spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS node", "2 AS n")))
+    assert sorted(map(tuple, got.collect()), key=str) == brute(docs) and brute(docs)[0][1] == 2

@@ -45,7 +45,7 @@ def test_stages_equal_brute_force(spark, save, tmp_path):
     first = [d for d in docs if not bad & set((d[1] or "").split())]
     assert {w.decode() for w, s in model.lexicon.items() if s > 0} == bad
     assert seen[0] == sorted(first, key=str)
-    kept = {d for d, _, _, k in components(first) if k and d is not None}
+    kept = {d for d, _, _, k in components(first, 5) if k and d is not None}
     second = sorted({d for d in first if d[0] in kept or d[0] is None}, key=str)
     assert seen[1] == second and len(second) < len(first)
     dirty = {d for d, *_, x in hits(second, items) if x}
