@@ -123,3 +123,13 @@ def is_40x(pixel_size: Column, expected: float = 0.2125) -> Column:
 
 def map_of(values: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+
+
+def grouping(text: Column) -> Column:
+    """JSON such as '{"new": ["a", "b"]}' as a map of lists."""
+    return F.from_json(text, "map<string,array<string>>")
+
+
+def named_components(vec: Column, prefix: str, n: int) -> list[Column]:
+    """The first n components as columns prefix_1 .. prefix_n."""
+    return [F.get(vec, F.lit(i)).alias(f"{prefix}_{i + 1}") for i in range(n)]

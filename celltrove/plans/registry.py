@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("core", "reports", "cells", "space", "columns", "models")
+MODULES = ("core", "reports", "cells", "space", "columns", "models", "more")
 
 
 def queries() -> dict:

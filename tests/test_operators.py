@@ -232,3 +232,17 @@ def test_vectors_and_models(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (1, 3), (7, 8), (8, 9), (7, 9)], "a int, b int")
     found = {r["node"]: r["community"] for r in ml.label_propagation(edges, "a", "b").collect()}
     assert found[1] == found[2] == found[3] and found[7] == found[8] == found[9] and found[1] != found[7]
+
+
+def test_hooks_and_masks(spark):
+    from celltrove.operators import external as H
+
+    cells = spark.createDataFrame([("s", "c1"), ("s", "c2")], "slide_id string, cell_id string")
+    got = H.map_labels(cells, lambda r: [x | {"label": x["cell_id"].upper(), "proba": 0.5} for x in r])
+    assert rows(got) == [("s", "c1", "C1", 0.5), ("s", "c2", "C2", 0.5)]
+    masks = spark.createDataFrame([("s", 1, [2, 2, 2], [0.0, 5.0, 0.0, 0.0, 0.0, 0.0, 7.0, 0.0])], "slide_id string, patch_id bigint, shape array<bigint>, values array<double>")
+    px = H.mask_pixels(masks)
+    assert rows(px.select("row", "col", "channel", "value")) == [(0, 0, 1, 5), (1, 1, 0, 7)]
+    assert H.dense_mask([r.asDict() for r in px.collect()], 2, 2, 2).ravel().tolist() == [0, 5, 0, 0, 0, 0, 7, 0]
+    assert one(spark, X.grouping(F.lit('{"new": ["a", "b"]}')))[0] == {"new": ["a", "b"]}
+    assert spark.range(1).select(*X.named_components(F.array(F.lit(1), F.lit(2)), "PC_nuc", 3)).first().asDict() == {"PC_nuc_1": 1, "PC_nuc_2": 2, "PC_nuc_3": None}
