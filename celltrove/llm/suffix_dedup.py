@@ -35,6 +35,8 @@ from .common import cuts, release, ship, slices, table, text_bytes, written
 LENGTH, GRAM = 200, 32
 #: Most windows of an anchor that are sorted together, and of a span.
 BUCKET, SPAN = 65_536, 4096
+#: Windows of a text that are hashed at a time.
+PIECE = 1 << 20
 #: Bytes of representatives sorted at a time by a worker.
 SORT_BYTES = 1 << 20
 _BASE, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -112,9 +114,12 @@ def spans_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2, 1 << 20):
-            doc, start, n, anchor, span, several = find_spans(text_bytes(batch.column(2)), length, gram)
-            if len(doc):
-                doc = pa.array(doc)
+            # Long texts in pieces that overlap by a window less a byte: each window is in one piece.
+            pieces = [(i, a, t[a : a + PIECE + length - 1]) for i, t in enumerate(text_bytes(batch.column(2))) for a in range(0, len(t) - length + 1, PIECE)]
+            piece, start, n, anchor, span, several = find_spans([x[2] for x in pieces], length, gram)
+            if len(piece):
+                doc = pa.array(np.array([x[0] for x in pieces])[piece])
+                start = start + np.array([x[1] for x in pieces])[piece]
                 yield pa.record_batch({
                     "doc_id": batch.column(0).take(doc), "text_hash": batch.column(1).take(doc), "start": pa.array(start), "n": pa.array(n.astype(np.int32)),
                     "anchor": pa.array(anchor), "span": pa.array(span), "several": pa.array(several.astype(bool)),

@@ -70,8 +70,32 @@ def test_equals_brute_force(spark, length, gram, bucket):
     assert run(spark, docs, length, gram=gram, bucket=bucket) == brute(docs, length)
 
 
+def test_other_lengths(spark):
+    docs = list(enumerate(texts(9)))
+    assert run(spark, docs, 60, gram=16) == brute(docs, 60)
+
+
 def test_query_on_sample_and_empty_table(spark, save):
     docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, suffix_dedup.op9_suffix_dedup(spark, "/root/testdata/sf0.001").collect()), key=str) == brute(docs, 200)
     empty = save(documents=spark.createDataFrame([], "doc_id long, text string"))
     assert suffix_dedup.op9_suffix_dedup(spark, empty).count() == 0
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECE", 100)
+    rng = random.Random(4)
+    text = bytes(rng.randrange(97, 101) for _ in range(1000))
+    pieces = [(a, text[a : a + 100 + 199]) for a in range(0, len(text) - 199, 100)]
+    which, start, n, *_ = suffix_dedup.find_spans([p for _, p in pieces], 200, 32)
+    begun = sorted(i for w, s, k in zip(which, start, n) for i in range(pieces[w][0] + s, pieces[w][0] + s + k))
+    assert begun == list(range(len(text) - 199))
+
+
+def test_text_longer_than_a_piece(spark):
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefgh") for _ in range(suffix_dedup.PIECE + 1500))
+    at = suffix_dedup.PIECE - 130
+    docs = [(1, text), (2, "-" * 50 + text[at : at + 400] + "+" * 20), (3, text[-300:])]
+    want = [(1, len(text), 700, 2), (2, 470, 400, 1), (3, 300, 300, 1)]
+    assert [r[:4] for r in run(spark, docs)] == want
