@@ -1,7 +1,7 @@
 """Connected components by minimum labels with pointer jumping, as DataFrame joins.
 
-Every round each node takes the least label among its own and its neighbours', then
-the label of its label.  Rounds are written tables in the shared folder.  Labels are
+Every round each node takes the label of its label, then the least among its own and its
+neighbours'.  Rounds are written tables in the shared folder.  Labels are
 aggregated map-side, and the joins are plain equi-joins of exchanged sides, so Spark can
 split the rows of a hot node.  Rounds grow with the logarithm of the diameter.
 """
@@ -20,11 +20,11 @@ def connected(links: DataFrame) -> DataFrame:
     edges = written(both.filter("a <> b").distinct(), "edges")
     labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("root")), "labels")
     while True:
-        near = edges.join(labels, edges["b"] == labels["node"]).select(F.col("a").alias("node"), "root")
-        least = written(near.unionByName(labels).groupBy("node").agg(F.min("root").alias("root")), "labels")
-        up = least.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        jumped = written(least.join(up, "root").select("node", F.least("root", "up").alias("root")), "labels")
-        moved = jumped.join(labels.withColumnRenamed("root", "was"), "node").filter("root <> was").limit(1).count()
-        labels = jumped
-        if not moved:
+        up = labels.select(F.col("node").alias("root"), F.col("root").alias("up"))
+        jumped = labels.join(up, "root").select("node", F.least("root", "up").alias("root"))
+        near = edges.join(jumped, edges["b"] == jumped["node"]).select(F.col("a").alias("node"), "root", F.lit(None).cast(jumped.schema["root"].dataType).alias("own"))
+        every = near.unionByName(jumped.withColumn("own", F.col("root")))
+        found = written(every.groupBy("node").agg(F.min("root").alias("root"), F.max("own").alias("own")), "labels")
+        labels = found.select("node", "root")
+        if not found.filter("root <> own").limit(1).count():
             return labels

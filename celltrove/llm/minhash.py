@@ -13,9 +13,9 @@ different components; those are all compared too, so no link of a shared bucket
 but only within exact bounds: in large buckets the shingles that no other class of such
 buckets has are counted, and with n shingles of which u are unique an intersection holds
 at most n - u.  Edited copies beyond the threshold fall to that bound without a
-comparison; the others meet the least edited class of their bucket first, and what then
-remains is compared in tiles of blocks, through inverted lists, so that only pairs that
-reach the threshold become rows, which are confirmed on the texts like all others.
+comparison; the others are compared in tiles of blocks, through inverted lists, so that
+only pairs that reach the threshold become rows, which are confirmed on the texts like
+all others.
 
 Texts are shuffled once (classes in shared buckets), then pairs with their texts.
 Null, empty and wordless texts have empty sets and link with nothing.  Rows are the
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cuts, ship, slices, table, text_bytes, written
@@ -180,21 +180,6 @@ def _rooted(rows: DataFrame, roots: DataFrame, node: str = "node", root: str = "
     return rows.join(known, node, "left").withColumn(root, F.coalesce(root, node))
 
 
-def _bound(a: str, b: str, percent: int) -> Column:
-    """Whether two classes may link: their intersection holds at most the lesser of their shared shingles."""
-    most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared"))
-    return 100 * most >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n") - most)
-
-
-def _led(standing: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each class with the least edited class of its bucket, where they are in different components."""
-    top = standing.groupBy("key").agg(F.max(F.struct(F.col("shared") / F.col("n"), "node")).alias("top")).select("key", F.col("top.node").alias("node"))
-    lead = standing.join(top, ["key", "node"], "left_semi")
-    x, y = _rooted(standing, roots).alias("x"), _rooted(lead, roots).alias("y")
-    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _bound("x", "y", percent)
-    return x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
-
 def _packed(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(main, nodes, roots, sizes, hashes): the classes of a group in blocks of about BLOCK, with their shingle hashes."""
     number = rows.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
@@ -289,13 +274,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS,
     links = written(_confirmed(pairs, texts, percent, size), "links")
     roots = connected(links)
     standing = _standing(members, nodes, texts, roots, percent, size)
-    led = written(_led(standing, roots, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    for step in ("led", "rest"):  # first the least edited classes, then whatever is left
-        found = led if step == "led" else written(_rest(standing, texts, roots, percent, size), "pairs")
-        more = written(_confirmed(found, texts, percent, size), "links")
-        if more.limit(1).count():
-            links = links.unionByName(more)
-            roots = connected(links)
+    rest = written(_rest(standing, texts, roots, percent, size), "pairs")
+    more = written(_confirmed(rest, texts, percent, size), "links")
+    if more.limit(1).count():
+        roots = connected(links.unionByName(more))
     ids = nodes.join(roots, "node", "left").select("node", "min_id", F.coalesce("root", "node").alias("root"))
     comp = written(ids.join(ids.groupBy("root").agg(F.min("min_id").alias("component_id")), "root").select(F.col("node").alias("set_key"), "component_id"), "components")
     found = sketches.select("doc_id", "n", "set_key").join(comp, "set_key", "left")
