@@ -13,8 +13,8 @@ Fitting uses at most MAX_TRAIN labelled documents, those of smallest id hash; th
 bound on labelled rows only.  The lexicon holds at most MAX_WORDS words and is what goes
 to the workers.  Scoring is row-local and reads whole texts.  Null and empty texts have
 no passages and get the curve's base value.  A document with several label rows counts
-as toxic if any says so; rows that repeat an id each count.  Without labels of both
-kinds the lexicon is empty and the score is the share of toxic labels (0 without any).
+as toxic if any says so; of several texts of an id the least is learned from.  Without
+labels of both kinds the lexicon is empty and the score is the share of toxic labels (0 without any).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cuts, table, text_bytes
+from .common import cuts, table, text_bytes, written
 from .decontaminate import words
 
 MAX_TRAIN, MAX_WORDS = 20_000, 20_000
@@ -86,7 +86,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     known = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     # At most max_train rows, so broadcasting has a proven bound.
-    train = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "y")
+    train = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+    train = written(train, "toxicity-sample")
     per_word = train.select("y", F.explode(F.array_distinct(words(F.col("text")))).alias("word")).groupBy("word").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
     totals = per_word.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("c"), F.lit(0)).alias("c")).first()
     n_t, n_c = float(totals["t"]), float(totals["c"])
