@@ -12,7 +12,7 @@ themselves.  Links are closed into components.  What is left are pairs of one bu
 different components; those are all compared too, so no link of a shared bucket is lost,
 but only within exact bounds: in large buckets the shingles that no other class of such
 buckets has are counted, and with n shingles of which u are unique an intersection holds
-at most n - u.  Edited copies beyond the threshold fall to that bound without a
+at most n - u.  Copies edited beyond the threshold fall to that bound without a
 comparison; the others are compared in tiles of blocks, through inverted lists, so that
 only pairs that reach the threshold become rows, which are confirmed on the texts like
 all others.
@@ -160,18 +160,17 @@ def _unique_counts(members: DataFrame, texts: DataFrame, size: int) -> DataFrame
 
 
 def _standing(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: DataFrame, percent: int, size: int) -> DataFrame:
-    """(key, node, c, n, shared, keys) of the buckets with several components, without classes that cannot link there."""
+    """(key, node, c, n, shared) of the buckets with several components, without classes that cannot link there."""
     at = _rooted(members, roots)
-    mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    # Per-bucket results are written first: then a hot bucket's rows can be split in the join.
+    mixed = written(at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key"), "mixed-keys")
     at = written(members.join(mixed, "key"), "mixed")
     uniq = written(_unique_counts(at.filter(F.col("c") > LARGE), texts, size), "unique")
-    info = nodes.join(uniq, "node", "left").select("node", "n", "keys", (F.col("n") - F.coalesce("u", F.lit(0))).alias("shared"))
+    info = nodes.join(uniq, "node", "left").select("node", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("shared"))
     at = at.join(info, "node")
-    # Best case in a bucket: all shared shingles met by a partner as small as possible.
-    least = at.groupBy("key").agg(F.min("n").alias("least"))
-    best = F.greatest(F.col("shared"), F.col("least"))
-    can = (F.col("c") <= LARGE) | (100 * F.col("shared") >= percent * (F.col("n") + best - F.col("shared")))
-    return written(at.join(least, "key").filter(can).select("key", "node", "c", "n", "shared", "keys"), "standing")
+    # Best case: all shared shingles are met by a partner that has nothing else.
+    can = (F.col("c") <= LARGE) | (100 * F.col("shared") >= percent * F.col("n"))
+    return written(at.filter(can).select("key", "node", "c", "n", "shared"), "standing")
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
@@ -180,10 +179,9 @@ def _rooted(rows: DataFrame, roots: DataFrame, node: str = "node", root: str = "
     return rows.join(known, node, "left").withColumn(root, F.coalesce(root, node))
 
 
-def _packed(rows: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _packed(rows: DataFrame, groups: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(main, nodes, roots, sizes, hashes): the classes of a group in blocks of about BLOCK, with their shingle hashes."""
-    number = rows.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
-    dealt = rows.join(number, "main").join(texts, "node")
+    dealt = rows.join(groups, "main").join(texts, "node")
     dealt = dealt.select("main", F.pmod(F.xxhash64("node"), "blocks").alias("block"), "node", "root", "text")
     schema = "main binary, nodes array<binary>, roots array<binary>, sizes array<int>, hashes binary"
 
@@ -244,10 +242,12 @@ def _rest(standing: DataFrame, texts: DataFrame, roots: DataFrame, percent: int,
     """
     at = _rooted(standing, roots)
     main = at.groupBy("key").agg(F.max(F.struct(F.col("shared") / F.col("n"), "node", "root")).alias("top")).select("key", F.col("top.root").alias("main"))
-    at = written(at.join(main, "key").select("main", "node", "root").distinct(), "grouped")
+    at = written(at.join(written(main, "main"), "key").select("main", "node", "root").distinct(), "grouped")
     few = at.filter(F.col("root") != F.col("main"))
-    x = written(_packed(few, texts, size), "outsiders")
-    y = _packed(at.join(few.select("main").distinct(), "main", "left_semi"), texts, size)
+    groups = at.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"), F.max(F.col("root") != F.col("main")).alias("open"))
+    groups = written(groups.filter("open").select("main", "blocks"), "groups")
+    x = written(_packed(few, groups, texts, size), "outsiders")
+    y = _packed(at, groups, texts, size)
     y = written(y.select("main", *[F.col(c).alias(f"y_{c}") for c in ("nodes", "roots", "sizes", "hashes")]), "members")
     return x.join(y, "main").repartition(F.xxhash64("nodes"), F.xxhash64("y_nodes")).mapInArrow(_tile(percent), "a binary, b binary").distinct()
 
