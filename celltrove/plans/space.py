@@ -9,7 +9,6 @@ from ..operators import relational as R
 from ..operators import spatial as S
 from ..operators import windows as W
 from ..sources.readers import table
-from . import roles
 
 SIDE = 3000
 STATUS = ("F", "O", "P")
