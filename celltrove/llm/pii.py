@@ -16,7 +16,6 @@ Row-local; null and empty texts have no spans.
 from __future__ import annotations
 
 import functools
-import math
 import random
 import re
 from collections.abc import Iterator
