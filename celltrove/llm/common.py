@@ -14,12 +14,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of an Arrow batch; a smaller setting of the session stays.
+BATCH_ROWS, _BATCH_ROWS = 500, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Python workers cut Arrow batches to about this many text bytes at a time.
 SLICE_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the workers this package, once for each Spark application."""
+    """Give the workers this package, once for each Spark application, and bound the session's Arrow batches.
+
+    A batch is held off-heap on the JVM's side, so its rows are limited: documents are long.
+    """
+    if int(spark.conf.get(_BATCH_ROWS, "10000")) > BATCH_ROWS:
+        spark.conf.set(_BATCH_ROWS, BATCH_ROWS)
     context = spark.sparkContext
     if getattr(context, "_celltrove_shipped", False):
         return

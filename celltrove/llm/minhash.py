@@ -44,7 +44,7 @@ LARGE = 16
 #: Classes and shingle hashes of a block of a tile.
 BLOCK, BLOCK_HASHES = 256, 1 << 18
 #: Word hashes a worker keeps.
-CACHE = 500_000
+CACHE = 200_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
