@@ -51,3 +51,35 @@ def test_empty_tables(spark, save):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert lm.op10_lm_score(spark, save(documents=documents(spark, []), labels=labels)).count() == 0
     assert lm.op10_lm_score(spark, save(documents=documents(spark, ["a", None]), labels=labels)).count() == 2
+
+
+def test_word_scores_equal_brute_force(spark, save, monkeypatch):
+    monkeypatch.setattr(lm, "BUCKET", 40)
+    monkeypatch.setattr(lm, "SLICE_BYTES", 3000)
+    # The last two share their letters and differ in words.
+    texts = AWKWARD + [f"w{i % 7} w{i % 11} shared words" for i in range(60)] + ["tone note", "note tone"] * 3 + ["eno tton", "tone note"]
+    good = {i for i in range(len(texts)) if i % 4 == 1} | {len(texts) - 1}
+    rows = list(enumerate(texts)) + [(3, "another text"), (None, "w1 w2"), (20, texts[20])]
+    labels = spark.createDataFrame([(i, int(i in good), 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    got = lm.op10_lm_score(spark, save(documents=spark.createDataFrame(rows, "doc_id long, text string"), labels=labels)).collect()
+    parts = [[(t or "").encode().lower().split(), d in good, d] for d, t in rows]
+    parts = [([None, *w, None] if w else [], y, d) for w, y, d in parts]
+    n, t = Counter(), Counter()
+    for w, y, _ in parts:
+        for c in (n, t) if y else (n,):
+            c.update(w[1:])
+            c.update(zip(w, w[1:]))
+    every, target = (sum(len(w) - 1 for w, y, _ in parts if w and y >= k) for k in (0, 1))
+    s = lm.STRENGTH
+    want = []
+    for w, _, d in parts:
+        total = 0.0
+        for b, c in zip(w, w[1:]):
+            p = n[c] / every
+            q = (t[c] + s * p) / (target + s)
+            total += math.log2((n[b, c] + s * p) / (n[b] + s)) - math.log2((t[b, c] + s * q) / (t[b] + s))
+        want.append((str(d), max(0, len(w) - 2), round(total / max(1, len(w) - 1), 4)))
+    found = sorted((str(r["doc_id"]), r["n_words"], r["word_score"]) for r in got)
+    assert len(found) == len(rows)
+    for a, b in zip(found, sorted(want), strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=2e-4)
