@@ -1,17 +1,18 @@
 """Licence scans by sentence rules, with DataFrame functions only.
 
-A text is cut into sentences, each is normalised (A-Z lower-cased, every other run of
-characters one space) and mapped to the identifier of a known licence sentence.  The
-identifiers of a document, in order of position, are matched against the ordered
+A text is normalised (A-Z lower-cased, every other run of characters one space) and cut
+at sentence ends and blank lines; a line without letters or digits is blank.  A known
+licence sentence is found where it fills whole lines or sentences, also when it is
+wrapped over lines: a single line feed is white space inside it, and a cut beside it.
+At one place the longest sentence counts.  The identifiers of a document, in order of
+position, are matched against the ordered
 licence rules: a rule holds when its identifiers occur one after another.  Rules are
 ordered from specific to general; a document's licence is that of the first rule that
 holds, and all rules that hold are listed in rule order.
 
-The sentence table is a constant of this module (its size is the bound of what is
-broadcast).  A text without any anchor word cannot hold a known sentence and is not
-cut; that filter is exact.  Only hits are shuffled, never texts.  Null and empty texts
-have no licence.  Documents are keyed by (doc_id, text hash), so repeated rows each get
-the same result.
+The sentence table is a constant of this module.  A text without any anchor word cannot
+hold a known sentence and is not normalised; that filter is exact.  Rows are scanned where
+they are, nothing is shuffled.  Null and empty texts have no licence.
 """
 
 from __future__ import annotations
@@ -45,6 +46,11 @@ SENTENCES = (
     ("reserved", "All rights reserved."),
 )
 
+# Whole forms of sentences that the table above has shortened.
+LONG_FORMS = (
+    ("mit-grant", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
+)
+
 # Licence rules, most specific first (rule, licence, identifiers in order).
 RULES = (
     ("apache-header", "Apache-2.0", ("apache-head", "apache-copy", "apache-disclaim")),
@@ -68,51 +74,54 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ANCHORS = ("licen", "permission", "warrant", "software", "redistribut", "copyright", "rights reserved")
 
 
-def normalised(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(text, _UPPER, _LOWER), "[^a-z0-9]+", " "))
-
+def _normalised(said: str) -> str:
+    return re.sub("[^a-z0-9]+", " ", said.lower()).strip()
 
-def _sentences(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, r"([.!?:])[ \t\r]+", "$1\n"), r"[\n\r]+")
 
-
-def known_sentences(spark: SparkSession) -> DataFrame:
-    for _, said in SENTENCES:
+def known_pieces() -> list[tuple[str, str]]:
+    """(identifier, normalised piece) of every known sentence, longest first."""
+    found = []
+    for key, said in SENTENCES + LONG_FORMS:
         for piece in re.split(r"(?<=[.!?:])[ \t\r]+", said):
             if not any(a in piece.lower() for a in ANCHORS):
                 raise ValueError(f"no anchor in: {piece}")
-    rows = F.array(*[F.struct(F.lit(k).alias("sentence_id"), F.lit(s).alias("said")) for k, s in SENTENCES])
-    cut = spark.range(1).select(F.explode(rows).alias("r")).select("r.sentence_id", F.explode(F.filter(_sentences(F.col("r.said")), lambda s: s != "")).alias("s"))
-    return cut.select("sentence_id", normalised(F.col("s")).alias("norm"))
+            found.append((key, _normalised(piece)))
+    return sorted(found, key=lambda f: (-len(f[1]), f))
+
+
+def _marked(text: Column) -> Column:
+    """The normalised text with "|" at sentence ends and blank lines, and line feeds kept."""
+    lines = F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), _UPPER + "|\r", _LOWER + " \n")
+    ended = F.regexp_replace(lines, r"[.!?:][ \t\n]+", "|")
+    plain = F.regexp_replace(ended, r"[^a-z0-9|\n]+", " ")
+    return F.concat(F.lit("|"), F.regexp_replace(plain, r"\n[ \n]*\n", "|"), F.lit("|"))
 
 
-def sentence_hits(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, at, sentence_id) of every known sentence in every text."""
-    anchored = docs.filter(F.col("text").rlike("(?i)" + "|".join(ANCHORS)))
-    spread = anchored.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(_sentences(F.col("text"))).alias("at", "s"))
-    norm = spread.filter(F.col("s").rlike("(?i)" + "|".join(ANCHORS))).select("doc_id", "text_hash", "at", normalised(F.col("s")).alias("norm"))
-    return norm.join(F.broadcast(known_sentences(docs.sparkSession)), "norm").select("doc_id", "text_hash", "at", "sentence_id")
+def sentence_ids(text: Column) -> Column:
+    """Identifiers of the known sentences in a text, by position."""
+    pieces = known_pieces()
+    said = "|".join(p.replace(" ", r"(?: ?\n ?| )") for _, p in pieces)
+    found = F.regexp_extract_all(_marked(text), F.lit(rf"(?<=[|\n]) ?({said})(?= ?[|\n])"), F.lit(1))
+    known = F.create_map(*[F.lit(x) for piece, key in {p: k for k, p in reversed(pieces)}.items() for x in (piece, key)])
+    ids = F.transform(found, lambda m: F.element_at(known, F.regexp_replace(m, r" ?\n ?", " ")))
+    return F.when(text.rlike("(?i)" + "|".join(ANCHORS)), ids).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, sentences, rules, licence) of the documents with a known sentence."""
-    seq = sentence_hits(docs).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("at", "sentence_id"))).alias("hits"))
-    seq = seq.select("doc_id", "text_hash", F.transform("hits", lambda h: h["sentence_id"]).alias("sentences"))
+    """Add sentences, rules and licence to every row."""
+    seq = docs.withColumn("sentences", F.coalesce(sentence_ids(F.col("text")), F.array().cast("array<string>")))
     line = F.concat(F.lit(","), F.array_join("sentences", ","), F.lit(","))
     rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(x).alias("licence"), F.lit("," + ",".join(ids) + ",").alias("ids")) for r, x, ids in RULES])
     held = F.filter(rules, lambda r: F.contains(line, r["ids"]))
-    return seq.withColumn("held", held).select("doc_id", "text_hash", "sentences", F.transform("held", lambda r: r["rule"]).alias("rules"), F.get("held", F.lit(0))["licence"].alias("licence"))
+    return seq.withColumn("held", held).withColumns({"rules": F.transform("held", lambda r: r["rule"]), "licence": F.get("held", F.lit(0))["licence"]}).drop("held")
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known sentences, rules and licence of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = scan(docs).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
-    joined = base.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
-    return joined.select(
-        "doc_id", F.coalesce(F.size("sentences"), F.lit(0)).cast("long").alias("n_sentences"), F.coalesce(F.array_join("sentences", ","), F.lit("")).alias("sentence_ids"),
-        F.coalesce(F.array_join("rules", ","), F.lit("")).alias("rules"), F.coalesce("licence", F.lit("none")).alias("licence"),
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.size("sentences").cast("long").alias("n_sentences"), F.array_join("sentences", ",").alias("sentence_ids"),
+        F.array_join("rules", ",").alias("rules"), F.coalesce("licence", F.lit("none")).alias("licence"),
     )
 
 

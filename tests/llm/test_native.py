@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 
 import pytest
 
@@ -68,6 +69,32 @@ def test_licences(spark, save):
     assert {r["doc_id"]: r["rules"] for r in rows.collect()}[n + 1].split(",")[0] == "apache-header"
 
 
+def test_wrapped_licences(spark, save):
+    mit = """The MIT License (MIT)
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+    by = dict(licenses.SENTENCES)
+    wrap = lambda *keys, start="", end="\n": end.join(textwrap.fill(by[k], 40, initial_indent=start, subsequent_indent=start).replace("\n", end) for k in keys)
+    texts = [
+        mit, mit.replace("\n", "\r\n"), wrap("apache-head", "apache-copy", "apache-disclaim", start=" * "), wrap("gpl-free", "gpl-hope", "gpl-details", start="# "),
+        "Title\n" + wrap("bsd-redist", "bsd-endorse", end="\r\n"), by["apache-line"][:-1] + "\n" + by["apache-head"].split("2.0 ")[1], "All\n\nrights reserved.", "x\n" * 30000 + "All rights reserved",
+    ]
+    rows = {r["doc_id"]: r for r in licenses.op8_licenses(spark, save(documents=documents(spark, texts))).collect()}
+    assert [rows[i]["rules"].split(",")[0] for i in range(8)] == ["mit-full", "mit-full", "apache-header", "gpl3-header", "bsd-3", "apache-short", "", "proprietary"]
+    assert rows[0]["sentence_ids"] == "mit-name,mit-grant,mit-notice" and rows[5]["sentence_ids"] == "apache-head"
+
+
 def test_native_plans_have_no_python(spark):
     for query in (decontaminate.op2_decontaminate, licenses.op8_licenses):
         plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
