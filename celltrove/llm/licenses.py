@@ -70,8 +70,8 @@ RULES = (
 )
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Every known sentence holds one of these, each of its parts too.
-ANCHORS = ("licen", "permission", "warrant", "software", "redistribut", "copyright", "rights reserved")
+#: Every known sentence holds one of these, each of its parts too.  Inside words, so that spacing and punctuation don't matter.
+ANCHORS = ("licen", "permission", "warrant", "software", "redistribut", "copyright", "reserved")
 
 
 def _normalised(said: str) -> str:

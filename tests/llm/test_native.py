@@ -95,6 +95,13 @@ copies or substantial portions of the Software.
     assert rows[0]["sentence_ids"] == "mit-name,mit-grant,mit-notice" and rows[5]["sentence_ids"] == "apache-head"
 
 
+def test_odd_spacing_passes_the_anchor_filter(spark, save):
+    texts = [f"All{x}rights{x}reserved." for x in ("  ", "\t", "\u00a0", "-", ", ", "\n")]
+    rows = licenses.op8_licenses(spark, save(documents=documents(spark, texts))).collect()
+    assert [r["licence"] for r in rows] == ["Proprietary"] * len(texts)
+    assert not any(" " in a for a in licenses.ANCHORS)
+
+
 def test_native_plans_have_no_python(spark):
     for query in (decontaminate.op2_decontaminate, licenses.op8_licenses):
         plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
