@@ -83,6 +83,13 @@ def box_join(spark, d):
     return S.box_join(a, c, 64.0, "cell_id", "other_id")
 
 
+def box_join_all(spark, d):
+    from .space import boxes
+
+    b = boxes(spark, d)
+    return S.box_join(b, b.withColumnRenamed("cell_id", "other_id"), 64.0, "cell_id", "other_id")
+
+
 def lost_parents(spark, d):
     parents = table(spark, d, "orders", ["o_orderkey"]).filter("o_orderkey % 4 > 0").select(F.col("o_orderkey").alias("l_orderkey"))
     return R.missing_references(table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"]), parents, ["l_orderkey"])
@@ -127,7 +134,7 @@ def consensus_columns(spark, d):
     return R.lookup(roles.clusters(spark, d), "cluster", W.consensus(roles.clusters(spark, d), "cluster", "label_cells").withColumn("place", F.lit(0)), "cluster", "final", "place", "combined").select("cell_id", "combined")
 
 
-NAMES = "drop_null_keys slide_slice keep_genes valid_rings sample_rows resume_slides unique_across rows_removed distinct_nonzero cumulative_share components_95 unique_names box_join lost_parents compare_join_form scheme_categories atlas_categories scalar_functions vector_concat consensus_columns".split()
+NAMES = "drop_null_keys slide_slice keep_genes valid_rings sample_rows resume_slides unique_across rows_removed distinct_nonzero cumulative_share components_95 unique_names box_join box_join_all lost_parents compare_join_form scheme_categories atlas_categories scalar_functions vector_concat consensus_columns".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _BOX = "SELECT o_custkey % 7 AS slide_id, o_orderkey AS cell_id, o_orderkey * 37 % 2940 AS xmin, o_orderkey * 101 % 2940 AS ymin, o_orderkey * 37 % 2940 + 10 + o_custkey % 50 AS xmax, o_orderkey * 101 % 2940 + 10 + o_custkey % 50 AS ymax FROM orders"

@@ -29,3 +29,16 @@ def test_every_gene_is_ranked(spark, monkeypatch):
     top = {(r["cluster"], r["rank"]): r["gene"] for r in cells.top_of_every_gene(spark, "").collect()}
     assert top == {(k, i + 1): g for k in range(3) for i, g in enumerate(sorted((1, 31, 61, 62), key=lambda g: (-round(want[g, k], 6), g)))}
     assert {r["gene"] for r in cells.adjusted_p(spark, "").collect()} == {1, 31, 61, 62}
+
+
+def test_every_pair_of_boxes(spark, monkeypatch):
+    rng = random.Random(4)
+    boxes = [(i % 2, i, x := rng.randrange(300), y := rng.randrange(300), x + rng.randrange(10, 60), y + rng.randrange(10, 60)) for i in range(60)]
+    monkeypatch.setattr(space, "boxes", lambda *_: spark.createDataFrame(boxes, "slide_id int, cell_id long, xmin int, ymin int, xmax int, ymax int"))
+    want = [(a[0], a[1], b[1]) for a in boxes for b in boxes if a[0] == b[0] and a[2] <= b[4] and a[4] >= b[2] and a[3] <= b[5] and a[5] >= b[3]]
+    assert sorted(tuple(r) for r in more.box_join_all(spark, "").collect()) == sorted(want)
+
+
+def test_large_event_ids_stay(spark, save):
+    sf = save(events=spark.createDataFrame([(1, 1, "click", 1.0), (5_000_000_000, 1, "click", 2.0)], "event_id long, user_id long, event_type string, value double"))
+    assert [r["values"] for r in reports.metrics_to_lists(spark, sf).collect()] == ["1.00,2.00"]
