@@ -136,8 +136,13 @@ def knn(df: DataFrame, k: int, key: str, vec: str, block: int = 1024) -> DataFra
     return best.select(F.col("id").alias(key), "rank", "neighbour", "score")
 
 
-def label_propagation(edges: DataFrame, a: str, b: str, rounds: int = 5) -> DataFrame:
-    """(node, community): each node takes its neighbours' most frequent label, ties to the smaller; a stand-in for modularity clustering."""
+def label_propagation(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, community): each node takes its neighbours' most frequent label, ties to the smaller, until none changes; a stand-in for modularity clustering.
+
+    Of two neighbours that want to change in a round only the one of the greater hash may.
+    So the nodes that change together are not neighbours, and every change makes more edges
+    of one label, or as many and a smaller label: labels cannot oscillate, and the end is reached.
+    """
     spark = edges.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="celltrove-")
 
@@ -148,8 +153,16 @@ def label_propagation(edges: DataFrame, a: str, b: str, rounds: int = 5) -> Data
 
     both = written(reduce(DataFrame.unionByName, [edges.select(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in ((a, b), (b, a))]).filter("u <> v").distinct())
     labels = both.select(F.col("u").alias("node")).distinct().withColumn("community", F.col("node"))
-    for _ in range(rounds):
+    while True:
         seen = both.join(labels, both["v"] == labels["node"]).groupBy("u", "community").agg(F.count(F.lit(1)).alias("_n"))
         best = seen.groupBy("u").agg(F.min(F.struct((-F.col("_n")).alias("_n"), "community")).alias("_b"))
-        labels = written(best.select(F.col("u").alias("node"), F.col("_b.community").alias("community")))
-    return labels
+        own = labels.withColumnsRenamed({"node": "u", "community": "_own"})
+        new = best.join(own, "u").select("u", F.col("_b.community").alias("_new"), "_own", (F.col("_b.community") != F.col("_own")).alias("_wants"))
+        # The best label is the own one unless that is rarer, or as frequent and greater.
+        new = written(new)
+        want = new.filter("_wants").select("u", F.xxhash64("u").alias("_h"))
+        if not want.limit(1).count():
+            return labels
+        theirs = both.join(want.select(F.col("u").alias("v"), F.struct("_h", F.col("u").alias("_k")).alias("_other")), "v").groupBy("u").agg(F.max("_other").alias("_most"))
+        may = want.join(theirs, "u", "left").filter(F.col("_most").isNull() | (F.struct("_h", F.col("u").alias("_k")) > F.col("_most"))).select("u", F.lit(True).alias("_may"))
+        labels = written(new.join(may, "u", "left").select(F.col("u").alias("node"), F.when(F.col("_may"), F.col("_new")).otherwise(F.col("_own")).alias("community")))

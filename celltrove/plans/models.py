@@ -18,17 +18,25 @@ def pca_n95(spark, d):
 
 
 def kmeans_elbow(spark, d):
-    rows, _, k = ml.kmeans_elbow(_features(spark, d), 6)
+    rows, _, k = ml.kmeans_elbow(_features(spark, d), 10)
     return rows.select("vec_id", "cluster", F.lit(k).alias("k"))
 
 
-def knn_topk(spark, d):
+def _near(spark, d, k):
     e = table(spark, d, "embeddings", ["vec_id", "embedding"])
     whole = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000))
-    near = ml.knn(e.withColumn("embedding", whole), 1, "vec_id", "embedding")
+    near = ml.knn(e.withColumn("embedding", whole), k, "vec_id", "embedding")
     return near.select("vec_id", "rank", "neighbour", F.col("score").cast("bigint").alias("score"))
 
 
+def knn_topk(spark, d):
+    return _near(spark, d, 1)
+
+
+def knn_top10(spark, d):
+    return _near(spark, d, 10)
+
+
 def mfa_fusion(spark, d):
     e = table(spark, d, "embeddings", ["vec_id", "embedding"])
     a, b = (e.select("vec_id", F.slice("embedding", s, 32).alias("v")) for s in (1, 33))
@@ -38,11 +46,11 @@ def mfa_fusion(spark, d):
 
 
 def label_propagation(spark, d):
-    near = knn_topk(spark, d)
+    near = knn_top10(spark, d)
     return ml.label_propagation(near, "vec_id", "neighbour")
 
 
-NAMES = "pca_n95 kmeans_elbow knn_topk mfa_fusion label_propagation".split()
+NAMES = "pca_n95 kmeans_elbow knn_topk knn_top10 mfa_fusion label_propagation".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 SQL = {
     "knn_topk": "WITH q AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT)) AS v FROM embeddings), p AS (SELECT a.vec_id, b.vec_id AS neighbour, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda t: t[1] * t[2])) AS BIGINT) AS score FROM q a JOIN q b ON a.vec_id <> b.vec_id) SELECT vec_id, CAST(1 AS INTEGER) AS rank, neighbour, score FROM p QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbour) = 1",

@@ -42,3 +42,23 @@ def test_every_pair_of_boxes(spark, monkeypatch):
 def test_large_event_ids_stay(spark, save):
     sf = save(events=spark.createDataFrame([(1, 1, "click", 1.0), (5_000_000_000, 1, "click", 2.0)], "event_id long, user_id long, event_type string, value double"))
     assert [r["values"] for r in reports.metrics_to_lists(spark, sf).collect()] == ["1.00,2.00"]
+
+
+def test_survey_ranges(spark, monkeypatch):
+    assert {r["n"] for r in models.knn_top10(spark, SF).groupBy("vec_id").agg(F.count("*").alias("n")).collect()} == {10}
+    seen = []
+    monkeypatch.setattr(ml, "kmeans_elbow", lambda df, most=10: seen.append(most) or (df.withColumn("cluster", F.lit(0)), [], 1))
+    models.kmeans_elbow(spark, SF)
+    assert seen == [10] and "knn_top10" in registry.queries()
+
+
+def test_labels_settle(spark):
+    edges = [(i, i + 1) for i in range(20)] + [(100, 101), (100, 102), (101, 103), (102, 103)]
+    found = {r["node"]: r["community"] for r in ml.label_propagation(spark.createDataFrame(edges, "a int, b int"), "a", "b").collect()}
+    near = defaultdict(list)
+    for a, b in edges:
+        near[a].append(b)
+        near[b].append(a)
+    for node, others in near.items():
+        votes = Counter(found[o] for o in others)
+        assert found[node] == min(votes, key=lambda c: (-votes[c], c))
