@@ -42,7 +42,10 @@ _LOOSE_PHONE = re.compile(r"(?<![0-9.+-])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,14}(?![
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9-])")
 _DOT = re.compile(r"[ (\[](?:dot|DOT)[ )\]]")
 _SPOKEN = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[ (\[](?:at|AT)[ )\]] ?[A-Za-z0-9-]{1,64}(?: ?[ (\[](?:dot|DOT)[ )\]] ?[A-Za-z0-9-]{1,24}){1,4}")
-_VALUE = re.compile(r"[\x20\"']{0,3}([^\s\"'<>&]{6,120})")
+#: A value is judged by its first VALUE characters; an accepted one is a span to its end.
+VALUE = 120
+_VALUE = re.compile(rf"[\x20\"']{{0,3}}([^\s\"'<>&]{{6,{VALUE}}})")
+_REST = re.compile(r"[^\s\"'<>&]*+")
 _ACCESS = re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Z])")
 # Words before a candidate that speak for or against personal data.
 CUES = (
@@ -200,7 +203,19 @@ def added_spans(text: str, base: list[tuple[str, int, int]], trees: boosting.Tre
         if used.isdisjoint(range(c[1], c[2])):
             used.update(range(c[1], c[2]))
             chosen.append(c)
-    return sorted(chosen, key=lambda c: (KINDS.index(c[0]), c[1]))
+    return sorted(_whole(text, chosen), key=lambda c: (KINDS.index(c[0]), c[1]))
+
+
+def _whole(text: str, chosen: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+    """Long values carried to their end; spans of ours inside them are dropped, base ones stay."""
+    out, end = [], 0
+    for kind, a, b, q in sorted(chosen, key=lambda c: c[1]):
+        if b <= end:
+            continue
+        if kind == "secret" and b - a == VALUE:
+            b = end = _REST.match(text, b).end()
+        out.append((kind, a, b, q))
+    return out
 
 
 def _free(found: list[tuple[str, int, int]], taken: list[tuple[int, int]]) -> list[tuple[str, int, int]]:

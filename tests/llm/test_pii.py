@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -79,3 +80,14 @@ def test_scans_are_linear(unit):
     base = pii.base_spans(unit * 30000)
     pii.candidates(unit * 30000)
     assert time.time() - t < 5 and base is not None
+
+
+def test_long_values_are_redacted_whole(spark):
+    token = "eyJhbGciOiJIUzI1NiJ9." + "".join("aZ3kQ9_x"[i * 7 % 8] + str(i % 10) for i in range(200)) + ".tail"
+    texts = [f"password={token} after", f"key='{token}' after", f"password={'7602ad27cf5550de' * 9}/a@b.com end", "key=" * 30000]
+    got = {r["doc_id"]: r["text"] for r in pii.redact(documents(spark, texts[:3])).collect()}
+    assert got == {0: "password=[SECRET] after", 1: "key='[SECRET]' after", 2: "password=[SECRET] end"}
+    trees, limits = pii.train()
+    t = time.time()
+    pii.added_spans(texts[3], [], trees, limits)
+    assert time.time() - t < 20
