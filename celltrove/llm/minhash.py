@@ -97,7 +97,7 @@ def shingles(text: bytes, size: int = WORDS) -> set:
 
 
 def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = WORDS) -> DataFrame:
-    """(doc_id, n, set_key binary(16), keys array<long>): set size, set hash and band keys of each row."""
+    """(doc_id, n, set_key binary(16), keys array<long>): set size, set hash and band keys of each row, and further columns."""
     kind = pa.struct([("n", pa.int64()), ("set_key", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
     @F.arrow_udf("n long, set_key binary, keys array<long>")
@@ -118,7 +118,8 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = WO
                     out.append({"n": len(h), "set_key": xxhash.xxh3_128_digest(h.tobytes()), "keys": key.view(np.int64)})
                 yield pa.array(out, kind)
 
-    return docs.select("doc_id", run("text").alias("s")).select("doc_id", "s.*")
+    carried = [c for c in docs.columns if c != "text"]
+    return docs.select(*carried, run("text").alias("s")).select(*carried, "s.*")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
@@ -254,6 +255,14 @@ def _rest(standing: DataFrame, texts: DataFrame, roots: DataFrame, percent: int,
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text); all links of at least ``percent``."""
+    return rooted_duplicates(docs.select("doc_id", "text"), percent, size, bands, rows).drop("root")
+
+
+def rooted_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The rows of near_duplicates with the root of their component (null without shingles) and the further columns of ``docs``.
+
+    Components may share component_id, the least id in them, where an id has several texts; roots differ.
+    """
     ship(docs.sparkSession)
     sketches = written(sketch(docs, bands, rows, size), "sketches")
     nodes = sketches.filter("n > 0").groupBy(F.col("set_key").alias("node")).agg(F.min("doc_id").alias("min_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
@@ -279,10 +288,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS,
     if more.limit(1).count():
         roots = connected(links.unionByName(more))
     ids = nodes.join(roots, "node", "left").select("node", "min_id", F.coalesce("root", "node").alias("root"))
-    comp = written(ids.join(ids.groupBy("root").agg(F.min("min_id").alias("component_id")), "root").select(F.col("node").alias("set_key"), "component_id"), "components")
-    found = sketches.select("doc_id", "n", "set_key").join(comp, "set_key", "left")
+    comp = written(ids.join(ids.groupBy("root").agg(F.min("min_id").alias("component_id")), "root").select(F.col("node").alias("set_key"), "component_id", "root"), "components")
+    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
+    found = sketches.select("doc_id", "n", "set_key", *carried).join(comp, "set_key", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root", *carried)
 
 
 def _own_text(rows: DataFrame, size: int) -> DataFrame:

@@ -6,9 +6,10 @@ All stages but the last return the columns of documents.  ``run`` applies them t
 documents.  Every stage works on all that its predecessor kept:
 
 * toxicity: documents predicted toxic go; labels come from the labels table;
-* near_dedup: of each component of near duplicates (shingles of five words) the document of the least id stays
-  (once if its row repeats; the row of least text if one id has several texts; rows
-  without an id stay once for each text);
+* near_dedup: of each component of near duplicates (shingles of five words) one row stays, that of the least id
+  (of the least text hash, if that id has several texts in it; a missing id is greater
+  than all others); documents are told apart by id and text, and rows that repeat both
+  stay once;
 * decontaminate: documents holding a benchmark window go;
 * pii: found spans are replaced by their kind, n_chars follows the new text;
 * byte_bpe: token ids and the text decoded from them.
@@ -36,14 +37,15 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = minhash.near_duplicates(docs.select("doc_id", "text"))
-    keep = found.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rest = [c for c in COLUMNS if c != "doc_id"]
-    least = F.min(F.struct(*rest)).alias("_row")
-    # The semi-join has placed the rows by doc_id, so taking one row of an id needs no shuffle.
-    one = docs.join(keep, "doc_id", "left_semi").groupBy("doc_id").agg(least)
-    nameless = docs.filter("doc_id IS NULL").groupBy("doc_id", "text").agg(least).drop("text")
-    return one.unionByName(nameless).select("doc_id", "_row.*").select(*COLUMNS)
+    # Two hashes name a document by id and text, also where one of them is null.
+    keys = ["_document", "_text"]
+    docs = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("_document"), F.xxhash64("text").alias("_text"))
+    kept = minhash.rooted_duplicates(docs.select("doc_id", "text", *keys)).filter("kept")
+    linked = kept.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("_text", "_document")).alias("_k")).select("_k.*")
+    keep = linked.unionByName(kept.filter("root IS NULL").select(*keys)).distinct()
+    # The semi-join has placed the rows by key, so taking one row of a key needs no shuffle.
+    one = docs.join(keep, keys, "left_semi").groupBy(*keys).agg(F.min(F.struct(*COLUMNS)).alias("_row"))
+    return one.select("_row.*").select(*COLUMNS)
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,3 +61,20 @@ def test_empty_tables(spark, save):
     sf = tables(spark, save, [], [], [])
     assert corpus_pipeline.run(spark, sf).count() == 0
     assert decontaminate.WINDOW == 10
+
+
+def test_near_dedup_decides_by_id_and_text(spark, save):
+    prose = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    docs = [
+        (1, prose("a")), (2, prose("a") + " more"), (2, prose("b")),  # of id 2 only the copy goes, whichever sorts first
+        (3, prose("0")), (3, prose("z")), (3, prose("z")),  # two documents, one of them twice
+        (4, prose("c")), (4, prose("c") + " more"),  # one component of one id
+        (None, prose("a") + " else"), (None, prose("d")), (None, prose("d") + " more"), (None, prose("d")), (None, prose("e")),
+        (5, ""), (5, None), (5, None), (None, ""),
+    ]
+    sf = tables(spark, save, docs, [], [])
+    got = corpus_pipeline.stage_near_dedup(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf).collect()
+    short = sorted((str(r["doc_id"]), r["text"] and r["text"][:2]) for r in got if r["text"])
+    assert short == [("1", "a0"), ("2", "b0"), ("3", "00"), ("3", "z0"), ("4", "c0"), ("None", "d0"), ("None", "e0")]
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in got if not r["text"]) == [("5", ""), ("5", "None"), ("None", "")]
+    assert got[0].__fields__ == list(corpus_pipeline.COLUMNS)
