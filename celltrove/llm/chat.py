@@ -6,10 +6,12 @@ string inside a text or role gets one more backslash after its first character,
 formatted text never holds a control string that the template did not write, and
 removing one backslash restores the text.
 
-A batch of conversations becomes three segments for each turn.  Segment lengths,
+Conversations of about SLICE_BYTES become three segments for each turn.  Segment lengths,
 cumulative offsets and scatter indices are numpy arrays, and headers and contents are
-copied into one preallocated Arrow buffer that is the output column.  The loss mask is
-a list of code-point spans, one for each assistant text.
+copied into one preallocated Arrow buffer that is the output column.  Indices are made for
+TILE bytes at a time, also within one long text, so a worker holds a few times the text of
+one slice, or of one longer conversation.  The loss mask is a list of code-point spans, one
+for each assistant text.
 
 Turns are ordered by turn, then role, then text, so ties and repeated rows are kept in
 a fixed order.  Null text or role counts as empty; a null conv_id is one conversation.
@@ -28,27 +30,40 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import SLICE_BYTES, table
 
 HEADERS = {"system": ("[SYS]", "[/SYS]"), "user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>")}
 _CONTROL = r"(/?s>|/?(?:SYS|INST|ROLE)\]|END\])"
 ESCAPE, UNESCAPE = rf"([<\[])(\\*){_CONTROL}", re.compile(rf"([<\[])\\(\\*){_CONTROL}")
 _TURN = re.compile(r"\[SYS\](.*?)\[/SYS\]|\[INST\](.*?)\[/INST\]|<s>(.*?)</s>|\[ROLE\](.*?)\[/ROLE\](.*?)\[END\]", re.S)
-#: Turns assembled at a time by a worker.
-TURNS = 20_000
+#: Bytes whose scatter indices are held at a time.
+TILE = 1 << 18
 
 
 def unescape(text: str) -> str:
     return UNESCAPE.sub(r"\1\2\3", text)
 
 
-def parse(formatted: str) -> list[tuple[str, str]]:
+def parse(formatted: str) -> Iterator[tuple[str, str]]:
     """(role, text) of each turn of a formatted conversation."""
-    out = []
     for m in _TURN.finditer(formatted):
         kind = next(k for k, g in zip(("system", "user", "assistant", "other"), (1, 2, 3, 4), strict=True) if m[g] is not None)
-        out.append((kind, unescape(m[m.lastindex if kind != "other" else 5])) if kind != "other" else (unescape(m[4]), unescape(m[5])))
-    return out
+        yield (unescape(m[4]), unescape(m[5])) if kind == "other" else (kind, unescape(m[m.lastindex]))
+
+
+def _scatter(out: np.ndarray, source: np.ndarray, first: np.ndarray, length: np.ndarray, to: np.ndarray) -> None:
+    """Copy segments (``first``, ``length``) of ``source`` to the places ``to`` of ``out``, TILE bytes at a time.
+
+    Scatter and gather indices are made for a tile only, also within one segment.
+    """
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    for lo in range(0, total, TILE):
+        hi = min(lo + TILE, total)
+        a, b = np.searchsorted(ends, lo, side="right"), np.searchsorted(ends, hi, side="left") + 1
+        here = np.minimum(ends[a:b], hi) - np.maximum(ends[a:b] - length[a:b], lo)
+        at, base = np.arange(lo, hi), ends[a:b] - length[a:b]
+        out[at + np.repeat(to[a:b] - base, here)] = source[at + np.repeat(first[a:b] - base, here)]
 
 
 def _assemble(turns: pa.ListArray) -> pa.StructArray:
@@ -61,7 +76,7 @@ def _assemble(turns: pa.ListArray) -> pa.StructArray:
     kinds = list(HEADERS)
     kind = pc.fill_null(pc.index_in(role, value_set=pa.array(kinds, pa.large_string())), len(kinds)).to_numpy().astype(np.int64)
 
-    # The pool of sources: fixed headers and footers, headers of other roles, then the contents.
+    # Sources: fixed headers and footers with the headers of other roles, and the contents.
     other = np.flatnonzero(kind == len(kinds))
     named = pc.replace_substring_regex(role.take(pa.array(other)), ESCAPE, r"\1\\\2\3").to_pylist()
     heads = [h for h, _ in HEADERS.values()] + [f"[ROLE]{x}[/ROLE]" for x in dict.fromkeys(named)]
@@ -73,62 +88,87 @@ def _assemble(turns: pa.ListArray) -> pa.StructArray:
     fixed_at = np.concatenate([[0], np.cumsum([len(x) for x in fixed])]).astype(np.int64)
     data = safe.buffers()[2]
     offsets = np.frombuffer(safe.buffers()[1], np.int64)[safe.offset : safe.offset + n + 1] if n else np.zeros(1, np.int64)
-    pool = np.concatenate([np.frombuffer(b"".join(fixed), np.uint8), np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)])
 
-    start, length, points = (np.zeros((n, 3), np.int64) for _ in range(3))
+    length, points = (np.zeros((n, 3), np.int64) for _ in range(2))
     sizes, marks = np.diff(fixed_at), np.array([len(x) for x in heads + tails], np.int64)
-    for column, which in ((0, head), (2, len(heads) + tail)):
-        start[:, column], length[:, column], points[:, column] = fixed_at[:-1][which], sizes[which], marks[which]
-    start[:, 1], length[:, 1] = fixed_at[-1] + offsets[:-1], np.diff(offsets)
-    points[:, 1] = pc.utf8_length(safe).to_numpy()
-
-    ends = np.cumsum(length.ravel())
-    total = int(ends[-1]) if n else 0
-    scatter = np.arange(total) + np.repeat(start.ravel() - (ends - length.ravel()), length.ravel())
+    ends = (head, len(heads) + tail)
+    for column, which in zip((0, 2), ends, strict=True):
+        length[:, column], points[:, column] = sizes[which], marks[which]
+    length[:, 1], points[:, 1] = np.diff(offsets), pc.utf8_length(safe).to_numpy()
+
+    upto = np.cumsum(length.ravel()).reshape(n, 3)
+    to = upto - length
+    total = int(upto[-1, 2]) if n else 0
     buffer = pa.allocate_buffer(total)
-    np.take(pool, scatter, out=np.frombuffer(buffer, np.uint8)) if total else None
+    if total:
+        out, frame = np.frombuffer(buffer, np.uint8), np.frombuffer(b"".join(fixed), np.uint8)
+        for column, which in zip((0, 2), ends, strict=True):
+            _scatter(out, frame, fixed_at[:-1][which], length[:, column], to[:, column])
+        if data is not None and data.size:
+            _scatter(out, np.frombuffer(data, np.uint8), offsets[:-1], length[:, 1], to[:, 1])
     bounds = np.concatenate([[0], np.cumsum(counts)])
-    at = np.concatenate([[0], ends[2::3]])[bounds]
+    at = np.concatenate([[0], upto[:, 2]])[bounds]
     formatted = pa.Array.from_buffers(pa.large_string(), len(turns), [None, pa.py_buffer(at.astype(np.int64).tobytes()), buffer]).cast(pa.string())
 
-    upto = np.concatenate([[0], np.cumsum(points.ravel())])
-    first = np.repeat(upto[3 * bounds[:-1]], counts)
+    seen = np.concatenate([[0], np.cumsum(points.ravel())])
+    first = np.repeat(seen[3 * bounds[:-1]], counts)
     spans = np.flatnonzero(kind == kinds.index("assistant"))
-    lo, hi = upto[3 * spans + 1] - first[spans], upto[3 * spans + 2] - first[spans]
+    lo, hi = seen[3 * spans + 1] - first[spans], seen[3 * spans + 2] - first[spans]
     masks = pa.ListArray.from_arrays(pa.array(np.searchsorted(spans, bounds), pa.int32()), pa.StructArray.from_arrays([pa.array(lo), pa.array(hi)], ["start", "stop"]))
     return pa.StructArray.from_arrays([formatted, masks], ["formatted", "loss"])
 
 
+def _parts(column: pa.ListArray) -> Iterator[pa.ListArray]:
+    """Slices of whole conversations of about SLICE_BYTES of text (one conversation at least)."""
+    turns = column.flatten()
+    sizes = np.asarray(pc.fill_null(pc.binary_length(turns.field("text")), 0), np.int64) + 64
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    ends = upto[np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())]
+    start = 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SLICE_BYTES, side="right")))
+        yield column.slice(start, stop - start)
+        start = stop
+
+
 def format_chat(turns: DataFrame) -> DataFrame:
     """(conv_id, formatted, loss array<struct<start,stop>>) from rows (conv_id, turn, role, text)."""
 
     @F.arrow_udf("formatted string, loss array<struct<start: long, stop: long>>")
     def assemble(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())
-            start = 0
-            while start < len(column):
-                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + TURNS, side="right")))
-                yield _assemble(column.slice(start, stop - start))
-                start = stop
+            for part in _parts(column):
+                yield _assemble(part)
 
     grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     return grouped.select("conv_id", assemble("turns").alias("out")).select("conv_id", "out.formatted", "out.loss")
 
 
+def _digest(text: str, starts: list[int], stops: list[int]) -> dict:
+    """Digests of one conversation, turn by turn."""
+    n, said, loss_chars, loss = 0, hashlib.sha256(), 0, hashlib.sha256()
+    for role, words in parse(text):
+        n += 1
+        said.update(f"{role}\n{words}\n".encode())
+    for start, stop in zip(starts, stops, strict=True):
+        words = unescape(text[start:stop])
+        loss_chars += len(words)
+        loss.update(words.encode())
+    return {"n_turns": n, "turns_sha256": said.hexdigest(), "loss_chars": loss_chars, "loss_sha256": loss.hexdigest()}
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of turns and of the text under the loss mask, parsed from the formatted text alone."""
+    """Digests of turns and of the text under the loss mask, parsed from the formatted text alone, one conversation at a time."""
+    kind = pa.struct([("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string())])
 
     @F.arrow_udf("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string")
     def digests(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, masks in columns:
             out = []
-            for text, mask in zip(texts.to_pylist(), masks.to_pylist(), strict=True):
-                turns = parse(text)
-                loss = "".join(unescape(text[s["start"] : s["stop"]]) for s in mask)
-                said = "".join(f"{r}\n{t}\n" for r, t in turns)
-                out.append({"n_turns": len(turns), "turns_sha256": hashlib.sha256(said.encode()).hexdigest(), "loss_chars": len(loss), "loss_sha256": hashlib.sha256(loss.encode()).hexdigest()})
-            yield pa.array(out, pa.struct([("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string())]))
+            for text, mask in zip(texts, masks, strict=True):
+                spans = mask.values
+                out.append(_digest(text.as_py(), spans.field("start").to_pylist(), spans.field("stop").to_pylist()))
+            yield pa.array(out, kind)
 
     return formatted.withColumn("d", digests("formatted", "loss")).select("conv_id", "d.*", F.char_length("formatted").cast("long").alias("formatted_chars"))
 

@@ -1,7 +1,11 @@
 import hashlib
+import subprocess
+import sys
 
 from hypothesis import given, strategies as st
 
+from pyspark.sql import functions as F
+
 from celltrove.llm import chat
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -52,4 +56,45 @@ def test_escape_is_reversible(text):
 
     safe = re.sub(chat.ESCAPE, r"\1\\\2\3", text)
     assert chat.unescape(safe) == text
-    assert chat.parse(f"[INST]{safe}[/INST]<s>{safe}</s>") == [("user", text), ("assistant", text)]
+    assert list(chat.parse(f"[INST]{safe}[/INST]<s>{safe}</s>")) == [("user", text), ("assistant", text)]
+
+
+def test_one_conversation_of_25_mb(spark):
+    turns, size = 5_000, 5000
+    roles = ("user", "assistant")
+    rows = spark.range(turns).select(
+        F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, roles[0]).otherwise(roles[1]).alias("role"), F.repeat(F.concat(F.lit("</s>é"), F.format_string("%04d", F.col("id") % 10_000)), size // 10).alias("text")
+    )
+    got = chat.read_back(chat.format_chat(rows)).first()
+    said, loss, chars = hashlib.sha256(), hashlib.sha256(), 0
+    for i in range(turns):
+        text = f"</s>é{i % 10_000:04d}" * (size // 10)
+        said.update(f"{roles[i % 2]}\n{text}\n".encode())
+        if i % 2:
+            loss.update(text.encode())
+            chars += len(text)
+    assert tuple(got)[:5] == (1, turns, said.hexdigest(), chars, loss.hexdigest())
+
+
+def test_memory_of_assembly():
+    """Peak above the input, for one conversation of 100 MB, stays within a few times its text."""
+    code = """
+import resource, sys
+import pyarrow as pa
+from celltrove.llm import chat
+turn = pa.struct([("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+text = "x" * 5000
+column = pa.array([[{"turn": i, "role": "user", "text": text} for i in range(20000)]], pa.list_(turn))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+chat._assemble(column)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+    added = float(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert added < 5 * 100
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    rows = [(1, 0, "user", "a", 9, "f"), (1, 0, "user", "a", 9, "f"), (1, 1, "assistant", None, 9, "f")]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, loss int, formatted string")
+    got = chat.format_chat(docs).first()
+    assert got["formatted"] == "[INST]a[/INST][INST]a[/INST]<s></s>" and [tuple(x) for x in got["loss"]] == [(31, 31)]
