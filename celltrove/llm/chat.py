@@ -6,7 +6,7 @@ string inside a text or role gets one more backslash after its first character,
 formatted text never holds a control string that the template did not write, and
 removing one backslash restores the text.
 
-Conversations of about SLICE_BYTES become three segments for each turn.  Segment lengths,
+Rows are sorted by conversation; about SLICE_BYTES of them become three segments for each turn.  Segment lengths,
 cumulative offsets and scatter indices are numpy arrays, and headers and contents are
 copied into one preallocated Arrow buffer that is the output column.  Indices are made for
 TILE bytes at a time, also within one long text, so a worker holds a few times the text of
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, table
+from .common import SLICE_BYTES, ship, table
 
 HEADERS = {"system": ("[SYS]", "[/SYS]"), "user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>")}
 _CONTROL = r"(/?s>|/?(?:SYS|INST|ROLE)\]|END\])"
@@ -66,12 +66,10 @@ def _scatter(out: np.ndarray, source: np.ndarray, first: np.ndarray, length: np.
         out[at + np.repeat(to[a:b] - base, here)] = source[at + np.repeat(first[a:b] - base, here)]
 
 
-def _assemble(turns: pa.ListArray) -> pa.StructArray:
-    """Formatted text and loss spans of each list of (turn, role, text)."""
-    counts = pc.fill_null(pc.list_value_length(turns), 0).to_numpy().astype(np.int64)
-    flat = turns.flatten()
-    n = len(flat)
-    text, role = (pc.fill_null(flat.field(k).cast(pa.large_string()), "") for k in ("text", "role"))
+def _assemble(rows: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
+    """conv_id, formatted text and loss spans of the conversations that ``bounds`` cuts the rows (conv_id, role, text) into."""
+    n, counts = rows.num_rows, np.diff(bounds)
+    text, role = (pc.fill_null(rows[k].combine_chunks().cast(pa.large_string()), "") for k in ("text", "role"))
     safe = pc.replace_substring_regex(text, ESCAPE, r"\1\\\2\3")
     kinds = list(HEADERS)
     kind = pc.fill_null(pc.index_in(role, value_set=pa.array(kinds, pa.large_string())), len(kinds)).to_numpy().astype(np.int64)
@@ -106,42 +104,58 @@ def _assemble(turns: pa.ListArray) -> pa.StructArray:
             _scatter(out, frame, fixed_at[:-1][which], length[:, column], to[:, column])
         if data is not None and data.size:
             _scatter(out, np.frombuffer(data, np.uint8), offsets[:-1], length[:, 1], to[:, 1])
-    bounds = np.concatenate([[0], np.cumsum(counts)])
     at = np.concatenate([[0], upto[:, 2]])[bounds]
-    formatted = pa.Array.from_buffers(pa.large_string(), len(turns), [None, pa.py_buffer(at.astype(np.int64).tobytes()), buffer]).cast(pa.string())
+    formatted = pa.Array.from_buffers(pa.large_string(), len(counts), [None, pa.py_buffer(at.astype(np.int64).tobytes()), buffer]).cast(pa.string())
 
     seen = np.concatenate([[0], np.cumsum(points.ravel())])
     first = np.repeat(seen[3 * bounds[:-1]], counts)
     spans = np.flatnonzero(kind == kinds.index("assistant"))
     lo, hi = seen[3 * spans + 1] - first[spans], seen[3 * spans + 2] - first[spans]
     masks = pa.ListArray.from_arrays(pa.array(np.searchsorted(spans, bounds), pa.int32()), pa.StructArray.from_arrays([pa.array(lo), pa.array(hi)], ["start", "stop"]))
-    return pa.StructArray.from_arrays([formatted, masks], ["formatted", "loss"])
-
-
-def _parts(column: pa.ListArray) -> Iterator[pa.ListArray]:
-    """Slices of whole conversations of about SLICE_BYTES of text (one conversation at least)."""
-    turns = column.flatten()
-    sizes = np.asarray(pc.fill_null(pc.binary_length(turns.field("text")), 0), np.int64) + 64
-    upto = np.concatenate([[0], np.cumsum(sizes)])
-    ends = upto[np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())]
-    start = 0
-    while start < len(column):
-        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SLICE_BYTES, side="right")))
-        yield column.slice(start, stop - start)
-        start = stop
+    return pa.RecordBatch.from_arrays([rows["conv_id"].combine_chunks().take(pa.array(bounds[:-1])), formatted, masks], ["conv_id", "formatted", "loss"])
+
+
+def _starts(ids: pa.ChunkedArray) -> np.ndarray:
+    """Rows whose id is not that of the row before; null is an id like any other."""
+    if len(ids) < 2:
+        return np.arange(len(ids))
+    none = pc.is_null(ids).to_numpy()
+    other = pc.fill_null(pc.not_equal(ids.slice(1), ids.slice(0, len(ids) - 1)), False).to_numpy()
+    return np.flatnonzero(np.concatenate([[True], other | (none[1:] != none[:-1])]))
+
+
+def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Conversations of rows sorted by conv_id and turn, assembled when about SLICE_BYTES of whole ones are held."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.nbytes
+        if size < SLICE_BYTES or batch["conv_id"][-1] == held[0]["conv_id"][0]:
+            continue
+        rows = pa.Table.from_batches(held)
+        starts = _starts(rows["conv_id"])
+        if len(starts) > 1:
+            yield _assemble(rows.slice(0, int(starts[-1])), starts)
+            held = rows.slice(int(starts[-1])).to_batches()
+            size = sum(x.nbytes for x in held)
+    if held:
+        rows = pa.Table.from_batches(held)
+        del held
+        yield _assemble(rows, np.append(_starts(rows["conv_id"]), rows.num_rows))
 
 
 def format_chat(turns: DataFrame) -> DataFrame:
-    """(conv_id, formatted, loss array<struct<start,stop>>) from rows (conv_id, turn, role, text)."""
+    """(conv_id, formatted, loss array<struct<start,stop>>) from rows (conv_id, turn, role, text).
 
-    @F.arrow_udf("formatted string, loss array<struct<start: long, stop: long>>")
-    def assemble(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            for part in _parts(column):
-                yield _assemble(part)
-
-    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    return grouped.select("conv_id", assemble("turns").alias("out")).select("conv_id", "out.formatted", "out.loss")
+    The rows of a conversation meet by a shuffle and a sort of plain rows; only its formatted text is one value.
+    """
+    ship(turns.sparkSession)
+    kind = turns.schema["conv_id"].dataType.simpleString()
+    rows = turns.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return rows.drop("turn").mapInArrow(_format, f"conv_id {kind}, formatted string, loss array<struct<start: long, stop: long>>")
 
 
 def _digest(text: str, starts: list[int], stops: list[int]) -> dict:

@@ -82,11 +82,11 @@ def test_memory_of_assembly():
 import resource, sys
 import pyarrow as pa
 from celltrove.llm import chat
-turn = pa.struct([("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
+import numpy as np
 text = "x" * 5000
-column = pa.array([[{"turn": i, "role": "user", "text": text} for i in range(20000)]], pa.list_(turn))
+rows = pa.table({"conv_id": [1] * 20000, "role": ["user"] * 20000, "text": [text] * 20000})
 before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
-chat._assemble(column)
+chat._assemble(rows, np.array([0, 20000]))
 print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
 """
     added = float(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
