@@ -10,8 +10,10 @@ sum of -ln E over its significant passages, and a logistic curve fitted on the t
 documents turns it into a probability.
 
 Fitting uses at most MAX_TRAIN labelled documents, those of smallest id hash; that is a
-bound on labelled rows only.  The lexicon holds at most MAX_WORDS words and is what goes
-to the workers.  Scoring is row-local and reads whole texts.  Null and empty texts have
+bound on labelled rows only.  The lexicon holds every word of them that is not neutral and
+is what goes to the workers.  The driver receives the lexicon, a few numbers and one pair of
+numbers for each training document, never texts or passages.  Scoring is row-local and reads
+whole texts of any length, by one pass of their words.  Null and empty texts have
 no passages and get the curve's base value.  A document with several label rows counts
 as toxic if any says so; of several texts of an id the least is learned from.  Without
 labels of both kinds the lexicon is empty and the score is the share of toxic labels (0 without any).
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import cuts, table, text_bytes, written
 from .decontaminate import words
 
-MAX_TRAIN, MAX_WORDS = 20_000, 20_000
+MAX_TRAIN = 20_000
 #: Prior pseudo-count of a word in each class, standard errors, cost of every word.
 PRIOR, Z, DRIFT = 0.5, 3.0, 0.05
 #: A-Z to lower case and what is not part of a word to space.
@@ -71,7 +73,7 @@ def maximal_segments(marks: list[tuple[int, float]], drift: float = DRIFT) -> li
                 break
             first, before = found[j][0], found[j][2]
             del found[j:]
-    return [(a, b, r - l) for a, b, l, r, _ in found]
+    return [(a, b, round(r - l, 9)) for a, b, l, r, _ in found]  # equal segments have equal scores at any place
 
 
 def _passages(text: bytes, lexicon: dict[bytes, float], positive: frozenset[bytes]) -> tuple[int, list[tuple[int, int, float]]]:
@@ -95,22 +97,24 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     if n_t and n_c:
         odds = lambda y, n: F.log((F.col(y) + PRIOR) / (F.lit(n + PRIOR) - F.col(y)))
         scored = per_word.withColumn("d", odds("t", n_t) - odds("c", n_c)).withColumn("z", F.col("d") / F.sqrt(1 / (F.col("t") + PRIOR) + 1 / (F.col("c") + PRIOR)))
-        best = scored.filter(F.abs("z") >= Z).orderBy(F.desc(F.abs("z")), "word").limit(MAX_WORDS).collect()
+        best = scored.filter(F.abs("z") >= Z).orderBy("word").collect()
         model.lexicon = {r["word"].encode(): r["d"] for r in best}
         weights = np.array([(r["c"] + PRIOR) / n_c for r in best])
         model.scale = _lambda(np.array([r["d"] for r in best]) - DRIFT, weights)
     raw = _features(train, model)
-    y = np.array([r["y"] for r in raw], float)
-    if not len(y):
-        return model
     if model.lexicon:
-        clean = [r for r in raw if not r["y"]]
-        tops = sorted((s for r in clean for s in r["scores"]), reverse=True)
         # Clean documents are the null model: the level that 1 in 100 of them exceeds fixes K.
-        level = tops[min(len(tops) - 1, len(clean) // 100)] if tops else 0.0
-        above = max(1, sum(s >= level for s in tops))
-        model.log_k = math.log(above) + model.scale * level - math.log(max(1, sum(r["n"] for r in clean)))
-    x = np.array([_evidence(r["n"], r["scores"], model) for r in raw])
+        clean = raw.filter("y = 0")
+        size = clean.agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("words")).first()
+        scores = clean.select(F.explode("scores").alias("s"))
+        tops = scores.orderBy(F.desc("s")).limit((size["docs"] or 0) // 100 + 1).agg(F.min("s")).first()[0]
+        level = tops or 0.0
+        above = max(1, scores.filter(F.col("s") >= level).count())
+        model.log_k = math.log(above) + model.scale * level - math.log(max(1, size["words"] or 0))
+    pairs = raw.select("y", _evidence_of(F.col("n"), F.col("scores"), model).alias("x")).orderBy("y", "x").toArrow()  # at most max_train rows
+    if not len(pairs):
+        return model
+    x, y = pairs["x"].to_numpy(), pairs["y"].to_numpy().astype(float)
     model.weight, model.bias = _logistic(np.log1p(x), y)
     return model
 
@@ -155,19 +159,24 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(0.0, w[0])), float(w[1])
 
 
-def _features(train: DataFrame, model: Model) -> list:
-    """(y, n, scores) of each training document, in id order; at most max_train labelled ids."""
+def _evidence_of(n: Column, scores: Column, model: Model) -> Column:
+    log_e = F.lit(model.log_k) + F.log(F.greatest(n, F.lit(1)))
+    return F.aggregate(scores, F.lit(0.0), lambda a, s: a + F.greatest(F.lit(0.0), F.lit(model.scale) * s - log_e))
+
+
+def _features(train: DataFrame, model: Model) -> DataFrame:
+    """(y, n, scores) of each training document: its words and the scores of its segments."""
     lexicon = model.lexicon
 
     @F.arrow_udf("n long, scores array<double>")
     def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         positive = frozenset(w for w, s in lexicon.items() if s > 0)
         for column in columns:
-            rows = [_passages(t, lexicon, positive) for t in text_bytes(column)]
-            yield pa.array([{"n": n, "scores": [s for *_, s in p]} for n, p in rows], pa.struct([("n", pa.int64()), ("scores", pa.list_(pa.float64()))]))
+            for start, count in cuts(column):
+                rows = [_passages(t, lexicon, positive) for t in text_bytes(column.slice(start, count))]
+                yield pa.array([{"n": n, "scores": [s for *_, s in p]} for n, p in rows], pa.struct([("n", pa.int64()), ("scores", pa.list_(pa.float64()))]))
 
-    rows = train.withColumn("f", scan("text")).select("doc_id", "y", "f.n", "f.scores").collect()
-    return sorted(rows, key=lambda r: (r["doc_id"], r["n"], r["scores"]))
+    return written(train.withColumn("f", scan("text")).select("y", "f.n", "f.scores"), "toxicity-segments")
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
