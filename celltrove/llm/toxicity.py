@@ -103,12 +103,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
         model.scale = _lambda(np.array([r["d"] for r in best]) - DRIFT, weights)
     raw = _features(train, model)
     if model.lexicon:
-        # Clean documents are the null model: the level that 1 in 100 of them exceeds fixes K.
+        # Clean documents are the null model: the level that 1 in 100 of them exceeds fixes K (0 if fewer have any segment).
         clean = raw.filter("y = 0")
         size = clean.agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("words")).first()
         scores = clean.select(F.explode("scores").alias("s"))
-        tops = scores.orderBy(F.desc("s")).limit((size["docs"] or 0) // 100 + 1).agg(F.min("s")).first()[0]
-        level = tops or 0.0
+        place = (size["docs"] or 0) // 100 + 1
+        tops = scores.orderBy(F.desc("s")).limit(place).agg(F.min("s").alias("s"), F.count(F.lit(1)).alias("n")).first()
+        level = tops["s"] if tops["n"] == place else 0.0
         above = max(1, scores.filter(F.col("s") >= level).count())
         model.log_k = math.log(above) + model.scale * level - math.log(max(1, size["words"] or 0))
     pairs = raw.select("y", _evidence_of(F.col("n"), F.col("scores"), model).alias("x")).orderBy("y", "x").toArrow()  # at most max_train rows

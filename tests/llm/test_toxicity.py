@@ -62,7 +62,7 @@ def brute_model(texts, labels):
     segments = lambda words: [s for *_, s in brute_segments(scores(words))] if any(odds.get(w, 0) > 0 for w in words) else []
     clean = [(len(w), segments(w)) for w, y in train if not y]
     tops = sorted((s for _, p in clean for s in p), reverse=True)
-    level = tops[min(len(tops) - 1, len(clean) // 100)] if tops else 0.0
+    level = tops[len(clean) // 100] if len(tops) > len(clean) // 100 else 0.0
     log_k = math.log(max(1, sum(s >= level - 1e-9 for s in tops))) + low * level - math.log(sum(n for n, _ in clean))
     evidence = lambda words: math.log1p(sum(max(0.0, low * s - log_k - math.log(max(1, len(words)))) for s in segments(words)))
     x, y = np.array([evidence(w) for w, _ in train]), np.array([float(z) for _, z in train])
