@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -17,6 +15,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import drop, written
+
 SEED = 42
 
 
@@ -143,15 +143,7 @@ def label_propagation(edges: DataFrame, a: str, b: str) -> DataFrame:
     So the nodes that change together are not neighbours, and every change makes more edges
     of one label, or as many and a smaller label: labels cannot oscillate, and the end is reached.
     """
-    spark = edges.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="celltrove-")
-
-    def written(df: DataFrame) -> DataFrame:
-        path = f"{base.rstrip('/')}/celltrove-labels-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
-    both = written(reduce(DataFrame.unionByName, [edges.select(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in ((a, b), (b, a))]).filter("u <> v").distinct())
+    both = written(reduce(DataFrame.unionByName, [edges.select(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in ((a, b), (b, a))]).filter("u <> v").distinct(), "edges")
     labels = both.select(F.col("u").alias("node")).distinct().withColumn("community", F.col("node"))
     while True:
         seen = both.join(labels, both["v"] == labels["node"]).groupBy("u", "community").agg(F.count(F.lit(1)).alias("_n"))
@@ -159,10 +151,12 @@ def label_propagation(edges: DataFrame, a: str, b: str) -> DataFrame:
         own = labels.withColumnsRenamed({"node": "u", "community": "_own"})
         new = best.join(own, "u").select("u", F.col("_b.community").alias("_new"), "_own", (F.col("_b.community") != F.col("_own")).alias("_wants"))
         # The best label is the own one unless that is rarer, or as frequent and greater.
-        new = written(new)
+        new = written(new, "wishes")
         want = new.filter("_wants").select("u", F.xxhash64("u").alias("_h"))
         if not want.limit(1).count():
+            drop(both, new)
             return labels
         theirs = both.join(want.select(F.col("u").alias("v"), F.struct("_h", F.col("u").alias("_k")).alias("_other")), "v").groupBy("u").agg(F.max("_other").alias("_most"))
         may = want.join(theirs, "u", "left").filter(F.col("_most").isNull() | (F.struct("_h", F.col("u").alias("_k")) > F.col("_most"))).select("u", F.lit(True).alias("_may"))
-        labels = written(new.join(may, "u", "left").select(F.col("u").alias("node"), F.when(F.col("_may"), F.col("_new")).otherwise(F.col("_own")).alias("community")))
+        last, labels = labels, written(new.join(may, "u", "left").select(F.col("u").alias("node"), F.when(F.col("_may"), F.col("_new")).otherwise(F.col("_own")).alias("community")), "labels")
+        drop(new, last)

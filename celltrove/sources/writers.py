@@ -29,12 +29,24 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def replace(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Write to a fresh path, then swap: ``df`` may read what it replaces."""
+    """Write to a fresh path, then swap: ``df`` may read what it replaces.
+
+    The old element is moved aside and only deleted when the new one is in place, so a
+    failure at any point leaves one of them whole; if the second move fails, the first is undone.
+    """
     spark, fresh = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     parquet(df, fresh, by)
     fs, where, at = _file_system(spark, path)
-    fs.delete(where, True)
-    fs.rename(at(fresh), where)
+    old = at(f"{fresh}-old")
+    had = fs.exists(where)
+    if had and not fs.rename(where, old):
+        raise OSError(f"cannot move {path} aside; the new rows are in {fresh}")
+    if not fs.rename(at(fresh), where):
+        if had:
+            fs.rename(old, where)
+        raise OSError(f"cannot move {fresh} to {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
