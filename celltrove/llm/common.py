@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -14,6 +12,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scratch import drop, scratch_dir, written
+
+__all__ = ["cuts", "drop", "scratch_dir", "ship", "slices", "table", "text_bytes", "written"]
+
 #: Rows of an Arrow batch; a smaller setting of the session stays.
 BATCH_ROWS, _BATCH_ROWS = 500, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Python workers cut Arrow batches to about this many text bytes at a time.
@@ -44,29 +46,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where none is named."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="celltrove-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/celltrove-{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Let the driver drop what it no longer refers to, so that Spark removes the shuffle files of finished steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def slices(batches: Iterable[pa.RecordBatch], sized: int = 0, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy cuts of each batch whose column ``sized`` holds about ``most`` bytes (one row at least)."""
     for batch in batches:

@@ -1,13 +1,19 @@
 """Deep-shallow sorting of byte suffixes.
 
-Suffixes of many groups are sorted at once, each up to ``depth`` bytes, to find those
-that agree in all of them.  Shallow phase: multikey sorting with eight-byte characters;
-a group is partitioned by the character at its depth, and its parts go one character
-deeper.  Deep phase, for the groups that still hold together: blind tries.  A group's
-first suffix is the spine; every other suffix is hung where it first leaves the spine,
-and suffixes that leave it at the same place by the same character form a subtree, which
-is a group of the next round.  Only branching characters are looked at again.  Both
-phases advance all groups level by level in numpy.
+Suffixes of many groups are sorted at once, each by its first ``depth`` bytes.  They are
+dealt into buckets by group and first two bytes; then
+
+* shallow: multikey quicksort with characters of eight bytes.  Each run of suffixes is
+  partitioned around a pivot character (the median of three) into less, equal and greater;
+  the equal part goes one character deeper, until SHALLOW characters are equal;
+* deep: the runs that still hold together are ordered by blind tries.  A node knows only
+  the bit at which its two subtrees differ.  A suffix descends by those bits alone, is
+  compared once with the suffix of the leaf it reaches, which gives the first bit they
+  differ in, and is hung in above the first node of a later bit.  Equal suffixes share a
+  leaf.  Reading the leaves in order sorts the run.
+
+All runs advance together in numpy: a step of the quicksort partitions every run, a round
+of the deep phase inserts one suffix into every trie.
 """
 
 from __future__ import annotations
@@ -16,6 +22,7 @@ import numpy as np
 
 #: Eight-byte characters of the shallow phase.
 SHALLOW = 3
+_BITS = np.uint64(63)
 
 
 def characters(data: np.ndarray) -> np.ndarray:
@@ -26,69 +33,162 @@ def characters(data: np.ndarray) -> np.ndarray:
     return x[: len(data)]
 
 
-def _regroup(group: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, new group numbers in that order) after partitioning each group by ``key``."""
-    order = np.argsort(key, kind="stable")
-    order = order[np.argsort(group[order], kind="stable")]
-    g, k = group[order], key[order]
-    return order, np.cumsum(np.concatenate([[0], (g[1:] != g[:-1]) | (k[1:] != k[:-1])]))[: len(order)]
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... of ``size[0]`` numbers, then those of the next."""
+    return np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
-def _several(group: np.ndarray) -> np.ndarray:
-    """Which members of sorted ``group`` are not alone in theirs."""
-    same = group[1:] == group[:-1]
-    return (np.concatenate([[False], same]) | np.concatenate([same, [False]]))[: len(group)]
+def _median(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))
 
 
-def repeated(chars: np.ndarray, at: np.ndarray, group: np.ndarray, depth: int) -> np.ndarray:
-    """Which suffixes ``at`` agree with another one of their ``group`` in ``depth`` bytes.
+def _quicksort(chars: np.ndarray, at: np.ndarray, order: np.ndarray, start: np.ndarray, size: np.ndarray, steps: list[int], tail: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Sort the runs (start, size) of ``order`` in place by the characters at ``steps``; the runs that are equal in all of them."""
+    offset = np.array(steps, np.int64)
+    level = np.zeros(len(start), np.int64)
+    equal: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(start):
+        place, run = _ranges(start, size), np.repeat(np.arange(len(start)), size)
+        first = np.cumsum(size) - size
+        members = order[place]
+        char = chars[at[members] + offset[level][run]] & tail
+        pivot = _median(char[first], char[first + size // 2], char[first + size - 1])[run]
+        side = (char > pivot).astype(np.int64) + (char >= pivot)  # 0 less, 1 equal, 2 greater
+        at_run = np.zeros(len(side), np.int64)
+        counts, before = [], np.zeros(len(start), np.int64)
+        for k in (0, 1, 2):
+            mine = side == k
+            seen = np.cumsum(mine)
+            base = seen[first] - mine[first]
+            np.copyto(at_run, seen - 1 - base[run] + before[run], where=mine)
+            counts.append(seen[first + size - 1] - base)
+            before = before + counts[-1]
+        order[place[first][run] + at_run] = members
+        # Less and greater stay at this character, equal ones go on to the next.
+        starts = np.concatenate([start, start + counts[0], start + counts[0] + counts[1]])
+        sizes, levels = np.concatenate(counts), np.concatenate([level, level + 1, level])
+        done = (levels == len(steps)) & (sizes > 1)
+        equal.append((starts[done], sizes[done]))
+        go = (levels < len(steps)) & (sizes > 1)
+        start, size, level = starts[go], sizes[go], levels[go]
+    return (np.concatenate([e[0] for e in equal]), np.concatenate([e[1] for e in equal])) if equal else (start, size)
+
+
+def _first_difference(chars: np.ndarray, a: np.ndarray, b: np.ndarray, steps: list[int]) -> np.ndarray:
+    """Number of the first bit in which the suffixes at ``a`` and ``b`` differ, over the characters at ``steps``; 64 * len(steps) if none."""
+    out = np.full(len(a), 64 * len(steps))
+    left = np.arange(len(a))
+    for k, offset in enumerate(steps):
+        x = chars[a[left] + offset] ^ chars[b[left] + offset]
+        off = x != 0
+        if off.any():
+            y, high = x[off], np.zeros(int(off.sum()), np.int64)
+            for shift in (32, 16, 8, 4, 2, 1):  # place of the highest bit
+                big = y >= np.uint64(1 << shift)
+                y = np.where(big, y >> np.uint64(shift), y)
+                high += shift * big
+            out[left[off]] = 64 * k + 63 - high
+            left = left[~off]
+            if not len(left):
+                break
+    return out
+
+
+def _bit(chars: np.ndarray, at: np.ndarray, offset: np.ndarray, number: np.ndarray) -> np.ndarray:
+    return ((chars[at + offset[number >> 6]] >> (_BITS - (number & 63).astype(np.uint64))) & np.uint64(1)).astype(np.int64)
 
-    ``group`` is sorted and ``chars`` comes from ``characters``; every suffix has ``depth`` bytes.
+
+def _blind_tries(chars: np.ndarray, at: np.ndarray, order: np.ndarray, start: np.ndarray, size: np.ndarray, steps: list[int]) -> np.ndarray:
+    """Sort the runs (start, size) of ``order`` in place; whether each place of the runs, in order, is equal to the one before."""
+    total, last = int(size.sum()), 64 * len(steps)
+    base = np.cumsum(size) - size
+    members = order[_ranges(start, size)]
+    offset = np.array([*steps, 0], np.int64)
+    # Node i < total is the leaf that member i opens; the node that hangs it in is total + i.
+    bit = np.full(2 * total, last)
+    child, count = np.full((2 * total, 2), -1), np.zeros(2 * total, np.int64)
+    leaf, rank = np.arange(total), np.zeros(total, np.int64)
+    root = base.copy()
+    count[root] = 1
+    for turn in range(1, int(size.max(initial=0))):
+        some = np.flatnonzero(size > turn)
+        me = base[some] + turn
+        own = at[members[me]]
+        # Blind descent to a leaf, and the one comparison.
+        node = root[some]
+        inner = np.flatnonzero(bit[node] < last)
+        while len(inner):
+            node[inner] = child[node[inner], _bit(chars, own[inner], offset, bit[node[inner]])]
+            inner = inner[bit[node[inner]] < last]
+        differ = _first_difference(chars, own, at[members[node]], steps)
+        # The edge that the difference lies on; everything above it gains one suffix.
+        above, side = np.full(len(some), -1), np.zeros(len(some), np.int64)
+        node = root[some]
+        inner = np.flatnonzero(bit[node] < differ)
+        while len(inner):
+            here = node[inner]
+            count[here] += 1
+            above[inner], side[inner] = here, _bit(chars, own[inner], offset, bit[here])
+            node[inner] = child[here, side[inner]]
+            inner = inner[bit[node[inner]] < differ[inner]]
+        same = differ == last
+        leaf[me[same]], rank[me[same]] = node[same], count[node[same]]
+        count[node[same]] += 1
+        new = np.flatnonzero(~same)
+        fork, mine = total + me[new], me[new]
+        way = _bit(chars, own[new], offset, differ[new])
+        bit[fork], count[mine], count[fork] = differ[new], 1, count[node[new]] + 1
+        child[fork, way], child[fork, 1 - way] = mine, node[new]
+        top = above[new] < 0
+        root[some[new[top]]] = fork[top]
+        child[above[new[~top]], side[new[~top]]] = fork[~top]
+    # Leaves in order: a left subtree keeps its node's place, a right one comes after it.
+    place = np.zeros(2 * total, np.int64)
+    place[root], node = base, root
+    while len(node := node[bit[node] < last]):
+        left, right = child[node, 0], child[node, 1]
+        place[left], place[right] = place[node], place[node] + count[left]
+        node = np.concatenate([left, right])
+    to = place[leaf] + rank
+    order[_ranges(start, size)[to]] = members
+    equal = np.zeros(total, bool)
+    equal[to] = rank > 0
+    return equal
+
+
+def sort(chars: np.ndarray, at: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, equal): the suffixes ``at`` sorted by group and by their first ``depth`` bytes, and whether each agrees with the one before in group and all of them.
+
+    ``group`` holds sorted numbers from 0 and ``chars`` comes from ``characters``; every suffix has ``depth`` bytes.
     """
-    out = np.zeros(len(at), bool)
-    if not len(at):
-        return out
+    n = len(at)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, bool)
     # Characters start at these offsets; the last may overlap so that none reads beyond the depth.
-    steps = [*range(0, depth - 7, 8)]
-    tail = np.uint64(0xFFFFFFFFFFFFFFFF)
+    steps, tail = [*range(0, depth - 7, 8)], np.uint64(0xFFFFFFFFFFFFFFFF)
     if depth >= 8 and depth % 8:
         steps.append(depth - 8)
     elif depth < 8:
         steps, tail = [0], np.uint64((1 << 64) - (1 << 8 * (8 - depth)))
+    two = ((chars[at] & tail) >> np.uint64(48)).astype(np.uint16)
+    order = np.argsort(two, kind="stable")
+    order = order[np.argsort(group[order].astype(np.uint16 if group[-1] < 1 << 16 else np.int64), kind="stable")]
+    g, b = group[order], two[order]
+    start = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (b[1:] != b[:-1])]))
+    size = np.diff(np.append(start, n))
+    start, size = _quicksort(chars, at, order, start[size > 1], size[size > 1], steps[:SHALLOW], tail)
+    equal = np.zeros(n, bool)
+    if len(steps) <= SHALLOW:
+        equal[_ranges(start, size)] = True
+        equal[start] = False
+    elif len(start):
+        equal[_ranges(start, size)] = _blind_tries(chars, at, order, start, size, steps[SHALLOW:])
+    return order, equal
 
-    ids = np.arange(len(at))
-    live = _several(group)
-    ids, group = ids[live], group[live]
-    for offset in steps[:SHALLOW]:
-        order, group = _regroup(group, chars[at[ids] + offset] & tail)
-        ids = ids[order]
-        live = _several(group)
-        ids, group = ids[live], group[live]
-    deep = steps[SHALLOW:]
-    while len(ids):
-        head = np.concatenate([[True], group[1:] != group[:-1]])
-        spine = at[ids[np.maximum.accumulate(np.where(head, np.arange(len(ids)), 0))]]
-        own = at[ids]
-        leaves = np.full(len(ids), len(deep))
-        char = np.zeros(len(ids), np.uint64)
-        on = np.flatnonzero(~head)
-        for k, offset in enumerate(deep):
-            mine = chars[own[on] + offset]
-            off = mine != chars[spine[on] + offset]
-            leaves[on[off]], char[on[off]] = k, mine[off]
-            on = on[~off]
-            if not len(on):
-                break
-        # Leaves of the whole depth are equal to the spine.
-        out[ids[on]] = True
-        first = np.flatnonzero(head)
-        number = np.cumsum(head) - 1
-        out[ids[first[number[on]]]] = True
-        rest = np.flatnonzero(~head & (leaves < len(deep)))
-        order, place = _regroup(group[rest], leaves[rest])
-        rest = rest[order]
-        order, group = _regroup(place, char[rest])
-        ids = ids[rest[order]]
-        live = _several(group)
-        ids, group = ids[live], group[live]
+
+def repeated(chars: np.ndarray, at: np.ndarray, group: np.ndarray, depth: int) -> np.ndarray:
+    """Which suffixes ``at`` agree with another one of their ``group`` in ``depth`` bytes."""
+    order, equal = sort(chars, at, group, depth)
+    out = np.zeros(len(at), bool)
+    out[order] = equal | np.append(equal[1:], False)
     return out

@@ -6,17 +6,21 @@ LENGTH bytes belongs to its least GRAM-byte hash (its anchor), hence equal windo
 a bucket.  Consecutive windows of one anchor form a span, the unit that is shuffled: a
 pair of hashes and a place, about one for every 85 bytes of text.
 
-* A span that occurs twice is repeated throughout.  Equal spans are counted map-side and
-  one stands for all, so copies cost one row.
-* Where an anchor has different spans, their windows are compared by deep-shallow suffix
-  sorting (``suffix``) of the representatives' bytes.
-* An anchor with more than BUCKET windows (the rim of a very common passage) is not
-  gathered: its windows are counted by 128-bit fingerprint, with map-side combining.
+* Anchors that occur once are done.  The other spans' bytes are cut from their texts, and
+  equal spans are grouped by those bytes, combined map-side: copies cost one row, and a span
+  that occurs twice is repeated throughout.
+* Where an anchor has different spans, all their windows are ordered by deep-shallow
+  suffix sorting (``suffix``), and neighbours that agree in LENGTH bytes are repeated.
+* An anchor with more than BUCKET windows (the rim of a very common passage) is split by
+  content before it is sorted: its spans are cut into spans of the least hashes of longer
+  grams (FINER), which are grouped and sorted in the same way.  The last grams are whole
+  windows, of which equal ones are one row, so no bucket grows with the copies of a passage.
 
 Marks return to all spans by an equi-join, and texts meet their runs once more.  Matches
 never cross documents; overlaps count; strings are judged on the input.  Null and empty
-texts are empty and keep nothing.  Rows are the documents: repeated rows are repeats of
-each other.  Documents are keyed by (doc_id, text hash).
+texts are empty and keep nothing; long texts are hashed in pieces of PIECE windows.  Rows
+are the documents: repeated rows are repeats of each other.  Documents are keyed by
+(doc_id, text hash).  Two different spans of one anchor and one hash raise an error.
 """
 
 from __future__ import annotations
@@ -30,11 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import suffix
-from .common import cuts, release, ship, slices, table, text_bytes, written
+from .common import cuts, drop, ship, slices, table, text_bytes, written
 
 LENGTH, GRAM = 200, 32
-#: Most windows of an anchor that are sorted together, and of a span.
-BUCKET, SPAN = 65_536, 4096
+#: Shares of LENGTH - GRAM that the grams of a finer level are longer by; the last makes them whole windows.
+FINER = (0.4, 0.75, 1.0)
+#: Most windows of an anchor that are sorted together, of a span, and of a span of a finer level.
+BUCKET, SPAN, FINE_SPAN = 65_536, 4096, 64
 #: Windows of a text that are hashed at a time.
 PIECE = 1 << 20
 #: Bytes of representatives sorted at a time by a worker.
@@ -75,7 +81,7 @@ def sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(x[: len(x) - (width - done)], x[width - done :]) if done < width else x
 
 
-def find_spans(texts: list[bytes], length: int, gram: int) -> tuple:
+def find_spans(texts: list[bytes], length: int, gram: int, most: int = SPAN) -> tuple:
     """(document, start, windows, anchor, hash, several) of each span; start is a byte of its text."""
     sizes = np.array([len(t) for t in texts], np.int64)
     data = b"".join(texts)
@@ -91,10 +97,10 @@ def find_spans(texts: list[bytes], length: int, gram: int) -> tuple:
     m = least[at]
     new = np.concatenate([[True], (m[1:] != m[:-1]) | (doc[1:] != doc[:-1])])
     first = np.flatnonzero(new)
-    # Long runs (periodic text) are cut into spans of at most SPAN windows.
+    # Long runs (periodic text) are cut into spans of at most ``most`` windows.
     run = np.diff(np.concatenate([first, [len(at)]]))
-    pieces = -(-run // SPAN)
-    first = np.repeat(first, pieces) + SPAN * (np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    pieces = -(-run // most)
+    first = np.repeat(first, pieces) + most * (np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces))
     n = np.diff(np.concatenate([first, [len(at)]]))
     start, anchor = at[first], m[first]
     # Anchors that occur more than once in a span: only selected positions can be anchors.
@@ -130,19 +136,27 @@ def spans_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return long_enough.mapInArrow(run, f"doc_id {kind}, text_hash long, start long, n int, anchor long, span long, several boolean")
 
 
-def _bytes_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(anchor, span, n, large, data) of the representatives, cut from their texts."""
+def _bytes_of(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
+    """(anchor, span, n, several, data) of every span, cut from its text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0, 1 << 20):
-            held = []
-            for text, pieces in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                held += [(p["anchor"], p["span"], p["n"], p["large"], text[p["start"] : p["start"] + p["n"] + length - 1]) for p in pieces]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()), strict=True)], ["anchor", "span", "n", "large", "data"])
-
-    per_doc = wanted.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "span", "start", "n", "large")).alias("pieces"))
+        for batch in slices(batches, 0, 1 << 18):
+            for text, pieces in zip(text_bytes(batch.column(0)), batch.column(1), strict=True):
+                row = pieces.values
+                start, n = row.field("start").to_numpy(), row.field("n").to_numpy()
+                # Spans of a long text are cut in bounded parts.
+                upto = np.cumsum(n + (length - 1))
+                at = 0
+                while at < len(n):
+                    stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + (1 << 20), side="right")))
+                    data = [text[a:z] for a, z in zip(start[at:stop].tolist(), (start[at:stop] + n[at:stop] + length - 1).tolist(), strict=True)]
+                    part = row.slice(at, stop - at)
+                    yield pa.RecordBatch.from_arrays([*(part.field(c) for c in ("anchor", "span", "n", "several")), pa.array(data, pa.binary())], ["anchor", "span", "n", "several", "data"])
+                    at = stop
+
+    per_doc = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("anchor", "span", "start", "n", "several")).alias("pieces"))
     joined = _met(docs, per_doc, "inner").select("text", "pieces")
-    return joined.mapInArrow(cut, "anchor long, span long, n int, large boolean, data binary")
+    return joined.mapInArrow(cut, "anchor long, span long, n int, several boolean, data binary")
 
 
 def _met(docs: DataFrame, per_doc: DataFrame, how: str) -> DataFrame:
@@ -169,12 +183,13 @@ _MARKS = "anchor long, span long, runs array<struct<o: int, k: int>>"
 
 
 def _sorted_marks(parts: DataFrame, length: int) -> DataFrame:
-    """(anchor, span, runs): windows found repeated by suffix sorting; rows arrive sorted by anchor."""
+    """(anchor, span, runs): windows found repeated by suffix sorting the spans (anchor, span, n, data) of each anchor."""
 
     def marks(rows: list) -> pa.RecordBatch:
         data, at, row = _windows(rows)
-        anchors = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)[1]
-        hit = suffix.repeated(suffix.characters(data), at, anchors[row], length)
+        anchors = np.array([r[0] for r in rows], np.int64)
+        group = np.cumsum(np.concatenate([[0], anchors[1:] != anchors[:-1]]))
+        hit = suffix.repeated(suffix.characters(data), at, group[row], length)
         ends = np.cumsum([r[2] for r in rows])
         out = [(r[0], r[1], runs) for r, e in zip(rows, ends.tolist(), strict=True) if (runs := _runs(hit[e - r[2] : e]))]
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), _RUNS))], ["anchor", "span", "runs"])
@@ -187,71 +202,78 @@ def _sorted_marks(parts: DataFrame, length: int) -> DataFrame:
                 if held and r[0] != held[-1][0] and size >= SORT_BYTES:
                     yield marks(held)
                     held, size = [], 0
-                if held and held[-1][:2] == r[:2]:
-                    continue  # the same representative from a repeated row
                 held.append(r)
                 size += len(r[3])
         if held:
             yield marks(held)
 
-    dealt = parts.select("anchor", "span", "n", "data").repartition("anchor").sortWithinPartitions("anchor", "span")
+    dealt = parts.select("anchor", "span", "n", "data").repartition("anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(run, _MARKS)
 
 
-def _counted_marks(parts: DataFrame, length: int) -> DataFrame:
-    """(anchor, span, runs) of the anchors too large to gather, by counted window fingerprints."""
+def _cut_finer(parts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(outer_anchor, outer_span, at, anchor, span, n, several, data): the spans of longer grams within the spans of ``parts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 3, 1 << 18):
-            rows = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
-            data, at, row = _windows(rows)
-            digest = xxhash.xxh3_128_intdigest
-            view = memoryview(data.tobytes())
-            both = [digest(view[a : a + length]) for a in at.tolist()]
-            ends = np.cumsum([r[2] for r in rows])
-            f1 = np.array([x >> 64 for x in both], np.uint64).view(np.int64)
-            f2 = np.array([x & (1 << 64) - 1 for x in both], np.uint64).view(np.int64)
+        for batch in slices(batches, 2, 1 << 16):
+            texts = batch.column(2).to_pylist()
+            outer, start, n, anchor, span, several = find_spans(texts, length, gram, FINE_SPAN)
+            data = [texts[i][a : a + k + length - 1] for i, a, k in zip(outer.tolist(), start.tolist(), n.tolist(), strict=True)]
             yield pa.record_batch({
-                "anchor": pa.array(np.array([r[0] for r in rows])[row]), "span": pa.array(np.array([r[1] for r in rows])[row]),
-                "o": pa.array((np.arange(len(at)) - (ends - [r[2] for r in rows])[row]).astype(np.int32)), "f1": pa.array(f1), "f2": pa.array(f2),
+                "outer_anchor": batch.column(0).take(pa.array(outer)), "outer_span": batch.column(1).take(pa.array(outer)), "at": pa.array(start.astype(np.int32)),
+                "anchor": pa.array(anchor), "span": pa.array(span), "n": pa.array(n.astype(np.int32)), "several": pa.array(several.astype(bool)), "data": pa.array(data, pa.binary()),
             })
 
-    # A repeated row sends its representative again: equal (span, offset) is one window.
-    windows = written(parts.select("anchor", "span", "n", "data").mapInArrow(run, "anchor long, span long, o int, f1 long, f2 long"), "windows")
-    place = F.struct("anchor", "span", "o")
-    several = windows.groupBy("f1", "f2").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter("lo <> hi").select("f1", "f2")
-    several = written(several, "repeated-windows")
-    hit = windows.join(several, ["f1", "f2"]).groupBy("anchor", "span").agg(F.sort_array(F.collect_set("o")).alias("os"))
-    return hit.select("anchor", "span", F.transform("os", lambda o: F.struct(o.alias("o"), F.lit(1).alias("k"))).alias("runs"))
+    return parts.select("anchor", "span", "data").mapInArrow(run, "outer_anchor long, outer_span long, at int, anchor long, span long, n int, several boolean, data binary")
+
+
+def _grouped(spans: DataFrame) -> DataFrame:
+    """(anchor, span, n, several, c, data): equal spans as one row, told by their bytes; written."""
+    reps = written(spans.groupBy("anchor", "span", "n", "several", "data").agg(F.count(F.lit(1)).alias("c")), "representatives")
+    if reps.groupBy("anchor", "span").count().filter("count > 1").limit(1).count():
+        raise ValueError("two different spans share an anchor and a hash")
+    return reps
+
+
+def _marks(reps: DataFrame, length: int, grams: list[int], bucket: int) -> DataFrame:
+    """(anchor, span, runs): the repeated windows of every span of ``reps``, as ``_grouped`` gives them."""
+    anchors = reps.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.max("several").alias("several"), F.sum("n").alias("windows"))
+    large = F.lit(False) if not grams else F.col("windows") > bucket
+    anchors = written(anchors.filter("k > 1 OR several").select("anchor", large.alias("large")), "open-anchors")
+    parts = reps.join(anchors, "anchor")
+    found = _sorted_marks(parts.filter("NOT large"), length)
+    if anchors.filter("large").limit(1).count():
+        finer = written(_cut_finer(parts.filter("large"), length, grams[0]), "finer")
+        inner = _grouped(finer.select("anchor", "span", "n", "several", "data"))
+        deeper = written(_marks(inner, length, grams[1:], bucket), "finer-marks")
+        # A run at k of a finer span at ``at`` is one at at + k of the span around it.
+        moved = F.transform("runs", lambda r: F.struct((F.col("at") + r["o"]).alias("o"), r["k"].alias("k")))
+        back = finer.select("outer_anchor", "outer_span", "at", "anchor", "span").join(deeper, ["anchor", "span"])
+        back = back.groupBy("outer_anchor", "outer_span").agg(F.flatten(F.collect_list(moved)).alias("runs"))
+        found = found.unionByName(back.withColumnsRenamed({"outer_anchor": "anchor", "outer_span": "span"}))
+        found = written(found, "sorted-marks")
+        drop(finer, inner, deeper)
+    whole = reps.filter("c > 1").select("anchor", "span", F.array(F.struct(F.lit(0).alias("o"), F.col("n").alias("k"))).alias("runs"))
+    return whole.unionByName(found.join(whole.select("anchor", "span"), ["anchor", "span"], "left_anti"))
 
 
 def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, text_hash, runs array<struct<at, upto>>): byte ranges under repeated strings, not yet merged."""
-    spark = docs.sparkSession
-    ship(spark)
-    spans = written(spans_of(docs, length, gram), "spans")
-    anchors = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.max("several").alias("several"), F.min("span").alias("lo"), F.max("span").alias("hi"))
-    anchors = written(anchors.filter("c > 1 OR several").select("anchor", (F.col("several") | (F.col("lo") != F.col("hi"))).alias("differ")), "anchors")
-    release(spark)
-    spans = written(spans.join(anchors, "anchor"), "repeated-spans")
-    release(spark)
-    reps = spans.groupBy("anchor", "span").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "text_hash", "start", "n")).alias("rep"), F.first("differ").alias("differ"))
-    reps = written(reps.select("anchor", "span", "c", "differ", "rep.*"), "representatives")
-    check = reps.filter("differ")
-    sizes = written(check.groupBy("anchor").agg(F.sum("n").alias("windows")).filter(F.col("windows") > bucket).select("anchor", F.lit(True).alias("large")), "large")
-    wanted = check.join(sizes, "anchor", "left").select("doc_id", "text_hash", "start", "n", "anchor", "span", F.coalesce("large", F.lit(False)).alias("large"))
-    parts = written(_bytes_of(docs, wanted, length), "parts")
-    release(spark)
-    found = _sorted_marks(parts.filter("NOT large"), length).unionByName(_counted_marks(parts.filter("large"), length))
-    every = reps.filter("c > 1").select("anchor", "span", F.array(F.struct(F.lit(0).alias("o"), F.col("n").alias("k"))).alias("runs"))
-    partial = found.join(reps.filter("c > 1").select("anchor", "span"), ["anchor", "span"], "left_anti")
-    marks = written(every.unionByName(partial), "marks")
-    release(spark)
+    ship(docs.sparkSession)
+    every = written(spans_of(docs, length, gram), "spans")
+    anchors = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.max("several").alias("several"))
+    anchors = written(anchors.filter("c > 1 OR several").select("anchor"), "anchors")
+    spans = written(every.join(anchors, "anchor"), "repeated-spans")
+    drop(every, anchors)
+    reps = _grouped(_bytes_of(docs, spans, length))
+    finer = [gram + int(f * (length - gram)) for f in FINER]
+    marks = written(_marks(reps, length, [g for g in finer if g > gram], bucket), "marks")
+    drop(reps)
     hit = spans.select("doc_id", "text_hash", "start", "anchor", "span").join(marks, ["anchor", "span"])
     ranges = F.transform("runs", lambda r: F.struct((F.col("start") + r["o"]).alias("at"), (F.col("start") + r["o"] + r["k"] + (length - 1)).alias("upto")))
     per_doc = hit.select("doc_id", "text_hash", ranges.alias("runs")).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_set("runs")).alias("runs"))
     per_doc = written(per_doc, "runs")
-    release(spark)
+    drop(spans, marks)
     return per_doc
 
 

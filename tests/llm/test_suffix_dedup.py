@@ -48,6 +48,33 @@ def test_sorting_finds_equal_suffixes(groups, depth):
     assert got.tolist() == [each.count(x) > 1 for x in each]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.binary(min_size=1, max_size=12), st.integers(1, 30), st.sampled_from([2, 256])).map(lambda x: bytes(c % x[2] for c in x[0]) * x[1]), min_size=1, max_size=5), st.integers(1, 90))
+def test_sorted_order(groups, depth):
+    """The order is that of the first ``depth`` bytes within each group, and equal neighbours are marked."""
+    data, at, group = b"", [], []
+    for g, t in enumerate(groups):
+        at += [len(data) + i for i in range(len(t) - depth + 1)]
+        group += [g] * max(0, len(t) - depth + 1)
+        data += t
+    group = np.unique(np.array(group, np.int64), return_inverse=True)[1]
+    order, equal = suffix.sort(suffix.characters(np.frombuffer(data, np.uint8)), np.array(at, np.int64), group, depth)
+    said = [(int(group[i]), data[at[i] : at[i] + depth]) for i in order]
+    assert sorted(order.tolist()) == list(range(len(at))) and said == sorted(said)
+    assert equal.tolist() == [i > 0 and said[i] == said[i - 1] for i in range(len(said))]
+
+
+def test_blind_tries_order_long_common_prefixes():
+    rng = random.Random(2)
+    stem = bytes(rng.randrange(256) for _ in range(150))
+    texts = [stem + bytes(rng.randrange(2) for _ in range(50)) for _ in range(400)]
+    texts += texts[:100]
+    at = np.arange(len(texts)) * 200
+    order, equal = suffix.sort(suffix.characters(np.frombuffer(b"".join(texts), np.uint8)), at, np.zeros(len(at), np.int64), 200)
+    said = [texts[i] for i in order]
+    assert said == sorted(texts) and equal.sum() == len(texts) - len(set(texts))
+
+
 def texts(seed):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 7)))
@@ -63,7 +90,7 @@ def texts(seed):
     return out + [copy] * 4 + [copy + "!"]
 
 
-@pytest.mark.parametrize(("length", "gram", "bucket"), [(200, 32, 65536), (200, 32, 100), (40, 8, 65536), (33, 12, 50)])
+@pytest.mark.parametrize(("length", "gram", "bucket"), [(200, 32, 65536), (200, 32, 100), (200, 32, 1), (40, 8, 65536), (33, 12, 50)])
 def test_equals_brute_force(spark, length, gram, bucket):
     docs = list(enumerate(texts(length + gram)))
     docs += [(3, "same id, other text"), (None, docs[-1][1]), (7, docs[7][1])]
