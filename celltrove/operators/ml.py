@@ -144,7 +144,7 @@ def label_propagation(edges: DataFrame, a: str, b: str) -> DataFrame:
     of one label, or as many and a smaller label: labels cannot oscillate, and the end is reached.
     """
     both = written(reduce(DataFrame.unionByName, [edges.select(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in ((a, b), (b, a))]).filter("u <> v").distinct(), "edges")
-    labels = both.select(F.col("u").alias("node")).distinct().withColumn("community", F.col("node"))
+    labels = written(both.select(F.col("u").alias("node")).distinct().withColumn("community", F.col("node")), "labels")
     while True:
         seen = both.join(labels, both["v"] == labels["node"]).groupBy("u", "community").agg(F.count(F.lit(1)).alias("_n"))
         best = seen.groupBy("u").agg(F.min(F.struct((-F.col("_n")).alias("_n"), "community")).alias("_b"))
