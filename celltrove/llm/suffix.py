@@ -12,8 +12,9 @@ dealt into buckets by group and first two bytes; then
   differ in, and is hung in above the first node of a later bit.  Equal suffixes share a
   leaf.  Reading the leaves in order sorts the run.
 
-All runs advance together in numpy: a step of the quicksort partitions every run, a round
-of the deep phase inserts one suffix into every trie.
+All runs advance together in numpy: a step of the quicksort partitions every run; in a turn
+of the deep phase every suffix that waits descends, equal ones are done, and one is hung in
+for each place where some leave the trie.
 """
 
 from __future__ import annotations
@@ -105,55 +106,62 @@ def _blind_tries(chars: np.ndarray, at: np.ndarray, order: np.ndarray, start: np
     members = order[_ranges(start, size)]
     offset = np.array([*steps, 0], np.int64)
     # Node i < total is the leaf that member i opens; the node that hangs it in is total + i.
-    bit = np.full(2 * total, last)
-    child, count = np.full((2 * total, 2), -1), np.zeros(2 * total, np.int64)
-    leaf, rank = np.arange(total), np.zeros(total, np.int64)
-    root = base.copy()
-    count[root] = 1
-    for turn in range(1, int(size.max(initial=0))):
-        some = np.flatnonzero(size > turn)
-        me = base[some] + turn
-        own = at[members[me]]
+    bit, child, leaf = np.full(2 * total, last), np.full((2 * total, 2), -1), np.arange(total)
+    root, trie = base.copy(), np.repeat(np.arange(len(base)), size)
+    waiting = np.flatnonzero(~np.isin(np.arange(total), base, assume_unique=True))
+    while len(waiting):
+        own, mine = at[members[waiting]], trie[waiting]
         # Blind descent to a leaf, and the one comparison.
-        node = root[some]
+        node = root[mine]
         inner = np.flatnonzero(bit[node] < last)
         while len(inner):
             node[inner] = child[node[inner], _bit(chars, own[inner], offset, bit[node[inner]])]
             inner = inner[bit[node[inner]] < last]
         differ = _first_difference(chars, own, at[members[node]], steps)
-        # The edge that the difference lies on; everything above it gains one suffix.
-        above, side = np.full(len(some), -1), np.zeros(len(some), np.int64)
-        node = root[some]
+        # Equal suffixes share the leaf; the others go down to the edge that the difference lies on.
+        same = differ == last
+        leaf[waiting[same]] = node[same]
+        waiting, own, mine, differ = (x[~same] for x in (waiting, own, mine, differ))
+        above, side, node = np.full(len(waiting), -1), np.zeros(len(waiting), np.int64), root[mine]
         inner = np.flatnonzero(bit[node] < differ)
         while len(inner):
             here = node[inner]
-            count[here] += 1
             above[inner], side[inner] = here, _bit(chars, own[inner], offset, bit[here])
             node[inner] = child[here, side[inner]]
             inner = inner[bit[node[inner]] < differ[inner]]
-        same = differ == last
-        leaf[me[same]], rank[me[same]] = node[same], count[node[same]]
-        count[node[same]] += 1
-        new = np.flatnonzero(~same)
-        fork, mine = total + me[new], me[new]
-        way = _bit(chars, own[new], offset, differ[new])
-        bit[fork], count[mine], count[fork] = differ[new], 1, count[node[new]] + 1
-        child[fork, way], child[fork, 1 - way] = mine, node[new]
-        top = above[new] < 0
-        root[some[new[top]]] = fork[top]
-        child[above[new[~top]], side[new[~top]]] = fork[~top]
-    # Leaves in order: a left subtree keeps its node's place, a right one comes after it.
-    place = np.zeros(2 * total, np.int64)
-    place[root], node = base, root
+        # One suffix is hung in for each bit of an edge, in the order of the bits; the rest wait for the next turn.
+        turn = np.lexsort((differ, node))
+        edge, number = node[turn], differ[turn]
+        new_edge = np.concatenate([[True], edge[1:] != edge[:-1]])[: len(turn)]
+        first = new_edge | np.concatenate([[True], number[1:] != number[:-1]])[: len(turn)]
+        new, new_edge = turn[first], new_edge[first]
+        fork, way = total + waiting[new], _bit(chars, own[new], offset, differ[new])
+        bit[fork] = differ[new]
+        below = np.append(fork[1:], -1)[: len(fork)]
+        below = np.where(np.append(new_edge[1:], True)[: len(fork)], node[new], below)
+        child[fork, way], child[fork, 1 - way] = waiting[new], below
+        top = new[new_edge]
+        highest, is_root = fork[new_edge], above[top] < 0
+        root[mine[top[is_root]]] = highest[is_root]
+        child[above[top[~is_root]], side[top[~is_root]]] = highest[~is_root]
+        waiting = np.sort(waiting[turn[~first]])
+    # Leaves in order: sizes from the bottom, then a left subtree keeps its node's place and a right one comes after it.
+    count = np.bincount(leaf, minlength=2 * total)
+    levels, node = [], root
     while len(node := node[bit[node] < last]):
+        levels.append(node)
+        node = child[node].ravel()
+    for node in reversed(levels):
+        count[node] = count[child[node, 0]] + count[child[node, 1]]
+    place = np.zeros(2 * total, np.int64)
+    place[root] = base
+    for node in levels:
         left, right = child[node, 0], child[node, 1]
         place[left], place[right] = place[node], place[node] + count[left]
-        node = np.concatenate([left, right])
-    to = place[leaf] + rank
-    order[_ranges(start, size)[to]] = members
-    equal = np.zeros(total, bool)
-    equal[to] = rank > 0
-    return equal
+    sorted_members = np.argsort(place[leaf], kind="stable")
+    order[_ranges(start, size)] = members[sorted_members]
+    leaf = leaf[sorted_members]
+    return np.concatenate([[False], leaf[1:] == leaf[:-1]])
 
 
 def sort(chars: np.ndarray, at: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
