@@ -235,24 +235,22 @@ def _grouped(spans: DataFrame) -> DataFrame:
     return reps
 
 
-def _marks(reps: DataFrame, length: int, grams: list[int], bucket: int) -> DataFrame:
-    """(anchor, span, runs): the repeated windows of every span of ``reps``, as ``_grouped`` gives them."""
+def _marks(reps: DataFrame, length: int, grams: list[int], bucket: int, made: list[DataFrame]) -> DataFrame:
+    """(anchor, span, runs): the repeated windows of every span of ``reps``, as ``_grouped`` gives them; ``made`` gains the tables it reads."""
+    made.append(reps)
     anchors = reps.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.max("several").alias("several"), F.sum("n").alias("windows"))
     large = F.lit(False) if not grams else F.col("windows") > bucket
-    anchors = written(anchors.filter("k > 1 OR several").select("anchor", large.alias("large")), "open-anchors")
-    parts = reps.join(anchors, "anchor")
-    found = _sorted_marks(parts.filter("NOT large"), length)
-    if anchors.filter("large").limit(1).count():
-        finer = written(_cut_finer(parts.filter("large"), length, grams[0]), "finer")
-        inner = _grouped(finer.select("anchor", "span", "n", "several", "data"))
-        deeper = written(_marks(inner, length, grams[1:], bucket), "finer-marks")
+    anchors = anchors.filter("k > 1 OR several").select("anchor", large.alias("large"))
+    found = _sorted_marks(reps.join(anchors.filter("NOT large"), "anchor"), length)
+    if grams and anchors.filter("large").limit(1).count():
+        finer = written(_cut_finer(reps.join(anchors.filter("large"), "anchor"), length, grams[0]), "finer")
+        made.append(finer)
+        deeper = _marks(_grouped(finer.select("anchor", "span", "n", "several", "data")), length, grams[1:], bucket, made)
         # A run at k of a finer span at ``at`` is one at at + k of the span around it.
         moved = F.transform("runs", lambda r: F.struct((F.col("at") + r["o"]).alias("o"), r["k"].alias("k")))
         back = finer.select("outer_anchor", "outer_span", "at", "anchor", "span").join(deeper, ["anchor", "span"])
         back = back.groupBy("outer_anchor", "outer_span").agg(F.flatten(F.collect_list(moved)).alias("runs"))
         found = found.unionByName(back.withColumnsRenamed({"outer_anchor": "anchor", "outer_span": "span"}))
-        found = written(found, "sorted-marks")
-        drop(finer, inner, deeper)
     whole = reps.filter("c > 1").select("anchor", "span", F.array(F.struct(F.lit(0).alias("o"), F.col("n").alias("k"))).alias("runs"))
     return whole.unionByName(found.join(whole.select("anchor", "span"), ["anchor", "span"], "left_anti"))
 
@@ -262,18 +260,16 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bucke
     ship(docs.sparkSession)
     every = written(spans_of(docs, length, gram), "spans")
     anchors = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.max("several").alias("several"))
-    anchors = written(anchors.filter("c > 1 OR several").select("anchor"), "anchors")
-    spans = written(every.join(anchors, "anchor"), "repeated-spans")
-    drop(every, anchors)
-    reps = _grouped(_bytes_of(docs, spans, length))
+    spans = written(every.join(anchors.filter("c > 1 OR several").select("anchor"), "anchor"), "repeated-spans")
+    drop(every)
+    made: list[DataFrame] = []
     finer = [gram + int(f * (length - gram)) for f in FINER]
-    marks = written(_marks(reps, length, [g for g in finer if g > gram], bucket), "marks")
-    drop(reps)
+    marks = _marks(_grouped(_bytes_of(docs, spans, length)), length, [g for g in finer if g > gram], bucket, made)
     hit = spans.select("doc_id", "text_hash", "start", "anchor", "span").join(marks, ["anchor", "span"])
     ranges = F.transform("runs", lambda r: F.struct((F.col("start") + r["o"]).alias("at"), (F.col("start") + r["o"] + r["k"] + (length - 1)).alias("upto")))
     per_doc = hit.select("doc_id", "text_hash", ranges.alias("runs")).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_set("runs")).alias("runs"))
     per_doc = written(per_doc, "runs")
-    drop(spans, marks)
+    drop(spans, *made)
     return per_doc
 
 
