@@ -16,8 +16,10 @@ from ..scratch import drop, scratch_dir, written
 
 __all__ = ["cuts", "drop", "scratch_dir", "ship", "slices", "table", "text_bytes", "written"]
 
-#: Rows of an Arrow batch; a smaller setting of the session stays.
+#: Rows and bytes of an Arrow batch; a smaller number of rows and any bytes that the session sets stay.
 BATCH_ROWS, _BATCH_ROWS = 500, "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES, _BATCH_BYTES = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_DEFAULT = "67108864b"
 #: Python workers cut Arrow batches to about this many text bytes at a time.
 SLICE_BYTES = 4 << 20
 
@@ -29,6 +31,8 @@ def ship(spark: SparkSession) -> None:
     """
     if int(spark.conf.get(_BATCH_ROWS, "10000")) > BATCH_ROWS:
         spark.conf.set(_BATCH_ROWS, BATCH_ROWS)
+    if spark.conf.get(_BATCH_BYTES, _BATCH_DEFAULT) in (_BATCH_DEFAULT, "-1b"):
+        spark.conf.set(_BATCH_BYTES, f"{BATCH_BYTES}b")
     context = spark.sparkContext
     if getattr(context, "_celltrove_shipped", False):
         return

@@ -1,30 +1,26 @@
 """Cross-entropy difference scoring with matched n-gram models.
 
-The target model (documents labelled as good) and the background model (all
-documents) are byte trigram models: the vocabulary is the 256 byte values, shared and
-closed, so nothing is out of vocabulary in either.  Both use the same interpolated
-Witten-Bell smoothing down to an add-one unigram.  A document's score is the mean over
-its bytes of target loss minus background loss, in bits: lower is closer to the target.
-
-Counts cover every byte of every document: each task counts into a dense array and
-emits its distinct trigrams, which are summed by a shuffle.  The table of per-trigram
-loss differences has at most 2**24 four-byte entries (64 MB) whatever the corpus, which
-is the proven bound of what is broadcast; the counts collected to build it are bounded
-by the same 2**24 rows.
-
-Byte trigrams saturate, so words are modelled too.  Both word models are bigram models of
-Dirichlet smoothing over one shared vocabulary, all words of the corpus (lower-cased ASCII,
-cut at white space): P(c | b) = (n(bc) + S P(c)) / (n(b) + S), where P(c) is smoothed in the
-same way by the relative frequency of c in the corpus.  word_score is the mean of target
-loss minus background loss over a document's words and its end, in bits.  The counts of all
-words and bigrams of all documents are a distributed table that grows with the corpus and
-is never broadcast or gathered: documents are packed in blocks, a block sends its distinct
-grams once to their buckets (ranges of the 64-bit gram hash), which sum them and answer
-the blocks.  A common gram has one entry for each block, so no bucket is hot.
-
-Null and empty texts have n_tokens 0 and score 0, texts without words n_words 0 and
-word_score 0.  Repeated rows count as often as they occur.  A document is target if any
-label row of its id has quality 1.
+The target model (documents labelled as good) and the background model (all documents) are
+word bigram models over one shared vocabulary, all V words of the corpus (lower-cased ASCII,
+cut at white space) and an end mark.  Both are smoothed alike: the unigram of the corpus is
+add-one, P(c) = (n(c) + 1) / (N + V); the background bigram is Dirichlet-smoothed by it,
+P(c | b) = (n(bc) + S P(c)) / (n(b) + S), and so is the target's unigram, which smooths the
+target's bigram.  A document's score is the mean over its words and its end of target loss
+minus background loss, in bits: lower is closer to the target.
+
+Every document is scored by models of all other rows: its own counts are taken out of both
+(out of the target's if it is a target document), so no score is in-sample.  A row that is
+repeated still finds its copies in the counts.
+
+The counts of all words and bigrams of all documents are a distributed table that grows with
+the corpus and is never broadcast or gathered: documents are packed in blocks, a block sends
+its distinct grams once to their buckets (ranges of the 64-bit gram hash), which sum them and
+answer the blocks.  A common gram has one entry for each block, so no bucket is hot.  Only
+three totals reach the driver.
+
+Null, empty and wordless texts have n_tokens 0 and score 0.  A text of any length is in one
+block.  Repeated rows count as often as they occur.  A document is target if any label row
+of its id has quality 1; a null id is never target.
 """
 
 from __future__ import annotations
@@ -37,113 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, slices, cuts, table, text_bytes, written
+from .common import SLICE_BYTES, slices, table, text_bytes, written
 from .minhash import _M1, _Hashes, _mix
 
-GRAMS = 1 << 24
-#: Grams gathered before they are added to a task's counts.
-CHUNK = 4 << 20
 #: Target ids are broadcast up to this many; beyond it the join shuffles.
 BROADCAST_IDS = 4_000_000
 #: Gram entries of a bucket, over all blocks.
 BUCKET = 2 << 20
-#: Dirichlet strength of the word models.
+#: Dirichlet strength of the models.
 STRENGTH = 4.0
 
 
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The trigram ending at each byte, each text preceded by two zero bytes, and the texts' lengths."""
-    sizes = np.array([len(t) for t in texts], np.int64)
-    flat = np.frombuffer(b"\0\0" + b"\0\0".join(texts), np.uint8).astype(np.int32)
-    every = flat[:-2] << 16 | flat[1:-1] << 8 | flat[2:]
-    starts = np.concatenate([[0], np.cumsum(sizes + 2)[:-1]])
-    keep = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(int(sizes.sum()))
-    return every[keep], sizes
-
-
-def count_grams(docs: DataFrame) -> DataFrame:
-    """(gram, n_all, n_target) of rows (text, target boolean)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = [{}, {}]
-        held: list[list[np.ndarray]] = [[], []]
-
-        def fold(k: int) -> None:
-            values, n = np.unique(np.concatenate(held[k]), return_counts=True)
-            held[k] = []
-            if isinstance(totals[k], dict):
-                totals[k] = (values, n)
-            else:
-                both = np.concatenate([totals[k][0], values])
-                order = np.argsort(both, kind="stable")
-                both, n = both[order], np.concatenate([totals[k][1], n])[order]
-                first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-                totals[k] = (both[first], np.add.reduceat(n, first))
-
-        for batch in slices(batches, 0):
-            texts, target = text_bytes(batch.column(0)), batch.column(1).to_pylist()
-            for k in (0, 1):
-                g, _ = grams([t for t, y in zip(texts, target, strict=True) if bool(y) == bool(k)] or [b""])
-                if len(g):
-                    held[k].append(g)
-                if sum(map(len, held[k])) > CHUNK:
-                    fold(k)
-        for k in (0, 1):
-            if held[k]:
-                fold(k)
-            if not isinstance(totals[k], dict):
-                values, n = totals[k]
-                yield pa.record_batch({"gram": pa.array(values, pa.int32()), "n_all": pa.array(n, pa.int64()), "n_target": pa.array(n * k, pa.int64())})
-
-    counted = docs.select("text", F.coalesce("target", F.lit(False)).alias("target")).mapInArrow(count, "gram int, n_all long, n_target long")
-    return counted.groupBy("gram").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
-
-
-def log_probabilities(gram: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """log2 P of every trigram under interpolated Witten-Bell smoothing, as 2**24 floats."""
-    dense = np.zeros(GRAMS, np.float32)
-    dense[gram] = n
-    c3 = dense.reshape(256, 256, 256)
-    c2 = c3.sum(0, dtype=np.float64)  # of bytes (b, c)
-    c1 = c2.sum(0)
-    p1 = (c1 + 1) / (c1.sum() + 256)
-    kinds2 = (c2 > 0).sum(1, keepdims=True)
-    total2 = c2.sum(1, keepdims=True)
-    p2 = np.where(total2 > 0, (c2 + kinds2 * p1) / np.maximum(total2 + kinds2, 1), p1)
-    out = np.empty((256, 256, 256), np.float32)
-    for a in range(256):
-        kinds3 = (c3[a] > 0).sum(1, keepdims=True)
-        total3 = c3[a].sum(1, keepdims=True, dtype=np.float64)
-        out[a] = np.log2(np.where(total3 > 0, (c3[a] + kinds3 * p2) / np.maximum(total3 + kinds3, 1), p2))
-    return out.ravel()
-
-
-def loss_differences(counts: DataFrame) -> np.ndarray:
-    """Target loss minus background loss of every trigram, in bits."""
-    found = counts.toArrow()
-    gram, n_all, n_target = (found.column(k).to_numpy() for k in ("gram", "n_all", "n_target"))
-    out = log_probabilities(gram, n_all)
-    out -= log_probabilities(gram, n_target)
-    return out
-
-
-def score(docs: DataFrame, differences: np.ndarray, text: str = "text") -> DataFrame:
-    """Add n_tokens and score (mean loss difference in bits)."""
-    shared = docs.sparkSession.sparkContext.broadcast(differences)
-
-    @F.arrow_udf("n_tokens long, score double")
-    def lm(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            for start, count in cuts(column):
-                g, sizes = grams(text_bytes(column.slice(start, count)))
-                upto = np.concatenate([[0.0], np.cumsum(shared.value[g].astype(np.float64))])
-                ends = np.cumsum(sizes)
-                mean = (upto[ends] - upto[ends - sizes]) / np.maximum(sizes, 1)
-                yield pa.StructArray.from_arrays([pa.array(sizes), pa.array(mean)], ["n_tokens", "score"])
-
-    return docs.withColumn("lm", lm(text)).select(*[c for c in docs.columns if c not in ("n_tokens", "score", "lm")], "lm.n_tokens", "lm.score")
-
-
 def with_target(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """Add target: whether doc_id is among the ids; broadcast only when counted and small."""
     ids = target_ids.select("doc_id").distinct().withColumn("target", F.lit(True))
@@ -173,12 +73,12 @@ def _word_grams(stream: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def word_blocks(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n_tokens, score, target, text) packed in blocks of about SLICE_BYTES of text.
+    """Rows (doc_id, target, text) packed in blocks of about SLICE_BYTES of text.
 
     A block's stream is its documents' word hashes, 0 after each document with words; it
     is stored as places in the block's vocabulary.  sizes are the stream's parts by document.
     """
-    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "n_tokens", "score", "target")}
+    kinds = {c: docs.schema[c].dataType.simpleString() for c in ("doc_id", "target")}
     names = [*kinds, "sizes", "block", "n_vocabulary", "vocabulary", "n", "stream", "n_target"]
     schema = ", ".join(f"{c} array<{k}>" for c, k in kinds.items()) + ", sizes array<int>, block binary, n_vocabulary int, vocabulary binary, n int, stream binary, n_target long"
 
@@ -199,9 +99,9 @@ def word_blocks(docs: DataFrame) -> DataFrame:
             )]
             return pa.RecordBatch.from_arrays([*lists, *rest], names)
 
-        for batch in slices(batches, 4):
-            rows.append(batch.select([0, 1, 2, 3]))
-            for text in text_bytes(batch.column(4)):
+        for batch in slices(batches, 2):
+            rows.append(batch.select([0, 1]))
+            for text in text_bytes(batch.column(2)):
                 found = [hashes[x] for x in text.lower().split()]
                 words += [*found, 0] if found else []
                 sizes.append(len(found) + 1 if found else 0)
@@ -220,8 +120,18 @@ def _stream(row: dict) -> np.ndarray:
     return vocabulary[_unpacked(row["stream"], row["n"], np.uint32)[0]]
 
 
+def _own(place: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How often the document of each position holds the gram at ``place``."""
+    key = np.repeat(np.arange(len(sizes)), sizes) * (int(place.max()) + 1) + place
+    _, at, counts = np.unique(key, return_inverse=True, return_counts=True)
+    return counts[at]
+
+
 def word_counts(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(block, bucket, n, counts): for the distinct grams of a block, in order, how often all and target documents hold them."""
+    """(block, bucket, n, counts, n_words): for the distinct grams of a block, in order, how often all and target documents hold them.
+
+    n_words are the distinct words of a bucket, with one of its rows.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,22 +143,26 @@ def word_counts(blocks: DataFrame, buckets: int) -> DataFrame:
                 place, target = np.concatenate([word, pair]), np.repeat(np.array(row["target"], bool), row["sizes"])
                 n_all = np.bincount(place).astype(np.uint32)
                 n_target = np.bincount(place, np.concatenate([target, target])).astype(np.uint32)
+                is_word = np.zeros(len(values), np.uint8)
+                is_word[word] = 1
                 bucket = (values >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
                 at = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
                 some = np.flatnonzero(at[1:] > at[:-1])
-                sent = [_packed(np.diff(values[l:h], prepend=np.uint64(0)), n_all[l:h], n_target[l:h]) for l, h in zip(at[some], at[some + 1], strict=True)]
+                sent = [_packed(np.diff(values[l:h], prepend=np.uint64(0)), n_all[l:h], n_target[l:h], is_word[l:h]) for l, h in zip(at[some], at[some + 1], strict=True)]
                 yield pa.record_batch({"bucket": pa.array(some, pa.int32()), "block": pa.array([row["block"]] * len(some), pa.binary()), "n": pa.array((at[1:] - at[:-1])[some], pa.int32()), "grams": pa.array(sent, pa.binary())})
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def out() -> pa.RecordBatch:
-            parts = [_unpacked(g, n, np.uint64, np.uint32, np.uint32) for _, n, g in held]
+            parts = [_unpacked(g, n, np.uint64, np.uint32, np.uint32, np.uint8) for _, n, g in held]
             place = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)[1]
             sums = [np.bincount(place, np.concatenate([p[k] for p in parts])).astype(np.uint64)[place] for k in (1, 2)]
+            n_words = len(np.unique(place[np.concatenate([p[3] for p in parts]) > 0]))
             ends = np.cumsum([n for _, n, _ in held])
             counts = [_packed(*(s[e - n : e] for s in sums)) for e, (_, n, _) in zip(ends, held, strict=True)]
-            return pa.record_batch({"block": pa.array([h[0] for h in held], pa.binary()), "bucket": pa.array([key] * len(held), pa.int32()), "n": pa.array([h[1] for h in held], pa.int32()), "counts": pa.array(counts, pa.binary())})
+            words = [n_words, *[0] * (len(held) - 1)]
+            return pa.record_batch({"block": pa.array([h[0] for h in held], pa.binary()), "bucket": pa.array([key] * len(held), pa.int32()), "n": pa.array([h[1] for h in held], pa.int32()), "counts": pa.array(counts, pa.binary()), "n_words": pa.array(words, pa.int64())})
 
         for batch in batches:
             for bucket, block, n, g in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
@@ -261,41 +175,46 @@ def word_counts(blocks: DataFrame, buckets: int) -> DataFrame:
             yield out()
 
     sent = blocks.select("block", "target", "sizes", "n_vocabulary", "vocabulary", "n", "stream").mapInArrow(send, "bucket int, block binary, n int, grams binary")
-    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, "block binary, bucket int, n int, counts binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answer, "block binary, bucket int, n int, counts binary, n_words long")
 
 
-def score_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, score, n_words, word_score) of rows (doc_id, n_tokens, score, target, text)."""
-    blocks = written(word_blocks(docs), "word-blocks")
+def score(docs: DataFrame, strength: float = STRENGTH) -> DataFrame:
+    """(doc_id, n_tokens, score) of rows (doc_id, target boolean, text)."""
+    blocks = written(word_blocks(docs.select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "text")), "word-blocks")
     totals = blocks.agg(F.sum("n"), F.sum("n_target")).first()
     every, target = (int(x or 0) for x in totals)
-    counts = word_counts(blocks, max(1, -(-2 * every // BUCKET)))
+    counts = written(word_counts(blocks, max(1, -(-2 * every // BUCKET))), "word-counts")
+    words = int(counts.agg(F.sum("n_words")).first()[0] or 0)
     answers = counts.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "n", "counts"))).alias("answers"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in ("sizes", "n_vocabulary", "vocabulary", "n", "stream", "answers")}
+                row = {c: batch.column(c)[i].as_py() for c in ("target", "sizes", "n_vocabulary", "vocabulary", "n", "stream", "answers")}
                 sizes, loss = np.array(row["sizes"], np.int64), np.zeros(row["n"])
                 if row["n"]:
                     _, word, pair = _word_grams(_stream(row))
                     found = [_unpacked(a["counts"], a["n"], np.uint64, np.uint64) for a in row["answers"]]
                     n_all, n_target = (np.concatenate([f[k] for f in found]).astype(np.float64) for k in (0, 1))
-                    base, context = n_all[word] / every, np.roll(word, 1)
-                    near = (n_target[word] + STRENGTH * base) / (target + STRENGTH)
-                    loss = np.log2((n_all[pair] + STRENGTH * base) / (n_all[context] + STRENGTH)) - np.log2((n_target[pair] + STRENGTH * near) / (n_target[context] + STRENGTH))
+                    good = np.repeat(np.array(row["target"], bool), sizes)
+                    own_word, own_pair, own_size = _own(word, sizes), _own(pair, sizes), np.repeat(sizes, sizes)
+                    # Of all other rows: the word, the pair, and the word before, which is an end mark at a document's start.
+                    w, p, (tw, tp) = n_all[word] - own_word, n_all[pair] - own_pair, (n_target[x] - own * good for x, own in ((word, own_word), (pair, own_pair)))
+                    base = (w + 1) / (every - own_size + words)
+                    near = (tw + strength * base) / (target - own_size * good + strength)
+                    background = (p + strength * base) / (np.roll(w, 1) + strength)
+                    before = np.roll(n_target[word], 1) - np.roll(own_word, 1) * good
+                    loss = np.log2(background) - np.log2((tp + strength * near) / (before + strength))
                 upto, ends = np.concatenate([[0.0], np.cumsum(loss)]), np.cumsum(sizes)
                 mean = (upto[ends] - upto[ends - sizes]) / np.maximum(sizes, 1)
-                kept = [batch.column(c).slice(i, 1).flatten() for c in ("doc_id", "n_tokens", "score")]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.maximum(sizes - 1, 0)), pa.array(mean)], ["doc_id", "n_tokens", "score", "n_words", "word_score"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, 1).flatten(), pa.array(np.maximum(sizes - 1, 0)), pa.array(mean)], ["doc_id", "n_tokens", "score"])
 
-    return blocks.drop("target", "n_target").join(answers, "block", "left").mapInArrow(run, f"doc_id {kind}, n_tokens long, score double, n_words long, word_score double")
+    return blocks.drop("n_target").join(answers, "block", "left").mapInArrow(run, f"doc_id {kind}, n_tokens long, score double")
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document scored between documents of quality 1 and the whole corpus, by bytes and by words."""
+    """Every document scored between documents of quality 1 and the whole corpus."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = with_target(docs, table(spark, sf_dir, "labels").filter("quality = 1"))
-    scored = score(docs, loss_differences(count_grams(docs))).withColumn("target", F.coalesce("target", F.lit(False)))
-    return score_words(scored).withColumns({c: F.round(c, 6) for c in ("score", "word_score")})
+    return score(docs).withColumn("score", F.round("score", 6))

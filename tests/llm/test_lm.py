@@ -2,84 +2,75 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from celltrove.llm import lm
 
 from .texts import AWKWARD, documents
 
 
-def model(texts):
-    c3 = Counter()
-    for t in texts:
-        b = b"\0\0" + t
-        c3.update(zip(b, b[1:], b[2:]))
-    c2, c1, t3, t2, k3, k2 = Counter(), Counter(), Counter(), Counter(), Counter(), Counter()
-    for (a, b, c), n in c3.items():
-        c2[b, c] += n
-        t3[a, b] += n
-        k3[a, b] += 1
-    for (b, c), n in c2.items():
-        c1[c] += n
-        t2[b] += n
-        k2[b] += 1
-    total = sum(c1.values())
+def brute(rows, good):
+    """(id, words, score) of each row, from the counts of all other rows."""
+    parts = [((t or "").encode().lower().split(), d in good, d) for d, t in rows]
+    parts = [([None, *w, None] if w else [], y, d) for w, y, d in parts]
+    grams = lambda w: Counter(w[1:]) + Counter(zip(w, w[1:]))
+    n, t = Counter(), Counter()
+    for w, y, _ in parts:
+        n.update(grams(w))
+        if y:
+            t.update(grams(w))
+    every, target = (sum(len(w) - 1 for w, y, _ in parts if w and y >= k) for k in (0, 1))
+    vocabulary, s, out = sum(not isinstance(g, tuple) for g in n), lm.STRENGTH, []
+    for w, y, d in parts:
+        own, total, size = grams(w), 0.0, max(0, len(w) - 1)
+        a = lambda g: n[g] - own[g]  # noqa: B023, E731
+        b = lambda g: t[g] - own[g] * y  # noqa: B023, E731
+        for x, c in zip(w, w[1:]):
+            p = (a(c) + 1) / (every - size + vocabulary)
+            q = (b(c) + s * p) / (target - size * y + s)
+            total += math.log2((a((x, c)) + s * p) / (a(x) + s)) - math.log2((b((x, c)) + s * q) / (b(x) + s))
+        out.append((str(d), max(0, len(w) - 2), total / max(1, size)))
+    return sorted(out)
+
+
+def check(spark, save, rows, good, ids):
+    labels = spark.createDataFrame([(i, int(i in good), 0) for i in ids], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("x")).withColumn("target", F.lit(3)).withColumn("n", F.lit(3))
+    got = lm.op10_lm_score(spark, save(documents=docs, labels=labels)).collect()
+    found = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in got)
+    want = brute(rows, good)
+    assert len(found) == len(rows)
+    for a, b in zip(found, want, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=2e-5)
+
+
+@pytest.mark.parametrize(("bucket", "slice_bytes"), [(40, 3000), (lm.BUCKET, lm.SLICE_BYTES)])
+def test_scores_equal_brute_force(spark, save, monkeypatch, bucket, slice_bytes):
+    monkeypatch.setattr(lm, "BUCKET", bucket)
+    monkeypatch.setattr(lm, "SLICE_BYTES", slice_bytes)
+    # The last two share their letters and differ in words.
+    texts = AWKWARD + [f"w{i % 7} w{i % 11} shared words" for i in range(60)] + ["tone note", "note tone"] * 3 + ["eno tton", "tone note"]
+    good = {i for i in range(len(texts)) if i % 4 == 1} | {len(texts) - 1}
+    rows = list(enumerate(texts)) + [(3, "another text"), (None, "w1 w2"), (None, None), (20, texts[20])]
+    check(spark, save, rows, good, [*range(len(texts)), 1, 5])
 
-    def p(a, b, c):
-        p1 = (c1[c] + 1) / (total + 256)
-        p2 = (c2[b, c] + k2[b] * p1) / (t2[b] + k2[b]) if t2[b] else p1
-        return (c3[a, b, c] + k3[a, b] * p2) / (t3[a, b] + k3[a, b]) if t3[a, b] else p2
 
-    return p
+def test_long_text(spark, save):
+    rows = [(0, "one two three " * 200_000), (1, "two three"), (2, "four"), (3, "one two three")]
+    check(spark, save, rows, {1, 3}, range(4))
 
 
-def test_scores_equal_brute_force(spark, save):
-    texts = AWKWARD + ["clean prose here", "clean prose there", "JUNK!!! JUNK###"] * 2
-    good = {len(AWKWARD), len(AWKWARD) + 1, 4, 99}
-    labels = spark.createDataFrame([(i, 1 if i in good else 0, 0) for i in [*range(len(texts)), 99, 4]], "doc_id long, quality int, toxic int")
-    rows = lm.op10_lm_score(spark, save(documents=documents(spark, texts), labels=labels)).collect()
-    raw = [(t or "").encode() for t in texts]
-    target, every = model([t for i, t in enumerate(raw) if i in good]), model(raw)
-    assert len(rows) == len(texts)
-    for r in rows:
-        t = raw[r["doc_id"]]
-        b = b"\0\0" + t
-        want = sum(math.log2(every(*g)) - math.log2(target(*g)) for g in zip(b, b[1:], b[2:])) / max(1, len(t))
-        assert r["n_tokens"] == len(t) and r["score"] == pytest.approx(want, abs=2e-5)
+def test_repeated_documents_are_told_apart(spark, save):
+    """A text that occurs twice is likelier under the other rows than one that occurs once."""
+    texts = [" ".join(f"u{i}x{k}" for k in range(30)) for i in range(40)]
+    texts += texts[:10]
+    rows = lm.op10_lm_score(spark, save(documents=documents(spark, texts), labels=spark.createDataFrame([(15, 1, 0)], "doc_id long, quality int, toxic int"))).collect()
+    score = {r["doc_id"]: r["score"] for r in rows}
+    assert min(score[i] for i in range(10)) > max(score[i] for i in range(10, 40))
 
 
 def test_empty_tables(spark, save):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert lm.op10_lm_score(spark, save(documents=documents(spark, []), labels=labels)).count() == 0
-    assert lm.op10_lm_score(spark, save(documents=documents(spark, ["a", None]), labels=labels)).count() == 2
-
-
-def test_word_scores_equal_brute_force(spark, save, monkeypatch):
-    monkeypatch.setattr(lm, "BUCKET", 40)
-    monkeypatch.setattr(lm, "SLICE_BYTES", 3000)
-    # The last two share their letters and differ in words.
-    texts = AWKWARD + [f"w{i % 7} w{i % 11} shared words" for i in range(60)] + ["tone note", "note tone"] * 3 + ["eno tton", "tone note"]
-    good = {i for i in range(len(texts)) if i % 4 == 1} | {len(texts) - 1}
-    rows = list(enumerate(texts)) + [(3, "another text"), (None, "w1 w2"), (20, texts[20])]
-    labels = spark.createDataFrame([(i, int(i in good), 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
-    got = lm.op10_lm_score(spark, save(documents=spark.createDataFrame(rows, "doc_id long, text string"), labels=labels)).collect()
-    parts = [[(t or "").encode().lower().split(), d in good, d] for d, t in rows]
-    parts = [([None, *w, None] if w else [], y, d) for w, y, d in parts]
-    n, t = Counter(), Counter()
-    for w, y, _ in parts:
-        for c in (n, t) if y else (n,):
-            c.update(w[1:])
-            c.update(zip(w, w[1:]))
-    every, target = (sum(len(w) - 1 for w, y, _ in parts if w and y >= k) for k in (0, 1))
-    s = lm.STRENGTH
-    want = []
-    for w, _, d in parts:
-        total = 0.0
-        for b, c in zip(w, w[1:]):
-            p = n[c] / every
-            q = (t[c] + s * p) / (target + s)
-            total += math.log2((n[b, c] + s * p) / (n[b] + s)) - math.log2((t[b, c] + s * q) / (t[b] + s))
-        want.append((str(d), max(0, len(w) - 2), round(total / max(1, len(w) - 1), 4)))
-    found = sorted((str(r["doc_id"]), r["n_words"], r["word_score"]) for r in got)
-    assert len(found) == len(rows)
-    for a, b in zip(found, sorted(want), strict=True):
-        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=2e-4)
+    rows = lm.op10_lm_score(spark, save(documents=documents(spark, ["a", None]), labels=labels)).collect()
+    assert sorted(r["n_tokens"] for r in rows) == [0, 1]
