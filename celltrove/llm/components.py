@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import drop, written
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -19,12 +19,15 @@ def connected(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = written(both.filter("a <> b").distinct(), "edges")
     labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("root")), "labels")
+    last = labels
     while True:
         up = labels.select(F.col("node").alias("root"), F.col("root").alias("up"))
         jumped = labels.join(up, "root").select("node", F.least("root", "up").alias("root"))
         near = edges.join(jumped, edges["b"] == jumped["node"]).select(F.col("a").alias("node"), "root", F.lit(None).cast(jumped.schema["root"].dataType).alias("own"))
         every = near.unionByName(jumped.withColumn("own", F.col("root")))
         found = written(every.groupBy("node").agg(F.min("root").alias("root"), F.max("own").alias("own")), "labels")
-        labels = found.select("node", "root")
+        drop(last)
+        labels, last = found.select("node", "root"), found
         if not found.filter("root <> own").limit(1).count():
+            drop(edges)
             return labels

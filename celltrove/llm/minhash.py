@@ -18,7 +18,8 @@ only pairs that reach the threshold become rows, which are confirmed on the text
 all others.
 
 Texts are shuffled once (classes in shared buckets), then pairs with their texts.
-Null, empty and wordless texts have empty sets and link with nothing.  Rows are the
+Null, empty and wordless texts have empty sets and link with nothing; a text of any length
+is hashed whole.  Rows are the
 documents: repeated rows are exact copies, rows that share only an id are not linked by
 it.  A null id is greater than all others.
 """
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cuts, ship, slices, table, text_bytes, written
+from .common import cuts, drop, ship, slices, table, text_bytes, written
 from .components import connected
 
 BANDS, ROWS = 24, 3
@@ -43,6 +44,8 @@ WORDS, PERCENT = 5, 80
 LARGE = 16
 #: Classes and shingle hashes of a block of a tile.
 BLOCK, BLOCK_HASHES = 256, 1 << 18
+#: Blocks of a group that its outsiders meet in one part.
+TILES = 16
 #: Word hashes a worker keeps.
 CACHE = 200_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -165,13 +168,15 @@ def _standing(members: DataFrame, nodes: DataFrame, texts: DataFrame, roots: Dat
     at = _rooted(members, roots)
     # Per-bucket results are written first: then a hot bucket's rows can be split in the join.
     mixed = written(at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key"), "mixed-keys")
-    at = written(members.join(mixed, "key"), "mixed")
-    uniq = written(_unique_counts(at.filter(F.col("c") > LARGE), texts, size), "unique")
+    several = written(members.join(mixed, "key"), "mixed")
+    uniq = written(_unique_counts(several.filter(F.col("c") > LARGE), texts, size), "unique")
     info = nodes.join(uniq, "node", "left").select("node", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("shared"))
-    at = at.join(info, "node")
+    at = several.join(info, "node")
     # Best case: all shared shingles are met by a partner that has nothing else.
     can = (F.col("c") <= LARGE) | (100 * F.col("shared") >= percent * F.col("n"))
-    return written(at.filter(can).select("key", "node", "c", "n", "shared"), "standing")
+    standing = written(at.filter(can).select("key", "node", "c", "n", "shared"), "standing")
+    drop(mixed, several, uniq)
+    return standing
 
 
 def _rooted(rows: DataFrame, roots: DataFrame, node: str = "node", root: str = "root") -> DataFrame:
@@ -243,14 +248,22 @@ def _rest(standing: DataFrame, texts: DataFrame, roots: DataFrame, percent: int,
     """
     at = _rooted(standing, roots)
     main = at.groupBy("key").agg(F.max(F.struct(F.col("shared") / F.col("n"), "node", "root")).alias("top")).select("key", F.col("top.root").alias("main"))
-    at = written(at.join(written(main, "main"), "key").select("main", "node", "root").distinct(), "grouped")
+    main = written(main, "main")
+    at = written(at.join(main, "key").select("main", "node", "root").distinct(), "grouped")
     few = at.filter(F.col("root") != F.col("main"))
     groups = at.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"), F.max(F.col("root") != F.col("main")).alias("open"))
     groups = written(groups.filter("open").select("main", "blocks"), "groups")
-    x = written(_packed(few, groups, texts, size), "outsiders")
+    few = written(_packed(few, groups, texts, size), "outsiders")
     y = _packed(at, groups, texts, size)
-    y = written(y.select("main", *[F.col(c).alias(f"y_{c}") for c in ("nodes", "roots", "sizes", "hashes")]), "members")
-    return x.join(y, "main").repartition(F.xxhash64("nodes"), F.xxhash64("y_nodes")).mapInArrow(_tile(percent), "a binary, b binary").distinct()
+    every = written(y.select("main", *[F.col(c).alias(f"y_{c}") for c in ("nodes", "roots", "sizes", "hashes")]), "members")
+    # The blocks of a large group are dealt to several parts, each of which its outsiders meet once.
+    parts = groups.select("main", F.ceil(F.col("blocks") / F.lit(TILES)).cast("long").alias("parts"))
+    y = every.join(parts, "main").withColumn("part", F.pmod(F.xxhash64("y_nodes"), "parts")).drop("parts")
+    x = few.join(parts, "main").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    dealt = x.join(y, ["main", "part"]).drop("part").repartition(F.xxhash64("nodes"), F.xxhash64("y_nodes"))
+    pairs = written(dealt.mapInArrow(_tile(percent), "a binary, b binary").distinct(), "pairs")
+    drop(main, at, groups, few, every)
+    return pairs
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -264,9 +277,13 @@ def rooted_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS
     Components may share component_id, the least id in them, where an id has several texts; roots differ.
     """
     ship(docs.sparkSession)
-    sketches = written(sketch(docs, bands, rows, size), "sketches")
-    nodes = sketches.filter("n > 0").groupBy(F.col("set_key").alias("node")).agg(F.min("doc_id").alias("min_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    nodes = written(nodes, "classes")
+    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carried)])
+    sketches = written(sketch(hashed, bands, rows, size), "sketches")
+    # A class is represented by a row of its least id, named by id and text hash.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash")).alias("least")
+    nodes = sketches.filter("n > 0").groupBy(F.col("set_key").alias("node")).agg(least, F.first("n").alias("n"), F.first("keys").alias("keys"))
+    nodes = written(nodes.select("node", F.col("least.doc_id").alias("min_id"), F.col("least._hash").alias("min_hash"), "n", "keys"), "classes")
     bands_of = nodes.select("node", F.explode("keys").alias("key"))
     buckets = written(bands_of.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "buckets")
     shared = written(bands_of.join(buckets, "key"), "shared")
@@ -274,25 +291,27 @@ def rooted_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS
     ranked = shared.join(central, "node")
     leaders = written(ranked.groupBy("key").agg(F.max(F.struct("centre", "node")).alias("top")).select("key", F.col("top.node").alias("leader")), "leaders")
     members = written(shared.join(leaders, "key"), "members")
-    rep = members.select("node").distinct().join(nodes.select("node", "min_id"), "node")
-    # The text of a class: that of any row of its least id that has the class's set.
-    keyed = docs.select(F.col("doc_id").alias("min_id"), "text")
-    texts = keyed.join(rep, keyed["min_id"].eqNullSafe(rep["min_id"])).select("node", "text")
+    rep = members.select("node").distinct().join(nodes.select("node", "min_id", "min_hash"), "node")
+    keyed = docs.select(F.col("doc_id").alias("min_id"), F.xxhash64("text").alias("min_hash"), "text")
+    texts = keyed.join(rep, (keyed["min_hash"] == rep["min_hash"]) & keyed["min_id"].eqNullSafe(rep["min_id"])).select("node", "text")
     texts = written(_own_text(texts, size), "texts")
     pairs = members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = written(_confirmed(pairs, texts, percent, size), "links")
     roots = connected(links)
     standing = _standing(members, nodes, texts, roots, percent, size)
-    rest = written(_rest(standing, texts, roots, percent, size), "pairs")
+    rest = _rest(standing, texts, roots, percent, size)
     more = written(_confirmed(rest, texts, percent, size), "links")
     if more.limit(1).count():
         roots = connected(links.unionByName(more))
     ids = nodes.join(roots, "node", "left").select("node", "min_id", F.coalesce("root", "node").alias("root"))
     comp = written(ids.join(ids.groupBy("root").agg(F.min("min_id").alias("component_id")), "root").select(F.col("node").alias("set_key"), "component_id", "root"), "components")
-    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = sketches.select("doc_id", "n", "set_key", *carried).join(comp, "set_key", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "root", *carried)
+    own = [F.col(f"_c{i}").alias(c) for i, c in enumerate(carried)]
+    # Empty sets are kept out of the join: they would be one hot key of nulls.
+    full = sketches.filter("n > 0").join(comp, "set_key")
+    full = full.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "root", *own)
+    bare = sketches.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), F.lit(None).cast("binary").alias("root"), *own)
+    drop(nodes, buckets, shared, leaders, members, texts, links, rest, more, standing)
+    return full.unionByName(bare)
 
 
 def _own_text(rows: DataFrame, size: int) -> DataFrame:
