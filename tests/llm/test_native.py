@@ -2,6 +2,8 @@ import hashlib
 import re
 import textwrap
 
+import duckdb
+
 import pytest
 
 from celltrove.llm import decontaminate, licenses
@@ -102,6 +104,91 @@ def test_odd_spacing_passes_the_anchor_filter(spark, save):
     assert not any(" " in a for a in licenses.ANCHORS)
 
 
+def by_sql(sf):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet/*.parquet'")
+    return sorted(con.execute(licenses.oracle()).fetchall(), key=str)
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """frob is {0}free software: you can redistribute it and/or modify
+it under the terms of the GNU {1}General Public License as published by
+the Free Software Foundation, either version {2} of the License, or
+(at your option) any later version.
+
+frob is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {1}General Public License for more details."""
+BSD = """Copyright (c) 2011, Some People, Inc. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+{0}2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{1}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE."""
+ENDORSE = """3. Neither the name of Some People, Inc. nor the
+   names of its contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+
+def test_real_texts_in_comments(spark, save):
+    lead = lambda text, first, each, last: "\n".join([first, *(f"{each}{x}".rstrip() for x in text.split("\n")), last])
+    styles = [("", "", ""), ("#", "# ", "#"), ("//", "// ", "//"), ("/*", " * ", " */"), ("<!--", "  ", "-->"), (";;", ";; ", ";;"), ("", "-- ", ""), ("REM", "REM ", "REM")]
+    wanted, texts = [], []
+    for text, licence in (
+        (APACHE, "Apache-2.0"), (GPL.format("", "", 3), "GPL-3.0-or-later"), (GPL.format("", "", 2), "GPL-2.0-or-later"), (GPL.format("", "Lesser ", "2.1"), "LGPL-2.1-or-later"), (GPL.format("", "Affero ", "3"), "AGPL-3.0-or-later"),
+        (BSD.format("", ""), "BSD-2-Clause"), (BSD.format("", ENDORSE), "BSD-3-Clause"), (ISC, "ISC"), ("SPDX-License-Identifier: MPL-2.0", "MPL-2.0"),
+        ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    ):
+        for first, each, last in styles:
+            for end in ("\n", "\r\n"):
+                texts.append(f"x = 1{end}" + lead(text, first, each, last).replace("\n", end) + f"{end}y = 2")
+                wanted.append(licence)
+    texts += ["This program is free software: anyone may read it.", GPL.format("not ", "", 3).split("\n\n")[0], "You may obtain a copy of the License at home", "Redistribution and use in source and binary forms, with or without modification, are permitted."]
+    wanted += ["none"] * 4
+    sf = save(documents=documents(spark, texts))
+    rows = [tuple(r) for r in licenses.op8_licenses(spark, sf).collect()]
+    assert [(texts[i][:60], x) for i, *_, x in sorted(rows)] == [(t[:60], w) for t, w in zip(texts, wanted, strict=True)]
+    assert sorted(rows, key=str) == by_sql(sf)
+
+
+def test_licences_of_awkward_rows(spark, save):
+    said = [x for _, x in licenses.SENTENCES]
+    texts = [*AWKWARD, *said, "\n".join(said), " ".join(said), "| All rights reserved. |", "a" * 300_000 + ". All rights reserved. " + "b\n" * 100_000]
+    rows = [(i, t, 1, "x", None) for i, t in enumerate(texts)] + [(0, said[0], 1, "x", None), (0, said[0], 1, "x", None), (None, said[1], 1, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, licence int, rules string, sentences string")
+    sf = save(documents=docs)
+    found = sorted((tuple(r) for r in licenses.op8_licenses(spark, sf).collect()), key=str)
+    assert len(found) == len(rows) and found == by_sql(sf)
+    assert all(r[1] == 1 for r in found if r[0] is not None and len(AWKWARD) <= r[0] < len(AWKWARD) + len(said))
+    assert licenses.scan(docs).columns == docs.columns
+    empty = save(documents=documents(spark, []))
+    assert licenses.op8_licenses(spark, empty).count() == 0 and by_sql(empty) == []
+
+
 def test_native_plans_have_no_python(spark):
     for query in (decontaminate.op2_decontaminate, licenses.op8_licenses):
         plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
