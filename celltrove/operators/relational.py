@@ -70,8 +70,8 @@ def valid_rings(df: DataFrame, ring: str = "ring") -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """n rows of smallest key hash; all rows if there are no more.  Deterministic."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows of smallest md5 of key and seed; all rows if there are no more.  Deterministic."""
+    return df.orderBy(F.md5(F.concat_ws("_", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
 
 
 def resume(df: DataFrame, done: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -172,12 +172,26 @@ def complete(part: DataFrame, whole: DataFrame, key: Sequence[str]) -> DataFrame
     return part.unionByName(whole.join(part.select(*key).distinct(), list(key), "left_anti"), allowMissingColumns=True)
 
 
+def _paired(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, _a, _b): full outer join of the other columns as structs, cut down to the common values of every key column.
+
+    Common values of each column are those of the whole tables, not of what another column
+    has left.  All uses of the join share its exchanges, so each table is scanned once.
+    """
+    packed = lambda df, name: df.select(*key, F.struct(*[c for c in df.columns if c not in key], F.lit(True).alias("_in")).alias(name))
+    both = packed(a, "_a").join(packed(b, "_b"), list(key), "full_outer")
+    kept = both
+    for k in key:
+        seen = both.filter(F.col(k).isNotNull()).groupBy(k).agg(F.max(F.col("_a").isNotNull()).alias("_x"), F.max(F.col("_b").isNotNull()).alias("_y"))
+        kept = kept.join(seen.filter("_x AND _y").select(k), k, "left_semi")
+    return kept
+
+
 def common_keys(a: DataFrame, b: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
-    """Both tables cut down to the values each of ``keys`` has in common."""
-    for k in keys:
-        both = a.select(k).intersect(b.select(k))
-        a, b = a.join(both, k, "left_semi"), b.join(both, k, "left_semi")
-    return a, b
+    """Both tables cut down to the values each of ``keys`` has in common, each taken from the whole tables; keys are unique in each table."""
+    both = _paired(a, b, keys)
+    side = lambda df, name: both.filter(F.col(name).isNotNull()).select(*[c if c in keys else F.col(name)[c].alias(c) for c in df.columns])
+    return side(a, "_a"), side(b, "_b")
 
 
 def reindex(df: DataFrame, key: str, ids: DataFrame, id_column: str, position: str) -> DataFrame:
@@ -188,16 +202,26 @@ def reindex(df: DataFrame, key: str, ids: DataFrame, id_column: str, position: s
 
 def weighted_sum(a: DataFrame, b: DataFrame, key: Sequence[str], value: str, weight: float = 1.0) -> DataFrame:
     """a + weight * b over the common values of every key column; absent entries are 0."""
-    a, b = common_keys(a, b, *key)
-    both = a.select(*key, F.col(value).alias("_a")).join(b.select(*key, F.col(value).alias("_b")), list(key), "full_outer")
-    return both.select(*key, (F.coalesce("_a", F.lit(0.0)) + F.lit(weight) * F.coalesce("_b", F.lit(0.0))).alias(value))
+    x, y = (F.coalesce(F.col(s)[value], F.lit(0.0)) for s in ("_a", "_b"))
+    return _paired(a, b, key).select(*key, (x + F.lit(weight) * y).alias(value))
+
+
+def weighted_log_sum(a: DataFrame, b: DataFrame, cell: str, gene: str, value: str, weight: float = 1.0, target: float = 1e4) -> DataFrame:
+    """(cell, gene, value): both tables cut down to common cells and genes, normalised to ``target`` for each cell, log1p, and a + weight * b.
+
+    A cell's totals are those of its common genes; a cell without counts stays 0.
+    """
+    key = [cell, gene]
+    both = _paired(a, b, key).select(*key, *[F.coalesce(F.col(s)[value], F.lit(0.0)).cast("double").alias(s) for s in ("_a", "_b")])
+    totals = both.groupBy(cell).agg(F.sum("_a").alias("_ta"), F.sum("_b").alias("_tb"))
+    scaled = lambda x, t: F.log1p(F.when(F.col(t) > 0, F.col(x) * F.lit(target) / F.col(t)).otherwise(F.lit(0.0)))
+    return both.join(totals, cell).select(*key, (scaled("_a", "_ta") + F.lit(weight) * scaled("_b", "_tb")).alias(value))
 
 
 def difference_clipped(a: DataFrame, b: DataFrame, key: Sequence[str], value: str) -> DataFrame:
     """max(a - b, 0) over the common values of every key column; zero entries are left out."""
-    a, b = common_keys(a, b, *key)
-    both = a.select(*key, F.col(value).alias("_a")).join(b.select(*key, F.col(value).alias("_b")), list(key), "left")
-    return both.select(*key, F.greatest(F.col("_a") - F.coalesce("_b", F.lit(0.0)), F.lit(0.0)).alias(value)).filter(F.col(value) > 0)
+    rows = _paired(a, b, key).filter("_a IS NOT NULL")
+    return rows.select(*key, F.greatest(F.col("_a")[value] - F.coalesce(F.col("_b")[value], F.lit(0.0)), F.lit(0.0)).alias(value)).filter(F.col(value) > 0)
 
 
 def missing_references(rows: DataFrame, parents: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -72,11 +73,15 @@ def box_join(a: DataFrame, b: DataFrame, cell: float, a_id: str, b_id: str) -> D
     return both.filter(meets & own).select("slide_id", a_id, b_id)
 
 
-def inside(x: Column, y: Column, ring: Column) -> Column:
-    """Whether (x, y) is in a ring, by crossing number; points on an edge count as inside."""
+def edges_of(ring: Column) -> Column:
+    """Edges (ax, ay, bx, by) of a ring, the closing one included."""
     n = F.size(ring)
     after = lambda i: F.when(i + 1 < n, i + 1).otherwise(F.lit(0))
-    edges = F.transform(ring, lambda p, i: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), F.get(ring, after(i))["x"].alias("bx"), F.get(ring, after(i))["y"].alias("by")))
+    return F.transform(ring, lambda p, i: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), F.get(ring, after(i))["x"].alias("bx"), F.get(ring, after(i))["y"].alias("by")))
+
+
+def inside(x: Column, y: Column, edges: Column) -> Column:
+    """Whether (x, y) is in the ring of ``edges``, by crossing number; points on an edge count as inside."""
     cross = lambda e: (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
     within = lambda e: x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
     edge = F.exists(edges, lambda e: (cross(e) == 0) & within(e))
@@ -85,30 +90,42 @@ def inside(x: Column, y: Column, ring: Column) -> Column:
     return edge | odd
 
 
-def label_points(points: DataFrame, polygons: DataFrame, cell: float, default: str = "NoAnnot", point_id: str = "point_id") -> DataFrame:
-    """(slide_id, point_id, label) of each point (x, y): the layer of least priority that holds it, else the default.
+def points_in(points: DataFrame, polygons: DataFrame, cell: float | None = None) -> DataFrame:
+    """Points (slide_id, x, y, ...) with the columns of every polygon (slide_id, ring, ...) of their slide that holds them.
 
-    ``polygons``: slide_id, layer, priority, ring array<struct<x,y>>.  Points have one
-    bucket, polygons those their box covers, so the join is an equi-join.
+    Points have one bucket of side ``cell``, polygons those their box covers, so the join is
+    an equi-join; the box is tested in the join and the ring only after that.  Without a
+    side the mean of the polygons' longer sides is taken.
     """
     xs, ys = axes("ring")
-    boxes = polygons.filter(F.size("ring") >= 3).select("slide_id", "layer", "priority", "ring", *[F.floor(f(v) / cell).cast("bigint").alias(n) for n, f, v in (("_x0", F.array_min, xs), ("_x1", F.array_max, xs), ("_y0", F.array_min, ys), ("_y1", F.array_max, ys))])
-    spread = boxes.withColumn("_x", F.explode(F.sequence("_x0", "_x1"))).withColumn("_y", F.explode(F.sequence("_y0", "_y1"))).drop("_x0", "_x1", "_y0", "_y1")
-    at = points.withColumn("_x", F.floor(F.col("x") / cell).cast("bigint")).withColumn("_y", F.floor(F.col("y") / cell).cast("bigint"))
-    hits = at.join(spread, ["slide_id", "_x", "_y"]).filter(inside(F.col("x"), F.col("y"), F.col("ring")))
+    box = {"_xl": F.array_min(xs), "_xh": F.array_max(xs), "_yl": F.array_min(ys), "_yh": F.array_max(ys)}
+    boxes = polygons.filter(F.size("ring") >= 3).withColumns(box)
+    if cell is None:
+        cell = float(boxes.agg(F.avg(F.greatest(F.col("_xh") - F.col("_xl"), F.col("_yh") - F.col("_yl")))).first()[0] or 0) or 1.0
+    at = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("bigint")
+    spread = boxes.withColumn("_edges", edges_of(F.col("ring"))).drop("ring")
+    spread = spread.withColumn("_x", F.explode(F.sequence(at("_xl"), at("_xh")))).withColumn("_y", F.explode(F.sequence(at("_yl"), at("_yh"))))
+    p, q = points.withColumn("_x", at("x")).withColumn("_y", at("y")).alias("p"), spread.alias("q")
+    same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("slide_id", "_x", "_y")]
+    met = p.join(q, reduce(Column.__and__, [*same, F.col("x").between(F.col("_xl"), F.col("_xh")), F.col("y").between(F.col("_yl"), F.col("_yh"))]))
+    hits = met.filter(inside(F.col("x"), F.col("y"), F.col("_edges")))
+    return hits.select("p.*", *[F.col(f"q.{c}") for c in polygons.columns if c not in ("slide_id", "ring")]).drop("_x", "_y")
+
+
+def label_points(points: DataFrame, polygons: DataFrame, cell: float | None = None, default: str = "NoAnnot", point_id: str = "point_id") -> DataFrame:
+    """(slide_id, point_id, label) of each point (x, y): the layer of least priority that holds it, else the default.
+
+    ``polygons``: slide_id, layer, priority, ring array<struct<x,y>>.
+    """
+    hits = points_in(points.select("slide_id", point_id, "x", "y"), polygons.select("slide_id", "layer", "priority", "ring"), cell)
     best = hits.groupBy("slide_id", point_id).agg(F.min(F.struct("priority", "layer")).alias("_b"))
     return points.select("slide_id", point_id).join(best, ["slide_id", point_id], "left").select("slide_id", point_id, F.coalesce("_b.layer", F.lit(default)).alias("label"))
 
 
-def count_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, feature: str = "feature_name") -> DataFrame:
+def count_in_polygons(points: DataFrame, polygons: DataFrame, cell: float | None = None, feature: str = "feature_name") -> DataFrame:
     """(slide_id, cell_id, feature, count) of the points in each cell polygon; a point in two cells counts in both."""
-    named = polygons.select("slide_id", F.col("cell_id").alias("layer"), "ring")
-    xs, ys = axes("ring")
-    boxes = named.filter(F.size("ring") >= 3).select("slide_id", "layer", "ring", *[F.floor(f(v) / cell).cast("bigint").alias(n) for n, f, v in (("_x0", F.array_min, xs), ("_x1", F.array_max, xs), ("_y0", F.array_min, ys), ("_y1", F.array_max, ys))])
-    spread = boxes.withColumn("_x", F.explode(F.sequence("_x0", "_x1"))).withColumn("_y", F.explode(F.sequence("_y0", "_y1"))).drop("_x0", "_x1", "_y0", "_y1")
-    at = points.withColumn("_x", F.floor(F.col("x") / cell).cast("bigint")).withColumn("_y", F.floor(F.col("y") / cell).cast("bigint"))
-    hits = at.join(spread, ["slide_id", "_x", "_y"]).filter(inside(F.col("x"), F.col("y"), F.col("ring")))
-    return hits.groupBy("slide_id", F.col("layer").alias("cell_id"), feature).agg(F.count(F.lit(1)).alias("count"))
+    hits = points_in(points.select("slide_id", "x", "y", feature), polygons.select("slide_id", "cell_id", "ring"), cell)
+    return hits.groupBy("slide_id", "cell_id", feature).agg(F.count(F.lit(1)).alias("count"))
 
 
 def patch_counts(pairs: DataFrame, patch: Sequence[str], category: str, categories: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import relational as R
 from ..sources.readers import table
 from . import roles
-from .roles import CELLS, COUNTS
+from .roles import CELLS, COUNTS, SIDES
 
 # Fixed values of these queries: raw priorities to labels, labels to indices.
 LABELS = {"URGENT": "T_NK", "HIGH": "B_Plasma", "MEDIUM": "Myeloid"}
@@ -100,7 +100,7 @@ def anti_complete(spark, d):
 
 
 def common_cells_genes(spark, d):
-    a, _ = R.common_keys(roles.expression(spark, d), roles.expression(spark, d, True).filter("gene % 2 = 0"), "cell_id", "gene")
+    a, _ = R.common_keys(*roles.sides(spark, d), "cell_id", "gene")
     return a.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_genes"), F.sum("count").cast("bigint").alias("total"))
 
 
@@ -174,7 +174,7 @@ SQL = {
     "pred_merge_1to1": "SELECT o_orderkey, o_orderstatus, label, proba FROM orders LEFT JOIN (SELECT l_orderkey, l_partkey AS label, l_quantity AS proba FROM lineitem WHERE l_quantity > 20 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_partkey, l_suppkey, l_linenumber) = 1) ON l_orderkey = o_orderkey",
     "semi_join": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50)",
     "anti_complete": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'scored' END AS label, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS o_orderstatus FROM orders",
-    "common_cells_genes": "SELECT l_orderkey AS cell_id, count(DISTINCT l_partkey) AS n_genes, CAST(sum(l_quantity) AS BIGINT) AS total FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F' AND l_partkey % 2 = 0) AND l_partkey IN (SELECT n.l_partkey FROM lineitem n WHERE n.l_linestatus = 'F' AND n.l_partkey % 2 = 0) GROUP BY l_orderkey",
+    "common_cells_genes": f"WITH {SIDES} SELECT cell_id, count(*) AS n_genes, CAST(sum(count) AS BIGINT) AS total FROM x GROUP BY cell_id",
     "reindex": "SELECT i.id AS o_orderkey, position, o_orderstatus FROM (SELECT c_custkey * 11 % 20011 AS id, c_custkey AS position FROM customer) i LEFT JOIN orders ON id = o_orderkey",
     "union_all": "SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P')",
     "union_outer": "SELECT o_custkey, o_orderstatus, CAST(NULL AS INTEGER) AS extra FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey, NULL, 1 FROM orders WHERE o_orderstatus = 'P'",

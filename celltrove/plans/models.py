@@ -30,10 +30,6 @@ def _near(spark, d, k):
 
 
 def knn_topk(spark, d):
-    return _near(spark, d, 1)
-
-
-def knn_top10(spark, d):
     return _near(spark, d, 10)
 
 
@@ -46,12 +42,12 @@ def mfa_fusion(spark, d):
 
 
 def label_propagation(spark, d):
-    near = knn_top10(spark, d)
+    near = knn_topk(spark, d)
     return ml.label_propagation(near, "vec_id", "neighbour")
 
 
-NAMES = "pca_n95 kmeans_elbow knn_topk knn_top10 mfa_fusion label_propagation".split()
+NAMES = "pca_n95 kmeans_elbow knn_topk mfa_fusion label_propagation".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 SQL = {
-    "knn_topk": "WITH q AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT)) AS v FROM embeddings), p AS (SELECT a.vec_id, b.vec_id AS neighbour, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda t: t[1] * t[2])) AS BIGINT) AS score FROM q a JOIN q b ON a.vec_id <> b.vec_id) SELECT vec_id, CAST(1 AS INTEGER) AS rank, neighbour, score FROM p QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbour) = 1",
+    "knn_topk": "WITH q AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT)) AS v FROM embeddings), p AS (SELECT a.vec_id, b.vec_id AS neighbour, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda t: t[1] * t[2])) AS BIGINT) AS score FROM q a JOIN q b ON a.vec_id <> b.vec_id) SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbour) AS INTEGER) AS rank, neighbour, score FROM p QUALIFY rank <= 10",
 }

@@ -78,14 +78,6 @@ def unique_names(spark, d):
 def box_join(spark, d):
     from .space import boxes
 
-    b = boxes(spark, d)
-    a, c = b.filter("cell_id % 5 = 0"), b.filter("cell_id % 7 = 0").withColumnRenamed("cell_id", "other_id")
-    return S.box_join(a, c, 64.0, "cell_id", "other_id")
-
-
-def box_join_all(spark, d):
-    from .space import boxes
-
     b = boxes(spark, d)
     return S.box_join(b, b.withColumnRenamed("cell_id", "other_id"), 64.0, "cell_id", "other_id")
 
@@ -134,7 +126,7 @@ def consensus_columns(spark, d):
     return R.lookup(roles.clusters(spark, d), "cluster", W.consensus(roles.clusters(spark, d), "cluster", "label_cells").withColumn("place", F.lit(0)), "cluster", "final", "place", "combined").select("cell_id", "combined")
 
 
-NAMES = "drop_null_keys slide_slice keep_genes valid_rings sample_rows resume_slides unique_across rows_removed distinct_nonzero cumulative_share components_95 unique_names box_join box_join_all lost_parents compare_join_form scheme_categories atlas_categories scalar_functions vector_concat consensus_columns".split()
+NAMES = "drop_null_keys slide_slice keep_genes valid_rings sample_rows resume_slides unique_across rows_removed distinct_nonzero cumulative_share components_95 unique_names box_join lost_parents compare_join_form scheme_categories atlas_categories scalar_functions vector_concat consensus_columns".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _BOX = "SELECT o_custkey % 7 AS slide_id, o_orderkey AS cell_id, o_orderkey * 37 % 2940 AS xmin, o_orderkey * 101 % 2940 AS ymin, o_orderkey * 37 % 2940 + 10 + o_custkey % 50 AS xmax, o_orderkey * 101 % 2940 + 10 + o_custkey % 50 AS ymax FROM orders"
@@ -151,6 +143,7 @@ def _sql():
         "slide_slice": f"SELECT cell_id, slide_id, label1 AS first_label, label2 AS second_label FROM ({CELLS}) c WHERE slide_id = 'ASIA_s2'",
         "keep_genes": f"SELECT cell_id, gene, count FROM ({EXPR}) e WHERE gene IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO')",
         "valid_rings": "SELECT c_custkey AS cell_id FROM customer WHERE c_custkey % 10 <> 0",
+        "sample_rows": "SELECT o_orderkey FROM orders ORDER BY md5(o_orderkey || '_42'), o_orderkey LIMIT 700",
         "resume_slides": "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 0)",
         "unique_across": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P')",
         "rows_removed": "SELECT count(*) AS before, count(*) FILTER (l_quantity > 10) AS after, count(*) - count(*) FILTER (l_quantity > 10) AS removed FROM lineitem",
@@ -158,7 +151,7 @@ def _sql():
         "cumulative_share": f"SELECT l_linenumber, round(c, 6) AS cumulative FROM ({_CUM}) c",
         "components_95": f"SELECT min(l_linenumber) AS n FROM ({_CUM}) c WHERE c >= CAST(0.95 AS DOUBLE)",
         "unique_names": "SELECT p_partkey, CASE WHEN k > 0 THEN p_brand || '-' || k ELSE p_brand END AS p_brand FROM (SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS k FROM part)",
-        "box_join": f"SELECT a.slide_id, a.cell_id, b.cell_id AS other_id FROM ({_BOX}) a JOIN ({_BOX}) b ON a.slide_id = b.slide_id AND a.cell_id % 5 = 0 AND b.cell_id % 7 = 0 AND a.xmin <= b.xmax AND a.xmax >= b.xmin AND a.ymin <= b.ymax AND a.ymax >= b.ymin",
+        "box_join": f"SELECT a.slide_id, a.cell_id, b.cell_id AS other_id FROM ({_BOX}) a JOIN ({_BOX}) b ON a.slide_id = b.slide_id AND a.xmin <= b.xmax AND a.xmax >= b.xmin AND a.ymin <= b.ymax AND a.ymax >= b.ymin",
         "lost_parents": "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 4 > 0)",
         "compare_join_form": core["label_compare_outer"],
         "scheme_categories": f"SELECT cell_id, CASE l WHEN 'T_NK' THEN 'T_NK' WHEN 'Stem_like' THEN 'Dead' WHEN 'Epithelial' THEN l END AS ct_1, CASE l WHEN 'T_NK' THEN 'Lymphocyte' WHEN 'Stem_like' THEN 'Dead' WHEN 'Epithelial' THEN l END AS ct_2, CASE l WHEN 'T_NK' THEN 'Immune' WHEN 'Stem_like' THEN 'Other' WHEN 'Epithelial' THEN l END AS ct_3 FROM (SELECT cell_id, CASE label1 WHEN 'URGENT' THEN 'T_NK' WHEN 'HIGH' THEN 'Stem_like' WHEN 'LOW' THEN 'Glioblastoma' ELSE 'Epithelial' END AS l FROM ({CELLS}) c)",

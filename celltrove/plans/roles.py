@@ -31,6 +31,13 @@ def expression(spark: SparkSession, d: str, nuclei: bool = False) -> DataFrame:
     return rows.groupBy(F.col("l_orderkey").alias("cell_id"), F.col("l_partkey").alias("gene")).agg(F.sum("l_quantity").alias("count"))
 
 
+def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Cell and nucleus expression whose cells and genes overlap in part."""
+    rows = table(spark, d, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_linestatus", "l_returnflag"])
+    counted = lambda df: df.groupBy(F.col("l_orderkey").alias("cell_id"), F.col("l_partkey").alias("gene")).agg(F.sum("l_quantity").alias("count"))
+    return counted(rows.filter("l_returnflag <> 'A' AND l_partkey % 10 <> 3")), counted(rows.filter("l_linestatus = 'F' AND l_partkey % 10 <> 7"))
+
+
 def counts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem", ["l_orderkey", "l_quantity"]).groupBy(F.col("l_orderkey").alias("cell_id")).agg(F.sum("l_quantity").cast("bigint").alias("transcript_counts"))
 
@@ -46,6 +53,9 @@ def clusters(spark: SparkSession, d: str) -> DataFrame:
 SLIDES = "SELECT n_nationkey AS nation, concat(replace(r_name, ' ', '_'), '_s', CAST(n_nationkey AS VARCHAR)) AS slide_id, r_name AS tissue FROM nation JOIN region ON n_regionkey = r_regionkey"
 CELLS = f"SELECT o_orderkey AS cell_id, slide_id, nation, tissue, substr(o_orderpriority, 3) AS label1, o_orderstatus AS label2, c_mktsegment AS label3, o_totalprice AS total FROM orders JOIN customer ON o_custkey = c_custkey JOIN ({SLIDES}) s ON c_nationkey = nation"
 EXPR = "SELECT l_orderkey AS cell_id, l_partkey AS gene, sum(l_quantity) AS count FROM lineitem GROUP BY ALL"
-NUCLEI = "SELECT l_orderkey AS cell_id, l_partkey AS gene, sum(l_quantity) AS count FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL"
+_SIDE = "SELECT l_orderkey AS cell_id, l_partkey AS gene, sum(l_quantity) AS count FROM lineitem WHERE {} GROUP BY ALL"
+_KEPT = "SELECT * FROM {0} WHERE cell_id IN (SELECT cell_id FROM a) AND cell_id IN (SELECT cell_id FROM b) AND gene IN (SELECT gene FROM a) AND gene IN (SELECT gene FROM b)"
+#: Tables x and y: the two sides cut down to common cells and genes.
+SIDES = f"a AS ({_SIDE.format("l_returnflag <> 'A' AND l_partkey % 10 <> 3")}), b AS ({_SIDE.format("l_linestatus = 'F' AND l_partkey % 10 <> 7")}), x AS ({_KEPT.format('a')}), y AS ({_KEPT.format('b')})"
 COUNTS = "SELECT l_orderkey AS cell_id, CAST(sum(l_quantity) AS BIGINT) AS transcript_counts FROM lineitem GROUP BY ALL"
 CLUSTERS = f"SELECT cell_id, CAST(cell_id % 12 AS INTEGER) AS cluster, CASE WHEN label1 = 'NOT SPECIFIED' THEN 'Less10' ELSE label1 END AS label_cells, CASE WHEN label2 = 'F' THEN label1 WHEN label2 = 'P' THEN 'Unknown' ELSE 'LOW' END AS label_nuclei FROM ({CELLS}) c"

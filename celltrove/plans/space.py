@@ -76,11 +76,11 @@ def points(spark, d):
 
 
 def transcript_counts(spark, d):
-    return S.count_in_polygons(points(spark, d), polygons(spark, d), 100.0)
+    return S.count_in_polygons(points(spark, d), polygons(spark, d))
 
 
 def point_label_priority(spark, d):
-    return S.label_points(points(spark, d), polygons(spark, d), 100.0)
+    return S.label_points(points(spark, d), polygons(spark, d))
 
 
 def geometry_key_join(spark, d):

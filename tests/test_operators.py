@@ -1,5 +1,7 @@
 """Null, tie, duplicate and border rules on hand-made rows."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +175,16 @@ def test_expression(spark):
     nuc = spark.createDataFrame([(1, "g", 3.0), (2, "g", 1.0), (3, "g", 1.0)], "cell int, gene string, count double")
     assert rows(R.difference_clipped(cell, nuc, ["cell", "gene"], "count")) == [(2, "g", 3.0)]
     assert rows(R.weighted_sum(cell, nuc, ["cell", "gene"], "count", 2.0)) == [(1, "g", 7.0), (2, "g", 6.0)]
+    # A gene seen only in a dropped cell of one side is common all the same.
+    one_side = spark.createDataFrame([("c1", "g1", 5.0), ("c2", "g2", 1.0)], "cell string, gene string, count double")
+    other = spark.createDataFrame([("c1", "g1", 2.0), ("c1", "g2", 3.0)], "cell string, gene string, count double")
+    assert rows(R.weighted_sum(one_side, other, ["cell", "gene"], "count")) == [("c1", "g1", 7.0), ("c1", "g2", 3.0)]
+    logs = rows(R.weighted_log_sum(one_side, other, "cell", "gene", "count", 0.5))
+    assert [(c, g, round(v, 6)) for c, g, v in logs] == [("c1", "g1", round(math.log1p(1e4) + 0.5 * math.log1p(4000), 6)), ("c1", "g2", round(0.5 * math.log1p(6000), 6))]
+    one_side = spark.createDataFrame([("c1", "g1", 5.0), ("c1", "g2", 1.0)], "cell string, gene string, count double")
+    other = spark.createDataFrame([("c1", "g1", 2.0), ("c2", "g2", 3.0)], "cell string, gene string, count double")
+    assert rows(R.difference_clipped(one_side, other, ["cell", "gene"], "count")) == [("c1", "g1", 3.0), ("c1", "g2", 1.0)]
+    assert [rows(x) for x in R.common_keys(one_side, other, "cell", "gene")] == [[("c1", "g1", 5.0), ("c1", "g2", 1.0)], [("c1", "g1", 2.0)]]
     zero = spark.createDataFrame([("g", 1, 1.0), ("g", 2, 0.0), ("h", 1, 1.0), ("h", 2, 2.0)], "gene string, slide_id int, count double")
     assert rows(E.gene_zero_filter(zero, 3, most=2)) == [("h", 1)]
     norm = E.normalise_log1p(spark.createDataFrame([(1, "g", 0.0)], "cell int, gene string, count double"), ["cell"])

@@ -45,7 +45,5 @@ def test_entry(spark):
 
 def test_plans_have_no_product(spark):
     for name, q in registry.queries().items():
-        if name in ("rank_genes_z", "top_genes", "adjusted_p"):
-            continue  # a handful of clusters is broadcast to each gene
-        if name in registry.oracle_sql():
-            assert "CartesianProduct" not in q(spark, SF)._jdf.queryExecution().toString(), name
+        plan = q(spark, SF)._jdf.queryExecution().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
