@@ -63,12 +63,26 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, rate: flo
     return out
 
 
-def threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """Halfway below the least probability from which on the given precision is held; above 1 if it never is."""
-    order = np.argsort(-p, kind="stable")
-    hit = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-    last = np.flatnonzero((hit >= precision) & (np.append(np.diff(p[order]) < 0, True)))
-    if not len(last):
-        return 1.1
-    ranked = np.append(p[order], 0.0)
-    return float(ranked[last[-1]] + ranked[last[-1] + 1]) / 2
+@dataclass
+class Calibration:
+    """A non-decreasing step function from scores to probabilities."""
+
+    steps: np.ndarray  # least score of each step
+    values: np.ndarray
+
+    def __call__(self, p: np.ndarray) -> np.ndarray:
+        return self.values[np.maximum(np.searchsorted(self.steps, p, side="right") - 1, 0)]
+
+
+def isotonic(p: np.ndarray, y: np.ndarray) -> Calibration:
+    """Isotonic regression of ``y`` on ``p`` by pooling adjacent violators; a step of n scores with h hits stands for (h + 1/2) / (n + 1)."""
+    blocks: list[list[float]] = []  # least score, hits, number
+    for score in np.unique(p):
+        here = y[p == score]
+        blocks.append([float(score), float(here.sum()), float(len(here))])
+        while len(blocks) > 1 and blocks[-2][1] / blocks[-2][2] >= blocks[-1][1] / blocks[-1][2]:
+            _, hits, number = blocks.pop()
+            blocks[-1][1] += hits
+            blocks[-1][2] += number
+    rate = np.array([(h + 0.5) / (n + 1) for _, h, n in blocks])
+    return Calibration(np.array([b[0] for b in blocks]), np.maximum.accumulate(rate))
