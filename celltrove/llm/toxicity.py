@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cuts, table, text_bytes, written
+from .common import cuts, drop, table, text_bytes, written
 from .decontaminate import words
 
 MAX_TRAIN = 20_000
@@ -113,6 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
         above = max(1, scores.filter(F.col("s") >= level).count())
         model.log_k = math.log(above) + model.scale * level - math.log(max(1, size["words"] or 0))
     pairs = raw.select("y", _evidence_of(F.col("n"), F.col("scores"), model).alias("x")).orderBy("y", "x").toArrow()  # at most max_train rows
+    drop(train, raw)
     if not len(pairs):
         return model
     x, y = pairs["x"].to_numpy(), pairs["y"].to_numpy().astype(float)
