@@ -17,13 +17,11 @@ documents.  Every stage works on all that its predecessor kept:
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from celltrove.llm import bpe, decontaminate, minhash, pii, toxicity
-from celltrove.llm.common import scratch_dir, ship, table
+from celltrove.llm.common import drop, ship, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -79,8 +77,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = f"{scratch_dir(spark)}/celltrove-pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
-        docs = spark.read.parquet(path)
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop(before)  # what the stage before wrote; the documents themselves stay
     name, stage = STAGES[-1]
     return stage(spark, docs, sf_dir)
