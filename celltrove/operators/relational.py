@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
+from .numbering import row_numbers
 
 #: Dictionary sides up to this many rows are broadcast; larger ones are left to the optimizer.
 BROADCAST_ROWS = 1_000_000
@@ -271,6 +272,5 @@ def dedup_first(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
 
 
 def unique_names(df: DataFrame, column: str, order: str) -> DataFrame:
-    """Repeated names get '-1', '-2', ... from the second on."""
-    n = F.row_number().over(Window.partitionBy(column).orderBy(order)) - 1
-    return df.withColumn("_n", n).withColumn(column, F.when(F.col("_n") > 0, F.concat_ws("-", column, "_n")).otherwise(F.col(column).cast("string"))).drop("_n")
+    """Repeated names get '-1', '-2', ... from the second on; a name of any frequency is numbered in parts."""
+    return row_numbers(df, [column], [order], "_n").withColumn(column, F.when(F.col("_n") > 0, F.concat_ws("-", column, "_n")).otherwise(F.col(column).cast("string"))).drop("_n")

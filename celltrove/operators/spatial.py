@@ -80,6 +80,11 @@ def edges_of(ring: Column) -> Column:
     return F.transform(ring, lambda p, i: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), F.get(ring, after(i))["x"].alias("bx"), F.get(ring, after(i))["y"].alias("by")))
 
 
+def area(ring: Column) -> Column:
+    """Area of a ring, whichever way it runs."""
+    return F.abs(F.aggregate(edges_of(ring), F.lit(0.0), lambda a, e: a + (e["ax"] * e["by"] - e["bx"] * e["ay"]).cast("double"))) / 2
+
+
 def inside(x: Column, y: Column, edges: Column) -> Column:
     """Whether (x, y) is in the ring of ``edges``, by crossing number; points on an edge count as inside."""
     cross = lambda e: (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])

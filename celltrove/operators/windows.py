@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import row_numbers
+
 from .aggregates import disagreement, top_shares
 from .relational import map_literal
 
@@ -32,36 +34,49 @@ def vote(df: DataFrame, counts: Column, names: Sequence[str], background: str =
 def order_statistics(df: DataFrame, column: str, ranks: Sequence[int], collect: int = COLLECT) -> dict[int, float]:
     """Exact values at the given ranks (from 0) of the non-null values, by narrowing brackets (actions).
 
-    Each round counts the values up to a few hundred cut points in one map-side
-    combined aggregation, and keeps for each rank the bracket that holds it; a bracket
-    of at most ``collect`` distinct values is finished by counting them.
+    A round takes two passes for all open brackets together: approximate quantiles of each,
+    and the exact numbers between those cuts, both combined map-side.  Each rank keeps the
+    bracket that holds it; brackets of at most ``collect`` rows in all are finished by
+    counting their values.
     """
     rows = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL")
-    low, high = rows.agg(F.min("x"), F.max("x")).first()
+    low, high, n = rows.agg(F.min("x"), F.max("x"), F.count(F.lit(1))).first()
     found: dict[int, float] = {}
-    open_: dict[tuple[float, float], list[int]] = {(low, high): sorted(set(ranks))}
+    # (lo, hi): values below lo, values in it, ranks wanted.
+    open_ = {(low, high): (0, n, sorted(set(ranks)))}
+
+    def bracket():
+        return F.coalesce(*[F.when(F.col("x").between(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(open_)])
+
     while open_:
-        (lo, hi), wanted = open_.popitem()
-        inside = rows.filter(F.col("x").between(lo, hi))
-        below = rows.filter(F.col("x") < lo).count() if lo > low else 0
-        if inside.select("x").distinct().limit(collect + 1).count() <= collect:
+        inside = rows.withColumn("b", bracket()).filter("b IS NOT NULL")
+        if sum(size for _, size, _ in open_.values()) <= collect:
+            values = sorted(map(tuple, inside.groupBy("b", "x").agg(F.count(F.lit(1))).collect()))
+            for i, (below, _, wanted) in enumerate(open_.values()):
+                upto = below
+                for _, value, k in (v for v in values if v[0] == i):
+                    found |= {r: value for r in wanted if upto <= r < upto + k}
+                    upto += k
+            break
+        shares = F.lit([i / 64 for i in range(65)])
+        cuts = {i: sorted({lo, hi}) for i, (lo, hi) in enumerate(open_)}
+        for b, some in inside.groupBy("b").agg(F.percentile_approx("x", shares, F.lit(2000))).collect():
+            cuts[b] = sorted({*cuts[b], *some})
+        at = F.coalesce(*[F.when(F.col("b") == i, F.array_size(F.filter(F.lit(c), lambda e: e < F.col("x")))) for i, c in cuts.items()])
+        parts = {(b, k): own for b, k, *own in map(tuple, inside.groupBy("b", at.alias("k")).agg(F.count(F.lit(1)), F.min("x"), F.max("x")).collect())}
+        narrower = {}
+        for i, (below, _, wanted) in enumerate(open_.values()):
             upto = below
-            for value, n in sorted(map(tuple, inside.groupBy("x").agg(F.count(F.lit(1))).collect())):
-                found |= {r: value for r in wanted if upto <= r < upto + n}
-                upto += n
-            continue
-        cuts = sorted({lo, hi, *inside.approxQuantile("x", [i / 128 for i in range(129)], 1e-3)})
-        at = F.array_size(F.filter(F.lit(cuts), lambda c: c < F.col("x")))
-        counts, upto = dict(map(tuple, inside.groupBy(at.alias("b")).agg(F.count(F.lit(1))).collect())), below
-        for i, cut in enumerate(cuts):  # bucket i holds the values above cut i - 1, up to cut i
-            n = counts.get(i, 0)
-            if here := [r for r in wanted if upto <= r < upto + n]:
-                start = math.nextafter(cuts[i - 1], math.inf) if i else lo
-                if start == cut:
-                    found |= dict.fromkeys(here, cut)
-                else:
-                    open_[start, cut] = here
-            upto += n
+            for k in range(len(cuts[i])):  # part k holds the values above cut k - 1, up to cut k
+                m, least, most = parts.get((i, k), (0, 0.0, 0.0))
+                if here := [r for r in wanted if upto <= r < upto + m]:
+                    # The least value of a bracket is a cut, so brackets get narrower in every round.
+                    if least == most:
+                        found |= dict.fromkeys(here, least)
+                    else:
+                        narrower[least, most] = (upto, m, here)
+                upto += m
+        open_ = narrower
     return found
 
 
@@ -94,10 +109,10 @@ def top_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: in
 def category_codes(df: DataFrame, column: str, out: str = "code") -> DataFrame:
     """Dense code from 0 of the sorted values, -1 for null.
 
-    Ranks are given to the distinct values, which are few, and joined back.
+    The distinct values are numbered by ranges, however many they are, and joined back.
     """
     values = df.select(F.col(column).alias("_v")).filter("_v IS NOT NULL").distinct()
-    coded = values.withColumn("_c", F.row_number().over(Window.orderBy("_v")) - 1)
+    coded = row_numbers(values, [], ["_v"], "_c").withColumn("_c", F.col("_c").cast("int"))
     return df.join(coded, df[column] == coded["_v"], "left").withColumn(out, F.coalesce("_c", F.lit(-1))).drop("_v", "_c")
 
 

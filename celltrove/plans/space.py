@@ -102,7 +102,31 @@ def instance_map(spark, d):
     return W.instance_map(px, ["patch_id"], "row", "col", "channel", "value")
 
 
-NAMES = "patch_grid patch_cell_bbox cells_per_patch patch_cell_count patch_metric_range patch_veto_unknown transcript_counts point_label_priority geometry_key_join affine instance_map".split()
+def _box_ring(shift_x=0, shift_y=0, scale=1.0):
+    at = lambda x, y: F.struct(((F.col(x) - shift_x) / F.lit(scale)).cast("double").alias("x"), ((F.col(y) - shift_y) / F.lit(scale)).cast("double").alias("y"))
+    return F.array(at("xmin", "ymin"), at("xmax", "ymin"), at("xmax", "ymax"), at("xmin", "ymax"))
+
+
+def patch_cell_clip(spark, d):
+    """Exact refinement: the part of each cell in each patch it meets, and its area."""
+    cells = boxes(spark, d).withColumn("ring", _box_ring()).drop("o_orderstatus")
+    pairs = S.grid_cells(cells).select("slide_id", "i", "k", "cell_id", "ring").join(grid(spark, d), ["slide_id", "i", "k"])
+    clipped = S.clip_to_patch(pairs).withColumn("area", S.area(F.col("clipped")))
+    return clipped.filter("area > 0").select("slide_id", "patch_id", "cell_id", F.size("clipped").alias("corners"), "area")
+
+
+PIXEL = 8
+
+
+def rasterise_cells(spark, d):
+    """Cells drawn in their patches, in pixels of PIXEL x PIXEL, one channel for each status."""
+    channel = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    cells = boxes(spark, d).withColumn("channel", channel).withColumn("value", F.col("cell_id") % 1000 + 1)
+    pairs = S.grid_cells(cells).join(grid(spark, d).select("slide_id", "i", "k", "patch_id", F.col("xmin").alias("px"), F.col("ymin").alias("py")), ["slide_id", "i", "k"])
+    return S.rasterise(pairs.withColumn("ring", _box_ring(F.col("px"), F.col("py"), float(PIXEL))), S.WIDTH // PIXEL)
+
+
+NAMES = "patch_cell_clip rasterise_cells patch_grid patch_cell_bbox cells_per_patch patch_cell_count patch_metric_range patch_veto_unknown transcript_counts point_label_priority geometry_key_join affine instance_map".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _BOX = f"SELECT o_custkey % 7 AS slide_id, o_orderkey AS cell_id, o_orderstatus, o_orderkey * 37 % {SIDE - 60} AS xmin, o_orderkey * 101 % {SIDE - 60} AS ymin, o_orderkey * 37 % {SIDE - 60} + 10 + o_custkey % 50 AS xmax, o_orderkey * 101 % {SIDE - 60} + 10 + o_custkey % 50 AS ymax FROM orders"
@@ -114,6 +138,8 @@ _INSIDE = "CASE WHEN cell_id % 2 = 0 THEN 40 * (p.y - y0) - 10 * (p.x - x0) >= 0
 _HIT = f"SELECT p.*, q.cell_id, q.cell_id % 3 AS priority FROM ({_POINT}) p JOIN (SELECT c_custkey AS cell_id, c_custkey % 5 AS slide_id, c_custkey * 53 % 900 AS x0, c_custkey * 71 % 900 AS y0 FROM customer) q ON p.slide_id = q.slide_id AND {_INSIDE}"
 SQL = {
     "patch_grid": f"SELECT *, slide_id || '_' || patch_id AS name FROM ({_GRID}) g",
+    "patch_cell_clip": f"SELECT slide_id, patch_id, cell_id, CAST(4 AS INTEGER) AS corners, CAST(w AS DOUBLE) * h AS area FROM (SELECT g.slide_id, g.patch_id, b.cell_id, least(b.xmax, g.xmax) - greatest(b.xmin, g.xmin) AS w, least(b.ymax, g.ymax) - greatest(b.ymin, g.ymin) AS h FROM ({_GRID}) g JOIN ({_BOX}) b ON g.slide_id = b.slide_id AND b.xmin < g.xmax AND b.xmax > g.xmin AND b.ymin < g.ymax AND b.ymax > g.ymin)",
+    "rasterise_cells": f"WITH p AS (SELECT g.slide_id, g.patch_id, CASE b.o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS channel, b.cell_id % 1000 + 1 AS value, (b.xmin - g.xmin) / CAST({PIXEL} AS DOUBLE) AS x0, (b.xmax - g.xmin) / CAST({PIXEL} AS DOUBLE) AS x1, (b.ymin - g.ymin) / CAST({PIXEL} AS DOUBLE) AS y0, (b.ymax - g.ymin) / CAST({PIXEL} AS DOUBLE) AS y1 FROM ({_GRID}) g JOIN ({_BOX}) b ON g.slide_id = b.slide_id AND b.xmin <= g.xmax AND b.xmax >= g.xmin AND b.ymin <= g.ymax AND b.ymax >= g.ymin), n AS (SELECT CAST(unnest(range(256 // {PIXEL})) AS INTEGER) AS v) SELECT slide_id, patch_id, r.v AS row, c.v AS col, channel, max(value) AS value FROM p JOIN n r ON r.v + CAST(0.5 AS DOUBLE) >= y0 AND r.v + CAST(0.5 AS DOUBLE) < y1 JOIN n c ON c.v + CAST(0.5 AS DOUBLE) BETWEEN x0 AND x1 GROUP BY ALL",
     "patch_cell_bbox": f"SELECT slide_id, patch_id, cell_id FROM ({_PAIR}) p",
     "cells_per_patch": f"SELECT slide_id, patch_id, string_agg(CAST(cell_id AS VARCHAR), ',' ORDER BY cell_id) AS cells FROM ({_PAIR}) p GROUP BY ALL",
     "patch_cell_count": f"SELECT slide_id, patch_id, count(*) FILTER (o_orderstatus = 'F') AS \"F\", count(*) FILTER (o_orderstatus = 'O') AS \"O\", count(*) FILTER (o_orderstatus = 'P') AS \"P\" FROM ({_PAIR}) p GROUP BY ALL",

@@ -51,8 +51,8 @@ def json_entries(spark: SparkSession, path: str, value: str = "string") -> DataF
 def yaml_classes(spark: SparkSession, path: str, section: str = "nuclei_types") -> DataFrame:
     """(index, name) of a YAML class map of one level below ``section``, name and index exchanged."""
     lines = F.split(F.col("value"), "\n")
-    text = spark.read.text(path, wholetext=True).select(F.posexplode(lines).alias("at", "line"))
-    file = text.withColumn("top", F.last(F.when(F.col("line").rlike("^[A-Za-z_]"), F.regexp_extract("line", "^([A-Za-z_][\\w ]*):", 1)), ignorenulls=True).over(Window.orderBy("at")))
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(lines).alias("at", "line"))
+    file = text.withColumn("top", F.last(F.when(F.col("line").rlike("^[A-Za-z_]"), F.regexp_extract("line", "^([A-Za-z_][\\w ]*):", 1)), ignorenulls=True).over(Window.partitionBy("file").orderBy("at")))
     entry = r"^\s+[\"']?([^:\"']+)[\"']?\s*:\s*([0-9]+)\s*$"
     return file.filter((F.col("top") == section) & F.col("line").rlike(entry)).select(F.regexp_extract("line", entry, 2).cast("int").alias("index"), F.trim(F.regexp_extract("line", entry, 1)).alias("name"))
 
@@ -80,8 +80,16 @@ def matrix_market(spark: SparkSession, matrix: str, rows: str, columns: str) ->
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(number from 1, name): lines of one text file of names in order."""
-    return spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("at", "name")).select((F.col("at") + 1).cast("bigint").alias("number"), "name")
+    """(number from 1, name): lines of one text file of names in order, a file of any size in its splits.
+
+    Lines are numbered within their split and moved by the lines of the splits before it.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"), F.col("value").alias("name"))
+    sizes = lines.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    moved = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_b").orderBy("_m"))
+    return lines.withColumn("_own", own).join(moved, "_b").select((F.col("_own") + F.col("_before")).cast("bigint").alias("number"), "name")
 
 
 def files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
