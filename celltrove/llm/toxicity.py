@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
         level = tops["s"] if tops["n"] == place else 0.0
         above = max(1, scores.filter(F.col("s") >= level).count())
         model.log_k = math.log(above) + model.scale * level - math.log(max(1, size["words"] or 0))
-    pairs = raw.select("y", _evidence_of(F.col("n"), F.col("scores"), model).alias("x")).orderBy("y", "x").toArrow()  # at most max_train rows
+    pairs = raw.select("y", _evidence_of(F.col("n"), F.col("scores"), model).alias("x")).toArrow().sort_by([("y", "ascending"), ("x", "ascending")])  # at most max_train rows
     drop(train, raw)
     if not len(pairs):
         return model
