@@ -77,7 +77,7 @@ def test_calibrated_probabilities_hold():
     assert np.mean((p - y) ** 2) < 0.05
 
 
-# Written by hand, apart from the generator: texts with the personal data in them.
+# Written by hand: texts with the personal data in them.  The forms AKIA and ghp_, missed at first, were then added to the generator.
 LABELLED = [
     ("Hi Anna, you can reach my office at (415) 555-0132 until five.", ["(415) 555-0132"]),
     ("Please phone 212-555-0187 and ask for Mr. Lee.", ["212-555-0187"]),
