@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, licenses, lm, minhash, pii, suffix_dedup, topk, toxicity
+from . import bpe, chat, decontaminate, licenses, lm, minhash, negatives, pii, suffix_dedup, topk, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_licenses": licenses.op8_licenses,
         "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_lm_score": lm.op10_lm_score,
+        "op11_negatives": negatives.op11_negatives,
     }
 
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_minhash": minhash.ORACLE,
         "op8_licenses": licenses.oracle(),
         "op9_suffix_dedup": suffix_dedup.ORACLE,
+        "op11_negatives": negatives.ORACLE,
     }

@@ -31,11 +31,11 @@ BLOCK, SHARD = 512, 2048
 FAN_IN = 16
 
 
-def quantise(vectors: DataFrame, scale: int = 256, vec: str = "embedding", key: str = "vec_id") -> DataFrame:
-    """(vec_id, q array<long>): floor(scale * x) in double arithmetic; rows that take no part are dropped."""
+def quantise(vectors: DataFrame, scale: int = 256, vec: str = "embedding", key: str = "vec_id", also: tuple[str, ...] = ()) -> DataFrame:
+    """(vec_id, ``also``, q array<long>): floor(scale * x) in double arithmetic; rows that take no part are dropped."""
     x = F.col(vec).cast("array<double>")
     whole = x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
-    return vectors.filter(whole & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * F.lit(float(scale))).cast("long")).alias("q"))
+    return vectors.filter(whole & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("vec_id"), *also, F.transform(x, lambda v: F.floor(v * F.lit(float(scale))).cast("long")).alias("q"))
 
 
 def numbered(rows: DataFrame) -> DataFrame:
