@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, licenses, lm, minhash, negatives, pii, suffix_dedup, topk, toxicity
+from . import bpe, chat, decontaminate, licenses, lm, minhash, negatives, packing, pii, suffix_dedup, topk, toxicity
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_lm_score": lm.op10_lm_score,
         "op11_negatives": negatives.op11_negatives,
+        "op12_packing": packing.op12_packing,
     }
 
 
