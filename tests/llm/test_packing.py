@@ -13,7 +13,7 @@ from celltrove.llm import packing
 
 from .texts import AWKWARD, documents
 
-ODD = ["a\xa0b \xa0 c\xa0\n d", "x\x1c y\x1f\x1f  z", "<|endoftext|> a<|endoftext|>", "  lead　 ", "a \n b\n  c\t\td   ", "it's l'été  '", "!!\n\n??  \r\n\r\n x", "word" * 40_000, "\n".join(f"line {i} of a long text, 12{i}" for i in range(9000))]
+ODD = ["a\xa0b \xa0 c\xa0\n d", "x\x1c y\x1f\x1f  z", "<|endoftext|> a<|endoftext|>", "  lead　 ", "a \n b\n  c\t\td   ", "it's l'été  '", "!!\n\n??  \r\n\r\n x", "word" * 40_000, "a" + " " * 300_000 + "\n" * 2000 + "b", "\n".join(f"line {i} of a long text, 12{i}" for i in range(9000))]
 
 
 @pytest.fixture(scope="module")
@@ -61,6 +61,20 @@ def test_whole_documents_come_back(spark, tokenizer):
     assert sorted(got) == sorted((i, expected(tokenizer, t)) for part in (texts, ["again", "again", None]) for i, t in enumerate(part))
 
 
+def test_ids_are_the_library_s_for_every_character(tokenizer):
+    encode = packing._encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    for start in range(0, 0x110000, 256):
+        text = "".join(f"a{c}b {c} {c}1{c}{c}\n" for c in map(chr, range(start, start + 256)) if not "\ud800" <= c <= "\udfff")
+        assert encode(text) == struct.pack(f"<{len(ids := tokenizer.encode(text, add_special_tokens=False).ids)}I", *ids), start
+
+
+def test_other_tokenizers_go_to_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode = packing._encoder(path, public_tokenizers.PATTERN)
+    ids = Tokenizer.from_file(path).encode("Some words, 12.", add_special_tokens=False).ids
+    assert encode("Some words, 12.") == struct.pack(f"<{len(ids)}I", *ids)
+
+
 def test_query_on_the_given_columns(spark, save, tokenizer):
     df = documents(spark, AWKWARD).withColumn("doc_id", F.when(F.col("doc_id") != 3, F.col("doc_id")))
     for c in ("row", "start", "length", "ids", "key", "offset", "sequence_id", "step_group"):
