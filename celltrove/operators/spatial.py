@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 WIDTH, OVERLAP = 256, 64
 
@@ -95,26 +94,39 @@ def inside(x: Column, y: Column, edges: Column) -> Column:
     return edge | odd
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than the cluster has cores; larger ones stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def points_in(points: DataFrame, polygons: DataFrame, cell: float | None = None) -> DataFrame:
     """Points (slide_id, x, y, ...) with the columns of every polygon (slide_id, ring, ...) of their slide that holds them.
 
-    Points have one bucket of side ``cell``, polygons those their box covers, so the join is
-    an equi-join; the box is tested in the join and the ring only after that.  Without a
-    side the mean of the polygons' longer sides is taken.
+    Polygons are put in classes by size, each a grid whose side is the power of two (times
+    ``cell``, if given) that is not less than their box; so one covers at most four buckets, whatever
+    the other sizes are.  A point has a bucket in each class, and the join is an equi-join.  One
+    condition tests the box first and the ring only where the box holds the point.
+    Points without a place, and polygons of fewer than three points or with one missing, meet nothing.
     """
+    base = float(cell or 1.0)
     xs, ys = axes("ring")
     box = {"_xl": F.array_min(xs), "_xh": F.array_max(xs), "_yl": F.array_min(ys), "_yh": F.array_max(ys)}
-    boxes = polygons.filter(F.size("ring") >= 3).withColumns(box)
-    if cell is None:
-        cell = float(boxes.agg(F.avg(F.greatest(F.col("_xh") - F.col("_xl"), F.col("_yh") - F.col("_yl")))).first()[0] or 0) or 1.0
-    at = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("bigint")
-    spread = boxes.withColumn("_edges", edges_of(F.col("ring"))).drop("ring")
-    spread = spread.withColumn("_x", F.explode(F.sequence(at("_xl"), at("_xh")))).withColumn("_y", F.explode(F.sequence(at("_yl"), at("_yh"))))
-    p, q = points.withColumn("_x", at("x")).withColumn("_y", at("y")).alias("p"), spread.alias("q")
-    same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("slide_id", "_x", "_y")]
-    met = p.join(q, reduce(Column.__and__, [*same, F.col("x").between(F.col("_xl"), F.col("_xh")), F.col("y").between(F.col("_yl"), F.col("_yh"))]))
-    hits = met.filter(inside(F.col("x"), F.col("y"), F.col("_edges")))
-    return hits.select("p.*", *[F.col(f"q.{c}") for c in polygons.columns if c not in ("slide_id", "ring")]).drop("_x", "_y")
+    whole = (F.size("ring") >= 3) & F.forall("ring", lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+    boxes = polygons.filter(whole).withColumns(box)
+    side = F.greatest(F.col("_xh") - F.col("_xl"), F.col("_yh") - F.col("_yl"), F.lit(base)).cast("double")
+    boxes = boxes.withColumn("_class", F.ceil(F.log2(side / base) - 1e-9).cast("int"))
+    # Bounded by the exponents of a double; some twenty on a slide.
+    classes = sorted(boxes.agg(F.collect_set("_class")).first()[0])
+    at = lambda c: F.floor(F.col(c) / (F.lit(base) * F.pow(F.lit(2.0), "_class"))).cast("bigint")
+    buckets = boxes.withColumn("_edges", edges_of(F.col("ring"))).drop("ring")
+    buckets = buckets.withColumn("_x", F.explode(F.sequence(at("_xl"), at("_xh")))).withColumn("_y", F.explode(F.sequence(at("_yl"), at("_yh"))))
+    spread = spread_rows(points).withColumn("_class", F.explode(F.array(*map(F.lit, classes)).cast("array<int>"))).withColumn("_x", at("x")).withColumn("_y", at("y"))
+    p, q = spread.alias("p"), buckets.alias("q")
+    same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("slide_id", "_class", "_x", "_y")]
+    held = F.when(F.col("x").between(F.col("_xl"), F.col("_xh")) & F.col("y").between(F.col("_yl"), F.col("_yh")), inside(F.col("x"), F.col("y"), F.col("_edges"))).otherwise(F.lit(False))
+    hits = p.join(q, reduce(Column.__and__, [*same, held]))
+    return hits.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"q.{c}") for c in polygons.columns if c not in ("slide_id", "ring")])
 
 
 def label_points(points: DataFrame, polygons: DataFrame, cell: float | None = None, default: str = "NoAnnot", point_id: str = "point_id") -> DataFrame:
@@ -140,64 +152,48 @@ def patch_counts(pairs: DataFrame, patch: Sequence[str], category: str, categori
     return checked.filter("_ok").groupBy(*patch).agg(*[F.count_if(F.col(category) == c).alias(c) for c in categories])
 
 
-def clip_ring(ring: list[tuple[float, float]], box: tuple[float, float, float, float]) -> list[tuple[float, float]]:
-    """A ring cut to a box, side by side; empty where they do not meet."""
-    xmin, ymin, xmax, ymax = box
-    for axis, limit, sign in ((0, xmin, 1), (0, xmax, -1), (1, ymin, 1), (1, ymax, -1)):
-        out = []
-        for a, b in zip(ring, ring[1:] + ring[:1], strict=True):
-            da, db = sign * (a[axis] - limit), sign * (b[axis] - limit)
-            if da >= 0:
-                out.append(a)
-            if da * db < 0:
-                t = da / (da - db)
-                out.append((a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])))
-        ring = out
-        if not ring:
-            break
-    return ring
-
-
-def _rings(column: pa.Array) -> list[list[tuple[float, float]]]:
-    return [[(p["x"], p["y"]) for p in r or ()] for r in column.to_pylist()]
-
-
 def clip_to_patch(pairs: DataFrame, out: str = "clipped") -> DataFrame:
-    """Add the part of ``ring`` inside the patch box (xmin..ymax); pairs whose part is empty go."""
+    """Add the part of ``ring`` inside the patch box (xmin..ymax), cut side by side; pairs whose part is empty go.
+
+    The area is exact for every ring; the parts of a concave one stay joined by edges along the side.
+    """
+    kind = "array<struct<x: double, y: double>>"
+    rows = pairs.withColumn(out, F.coalesce(F.col("ring").cast(kind), F.array().cast(kind)))
+    for axis, limit, sign in (("x", "xmin", 1), ("x", "xmax", -1), ("y", "ymin", 1), ("y", "ymax", -1)):
+        over = lambda e, p: (e[f"{p}{axis}"] - F.col(limit)) * sign  # noqa: B023, E731
+        crossing = lambda e, c: e[f"a{c}"] + over(e, "a") / (over(e, "a") - over(e, "b")) * (e[f"b{c}"] - e[f"a{c}"])  # noqa: B023, E731
+        none = F.array().cast(kind)
 
-    @F.arrow_udf("array<struct<x: double, y: double>>")
-    def clip(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for ring, *box in columns:
-            parts = [clip_ring(r, b) for r, b in zip(_rings(ring), zip(*(c.to_pylist() for c in box), strict=True), strict=True)]
-            yield pa.array([[{"x": float(x), "y": float(y)} for x, y in p] for p in parts], pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+        def kept(e: Column) -> Column:
+            own = F.when(over(e, "a") >= 0, F.array(F.struct(e["ax"].alias("x"), e["ay"].alias("y")))).otherwise(none)  # noqa: B023
+            cut = F.when(over(e, "a") * over(e, "b") < 0, F.array(F.struct(crossing(e, "x").alias("x"), crossing(e, "y").alias("y")))).otherwise(none)  # noqa: B023
+            return F.concat(own, cut)
 
-    return pairs.withColumn(out, clip("ring", "xmin", "ymin", "xmax", "ymax")).filter(F.size(out) > 0)
+        # As a generator, so that no later filter is pushed below the step and writes it out again.
+        rows = rows.withColumn(out, F.explode(F.filter(F.array(F.flatten(F.transform(edges_of(F.col(out)), kept))), lambda r: F.size(r) > 0)))
+    return rows
 
 
-def rasterise(rings: DataFrame, width: int = WIDTH) -> DataFrame:
+def rasterise(rings: DataFrame, width: int = WIDTH, order: str | None = None) -> DataFrame:
     """(slide_id, patch_id, row, col, channel, value): pixels whose centre is in the ring of (patch, channel, value).
 
-    Rings are in patch coordinates; of several cells on a pixel of a channel the greatest value stays.
+    ``ring`` is one ring or an array of rings, by the even-odd rule, so holes and several parts are
+    drawn as such.  Rings are in patch coordinates.  Of several cells on a pixel of a channel the one of
+    the greatest ``order`` (ties: the greater value) stays, without an order the greatest value.
     """
-
-    @F.arrow_udf("array<struct<row: int, col: int>>")
-    def fill(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for ring in columns:
-            out = []
-            for r in _rings(ring):
-                pixels = []
-                if len(r) >= 3:
-                    p = np.array(r)
-                    q = np.roll(p, -1, 0)
-                    for row in range(max(0, int(np.floor(p[:, 1].min()))), min(width, int(np.ceil(p[:, 1].max())))):
-                        y = row + 0.5
-                        cut = (p[:, 1] > y) != (q[:, 1] > y)
-                        x = np.sort(p[cut, 0] + (y - p[cut, 1]) * (q[cut, 0] - p[cut, 0]) / (q[cut, 1] - p[cut, 1]))
-                        for a, b in zip(x[::2], x[1::2], strict=False):
-                            pixels += [{"row": row, "col": c} for c in range(max(0, int(np.ceil(a - 0.5))), min(width, int(np.floor(b - 0.5)) + 1))]
-                out.append(pixels)
-            yield pa.array(out, pa.list_(pa.struct([("row", pa.int32()), ("col", pa.int32())])))
-
     key = ["slide_id", "patch_id", "channel"]
-    shown = rings.select(*key, "value", F.explode(fill("ring")).alias("_p")).select(*key, "value", "_p.row", "_p.col")
-    return shown.groupBy("slide_id", "patch_id", "row", "col", "channel").agg(F.max("value").alias("value"))
+    nested = isinstance(rings.schema["ring"].dataType.elementType, ArrayType)
+    parts = F.col("ring") if nested else F.array("ring")
+    edges = F.flatten(F.transform(F.filter(parts, lambda r: F.size(r) >= 3), edges_of))
+    shown = rings.select(*key, "value", F.col(order).alias("_order") if order else F.lit(0).alias("_order"), edges.alias("_edges")).filter(F.size("_edges") > 0)
+    ys = F.transform("_edges", lambda e: e["ay"].cast("double"))
+    low, high = F.greatest(F.floor(F.array_min(ys)), F.lit(0)), F.least(F.ceil(F.array_max(ys)), F.lit(width)) - 1
+    shown = shown.withColumn("row", F.explode(F.when(low <= high, F.sequence(low, high)))).withColumn("_y", F.col("row") + 0.5)
+    crosses = F.filter("_edges", lambda e: (e["ay"] > F.col("_y")) != (e["by"] > F.col("_y")))
+    xs = F.array_sort(F.transform(crosses, lambda e: (e["ax"] + (F.col("_y") - e["ay"]) * (e["bx"] - e["ax"]) / (e["by"] - e["ay"])).cast("double")))
+    shown = shown.select(*key, "value", "_order", "row", xs.alias("_xs")).filter(F.size("_xs") > 1)
+    shown = shown.withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("_xs") - 2, F.lit(2))))
+    first, last = F.greatest(F.ceil(F.get("_xs", F.col("_i")) - 0.5), F.lit(0)), F.least(F.floor(F.get("_xs", F.col("_i") + 1) - 0.5), F.lit(width - 1))
+    pixels = shown.withColumn("col", F.explode(F.when(first <= last, F.sequence(first, last))))
+    best = F.max(F.struct("_order", "value"))["value"].alias("value")
+    return pixels.groupBy("slide_id", "patch_id", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), "channel").agg(best)
