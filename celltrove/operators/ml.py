@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import drop, written
+from .neighbours import usable
 
 SEED = 42
 
@@ -99,40 +100,38 @@ def knn(df: DataFrame, k: int, key: str, vec: str, block: int = 1024) -> DataFra
 
     Rows are dealt into blocks of about ``block`` vectors of one length.  Every block of
     queries meets every block of candidates through an equi-join and one matrix product;
-    only k rows of a query leave a tile.  Null vectors take no part.
+    only k rows of a query leave a tile.  Rows that repeat an id have a list each, and leave out
+    themselves alone; null ids, null vectors and those with components that are no numbers take no part.
     """
-    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter("v IS NOT NULL")
+    rows = usable(df, key, vec)
     blocks = max(1, -(-rows.count() // block))
-    dealt = rows.groupBy(F.size("v").alias("d"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("b")).agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+    dealt = rows.groupBy(F.size("v").alias("d"), F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("b")).agg(F.collect_list(F.struct("row", "id", "v")).alias("rows"))
     queries = dealt.select("d", F.col("b").alias("q"), F.col("rows").alias("qs"))
     candidates = dealt.select("d", F.col("b").alias("c"), F.col("rows").alias("cs"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("q"))
-    kind = pa.list_(pa.struct([("id", pa.int64()), ("neighbour", pa.int64()), ("score", pa.float64())]))
-
-    def sides(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-        out = []
-        for entry in column:
-            ids, vectors = entry.values.field("id").to_numpy(), entry.values.field("v")
-            flat = vectors.flatten().to_numpy(zero_copy_only=False)
-            out.append((ids, flat.reshape(len(ids), len(flat) // len(ids))))
-        return out
-
-    @F.arrow_udf("array<struct<id: bigint, neighbour: bigint, score: double>>")
-    def tile(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for qs, cs in columns:
-            out = []
-            for (qi, q), (ci, c) in zip(sides(qs), sides(cs), strict=True):
+    names = ("row", "id", "other", "neighbour", "score")
+
+    def sides(entry: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        numbers, ids = (entry.values.field(c).to_numpy() for c in ("row", "id"))
+        flat = entry.values.field("v").flatten().to_numpy(zero_copy_only=False)
+        return numbers, ids, flat.reshape(len(ids), len(flat) // len(ids))
+
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in zip(batch.column(0), batch.column(1), strict=True):
+                (qn, qi, q), (cn, ci, c) = sides(a), sides(b)
                 score = np.round(q @ c.T, 6)
-                score[qi[:, None] == ci[None, :]] = -np.inf
-                best = []
+                score[qn[:, None] == cn[None, :]] = -np.inf
+                at, to = [], []
                 for i, s in enumerate(score):
                     near = np.flatnonzero(s >= np.partition(s, -k)[-k]) if len(s) > k else np.arange(len(s))
-                    near = near[np.lexsort((ci[near], -s[near]))][:k]
-                    best += [{"id": int(qi[i]), "neighbour": int(ci[j]), "score": float(s[j])} for j in near if s[j] != -np.inf]
-                out.append(best)
-            yield pa.array(out, kind)
-
-    near = candidates.join(queries, ["d", "q"]).select("c", F.explode(tile("qs", "cs")).alias("t")).select("t.*")
-    best = near.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), F.asc("neighbour")))).filter(F.col("rank") <= k)
+                    near = near[np.isfinite(s[near])]
+                    to.append(near[np.lexsort((ci[near], -s[near]))][:k])
+                    at.append(np.full(len(to[-1]), i))
+                i, j = np.concatenate(at), np.concatenate(to)
+                yield pa.record_batch(dict(zip(names, map(pa.array, (qn[i], qi[i], cn[j], ci[j], score[i, j])), strict=True)))
+
+    near = candidates.join(queries, ["d", "q"]).select("qs", "cs").mapInArrow(tiles, "row long, id long, other long, neighbour long, score double")
+    best = near.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), F.asc("neighbour"), F.asc("other")))).filter(F.col("rank") <= k)
     return best.select(F.col("id").alias(key), "rank", "neighbour", "score")
 
 
