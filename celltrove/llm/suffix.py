@@ -30,7 +30,9 @@ def characters(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each position, as a big-endian number; zeros follow the data."""
     x = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
     for shift in (1, 2, 4):
-        x = (x[:-shift] << np.uint64(8 * shift)) | x[shift:]
+        higher = x[:-shift] << np.uint64(8 * shift)
+        higher |= x[shift:]
+        x = higher
     return x[: len(data)]
 
 

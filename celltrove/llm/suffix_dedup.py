@@ -11,8 +11,8 @@ pair of hashes and a place, about one for every 85 bytes of text.
   that occurs twice is repeated throughout.
 * Where an anchor has different spans, all their windows are ordered by deep-shallow
   suffix sorting (``suffix``), and neighbours that agree in LENGTH bytes are repeated.
-* An anchor with more than BUCKET windows (the rim of a very common passage) is split by
-  content before it is sorted: its spans are cut into spans of the least hashes of longer
+* An anchor with more than BUCKET windows, or more than MOST_BYTES in its spans (the rim of a
+  very common passage has spans of one window with all its bytes), is split by content before it is sorted: its spans are cut into spans of the least hashes of longer
   grams (FINER), which are grouped and sorted in the same way.  The last grams are whole
   windows, of which equal ones are one row, so no bucket grows with the copies of a passage.
 
@@ -43,8 +43,8 @@ FINER = (0.4, 0.75, 1.0)
 BUCKET, SPAN, FINE_SPAN = 65_536, 4096, 64
 #: Windows of a text that are hashed at a time.
 PIECE = 1 << 20
-#: Bytes of representatives sorted at a time by a worker.
-SORT_BYTES = 1 << 20
+#: Bytes of representatives from which a worker sorts what it holds, and most bytes of an anchor that are sorted together.
+SORT_BYTES, MOST_BYTES = 1 << 20, 4 << 20
 _BASE, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -238,8 +238,8 @@ def _grouped(spans: DataFrame) -> DataFrame:
 def _marks(reps: DataFrame, length: int, grams: list[int], bucket: int, made: list[DataFrame]) -> DataFrame:
     """(anchor, span, runs): the repeated windows of every span of ``reps``, as ``_grouped`` gives them; ``made`` gains the tables it reads."""
     made.append(reps)
-    anchors = reps.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.max("several").alias("several"), F.sum("n").alias("windows"))
-    large = F.lit(False) if not grams else F.col("windows") > bucket
+    anchors = reps.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.max("several").alias("several"), F.sum("n").alias("windows"), F.sum(F.col("n") + (length - 1)).alias("bytes"))
+    large = F.lit(False) if not grams else (F.col("windows") > bucket) | (F.col("bytes") > MOST_BYTES)
     anchors = anchors.filter("k > 1 OR several").select("anchor", large.alias("large"))
     found = _sorted_marks(reps.join(anchors.filter("NOT large"), "anchor"), length)
     if grams and anchors.filter("large").limit(1).count():

@@ -1,5 +1,7 @@
 import hashlib
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -126,3 +128,33 @@ def test_text_longer_than_a_piece(spark):
     docs = [(1, text), (2, "-" * 50 + text[at : at + 400] + "+" * 20), (3, text[-300:])]
     want = [(1, len(text), 700, 2), (2, 470, 400, 1), (3, 300, 300, 1)]
     assert [r[:4] for r in run(spark, docs)] == want
+
+
+def test_an_anchor_of_many_bytes_is_split(spark, monkeypatch):
+    """One window with many surroundings: an anchor of few windows but many bytes."""
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    core = word(60)
+    docs = [(i, word(30) + core + word(30)) for i in range(60)] + [(100 + i, word(9) + core[5:50] + word(9)) for i in range(5)]
+    want = brute(docs, 40)
+    assert run(spark, docs, 40, gram=8, bucket=65536) == want
+    monkeypatch.setattr(suffix_dedup, "MOST_BYTES", 200)
+    assert run(spark, docs, 40, gram=8, bucket=65536) == want
+
+
+def test_memory_of_one_sort():
+    """The largest anchor that is sorted at once, in spans of one window each."""
+    code = """
+import resource
+import numpy as np
+from celltrove.llm import suffix, suffix_dedup as S
+n = S.MOST_BYTES // S.LENGTH
+rng = np.random.default_rng(1)
+data = rng.integers(97, 105, n * S.LENGTH).astype(np.uint8)
+data.reshape(n, S.LENGTH)[:, 60:] = data[60 : S.LENGTH]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+suffix.repeated(suffix.characters(data), np.arange(n) * S.LENGTH, np.zeros(n, np.int64), S.LENGTH)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+    added = float(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert added < 150
