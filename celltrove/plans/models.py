@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import communities, ml, neighbours
+from ..operators import communities, layout, ml, neighbours
 from ..operators.relational import union_all
 from ..scratch import drop, written
 from ..sources.readers import table
@@ -68,6 +68,15 @@ def modularity_clusters(spark, d):
     return communities.cluster_columns(found, names).withColumnRenamed("node", "vec_id")
 
 
+def graph_layout(spark, d):
+    """Places in the plane by the fuzzy weights of the neighbour graph."""
+    near = neighbours.neighbour_graph(table(spark, d, "embeddings", ["vec_id", "embedding"]), 10, "vec_id", "embedding")
+    weights = written(neighbours.fuzzy_weights(near, "vec_id"), "weights")
+    placed = layout.layout(weights, "vec_id", "neighbour", "weight")
+    drop(weights)
+    return placed.select(F.col("node").alias("vec_id"), F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
 def graph_modularity(spark, d):
     """Modularity of the labels on the exact neighbour graph, at each resolution."""
     graph = communities.undirected(knn_topk(spark, d), "vec_id", "neighbour")
@@ -89,7 +98,7 @@ def label_propagation(spark, d):
     return ml.label_propagation(near, "vec_id", "neighbour")
 
 
-NAMES = "pca_n95 kmeans_elbow knn_topk knn_graph fuzzy_union fuzzy_weights modularity_clusters graph_modularity mfa_fusion label_propagation".split()
+NAMES = "pca_n95 kmeans_elbow knn_topk knn_graph fuzzy_union fuzzy_weights modularity_clusters graph_modularity graph_layout mfa_fusion label_propagation".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 _KNN = "WITH q AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000) AS BIGINT)) AS v FROM embeddings), p AS (SELECT a.vec_id, b.vec_id AS neighbour, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda t: t[1] * t[2])) AS BIGINT) AS score FROM q a JOIN q b ON a.vec_id <> b.vec_id) SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbour) AS INTEGER) AS rank, neighbour, score FROM p QUALIFY rank <= 10"
 _EDGES = f"g AS MATERIALIZED ({_KNN}), h AS (SELECT vec_id AS u, neighbour AS v FROM g UNION ALL SELECT neighbour, vec_id FROM g)"
