@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from ..scratch import drop, written
+
 WIDTH, OVERLAP = 256, 64
 
 
@@ -174,6 +176,94 @@ def clip_to_patch(pairs: DataFrame, out: str = "clipped") -> DataFrame:
     return rows
 
 
+def signed_area(ring: Column) -> Column:
+    return F.aggregate(edges_of(ring), F.lit(0.0), lambda a, e: a + (e["ax"] * e["by"] - e["bx"] * e["ay"]).cast("double")) / 2
+
+
+def _cut_by_line(ring: Column, e: Column) -> Column:
+    """The part of a ring to the left of the line from (ax, ay) to (bx, by)."""
+    over = lambda x, y: (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
+    none = F.array().cast("array<struct<x: double, y: double>>")
+
+    def kept(s: Column) -> Column:
+        a, b = over(s["ax"], s["ay"]), over(s["bx"], s["by"])
+        own = F.when(a >= 0, F.array(F.struct(s["ax"].alias("x"), s["ay"].alias("y")))).otherwise(none)
+        t = a / (a - b)
+        cut = F.when(a * b < 0, F.array(F.struct((s["ax"] + t * (s["bx"] - s["ax"])).alias("x"), (s["ay"] + t * (s["by"] - s["ay"])).alias("y")))).otherwise(none)
+        return F.concat(own, cut)
+
+    return F.flatten(F.transform(edges_of(ring), kept))
+
+
+def overlap_area(ring: Column, other: Column) -> Column:
+    """Area that two simple rings share, concave or not, whichever way they run.
+
+    ``other`` is a fan of triangles, each with the sign of its turn, and outside of it their signs cancel
+    out; so the shared area is the sum of the areas of ``ring`` cut to each, with those signs.
+    Rings of fewer than three points, or missing ones, share 0.
+    """
+    kind = "array<struct<x: double, y: double>>"
+    a, b = ring.cast(kind), other.cast(kind)
+    corner = lambda i: F.get(b, i)
+
+    def triangle(i: Column) -> Column:
+        p, q, r = corner(F.lit(0)), corner(i), corner(i + 1)
+        turn = (q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"])
+        side = lambda s, t: F.struct(s["x"].alias("ax"), s["y"].alias("ay"), t["x"].alias("bx"), t["y"].alias("by"))
+        return F.struct(F.signum(turn).alias("sign"), F.when(turn >= 0, F.array(side(p, q), side(q, r), side(r, p))).otherwise(F.array(side(p, r), side(r, q), side(q, p))).alias("sides"))
+
+    fan = F.filter(F.transform(F.sequence(F.lit(1), F.size(b) - 2), triangle), lambda t: t["sign"] != 0)
+    part = lambda t: t["sign"] * signed_area(F.aggregate(t["sides"], a, _cut_by_line))
+    shared = F.abs(F.aggregate(F.transform(fan, part), F.lit(0.0), lambda x, y: x + y))
+    return F.when((F.size(a) >= 3) & (F.size(b) >= 3), shared).otherwise(F.lit(0.0))
+
+
+def overlaps(cells: DataFrame, cell: float, slide: str = "slide_id", key: str = "cell_id") -> DataFrame:
+    """(slide, a, b, shared, share), a < b: pairs of cells of a slide whose rings share an area, and its share of the smaller one.
+
+    Pairs are found by the boxes' grid of side ``cell``; cells are unique by (slide, key).
+    """
+    xs, ys = axes("ring")
+    sized = cells.filter(F.size("ring") >= 3).select(F.col(slide).alias("slide_id"), F.col(key).alias("a"), "ring", area(F.col("ring")).alias("area"), F.array_min(xs).alias("xmin"), F.array_max(xs).alias("xmax"), F.array_min(ys).alias("ymin"), F.array_max(ys).alias("ymax"))
+    boxes = sized.select("slide_id", "a", "xmin", "ymin", "xmax", "ymax")
+    pairs = box_join(boxes, boxes.withColumnRenamed("a", "b"), cell, "a", "b").filter("a < b")
+    left = sized.select("slide_id", "a", F.col("ring").alias("_p"), F.col("area").alias("_pa"))
+    right = sized.select("slide_id", F.col("a").alias("b"), F.col("ring").alias("_q"), F.col("area").alias("_qa"))
+    met = pairs.join(left, ["slide_id", "a"]).join(right, ["slide_id", "b"])
+    # As a generator, so that the filters below do not write the area out again.
+    shared = met.withColumn("shared", F.explode(F.array(overlap_area(F.col("_p"), F.col("_q")))))
+    return shared.select(F.col("slide_id").alias(slide), "a", "b", "shared", F.try_divide("shared", F.least("_pa", "_qa")).alias("share")).filter("shared > 0")
+
+
+def without_conflicts(cells: DataFrame, pairs: DataFrame, slide: str = "slide_id", key: str = "cell_id", share: float = 0.5) -> DataFrame:
+    """``cells`` with ``kept``: of cells that share at least ``share`` of the smaller one's area, the larger stays.
+
+    Cells are gone through by falling area, ties by id, and one that conflicts with a cell that
+    stays goes.  Rounds give the same: a cell stays once all larger ones it conflicts with are gone.
+    So no pair above the share remains, and every cell that goes conflicts with a larger one that stays.
+    """
+    rank = cells.select(F.col(slide).alias("s"), F.col(key).alias("u"), F.struct((-F.coalesce(area(F.col("ring")), F.lit(0.0))).alias("n"), F.col(key).alias("k")).alias("r"))
+    near = pairs.filter(F.col("share") >= share).select(F.col(slide).alias("s"), F.col("a").alias("u"), F.col("b").alias("v"))
+    near = near.join(rank, ["s", "u"]).join(rank.select("s", F.col("u").alias("v"), F.col("r").alias("q")), ["s", "v"])
+    # (s, u, v): v is the smaller cell of a conflict.
+    arcs = written(near.select("s", F.when(F.col("r") < F.col("q"), F.struct("u", "v")).otherwise(F.struct(F.col("v").alias("u"), F.col("u").alias("v"))).alias("e")).select("s", "e.*"), "conflicts")
+    gone, left, made = None, arcs, [arcs]
+    while left.limit(1).count():
+        # Those that no undecided arc points to stay; what they point to goes, with all its arcs.
+        stay = left.select("s", "u").join(left.select("s", F.col("v").alias("u")), ["s", "u"], "left_anti").distinct()
+        loses = left.join(stay, ["s", "u"], "left_semi").select("s", "v").distinct()
+        now = written(loses if gone is None else gone.unionByName(loses), "gone")
+        some = left.join(now, ["s", "v"], "left_anti").join(now.withColumnRenamed("v", "u"), ["s", "u"], "left_anti")
+        rest = written(some.join(stay, ["s", "u"], "left_anti"), "conflicts")
+        drop(*made, *[gone] if gone is not None else [])
+        gone, left, made = now, rest, [rest]
+    drop(*made)
+    if gone is None:
+        return cells.withColumn("kept", F.lit(True))
+    lost = gone.select(F.col("s").alias(slide), F.col("v").alias(key), F.lit(False).alias("_kept"))
+    return cells.join(lost, [slide, key], "left").withColumn("kept", F.coalesce("_kept", F.lit(True))).drop("_kept")
+
+
 def rasterise(rings: DataFrame, width: int = WIDTH, order: str | None = None) -> DataFrame:
     """(slide_id, patch_id, row, col, channel, value): pixels whose centre is in the ring of (patch, channel, value).
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("core", "reports", "cells", "space", "columns", "models", "more", "files")
+MODULES = ("core", "reports", "cells", "space", "columns", "models", "more", "files", "masks")
 
 
 def queries() -> dict:
