@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars
+from ..operators import overlay
 from ..operators import relational as R
 from ..operators import spatial as S
 from ..operators import windows as W
@@ -115,6 +116,33 @@ def patch_cell_clip(spark, d):
     return clipped.filter("area > 0").select("slide_id", "patch_id", "cell_id", F.size("clipped").alias("corners"), "area")
 
 
+def concave_cells(spark, d):
+    """A U for each customer, on slides of SIDE x SIDE pixels."""
+    c = table(spark, d, "customer", ["c_custkey"])
+    x, y = (F.col("c_custkey") * 97 % (SIDE - 120)).cast("double"), (F.col("c_custkey") * 131 % (SIDE - 120)).cast("double")
+    u = [(0, 0), (90, 0), (90, 90), (60, 90), (60, 30), (30, 30), (30, 90), (0, 90)]
+    ring = F.array(*[F.struct((x + a).alias("x"), (y + b).alias("y")) for a, b in u])
+    return c.select((F.col("c_custkey") % 7).alias("slide_id"), F.col("c_custkey").alias("cell_id"), x.alias("xmin"), y.alias("ymin"), (x + 90).alias("xmax"), (y + 90).alias("ymax"), ring.alias("ring"))
+
+
+def clipped_parts(spark, d):
+    """Concave cells cut by the patches they meet: parts and area."""
+    pairs = S.grid_cells(concave_cells(spark, d)).select("slide_id", "i", "k", "cell_id", "ring").join(grid(spark, d), ["slide_id", "i", "k"])
+    cut = overlay.clip_parts(pairs)
+    return cut.select("slide_id", "patch_id", "cell_id", F.size("parts").alias("n_parts"), F.round(overlay.parts_area("parts"), 6).alias("area"))
+
+
+def repaired_rings(spark, d):
+    """A ring of each customer that crosses itself once, as two parts."""
+    c = table(spark, d, "customer", ["c_custkey"])
+    w = (F.col("c_custkey") % 30 + 10).cast("double")
+    x = F.col("c_custkey").cast("double")
+    at = lambda a, b: F.struct((x + a).alias("x"), F.lit(b).cast("double").alias("y"))
+    ring = F.array(at(F.lit(0.0), F.lit(0.0)), at(w, w), at(w, F.lit(0.0)), at(F.lit(0.0), w))
+    parts = overlay.repair(c.select(F.col("c_custkey").alias("cell_id"), ring.alias("ring")))
+    return parts.select("cell_id", F.size("parts").alias("n_parts"), F.round(overlay.parts_area("parts"), 6).alias("area"))
+
+
 PIXEL = 8
 
 
@@ -126,7 +154,7 @@ def rasterise_cells(spark, d):
     return S.rasterise(pairs.withColumn("ring", _box_ring(F.col("px"), F.col("py"), float(PIXEL))), S.WIDTH // PIXEL)
 
 
-NAMES = "patch_cell_clip rasterise_cells patch_grid patch_cell_bbox cells_per_patch patch_cell_count patch_metric_range patch_veto_unknown transcript_counts point_label_priority geometry_key_join affine instance_map".split()
+NAMES = "clipped_parts repaired_rings patch_cell_clip rasterise_cells patch_grid patch_cell_bbox cells_per_patch patch_cell_count patch_metric_range patch_veto_unknown transcript_counts point_label_priority geometry_key_join affine instance_map".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _BOX = f"SELECT o_custkey % 7 AS slide_id, o_orderkey AS cell_id, o_orderstatus, o_orderkey * 37 % {SIDE - 60} AS xmin, o_orderkey * 101 % {SIDE - 60} AS ymin, o_orderkey * 37 % {SIDE - 60} + 10 + o_custkey % 50 AS xmax, o_orderkey * 101 % {SIDE - 60} + 10 + o_custkey % 50 AS ymax FROM orders"
@@ -136,7 +164,12 @@ _POINT = "SELECT event_id % 5 AS slide_id, event_id AS point_id, CAST(event_id *
 # Half planes of the counter-clockwise triangles and diamonds; edges count.
 _INSIDE = "CASE WHEN cell_id % 2 = 0 THEN 40 * (p.y - y0) - 10 * (p.x - x0) >= 0 AND -30 * (p.y - y0 - 10) - 30 * (p.x - x0 - 40) >= 0 AND -10 * (p.y - y0 - 40) + 40 * (p.x - x0 - 10) >= 0 ELSE abs(p.x - x0 - 20) + abs(p.y - y0 - 20) <= 20 END"
 _HIT = f"SELECT p.*, q.cell_id, q.cell_id % 3 AS priority FROM ({_POINT}) p JOIN (SELECT c_custkey AS cell_id, c_custkey % 5 AS slide_id, c_custkey * 53 % 900 AS x0, c_custkey * 71 % 900 AS y0 FROM customer) q ON p.slide_id = q.slide_id AND {_INSIDE}"
+# A U is a bar below and two arms; what is cut off below leaves the arms apart.
+_WITHIN = "greatest(0, least(x + {1}, g.xmax) - greatest(x + {0}, g.xmin)) * greatest(0, least(y + {3}, g.ymax) - greatest(y + {2}, g.ymin))"
+_ARMS = f"SELECT g.slide_id, g.patch_id, u.cell_id, {_WITHIN.format(0, 90, 0, 30)} AS bar, {_WITHIN.format(0, 30, 30, 90)} AS a, {_WITHIN.format(60, 90, 30, 90)} AS b FROM ({_GRID}) g JOIN (SELECT c_custkey AS cell_id, c_custkey % 7 AS slide_id, CAST(c_custkey * 97 % {SIDE - 120} AS DOUBLE) AS x, CAST(c_custkey * 131 % {SIDE - 120} AS DOUBLE) AS y FROM customer) u ON g.slide_id = u.slide_id AND x < g.xmax AND x + 90 > g.xmin AND y < g.ymax AND y + 90 > g.ymin"
 SQL = {
+    "clipped_parts": f"SELECT slide_id, patch_id, cell_id, CAST(CASE WHEN bar > 0 THEN 1 ELSE CAST(a > 0 AS INTEGER) + CAST(b > 0 AS INTEGER) END AS INTEGER) AS n_parts, bar + a + b AS area FROM ({_ARMS}) q WHERE bar + a + b > 0",
+    "repaired_rings": "SELECT c_custkey AS cell_id, CAST(2 AS INTEGER) AS n_parts, CAST((c_custkey % 30 + 10) * (c_custkey % 30 + 10) AS DOUBLE) / 2 AS area FROM customer",
     "patch_grid": f"SELECT *, slide_id || '_' || patch_id AS name FROM ({_GRID}) g",
     "patch_cell_clip": f"SELECT slide_id, patch_id, cell_id, CAST(4 AS INTEGER) AS corners, CAST(w AS DOUBLE) * h AS area FROM (SELECT g.slide_id, g.patch_id, b.cell_id, least(b.xmax, g.xmax) - greatest(b.xmin, g.xmin) AS w, least(b.ymax, g.ymax) - greatest(b.ymin, g.ymin) AS h FROM ({_GRID}) g JOIN ({_BOX}) b ON g.slide_id = b.slide_id AND b.xmin < g.xmax AND b.xmax > g.xmin AND b.ymin < g.ymax AND b.ymax > g.ymin)",
     "rasterise_cells": f"WITH p AS (SELECT g.slide_id, g.patch_id, CASE b.o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS channel, b.cell_id % 1000 + 1 AS value, (b.xmin - g.xmin) / CAST({PIXEL} AS DOUBLE) AS x0, (b.xmax - g.xmin) / CAST({PIXEL} AS DOUBLE) AS x1, (b.ymin - g.ymin) / CAST({PIXEL} AS DOUBLE) AS y0, (b.ymax - g.ymin) / CAST({PIXEL} AS DOUBLE) AS y1 FROM ({_GRID}) g JOIN ({_BOX}) b ON g.slide_id = b.slide_id AND b.xmin <= g.xmax AND b.xmax >= g.xmin AND b.ymin <= g.ymax AND b.ymax >= g.ymin), n AS (SELECT CAST(unnest(range(256 // {PIXEL})) AS INTEGER) AS v) SELECT slide_id, patch_id, r.v AS row, c.v AS col, channel, max(value) AS value FROM p JOIN n r ON r.v + CAST(0.5 AS DOUBLE) >= y0 AND r.v + CAST(0.5 AS DOUBLE) < y1 JOIN n c ON c.v + CAST(0.5 AS DOUBLE) BETWEEN x0 AND x1 GROUP BY ALL",
