@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators import spatial
 from ..scratch import scratch_dir
-from ..sources import readers, writers
+from ..sources import bundle, readers, writers
 from ..sources.readers import table
+from . import space
 
 
 def _path(spark, name: str) -> str:
@@ -83,9 +85,33 @@ def matrix_market(spark, d):
     return readers.matrix_market(spark, f"{path}/matrix", f"{path}/rows", f"{path}/columns")
 
 
-NAMES = "csv_round_trip csv_concat json_round_trip parquet_by_slide replaced_element appended_new merged_chunks matrix_market".split()
+def bundle_round_trip(spark, d):
+    """A bundle of points, cell outlines, cells and counts, written, read with its references checked, and put together by cell."""
+    path = _path(spark, "bundle")
+    shapes = space.polygons(spark, d)
+    corners = shapes.select("slide_id", "cell_id", F.posexplode("ring").alias("vertex", "p")).select("slide_id", "cell_id", "vertex", "p.x", "p.y")
+    counts = table(spark, d, "orders", ["o_custkey", "o_orderpriority"]).groupBy(F.col("o_custkey").alias("cell_id"), F.col("o_orderpriority").alias("gene")).agg(F.count(F.lit(1)).alias("count"))
+    counts = counts.withColumn("slide_id", F.col("cell_id") % 5)
+    half = (0.5, 0.0, 100.0, 0.0, 0.5, 0.0)
+    cell = [("cell_id", "cells", "cell_id")]
+    bundle.write_bundle(spark, path, {
+        "cells": bundle.Element(shapes.select("slide_id", "cell_id", "layer")),
+        "outlines": bundle.Element(corners, "vertices", half, cell),
+        "points": bundle.Element(space.points(spark, d), "points", half),
+        "counts": bundle.Element(counts, refers=cell),
+    })
+    back = bundle.read_bundle(spark, path)
+    inside = spatial.count_in_polygons(back["points"], back["outlines"]).groupBy("slide_id", "cell_id").agg(F.sum("count").alias("points"))
+    totals = back["counts"].groupBy("slide_id", "cell_id").agg(F.sum("count").alias("counts"))
+    shown = back["outlines"].select("slide_id", "cell_id", F.size("ring").alias("corners"), spatial.area(F.col("ring")).alias("area"))
+    rows = back["cells"].join(shown, ["slide_id", "cell_id"]).join(totals, ["slide_id", "cell_id"], "left").join(inside, ["slide_id", "cell_id"], "left")
+    return rows.select(F.col("slide_id").cast("bigint").alias("slide_id"), "cell_id", "layer", "corners", "area", F.coalesce("counts", F.lit(0)).alias("counts"), F.coalesce("points", F.lit(0)).alias("points"))
+
+
+NAMES = "bundle_round_trip csv_round_trip csv_concat json_round_trip parquet_by_slide replaced_element appended_new merged_chunks matrix_market".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 SQL = {
+    "bundle_round_trip": f"SELECT c_custkey % 5 AS slide_id, c_custkey AS cell_id, 'layer' || (c_custkey % 3) AS layer, CAST(CASE WHEN c_custkey % 2 = 0 THEN 3 ELSE 4 END AS INTEGER) AS corners, CASE WHEN c_custkey % 2 = 0 THEN CAST(187.5 AS DOUBLE) ELSE CAST(200 AS DOUBLE) END AS area, coalesce(n, 0) AS counts, coalesce(k, 0) AS points FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey LEFT JOIN (SELECT cell_id, count(*) AS k FROM ({space._HIT}) h GROUP BY 1) ON cell_id = c_custkey",
     "csv_round_trip": "SELECT c_custkey, c_mktsegment FROM customer",
     "csv_concat": "SELECT p_partkey, p_size FROM part",
     "json_round_trip": "SELECT s_suppkey, s_name, s_nationkey FROM supplier",
