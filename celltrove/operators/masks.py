@@ -52,10 +52,12 @@ def compressed_rows(pixels: DataFrame, mask: Sequence[str], width: int, channels
     """
     channel = F.col("channel") if channels > 1 else F.lit(0)
     place = ((F.col("row") * width + F.col("col")) * channels + channel).cast("int")
-    rows = pixels.filter("value <> 0").groupBy(*mask).agg(F.array_sort(F.collect_list(F.struct(place.alias("i"), F.col("value").alias("v")))).alias("_p"))
+    # Places are made unique before they are gathered, so a list is bounded by the mask's size.
+    once = pixels.filter("value <> 0").groupBy(*mask, place.alias("i")).agg(F.max("value").alias("v"), F.count(F.lit(1)).alias("_c"))
+    value = F.when(F.col("_c") > 1, F.raise_error(F.lit("a pixel repeats in a mask"))).otherwise(F.col("v"))
+    rows = once.groupBy(*mask).agg(F.array_sort(F.collect_list(F.struct("i", value.alias("v")))).alias("_p"))
     indices, data = F.transform("_p", lambda p: p["i"]), F.transform("_p", lambda p: p["v"])
-    once = F.when(F.size(F.array_distinct(indices)) < F.size(indices), F.raise_error(F.lit("a pixel repeats in a mask"))).otherwise(indices)
-    numbered = row_numbers(rows.select(*mask, once.alias("indices"), data.alias("data")), [], list(mask), "_n")
+    numbered = row_numbers(rows.select(*mask, indices.alias("indices"), data.alias("data")), [], list(mask), "_n")
     placed = numbered.withColumn("chunk", F.floor(F.col("_n") / chunk).cast("int")).withColumn("at", (F.col("_n") % chunk).cast("int"))
     # A chunk has at most ``chunk`` masks, so its window is bounded.
     stop = F.sum(F.size("indices")).over(Window.partitionBy("chunk").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -27,6 +27,8 @@ from ..workers import ship
 TREES, LEAF, ROUNDS, SEED = 8, 128, 2, 42
 #: Rounds of descent end when fewer than this share of the list entries changed.
 LEAST_CHANGE = 0.001
+#: Neighbours of a node whose bandwidth is fitted.
+MOST_NEIGHBOURS = 10_000
 
 _FOUND = "row long, id long, other long, neighbour long, d2 double"
 
@@ -199,9 +201,14 @@ def fuzzy_union(edges: DataFrame, a: str, b: str, membership: str) -> DataFrame:
 
 
 def fuzzy_weights(graph: DataFrame, key: str, neighbour: str = "neighbour", distance: str = "distance") -> DataFrame:
-    """(key, neighbour, weight), key < neighbour: the fuzzy union of each node's memberships; ids are taken as nodes."""
-    # One entry of each neighbour: a list is bounded by the graph's k for each row of the id.
-    once = graph.groupBy(key, neighbour).agg(F.min(distance).alias("_d"))
+    """(key, neighbour, weight), key < neighbour: the fuzzy union of each node's memberships.
+
+    Ids are the nodes: rows that repeat one are one node with all their neighbours, each at its least
+    distance.  More than MOST_NEIGHBOURS of a node are an error, since its list is held as one value.
+    """
+    once = graph.filter(F.col(key).isNotNull() & F.col(neighbour).isNotNull()).groupBy(key, neighbour).agg(F.min(distance).alias("_d"))
+    if once.groupBy(key).count().filter(F.col("count") > MOST_NEIGHBOURS).limit(1).count():
+        raise ValueError(f"a node has more than {MOST_NEIGHBOURS} neighbours: ids repeat, or this is no neighbour graph")
     lists = once.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_d", neighbour))).alias("_l"))
     fitted = lists.withColumn("_w", bandwidth(F.transform("_l", lambda e: e["_d"])))
     flat = fitted.select(key, "_w", F.explode("_l").alias("_e")).select(key, F.col(f"_e.{neighbour}").alias(neighbour), "_w", "_e._d")

@@ -98,6 +98,8 @@ def inside(x: Column, y: Column, edges: Column) -> Column:
 
 def spread_rows(df: DataFrame) -> DataFrame:
     """Deal the rows of a scan with fewer splits than the cluster has cores; larger ones stay as they are."""
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df  # shuffled rows are spread already, and asking for their partitions would run the shuffle
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 

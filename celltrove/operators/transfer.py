@@ -46,7 +46,8 @@ def transfer_labels(expr: DataFrame, cells: DataFrame, reference: DataFrame, cel
         inner[place[r.type], place[r.other]] = r.v
     ids = cells.select(F.col(cell).alias("cell")).filter("cell IS NOT NULL").distinct()
     once = expr.filter(F.col(cell).isNotNull() & (F.col(value) > 0)).groupBy(F.col(cell).alias("cell"), F.col(gene).alias("gene")).agg(F.sum(value).cast("double").alias("x"))
-    listed = small(known.groupBy("gene").agg(F.collect_list(F.struct("type", "r")).alias("_t")))
+    # Rows of at most as many entries as there are types, so their number bounds the bytes.
+    listed = small(known.groupBy("gene").agg(F.collect_list(F.struct("type", "r")).alias("_t")), 1_000_000 // len(names))
     met = once.join(listed, "gene")
     size = met.groupBy("cell").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
     each = met.select("cell", "x", F.explode("_t").alias("_e")).groupBy("cell", F.col("_e.type").alias("type")).agg(F.sum(F.col("x") * F.col("_e.r")).alias("b"))

@@ -17,12 +17,12 @@ def _features(spark, d):
 
 def pca_n95(spark, d):
     rows, n = ml.pca_share(_features(spark, d))
-    return rows.select("vec_id", F.lit(n).alias("n_components"))
+    return rows.select("vec_id", F.lit(n).alias("n_components"), F.transform(vector_to_array("pcs"), lambda x: F.round(F.abs(x), 4)).alias("places"))
 
 
 def kmeans_elbow(spark, d):
-    rows, _, k = ml.kmeans_elbow(_features(spark, d), 10)
-    return rows.select("vec_id", "cluster", F.lit(k).alias("k"))
+    rows, inertia, k = ml.kmeans_elbow(_features(spark, d), 10)
+    return rows.select("vec_id", "cluster", F.lit(k).alias("k"), F.round(F.lit(inertia[k - 1]), 4).alias("inertia"))
 
 
 def _near(spark, d, k):
@@ -90,7 +90,7 @@ def mfa_fusion(spark, d):
     a, b = (e.select("vec_id", F.slice("embedding", s, 32).alias("v")) for s in (1, 33))
     both = ml.as_vectors(a, "v", "nuclei").select("vec_id", "nuclei").join(ml.as_vectors(b, "v", "cells").select("vec_id", "cells"), "vec_id")
     fused = ml.mfa(both, ["nuclei", "cells"], [8, 8], 6)
-    return fused.select("vec_id", F.size("fused").alias("n_fused"))
+    return fused.select("vec_id", F.size("fused").alias("n_fused"), F.transform(vector_to_array("pcs"), lambda x: F.round(F.abs(x), 4)).alias("places"))
 
 
 def label_propagation(spark, d):
