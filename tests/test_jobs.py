@@ -218,14 +218,49 @@ def test_configured_columns_have_to_be_there(spark):
         selected(spark.range(1), {"record_id": "id"}, ("record_id", "tissue"))
 
 
-def test_command_lines(spark, tmp_path):
+def call(job, folder, **where):
+    """A job's command line in another working folder, its paths in a store that only Spark can open."""
+    conf = f"--master local[2] --conf spark.ui.enabled=false --conf spark.hadoop.fs.viewfs.mounttable.store.link./in=file://{folder} --conf spark.checkpoint.dir=file://{folder}/scratch"
+    args = [f"--{k}={v}" for k, v in where.items()]
+    return subprocess.run([sys.executable, f"{ROOT}/jobs/{job}.py", *args], cwd=folder, capture_output=True, text=True, timeout=300, env=os.environ | {"PYSPARK_SUBMIT_ARGS": f"{conf} pyspark-shell"})
+
+
+def test_points_by_command_line_from_a_store(spark, tmp_path):
     rng, work = random.Random(6), Points(spark, tmp_path)
-    work.add(some(rng, 30))
-    config = tmp_path / "config.json"
-    config.write_text(json.dumps(MAPPED))
-    where = {"config": config, "points": tmp_path / "points", "cells": tmp_path / "cells", "output": tmp_path / "out", "checkpoint": tmp_path / "check"}
-    call = [sys.executable, f"{ROOT}/jobs/count_transcripts.py", *[f"--{k}={v}" for k, v in where.items()]]
-    run = subprocess.run(call, cwd=tmp_path, capture_output=True, text=True, timeout=200, env=os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false pyspark-shell"})
+    (tmp_path / "config.json").write_text(json.dumps(MAPPED))
+    store = "viewfs://store/in"
+    where = {"config": f"{store}/config.json", "points": f"{store}/points", "cells": f"{store}/cells", "output": f"{store}/out", "checkpoint": f"{store}/check"}
+    for n in (30, 20):
+        work.add(some(rng, n))
+        run = call("count_transcripts", tmp_path, **where)
+        assert run.returncode == 0, run.stderr[-2000:]
+        assert f"read {n} points" in run.stderr
+        assert work.counts() == expected(work.all)
+
+
+def test_training_set_by_command_line_from_a_store(spark, tmp_path):
+    data, census = training(spark, tmp_path, documents(), labels())
+    store = "viewfs://store/in"
+    run = call("training_set", tmp_path, documents=f"{store}/documents.parquet", labels=f"{store}/labels.parquet", output=f"{store}/again")
     assert run.returncode == 0, run.stderr[-2000:]
-    assert "read 30 points" in run.stderr
-    assert work.counts() == expected(work.all)
+    assert f"wrote {len(data)} to {store}/again/dataset" in run.stderr
+    config = configuration(spark, f"file://{training_set.CONFIG}")
+    assert sorted(map(tuple, training_set.dataset(spark, config, f"{tmp_path}/documents.parquet", f"{tmp_path}/again").collect())) == data
+    assert sorted(map(tuple, training_set.census(spark, config, f"{tmp_path}/documents.parquet", f"{tmp_path}/again").collect())) == census
+    missing = call("training_set", tmp_path, documents=f"{store}/documents.parquet")
+    assert missing.returncode == 2 and "--labels" in missing.stderr
+
+
+def test_queries_restore_the_session_and_leave_their_files(spark):
+    before = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.")}
+    one, two = (jobs.QUERIES["job1_transcript_counts"](spark, "/root/testdata/sf0.001") for _ in range(2))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) and one.inputFiles() != two.inputFiles()
+    assert {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.")} == before and not spark.streams.active
+
+
+def test_jobs_do_not_need_the_training_data_part():
+    for name in os.listdir(f"{ROOT}/jobs"):
+        if name.endswith(".py"):
+            with open(f"{ROOT}/jobs/{name}", encoding="utf-8") as f:
+                text = f.read()
+            assert "llm" not in text and "corpus_pipeline" not in text, name
