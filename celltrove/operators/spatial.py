@@ -231,7 +231,9 @@ def overlaps(cells: DataFrame, cell: float, slide: str = "slide_id", key: str =
     pairs = box_join(boxes, boxes.withColumnRenamed("a", "b"), cell, "a", "b").filter("a < b")
     left = sized.select("slide_id", "a", F.col("ring").alias("_p"), F.col("area").alias("_pa"))
     right = sized.select("slide_id", F.col("a").alias("b"), F.col("ring").alias("_q"), F.col("area").alias("_qa"))
-    met = pairs.join(left, ["slide_id", "a"]).join(right, ["slide_id", "b"])
+    # Pairs are small rows with much work each, so they are dealt by number and not merged into few tasks by size.
+    parts = max(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells.sparkSession.sparkContext.defaultParallelism)
+    met = pairs.join(left, ["slide_id", "a"]).join(right, ["slide_id", "b"]).repartition(parts)
     # As a generator, so that the filters below do not write the area out again.
     shared = met.withColumn("shared", F.explode(F.array(overlap_area(F.col("_p"), F.col("_q")))))
     return shared.select(F.col("slide_id").alias(slide), "a", "b", "shared", F.try_divide("shared", F.least("_pa", "_qa")).alias("share")).filter("shared > 0")
