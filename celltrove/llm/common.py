@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..scratch import drop, scratch_dir, written
 
-__all__ = ["cuts", "drop", "scratch_dir", "ship", "slices", "table", "text_bytes", "written"]
+__all__ = ["cuts", "drop", "scratch_dir", "ship", "slices", "table", "text_bytes", "word_lists", "written"]
 
 #: Rows and bytes of an Arrow batch; a smaller number of rows and any bytes that the session sets stay.
 BATCH_ROWS, _BATCH_ROWS = 500, "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -22,6 +23,9 @@ BATCH_BYTES, _BATCH_BYTES = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch
 _BATCH_DEFAULT = "67108864b"
 #: Python workers cut Arrow batches to about this many text bytes at a time.
 SLICE_BYTES = 4 << 20
+#: Bytes of a text whose words are Python objects at one time.
+WORD_BYTES = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def ship(spark: SparkSession) -> None:
@@ -76,3 +80,13 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null becomes empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return [x or b"" for x in column.cast(kind).to_pylist()]
+
+
+def word_lists(text: bytes, most: int = WORD_BYTES) -> Iterator[list[bytes]]:
+    """The lower-cased words of a text, in lists of about ``most`` bytes; cuts are at white space."""
+    start = 0
+    while start < len(text):
+        space = _SPACE.search(text, start + most)
+        stop = space.start() if space else len(text)
+        yield text[start:stop].lower().split()
+        start = stop

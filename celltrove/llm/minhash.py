@@ -1,11 +1,16 @@
 """Near-duplicate detection by circulant MinHash.
 
-Signatures: one permutation sigma scatters a document's shingle hashes, a second one,
-pi, is used for every coordinate, circularly shifted by the coordinate's number: h_k is
-the least pi(sigma(v) + k) over the set.  BANDS bands of ROWS coordinates give a pair
-of Jaccard 0.8 a chance of 1 - 3e-8 to share a band.
-
-Documents of equal shingle sets are one class, and classes are the nodes from there on.
+Signatures: a permutation sigma scatters a document's shingle hashes over the places of a
+circle of 2 ** PLACES values, which are a second permutation, pi.  Every coordinate uses
+that one pi, circularly shifted by the coordinate's number: h_k is the least
+pi(sigma(v) + k) over the set.  BANDS bands of ROWS coordinates give a pair of Jaccard 0.8 a
+chance of 1 - 4e-9 to share a band, and one of 0.3 a chance of 0.05.  Sets that fill a good
+part of the circle look more alike than they are, which costs comparisons, not links.
+
+Documents whose shingle hashes have one digest are a class, which is confirmed on the full
+sets: the texts of a class are compared with its first text, in parts of bounded size, and
+rows of another set (hash collisions) become classes of their own.  Classes are the nodes
+from there on.
 In a band's bucket nobody meets everybody: each class is compared with the bucket's most
 central class (whose own buckets are the fullest), on the shingles of the texts
 themselves.  Links are closed into components.  What is left are pairs of one bucket in
@@ -17,16 +22,18 @@ comparison; the others are compared in tiles of blocks, through inverted lists,
 only pairs that reach the threshold become rows, which are confirmed on the texts like
 all others.
 
-Texts are shuffled once (classes in shared buckets), then pairs with their texts.
+Texts are shuffled once (copies, and classes in shared buckets), then pairs with their texts.
 Null, empty and wordless texts have empty sets and link with nothing; a text of any length
-is hashed whole.  Rows are the
-documents: repeated rows are exact copies, rows that share only an id are not linked by
-it.  A null id is greater than all others.
+is hashed whole, a mebibyte of words at a time, and long ones are compared as numbered
+shingles.  Rows are the documents: repeated rows are exact copies, rows that share only an
+id are not linked by it.  A null id is greater than all others.  Columns of the input whose
+names are those of the result are replaced by it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +41,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cuts, drop, ship, slices, table, text_bytes, written
+from .common import cuts, drop, ship, slices, table, text_bytes, word_lists, written
 from .components import connected
 
-BANDS, ROWS = 24, 3
+BANDS, ROWS = 64, 6
+#: Places of the circle, as a power of two.
+PLACES = 22
 #: Words of a shingle and the least similarity in per cent, unless a caller says otherwise.
 WORDS, PERCENT = 5, 80
 #: Buckets of more classes are thinned by unique shingles before their pairs are made.
@@ -46,6 +55,10 @@ LARGE = 16
 BLOCK, BLOCK_HASHES = 256, 1 << 18
 #: Blocks of a group that its outsiders meet in one part.
 TILES = 16
+#: Rows of a class that are confirmed in one part.
+CLASS_ROWS = 4096
+#: Texts of more bytes are compared as numbered shingles instead of sets of words.
+LONG = 1 << 16
 #: Word hashes a worker keeps.
 CACHE = 200_000
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -68,7 +81,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_hashes(text: bytes, hashes: dict, size: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles of ``size`` words."""
-    w = np.array([hashes[x] for x in text.lower().split()], np.uint64)
+    parts = [np.array([hashes[x] for x in words], np.uint64) for words in word_lists(text)]
+    w = np.concatenate(parts) if parts else np.empty(0, np.uint64)
     if not len(w):
         return w
     k = min(size, len(w))
@@ -78,18 +92,29 @@ def shingle_hashes(text: bytes, hashes: dict, size: int = WORDS) -> np.ndarray:
     return np.unique(h)
 
 
+def _digest(h: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(h.tobytes())
+
+
+@lru_cache(maxsize=2)
+def _circle(coordinates: int) -> np.ndarray:
+    """The permutation pi of the places, and the start of the circle once more."""
+    mask = np.uint32((1 << PLACES) - 1)
+    x = np.arange(1 << PLACES, dtype=np.uint32)
+    for odd in (0x2C1B3C6D, 0x297A2D39, 0x85EBCA6B):  # each step is one to one on PLACES bits
+        x = (x * np.uint32(odd)) & mask
+        x ^= x >> np.uint32(PLACES // 2)
+    return np.concatenate([x, x[:coordinates]])
+
+
 def signature(h: np.ndarray, coordinates: int) -> np.ndarray:
     """Circulant MinHash of a non-empty set: least pi(sigma(v) + k) for each k."""
-    sigma = _mix(h ^ _M1)
-    out = np.empty(coordinates, np.uint64)
-    for lo in range(0, coordinates, 8):  # 8 coordinates at a time stay in cache
-        shifted = sigma[None, :] + np.arange(lo, min(lo + 8, coordinates), dtype=np.uint64)[:, None] * _M1
-        shifted ^= shifted >> np.uint64(32)
-        shifted *= _M2
-        shifted ^= shifted >> np.uint64(29)
-        shifted *= _M3
-        out[lo : lo + 8] = shifted.min(1)
-    return out
+    shifted = np.lib.stride_tricks.sliding_window_view(_circle(coordinates), coordinates)
+    at = (_mix(h ^ _M1) >> np.uint64(64 - PLACES)).astype(np.int64)
+    out = np.full(coordinates, np.uint32(0xFFFFFFFF))
+    for lo in range(0, len(at), 256):
+        np.minimum(out, shifted[at[lo : lo + 256]].min(0), out=out)
+    return out.astype(np.uint64)
 
 
 def shingles(text: bytes, size: int = WORDS) -> set:
@@ -99,6 +124,31 @@ def shingles(text: bytes, size: int = WORDS) -> set:
     return set(zip(*(w[i:] for i in range(k)), strict=False)) if k else set()
 
 
+def _numbered(x: bytes, y: bytes, size: int) -> list[np.ndarray]:
+    """Sorted numbers of the shingles of both texts; two shingles have one number only if their words are the same."""
+    ids: dict[bytes, int] = {}
+    words = [np.concatenate([np.empty(0, np.int64), *(np.array([ids.setdefault(w, len(ids)) for w in part], np.int64) for part in word_lists(t))]) for t in (x, y)]
+    ks = [min(size, len(w)) for w in words]
+    grams = words
+    for i in range(1, max(ks)):
+        longer = [g[: max(0, len(w) - i)] * len(ids) + w[i:] if i < k else g[:0] for g, w, k in zip(grams, words, ks, strict=True)]
+        numbers = np.unique(np.concatenate(longer), return_inverse=True)[1]
+        grown = (numbers[: len(longer[0])], numbers[len(longer[0]) :])
+        grams = [n if i < k else g for n, g, k in zip(grown, grams, ks, strict=True)]
+    if ks[0] != ks[1]:  # one text is a single shingle of fewer words: nothing in common
+        grams = [grams[0], -1 - grams[1]]
+    return [np.unique(g) for g in grams]
+
+
+def overlap(x: bytes, y: bytes, size: int = WORDS) -> tuple[int, int, int]:
+    """Sizes of two texts' shingle sets and of their intersection, exact at any length."""
+    if max(len(x), len(y)) <= LONG:
+        a, b = shingles(x, size), shingles(y, size)
+        return len(a), len(b), len(a & b)
+    a, b = _numbered(x, y, size)
+    return len(a), len(b), len(np.intersect1d(a, b, assume_unique=True))
+
+
 def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = WORDS) -> DataFrame:
     """(doc_id, n, set_key binary(16), keys array<long>): set size, set hash and band keys of each row, and further columns."""
     kind = pa.struct([("n", pa.int64()), ("set_key", pa.binary()), ("keys", pa.list_(pa.int64()))])
@@ -118,7 +168,7 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = WO
                     key = np.arange(1, bands + 1, dtype=np.uint64)
                     for r in range(rows):
                         key = _mix(key * _M1 + s[:, r])
-                    out.append({"n": len(h), "set_key": xxhash.xxh3_128_digest(h.tobytes()), "keys": key.view(np.int64)})
+                    out.append({"n": len(h), "set_key": _digest(h), "keys": key.view(np.int64)})
                 yield pa.array(out, kind)
 
     carried = [c for c in docs.columns if c != "text"]
@@ -133,11 +183,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> D
         for batch in slices(batches, 2):
             keep = []
             for i, (b, mine, other) in enumerate(zip(batch.column(1).to_pylist(), text_bytes(batch.column(2)), text_bytes(batch.column(3)), strict=True)):
-                if b != last:
-                    last, theirs = b, shingles(other, size)
-                own = shingles(mine, size)
-                both = len(own & theirs)
-                keep.append(100 * both >= percent * (len(own) + len(theirs) - both))
+                if max(len(mine), len(other)) > LONG:
+                    n, m, both = overlap(mine, other, size)
+                else:
+                    if b != last:
+                        last, theirs = b, shingles(other, size)
+                    own = shingles(mine, size)
+                    n, m, both = len(own), len(theirs), len(own & theirs)
+                keep.append(100 * both >= percent * (n + m - both))
             yield pa.record_batch([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], ["a", "b"])
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -280,21 +333,22 @@ def rooted_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS
     carried = [c for c in docs.columns if c not in ("doc_id", "text")]
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carried)])
     sketches = written(sketch(hashed, bands, rows, size), "sketches")
-    # A class is represented by a row of its least id, named by id and text hash.
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash")).alias("least")
-    nodes = sketches.filter("n > 0").groupBy(F.col("set_key").alias("node")).agg(least, F.first("n").alias("n"), F.first("keys").alias("keys"))
-    nodes = written(nodes.select("node", F.col("least.doc_id").alias("min_id"), F.col("least._hash").alias("min_hash"), "n", "keys"), "classes")
-    bands_of = nodes.select("node", F.explode("keys").alias("key"))
-    buckets = written(bands_of.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "buckets")
-    shared = written(bands_of.join(buckets, "key"), "shared")
+    nodes, shared = _classes(sketches)
+    wanted, texts = _texts(docs, sketches, nodes, shared, size)
+    odd = written(_odd(wanted, texts, size), "odd")
+    if odd.limit(1).count():
+        same = (sketches["_hash"] == odd["_hash"]) & (sketches["set_key"] == odd["node"]) & sketches["doc_id"].eqNullSafe(odd["doc_id"])
+        parted = sketches.join(odd, same, "left").select(*[sketches[c] for c in sketches.columns if c != "set_key"], F.coalesce("name", "set_key").alias("set_key"))
+        parted = written(parted, "sketches")
+        drop(sketches, nodes, shared, wanted, texts)
+        sketches = parted
+        nodes, shared = _classes(sketches)
+        wanted, texts = _texts(docs, sketches, nodes, shared, size)
+    drop(wanted, odd)
     central = shared.groupBy("node").agg(F.sum("c").alias("centre"))
     ranked = shared.join(central, "node")
     leaders = written(ranked.groupBy("key").agg(F.max(F.struct("centre", "node")).alias("top")).select("key", F.col("top.node").alias("leader")), "leaders")
     members = written(shared.join(leaders, "key"), "members")
-    rep = members.select("node").distinct().join(nodes.select("node", "min_id", "min_hash"), "node")
-    keyed = docs.select(F.col("doc_id").alias("min_id"), F.xxhash64("text").alias("min_hash"), "text")
-    texts = keyed.join(rep, (keyed["min_hash"] == rep["min_hash"]) & keyed["min_id"].eqNullSafe(rep["min_id"])).select("node", "text")
-    texts = written(_own_text(texts, size), "texts")
     pairs = members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = written(_confirmed(pairs, texts, percent, size), "links")
     roots = connected(links)
@@ -310,10 +364,73 @@ def rooted_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = WORDS
     full = sketches.filter("n > 0").join(comp, "set_key")
     full = full.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "root", *own)
     bare = sketches.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), F.lit(None).cast("binary").alias("root"), *own)
-    drop(nodes, buckets, shared, leaders, members, texts, links, rest, more, standing)
+    drop(nodes, shared, leaders, members, texts, links, rest, more, standing)
     return full.unionByName(bare)
 
 
+def _classes(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The classes of equal set keys (node, min_id, min_hash, n, keys, c), and (key, node, c) of the buckets that several share."""
+    # A class is represented by a row of its least id, named by id and text hash.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash")).alias("least")
+    nodes = sketches.filter("n > 0").groupBy(F.col("set_key").alias("node")).agg(least, F.first("n").alias("n"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("c"))
+    nodes = written(nodes.select("node", F.col("least.doc_id").alias("min_id"), F.col("least._hash").alias("min_hash"), "n", "keys", "c"), "classes")
+    bands_of = nodes.select("node", F.explode("keys").alias("key"))
+    buckets = written(bands_of.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "buckets")
+    shared = written(bands_of.join(buckets, "key"), "shared")
+    drop(buckets)
+    return nodes, shared
+
+
+def _texts(docs: DataFrame, sketches: DataFrame, nodes: DataFrame, shared: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (node, c, first, doc_id, _hash, text) of classes with several rows or shared buckets, and one (node, text) for each of the classes."""
+    met = shared.select("node").distinct().withColumn("met", F.lit(True))
+    first = nodes.join(met, "node", "left").filter("met OR c > 1").select("node", "c", F.lit(True).alias("first"), F.col("min_id").alias("doc_id"), F.col("min_hash").alias("_hash"))
+    several = nodes.filter("c > 1").select(F.col("node").alias("set_key"), "c", "min_id", "min_hash")
+    copies = sketches.filter("n > 0").join(several, "set_key")
+    copies = copies.filter(~(F.col("doc_id").eqNullSafe(F.col("min_id")) & (F.col("_hash") == F.col("min_hash"))))
+    copies = copies.select(F.col("set_key").alias("node"), "c", F.lit(False).alias("first"), "doc_id", "_hash").distinct()
+    rows = first.unionByName(copies)
+    keyed = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), "text")
+    found = keyed.join(rows, (keyed["hash"] == rows["_hash"]) & keyed["id"].eqNullSafe(rows["doc_id"]))
+    wanted = written(found.select("node", "c", "first", "doc_id", "_hash", "text"), "wanted")
+    return wanted, written(_own_text(wanted.filter("first").select("node", "text"), size), "texts")
+
+
+def _odd(wanted: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(node, doc_id, _hash, name): rows of a class whose full set is not that of the class's text, named by their own set.
+
+    The class's text meets every part of CLASS_ROWS rows of the class; in a part, rows of one
+    set have one name.
+    """
+    parts = F.ceil(F.col("c") / F.lit(CLASS_ROWS)).cast("long")
+    rows = wanted.filter("c > 1")
+    base = rows.groupBy("node").agg(F.max("c").alias("c")).join(texts, "node")
+    base = base.select("node", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.lit(0).alias("later"), F.lit(None).cast(wanted.schema["doc_id"].dataType).alias("doc_id"), F.lit(None).cast("long").alias("_hash"), "text")
+    each = rows.select("node", F.pmod(F.monotonically_increasing_id(), parts).alias("part"), F.lit(1).alias("later"), "doc_id", "_hash", "text")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, key, known = _Hashes(), None, []
+        for batch in slices(batches, 5):
+            at, names = [], []
+            for i, (node, part, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(5)), strict=True)):
+                if (node, part) != key:
+                    key, known = (node, part), [text]
+                    continue
+                k = next((k for k, other in enumerate(known) if text == other or len(set(overlap(text, other, size))) == 1), len(known))
+                if k == len(known):
+                    if _digest(shingle_hashes(text, hashes, size)) != node[:16]:
+                        continue  # a text of another class with this id and text hash
+                    known.append(text)
+                if k:
+                    at.append(i)
+                    names.append(b"%s-%d-%d" % (node, part, k))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at, pa.int64())) for c in (0, 3, 4)), pa.array(names, pa.binary())], ["node", "doc_id", "_hash", "name"])
+
+    dealt = base.unionByName(each).repartition("node", "part").sortWithinPartitions("node", "part", "later")
+    kind = wanted.schema["doc_id"].dataType.simpleString()
+    return dealt.mapInArrow(check, f"node binary, doc_id {kind}, _hash long, name binary").distinct()
+
+
 def _own_text(rows: DataFrame, size: int) -> DataFrame:
     """One row (node, text) of each class: rows whose text does not have the class's set are left out."""
 
@@ -324,7 +441,7 @@ def _own_text(rows: DataFrame, size: int) -> DataFrame:
             out = []
             for k, t in zip(keys.to_pylist(), text_bytes(texts), strict=True):
                 h = shingle_hashes(t, hashes, size)
-                out.append(len(h) > 0 and xxhash.xxh3_128_digest(h.tobytes()) == k)
+                out.append(len(h) > 0 and _digest(h) == k[:16])
             yield pa.array(out, pa.bool_())
 
     return rows.filter(own("node", "text")).dropDuplicates(["node"])

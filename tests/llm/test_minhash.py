@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 
 from celltrove.llm import minhash
+from celltrove.llm.common import word_lists
 from celltrove.llm.components import connected
 
 from .texts import AWKWARD
@@ -76,3 +78,48 @@ def test_query_uses_four_words(spark, save):
     docs = [(i, t) for i, t in enumerate(["a b c d e", "a b c d e f", "x y", None])]
     got = minhash.op5_minhash(spark, save(documents=spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS node", "2 AS n")))
     assert sorted(map(tuple, got.collect()), key=str) == brute(docs) and brute(docs)[0][1] == 2
+
+
+def test_rows_of_equal_digests_are_confirmed_on_their_sets(spark, monkeypatch):
+    """With a digest that tells nothing, only the full sets part the classes."""
+    monkeypatch.setattr(minhash, "_digest", lambda h: b"0" * 16)
+    monkeypatch.setattr(minhash, "CLASS_ROWS", 7)
+    rng = random.Random(5)
+    texts = [*AWKWARD, "a b c d e", "A  b\tc d e", "other words than these", None, ""]
+    texts += family(rng, [f"w{k}" for k in range(60)], 8, 9) * 2
+    docs = [(i, t) for i, t in enumerate(texts)] + [(3, "a row with the id of another"), (None, texts[1]), (None, "null id here")]
+    assert run(spark, docs) == brute(docs)
+
+
+def test_long_texts_are_compared_as_sets_are(monkeypatch):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(9)]
+    texts = ["", " ", "one", "ONE", "one two", "one two three four", "a" * 300] + [" ".join(rng.choices(words, k=rng.randrange(1, 200))) for _ in range(12)]
+    monkeypatch.setattr(minhash, "LONG", -1)
+    for x in texts:
+        for y in texts:
+            for size in (1, 2, 4, 5):
+                a, b = sets(x, size), sets(y, size)
+                assert minhash.overlap(x.encode(), y.encode(), size) == (len(a), len(b), len(a & b))
+
+
+def test_long_texts(spark):
+    base = [f"w{k % 997}x{k % 89}" for k in range(300_000)]
+    docs = [(1, " ".join(base)), (2, "  ".join(base).upper()), (3, " ".join(base[:250_000])), (4, " ".join(base[:2000])), (5, "x" * 3_000_000), (6, None)]
+    assert run(spark, docs) == brute(docs)
+
+
+def test_words_are_the_same_in_pieces():
+    rng = random.Random(1)
+    for _ in range(200):
+        text = "".join(rng.choices("aB \t\n\x0b\x0c\r\x1c ", k=rng.randrange(60))).encode()
+        assert [w for part in word_lists(text, rng.randrange(1, 9)) for w in part] == text.lower().split()
+
+
+def test_signatures_estimate_the_similarity():
+    rng = np.random.default_rng(1)
+    agree = []
+    for _ in range(100):
+        u = rng.integers(0, 2**63, 300).astype(np.uint64)
+        agree.append((minhash.signature(np.unique(u[:240]), 128) == minhash.signature(np.unique(u[60:]), 128)).mean())
+    assert abs(np.mean(agree) - 0.6) < 0.02
