@@ -4,7 +4,8 @@ A text is normalised: A-Z are lower-cased, every run of other characters is one
 comment leaders included; a line feed and a colon stay as a mark, since a sentence may begin
 or end there; a full stop, question or exclamation mark before white space, and a line
 without letters or digits, cut.  Names, years and holders are replaced by a word that stands
-for them.  A known sentence is found where it fills everything from one mark or cut to
+for them, spellings of "licence" and "version" and the ways to say that something is under a
+licence by one form.  A known sentence is found where it fills everything from one mark or cut to
 another, also when it is wrapped over lines of a comment; parts of it are not found.
 At one place the longest sentence counts.
 
@@ -27,124 +28,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-
-_AS_IS = 'software is provided by the HOLDER "as is" and any express or implied warranties'
-_HOPE = "is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
-_FREE = "is free software{} you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
-
-# Known licence sentences (identifier, sentence).  HOLDER and NAME stand for what VARIABLES finds.
-SENTENCES = (
-    ("apache-line", "Licensed under the Apache License, Version 2.0."),
-    ("apache-head", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
-    ("apache-copy", "You may obtain a copy of the License at"),
-    ("apache-disclaim", 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.'),
-    ("apache-see", "See the License for the specific language governing permissions and limitations under the License."),
-    ("apache-title", "Apache License Version 2.0, January 2004"),
-    ("mit-line", "Released under the MIT License."),
-    ("mit-line", "Licensed under the MIT License."),
-    ("mit-line", "This project is licensed under the MIT License."),
-    ("mit-name", "The MIT License (MIT)"),
-    ("mit-name", "The MIT License"),
-    ("mit-name", "MIT License"),
-    ("mit-grant", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
-    ("mit-notice", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
-    ("mit-disclaim", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'),
-    ("gpl3-line", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl3-title", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
-    ("gpl2-title", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
-    ("lgpl3-title", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
-    ("lgpl21-title", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
-    ("agpl3-title", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
-    *((f"{key}-free", f"{what} {_FREE.format(colon, kind, comma, version)}") for key, kind, version in (("gpl", "", "3"), ("gpl2", "", "2"), ("lgpl3", "Lesser", "3"), ("lgpl21", "Lesser", "2.1"), ("agpl3", "Affero", "3")) for what in ("This program", "This library", "NAME") for colon, comma in ((":", ","), (";", ";"))),
-    ("gpl2-only", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
-    *(("gpl-hope", f"{what} {_HOPE}") for what in ("This program", "This library", "NAME")),
-    ("gpl-details", "See the GNU General Public License for more details."),
-    ("lgpl-details", "See the GNU Lesser General Public License for more details."),
-    ("agpl-details", "See the GNU Affero General Public License for more details."),
-    ("cc-by-nc-line", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-line", "Licensed under CC BY 4.0."),
-    ("cc-by-sa-line", "Licensed under CC BY-SA 4.0."),
-    ("cc-by-line", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("cc-by-sa-line", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("cc-by-nc-line", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("cc0-line", "To the extent possible under law, HOLDER has waived all copyright and related or neighboring rights to this work."),
-    ("bsd-redist", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
-    ("bsd-source", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
-    ("bsd-binary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
-    ("bsd-endorse", "Neither the name of HOLDER nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
-    ("bsd-disclaim", f"THIS {_AS_IS}, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed."),
-    ("isc-name", "ISC License"),
-    ("isc-grant", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("isc-grant", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("bsd0-grant", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
-    ("mpl2-head", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("mpl2-copy", "If a copy of the MPL was not distributed with this file, You can obtain one at"),
-    ("unlicense-head", "This is free and unencumbered software released into the public domain."),
-    ("unlicense-grant", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
-    ("boost-name", "Boost Software License - Version 1.0 - August 17th, 2003"),
-    ("boost-line", "Distributed under the Boost Software License, Version 1.0."),
-    ("zlib-as-is", "This software is provided 'as-is', without any express or implied warranty."),
-    ("zlib-grant", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
-    *((f"spdx-{x}", f"SPDX-License-Identifier: {x}") for x in ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "CC0-1.0", "Unlicense")),
-    ("reserved", "All rights reserved."),
-)
-
-# Licence rules, most specific first (rule, licence, identifiers in order).
-RULES = (
-    ("apache-header", "Apache-2.0", ("apache-head", "apache-copy", "apache-disclaim")),
-    ("apache-full", "Apache-2.0", ("apache-title",)),
-    ("mit-full", "MIT", ("mit-name", "mit-grant", "mit-notice")),
-    ("mit-text", "MIT", ("mit-grant", "mit-notice")),
-    ("agpl3-header", "AGPL-3.0-or-later", ("agpl3-free", "gpl-hope", "agpl-details")),
-    ("lgpl3-header", "LGPL-3.0-or-later", ("lgpl3-free", "gpl-hope", "lgpl-details")),
-    ("lgpl21-header", "LGPL-2.1-or-later", ("lgpl21-free", "gpl-hope", "lgpl-details")),
-    ("gpl3-header", "GPL-3.0-or-later", ("gpl-free", "gpl-hope", "gpl-details")),
-    ("gpl2-header", "GPL-2.0-or-later", ("gpl2-free", "gpl-hope", "gpl-details")),
-    ("gpl2-only-header", "GPL-2.0-only", ("gpl2-only", "gpl-hope", "gpl-details")),
-    ("agpl3-full", "AGPL-3.0-only", ("agpl3-title",)),
-    ("lgpl3-full", "LGPL-3.0-only", ("lgpl3-title",)),
-    ("lgpl21-full", "LGPL-2.1-only", ("lgpl21-title",)),
-    ("gpl3-full", "GPL-3.0-only", ("gpl3-title",)),
-    ("gpl2-full", "GPL-2.0-only", ("gpl2-title",)),
-    ("bsd-3-full", "BSD-3-Clause", ("bsd-redist", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-disclaim")),
-    ("bsd-3", "BSD-3-Clause", ("bsd-redist", "bsd-endorse")),
-    ("bsd-2-full", "BSD-2-Clause", ("bsd-redist", "bsd-source", "bsd-binary", "bsd-disclaim")),
-    ("bsd-2", "BSD-2-Clause", ("bsd-redist",)),
-    ("isc", "ISC", ("isc-grant",)),
-    ("bsd-0", "0BSD", ("bsd0-grant",)),
-    ("mpl2-header", "MPL-2.0", ("mpl2-head", "mpl2-copy")),
-    ("unlicense", "Unlicense", ("unlicense-head", "unlicense-grant")),
-    ("zlib", "Zlib", ("zlib-as-is", "zlib-grant")),
-    ("boost", "BSL-1.0", ("boost-name",)),
-    ("boost-reference", "BSL-1.0", ("boost-line",)),
-    ("mpl2-short", "MPL-2.0", ("mpl2-head",)),
-    ("apache-reference", "Apache-2.0", ("apache-line",)),
-    ("apache-short", "Apache-2.0", ("apache-head",)),
-    ("mit-reference", "MIT", ("mit-line",)),
-    ("gpl3-reference", "GPL-3.0-only", ("gpl3-line",)),
-    ("cc-by-nc-reference", "CC-BY-NC-4.0", ("cc-by-nc-line",)),
-    ("cc-by-sa-reference", "CC-BY-SA-4.0", ("cc-by-sa-line",)),
-    ("cc-by-reference", "CC-BY-4.0", ("cc-by-line",)),
-    ("cc0-waiver", "CC0-1.0", ("cc0-line",)),
-    *((key, key[5:], (key,)) for key, _ in SENTENCES if key.startswith("spdx-")),
-    ("proprietary", "Proprietary", ("reserved",)),
-)
-
-# Places of normalised sentences that vary, and how they are written in the table.
-_ANY = r"[a-z0-9 \n]{1,120}?"
-VARIABLES = (
-    (rf"neither[ \n]+the[ \n]+names?[ \n]+of[ \n]+{_ANY}[ \n]+nor[ \n]+the[ \n]+names[ \n]+of[ \n]+(?:its|their|any|other)[ \n]+contributors", "neither the name of holder nor the names of its contributors"),
-    (r"software[ \n]+is[ \n]+provided[ \n]+by[ \n]+(?:the[ \n]+)?[a-z0-9 \n]{1,80}?[ \n]+as[ \n]+is[ \n]+and[ \n]+any[ \n]+express(?:ed)?[ \n]+or", "software is provided by the holder as is and any express or"),
-    (rf"under[ \n]+law[ \n]+{_ANY}[ \n]+has[ \n]+waived", "under law holder has waived"),
-    (rf"([|\n] ?)[a-z0-9 ]{{1,60}}?[ \n]+is[ \n]+free[ \n]+software[ \n]+you[ \n]+can", r"\1name is free software you can"),
-    (rf"([|\n] ?)[a-z0-9 ]{{1,60}}?[ \n]+is[ \n]+distributed[ \n]+in[ \n]+the[ \n]+hope", r"\1name is distributed in the hope"),
-)
+from .licence_table import LEADS, RULES, SENTENCES, VARIABLES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Every known sentence holds one of these, inside words, so that spacing and punctuation don't matter.
 ANCHORS = ("licen", "permission", "warrant", "software", "redistribut", "copyright", "reserved", "mozilla", "mpl")
 # An abbreviation before a small letter or a digit does not end a sentence.
 _ABBREVIATED = (r"(^|[^A-Za-z0-9])([Ii]nc|INC|[Ll]td|LTD|[Cc]o|[Cc]orp|[Vv]er|[Vv])\.([ \t\r\n#/*;<>!-]+[a-z0-9])", r"\1\2 \3")
+# A plus after a version is "or later".
+_PLUS = (r"([Gg][Pp][Ll][ -]?[Vv]?[0-9](?:[.][0-9])?)[+]", r"\1 or later")
 # Steps of normalising, in order: (pattern, replacement), the same in both engines.
 _STEPS = (
     (r"\r\n?", "\n"),
@@ -165,8 +57,11 @@ def known() -> dict[str, str]:
     """Identifier of each normalised sentence, longest first."""
     found = {}
     for key, said in SENTENCES:
-        plain = _plain(said)
-        plain = re.sub(r"^(?:this program|this library|name) is (free software you can|distributed in the hope)", r"name is \1", plain)
+        plain = _plain(re.sub(*_PLUS, said))
+        for pattern, to in VARIABLES:
+            plain = re.sub(pattern, to, f"||{plain}||").strip("|")
+        for pattern, to in LEADS:
+            plain = re.sub(f"^{pattern}", to, plain)
         if not any(a in plain for a in ANCHORS):
             raise ValueError(f"no anchor in: {said}")
         if found.setdefault(plain, key) != key:
@@ -175,7 +70,12 @@ def known() -> dict[str, str]:
 
 
 def _pattern() -> str:
-    said = "|".join(p.replace(" ", r"[ \n]+") for p in known())
+    forms = {"": "", **{to: pattern for pattern, to in LEADS}}
+    said = []
+    for to, lead in forms.items():
+        rest = [p[len(to) :] for p in known() if next((t for _, t in LEADS if p.startswith(t)), "") == to]
+        said.append(lead + "(?:" + "|".join(p.replace(" ", r"[ \n]+") for p in rest) + ")")
+    said = "|".join(said)
     # Marks and cuts are doubled, so that sentences that follow one another each have their own.
     return rf"[|\n] ?({said}) ?[|\n]"
 
@@ -188,7 +88,7 @@ def normalised(text: Column) -> Column:
             out = F.regexp_replace(out, pattern, re.sub(r"\\(\d)", r"$\1", to))
         return out
 
-    out = replaced(F.translate(replaced(text, (_ABBREVIATED,)), _UPPER + "|", _LOWER + " "), _STEPS)
+    out = replaced(F.translate(replaced(text, (_ABBREVIATED, _PLUS)), _UPPER + "|", _LOWER + " "), _STEPS)
     return replaced(F.concat(F.lit("||"), out, F.lit("||")), VARIABLES)
 
 
@@ -196,7 +96,14 @@ def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences in a text, by position."""
     found = F.regexp_extract_all(normalised(text), F.lit(_pattern()), F.lit(1))
     ids = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
-    said = F.transform(found, lambda m: F.element_at(ids, F.regexp_replace(m, r"[ \n]+", " ")))
+
+    def identifier(m: Column) -> Column:
+        plain = F.regexp_replace(m, r"[ \n]+", " ")
+        for pattern, to in LEADS:
+            plain = F.regexp_replace(plain, f"^{pattern}", to)
+        return F.element_at(ids, plain)
+
+    said = F.transform(found, identifier)
     return F.when(text.rlike("(?i)" + "|".join(ANCHORS)), said).otherwise(F.array().cast("array<string>"))
 
 
@@ -227,13 +134,14 @@ def oracle() -> str:
     """The same rules in SQL, on every text, without the filter by anchors."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     replaced = lambda s, steps: s if not steps else replaced(f"regexp_replace({s}, {quote(steps[0][0])}, {quote(steps[0][1])}, 'g')", steps[1:])
-    plain = f"translate({replaced('text', (_ABBREVIATED,))}, {quote(_UPPER + '|')}, {quote(_LOWER + ' ')})"
+    plain = f"translate({replaced('text', (_ABBREVIATED, _PLUS))}, {quote(_UPPER + '|')}, {quote(_LOWER + ' ')})"
     norm = replaced(f"'||' || {replaced(plain, _STEPS)} || '||'", VARIABLES)
     ids = ", ".join(f"({quote(s)}, {quote(k)})" for s, k in known().items())
+    said = replaced("regexp_replace(unnest(found), '[ \\n]+', ' ', 'g')", tuple((f"^{pattern}", to) for pattern, to in LEADS))
     rules = ", ".join(f"({i}, {quote(r)}, {quote(x)}, {quote(_like(want))})" for i, (r, x, want) in enumerate(RULES))
     return f"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({norm}, {quote(_pattern())}, 1) AS found FROM documents),
-s AS (SELECT row, generate_subscripts(found, 1) AS pos, regexp_replace(unnest(found), '[ \\n]+', ' ', 'g') AS said FROM d),
+s AS (SELECT row, generate_subscripts(found, 1) AS pos, {said} AS said FROM d),
 seq AS (SELECT row, count(*) AS n, string_agg(id, ',' ORDER BY pos) AS ids, ',' || string_agg(id, ',,' ORDER BY pos) || ',' AS line FROM s JOIN (VALUES {ids}) k(said, id) USING (said) GROUP BY row),
 ok AS (SELECT row, string_agg(rule, ',' ORDER BY k) AS rules, arg_min(licence, k) AS licence FROM seq JOIN (VALUES {rules}) r(k, rule, licence, pat) ON line LIKE pat GROUP BY row)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_sentences, coalesce(ids, '') AS sentence_ids, coalesce(rules, '') AS rules, coalesce(licence, 'none') AS licence

@@ -90,7 +90,7 @@ copies or substantial portions of the Software.
     wrap = lambda *keys, start="", end="\n": end.join(textwrap.fill(by[k], 40, initial_indent=start, subsequent_indent=start).replace("\n", end) for k in keys)
     texts = [
         mit, mit.replace("\n", "\r\n"), wrap("apache-head", "apache-copy", "apache-disclaim", start=" * "), wrap("gpl-free", "gpl-hope", "gpl-details", start="# "),
-        "Title\n" + wrap("bsd-redist", "bsd-endorse", end="\r\n"), by["apache-line"][:-1] + "\n" + by["apache-head"].split("2.0 ")[1], "All\n\nrights reserved.", "x\n" * 30000 + "All rights reserved",
+        "Title\n" + wrap("bsd-redist", "bsd-endorse", end="\r\n"), "Licensed under the Apache License, Version 2.0\n" + by["apache-head"].split("2.0 ")[1], "All\n\nrights reserved.", "x\n" * 30000 + "All rights reserved",
     ]
     rows = {r["doc_id"]: r for r in licenses.op8_licenses(spark, save(documents=documents(spark, texts))).collect()}
     assert [rows[i]["rules"].split(",")[0] for i in range(8)] == ["mit-full", "mit-full", "apache-header", "gpl3-header", "bsd-3", "apache-short", "", "proprietary"]
@@ -193,3 +193,21 @@ def test_native_plans_have_no_python(spark):
     for query in (decontaminate.op2_decontaminate, licenses.op8_licenses):
         plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
         assert "Python" not in plan and "ArrowEval" not in plan and "CartesianProduct" not in plan
+
+
+def test_wordings_of_references_and_older_headers(spark, save):
+    old = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {}, or (at your option) any later version."
+    said = [
+        (old.format("General Public License", "2"), "GPL-2.0-or-later"), (old.format("Library General Public License", "2 of the License"), "LGPL-2.0-or-later"), (old.format("Lesser General Public License", "2.1"), "LGPL-2.1-or-later"),
+        ("This project is licensed under the terms of the MIT license.", "MIT"), ("The source code is released under the MIT licence.", "MIT"), ("Licensed under MIT", "MIT"),
+        ("Distributed under the terms of the Apache License 2.0.", "Apache-2.0"), ("This package is licensed under GPLv3+.", "GPL-3.0-or-later"), ("# This file is licensed under the GNU General\n# Public License v2.0.", "GPL-2.0-only"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-SA-4.0"), ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"), ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"),
+        ("This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at\nhttps://www.eclipse.org/legal/epl-2.0/", "EPL-2.0"),
+        ("The contents of this file are subject to the terms of the Common Development and Distribution License (the \"License\").", "CDDL-1.0"), ("The Artistic License 2.0", "Artistic-2.0"), ("Licensed under the EUPL, Version 1.2.", "EUPL-1.2"),
+        ("Released under the BSD 3-Clause License.", "BSD-3-Clause"), ("Microsoft Public License (Ms-PL)", "MS-PL"), ("PYTHON SOFTWARE FOUNDATION LICENSE VERSION 2", "PSF-2.0"), ("Licensed under the WTFPL.", "WTFPL"), ("Licensed under MPL 2.0.", "MPL-2.0"),
+        ("This is not licensed under the MIT license.", "none"), ("He was licensed under the old terms.", "none"), ("MIT gave a license version 2 to the lab.", "none"), ("The film was released under the title MIT.", "none"),
+    ]
+    sf = save(documents=documents(spark, [t for t, _ in said]))
+    rows = [tuple(r) for r in licenses.op8_licenses(spark, sf).collect()]
+    assert [(said[i][0], x) for i, *_, x in sorted(rows)] == said
+    assert sorted(rows, key=str) == by_sql(sf)
