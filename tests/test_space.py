@@ -119,3 +119,25 @@ sys.exit(bool(failed))
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
     assert done.returncode == 0, done.stdout[-3000:] + done.stderr[-1000:]
+
+
+def test_copies_of_places_and_rings_meet_once(spark, monkeypatch):
+    met = []
+    whole = S.points_in
+    monkeypatch.setattr(S, "points_in", lambda p, q, cell=None: met.append((p.count(), q.count())) or whole(p, q, cell))
+    places, rings = [(1.0, 1.0), (4.0, 5.0), (8.0, 8.0)], [CONCAVE, moved(CONCAVE, 3.0, 3.0)]
+    points = [("a", n, *places[n % 3], "fg"[n % 2]) for n in range(120)] + [("a", 900, None, 1.0, "f"), (None, 901, 1.0, 1.0, "f")]
+    cells = [("a", c, rings[c % 2], c % 3, f"layer{c % 3}") for c in range(50)]
+    p = spark.createDataFrame(points, "slide_id string, point_id long, x double, y double, feature_name string")
+    q = spark.createDataFrame(cells, POLYGON + ", priority int, layer string")
+    want, label = {}, {n: "NoAnnot" for _, n, *_ in points}
+    for s, n, x, y, f in points:
+        held = [c for c in cells if s == "a" and x is not None and inside(x, y, c[2])]
+        for c in held:
+            want["a", c[1], f] = want.get(("a", c[1], f), 0) + 1
+        if held:
+            label[n] = min((c[3], c[4]) for c in held)[1]
+    assert {(r.slide_id, r.cell_id, r.feature_name): r["count"] for r in S.count_in_polygons(p, q).collect()} == want
+    assert {r.point_id: r.label for r in S.label_points(p, q).collect()} == label
+    # Three places of two features each, with the two points that have none, and two rings.
+    assert met == [(8, 2), (5, 2)]
