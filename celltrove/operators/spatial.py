@@ -190,61 +190,69 @@ def signed_area(ring: Column) -> Column:
     return F.aggregate(edges_of(ring), F.lit(0.0), lambda a, e: a + (e["ax"] * e["by"] - e["bx"] * e["ay"]).cast("double")) / 2
 
 
-def _cut_by_line(ring: Column, e: Column) -> Column:
-    """The part of a ring to the left of the line from (ax, ay) to (bx, by)."""
-    over = lambda x, y: (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
-    none = F.array().cast("array<struct<x: double, y: double>>")
+def _slopes(ring: Column) -> Column:
+    """Edges of a ring that are not vertical, from left to right, each with the sign of its way: struct(l, h, y, m, s)."""
+    kind = "array<struct<x: double, y: double>>"
+    sloped = F.filter(edges_of(ring.cast(kind)), lambda e: e["ax"] != e["bx"])
+    ahead = lambda e: e["ax"] < e["bx"]
+    m = lambda e: (e["by"] - e["ay"]) / (e["bx"] - e["ax"])
+    return F.transform(sloped, lambda e: F.struct(F.least(e["ax"], e["bx"]).alias("l"), F.greatest(e["ax"], e["bx"]).alias("h"), F.when(ahead(e), e["ay"]).otherwise(e["by"]).alias("y"), m(e).alias("m"), F.when(ahead(e), 1.0).otherwise(-1.0).alias("s")))
+
+
+def _shared_below(p: Column, q: Column, low: Column) -> Column:
+    """The area that the strips between two edges and the line y = ``low`` share, with the product of their signs."""
+    left, right = F.greatest(p["l"], q["l"]), F.least(p["h"], q["h"])
+    at = lambda e, x: e["y"] + e["m"] * (x - e["l"])
+    ends = F.struct(at(p, left).alias("p0"), at(p, right).alias("p1"), at(q, left).alias("q0"), at(q, right).alias("q1"), (right - left).alias("w"))
 
-    def kept(s: Column) -> Column:
-        a, b = over(s["ax"], s["ay"]), over(s["bx"], s["by"])
-        own = F.when(a >= 0, F.array(F.struct(s["ax"].alias("x"), s["ay"].alias("y")))).otherwise(none)
-        t = a / (a - b)
-        cut = F.when(a * b < 0, F.array(F.struct((s["ax"] + t * (s["bx"] - s["ax"])).alias("x"), (s["ay"] + t * (s["by"] - s["ay"])).alias("y")))).otherwise(none)
-        return F.concat(own, cut)
+    def strip(t: Column) -> Column:
+        d0, d1 = t["p0"] - t["q0"], t["p1"] - t["q1"]
+        # Where the edges cross, the lower one bends, so there is a triangle above the straight line between its ends.
+        bend = F.when(d0 * d1 < 0, -d0 * d1 / F.abs(d0 - d1)).otherwise(0.0)
+        return t["w"] * ((F.least(t["p0"], t["q0"]) + F.least(t["p1"], t["q1"]) + bend) / 2 - low)
 
-    return F.flatten(F.transform(edges_of(ring), kept))
+    # As a lambda's argument, so that the ends are not written out again wherever they are used.
+    return F.when(left < right, p["s"] * q["s"] * F.get(F.transform(F.array(ends), strip), F.lit(0))).otherwise(0.0)
+
+
+def _shared(p: Column, q: Column, low: Column) -> Column:
+    each = lambda e: F.aggregate(q, F.lit(0.0), lambda a, f: a + _shared_below(e, f, low))
+    return F.abs(F.aggregate(p, F.lit(0.0), lambda a, e: a + each(e)))
 
 
 def overlap_area(ring: Column, other: Column) -> Column:
     """Area that two simple rings share, concave or not, whichever way they run.
 
-    ``other`` is a fan of triangles, each with the sign of its turn, and outside of it their signs cancel
-    out; so the shared area is the sum of the areas of ``ring`` cut to each, with those signs.
+    A ring is the sum of the strips below its edges, with the signs of their ways; so the shared area is
+    that of all pairs of strips, one from each ring, which is the area under the lower of two edges.
     Rings of fewer than three points, or missing ones, share 0.
     """
-    kind = "array<struct<x: double, y: double>>"
-    a, b = ring.cast(kind), other.cast(kind)
-    corner = lambda i: F.get(b, i)
-
-    def triangle(i: Column) -> Column:
-        p, q, r = corner(F.lit(0)), corner(i), corner(i + 1)
-        turn = (q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"])
-        side = lambda s, t: F.struct(s["x"].alias("ax"), s["y"].alias("ay"), t["x"].alias("bx"), t["y"].alias("by"))
-        return F.struct(F.signum(turn).alias("sign"), F.when(turn >= 0, F.array(side(p, q), side(q, r), side(r, p))).otherwise(F.array(side(p, r), side(r, q), side(q, p))).alias("sides"))
-
-    fan = F.filter(F.transform(F.sequence(F.lit(1), F.size(b) - 2), triangle), lambda t: t["sign"] != 0)
-    part = lambda t: t["sign"] * signed_area(F.aggregate(t["sides"], a, _cut_by_line))
-    shared = F.abs(F.aggregate(F.transform(fan, part), F.lit(0.0), lambda x, y: x + y))
-    return F.when((F.size(a) >= 3) & (F.size(b) >= 3), shared).otherwise(F.lit(0.0))
+    low = F.least(F.array_min(axes(ring)[1]), F.array_min(axes(other)[1])).cast("double")
+    return F.when((F.size(ring) >= 3) & (F.size(other) >= 3), _shared(_slopes(ring), _slopes(other), low)).otherwise(F.lit(0.0))
 
 
 def overlaps(cells: DataFrame, cell: float, slide: str = "slide_id", key: str = "cell_id") -> DataFrame:
     """(slide, a, b, shared, share), a < b: pairs of cells of a slide whose rings share an area, and its share of the smaller one.
 
-    Pairs are found by the boxes' grid of side ``cell``; cells are unique by (slide, key).
+    Pairs are found by the boxes' grid of side ``cell``, and measured in the bucket that they meet in, where
+    the box's row has the ring's edges; so no pair is shuffled.  Cells are unique by (slide, key).
     """
     xs, ys = axes("ring")
-    sized = cells.filter(F.size("ring") >= 3).select(F.col(slide).alias("slide_id"), F.col(key).alias("a"), "ring", area(F.col("ring")).alias("area"), F.array_min(xs).alias("xmin"), F.array_max(xs).alias("xmax"), F.array_min(ys).alias("ymin"), F.array_max(ys).alias("ymax"))
-    boxes = sized.select("slide_id", "a", "xmin", "ymin", "xmax", "ymax")
-    pairs = box_join(boxes, boxes.withColumnRenamed("a", "b"), cell, "a", "b").filter("a < b")
-    left = sized.select("slide_id", "a", F.col("ring").alias("_p"), F.col("area").alias("_pa"))
-    right = sized.select("slide_id", F.col("a").alias("b"), F.col("ring").alias("_q"), F.col("area").alias("_qa"))
-    # Pairs are small rows with much work each, so they are dealt by number and not merged into few tasks by size.
+    at = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("bigint")
+    sized = cells.filter(F.size("ring") >= 3).select(F.col(slide).alias("slide_id"), F.col(key).alias("_k"), area(F.col("ring")).alias("_area"), _slopes(F.col("ring")).alias("_e"), *[f(v).cast("double").alias(n) for n, f, v in (("xl", F.array_min, xs), ("xh", F.array_max, xs), ("yl", F.array_min, ys), ("yh", F.array_max, ys))])
+    spread = sized.withColumn("_x", F.explode(F.sequence(at("xl"), at("xh")))).withColumn("_y", F.explode(F.sequence(at("yl"), at("yh"))))
+    # Buckets are dealt by number and not merged into few tasks by size: rows are small, with much work each.
     parts = max(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells.sparkSession.sparkContext.defaultParallelism)
-    met = pairs.join(left, ["slide_id", "a"]).join(right, ["slide_id", "b"]).repartition(parts)
+    dealt = spread.repartition(parts, "slide_id", "_x", "_y")
+    p, q = dealt.alias("p"), dealt.alias("q")
+    same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("slide_id", "_x", "_y")]
+    low = {c: F.greatest(F.col(f"p.{c}l"), F.col(f"q.{c}l")) for c in "xy"}
+    # Boxes that only touch share nothing; a pair is met by the bucket of the lower left corner of the common part.
+    meets = [F.col("p._k") < F.col("q._k"), *[low[c] < F.least(F.col(f"p.{c}h"), F.col(f"q.{c}h")) for c in "xy"], *[F.floor(low[c] / cell) == F.col(f"p._{c}") for c in "xy"]]
+    met = p.join(q, reduce(Column.__and__, [*same, *meets]))
     # As a generator, so that the filters below do not write the area out again.
-    shared = met.withColumn("shared", F.explode(F.array(overlap_area(F.col("_p"), F.col("_q")))))
-    return shared.select(F.col("slide_id").alias(slide), "a", "b", "shared", F.try_divide("shared", F.least("_pa", "_qa")).alias("share")).filter("shared > 0")
+    shared = met.withColumn("shared", F.explode(F.array(_shared(F.col("p._e"), F.col("q._e"), F.least("p.yl", "q.yl")))))
+    return shared.filter("shared > 0").select(F.col("p.slide_id").alias(slide), F.col("p._k").alias("a"), F.col("q._k").alias("b"), "shared", F.try_divide("shared", F.least("p._area", "q._area")).alias("share"))
 
 
 def without_conflicts(cells: DataFrame, pairs: DataFrame, slide: str = "slide_id", key: str = "cell_id", share: float = 0.5) -> DataFrame:
@@ -276,6 +284,17 @@ def without_conflicts(cells: DataFrame, pairs: DataFrame, slide: str = "slide_id
     return cells.join(lost, [slide, key], "left").withColumn("kept", F.coalesce("_kept", F.lit(True))).drop("_kept")
 
 
+def resolved(cells: DataFrame, cell: float, slide: str = "slide_id", key: str = "cell_id", share: float = 0.5) -> DataFrame:
+    """``cells`` with ``kept``, as ``without_conflicts`` of all ``overlaps``, but of cells with one ring only the first is paired.
+
+    The others go in any case: for the first, if it stays, else for the larger cell that it goes for.
+    """
+    some = F.coalesce(area(F.col("ring")) > 0, F.lit(False))
+    firsts = cells.filter(some).groupBy(slide, "ring").agg(F.min(key).alias(key))
+    stay = without_conflicts(firsts, overlaps(firsts, cell, slide, key), slide, key, share).filter("kept").select(slide, key, F.lit(True).alias("_stays"))
+    return cells.join(stay, [slide, key], "left").withColumn("kept", ~some | F.coalesce("_stays", F.lit(False))).drop("_stays")
+
+
 def rasterise(rings: DataFrame, width: int = WIDTH, order: str | None = None) -> DataFrame:
     """(slide_id, patch_id, row, col, channel, value): pixels whose centre is in the ring of (patch, channel, value).
 

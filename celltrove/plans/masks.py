@@ -53,8 +53,7 @@ def shared_areas(spark, d):
 
 def resolved_cells(spark, d):
     """Of cells that share half of the smaller one, the larger stays."""
-    cells = _rings(spark, d)
-    return S.without_conflicts(cells, S.overlaps(cells, CELL)).select("slide_id", "cell_id", "kept")
+    return S.resolved(_rings(spark, d), CELL).select("slide_id", "cell_id", "kept")
 
 
 NAMES = "pooled_masks token_sums compressed_masks shared_areas resolved_cells".split()

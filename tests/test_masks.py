@@ -107,3 +107,21 @@ def test_conflicts_go_by_area(spark):
             kept.add((s, i))
     assert got == {(s, i): (s, i) in kept for s, i, _ in cells} and not all(got.values())
     assert all(r.kept for r in S.without_conflicts(df, pairs.limit(0)).collect())
+
+
+def test_copies_are_resolved_as_all_pairs_are(spark):
+    rng = random.Random(6)
+    box = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w)]
+    rings = [box(float(rng.randrange(60)), float(rng.randrange(60)), float(rng.randrange(4, 25))) for _ in range(25)] + [moved(CONCAVE, 7.0, 9.0)]
+    rows = [(rng.choice("ab"), i, rng.choice(rings)) for i in range(150)] + [("a", 900, [(1.0, 1.0), (2.0, 2.0)]), ("a", 901, None), ("a", 902, [(1.0, 1.0), (2.0, 2.0), (3.0, 3.0)])]
+    cells = spark.createDataFrame(rows, "slide_id string, cell_id long, ring array<struct<x: double, y: double>>")
+    want = {tuple(r) for r in S.without_conflicts(cells, S.overlaps(cells, 16.0)).select("slide_id", "cell_id", "kept").collect()}
+    assert {tuple(r) for r in S.resolved(cells, 16.0).select("slide_id", "cell_id", "kept").collect()} == want
+    assert sum(k for _, _, k in want) < len(rows)
+
+
+def test_pairs_are_measured_where_they_meet(spark):
+    cells = spark.createDataFrame([("a", 1, CONCAVE), ("a", 2, moved(CONCAVE, 1.0, 1.0))], "slide_id string, cell_id long, ring array<struct<x: double, y: double>>")
+    plan = S.overlaps(cells, 4.0)._jdf.queryExecution().optimizedPlan().toString()
+    # One join, by the bucket: the pairs do not go on to joins with their rings.
+    assert plan.count("Join ") == 1
