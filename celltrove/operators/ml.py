@@ -95,17 +95,27 @@ def mfa(df: DataFrame, blocks: list[str], sizes: list[int], final: int, out: str
     return done.drop("_f", *names, *[f"_pc{i}" for i in range(len(blocks))])
 
 
-def knn(df: DataFrame, k: int, key: str, vec: str, block: int = 1024) -> DataFrame:
+#: Vectors of a block at most, rows of a block that are multiplied at a time, and blocks of queries that a task keeps the best of.
+BLOCK, ROWS, OPEN = 8192, 512, 16
+
+
+def knn(df: DataFrame, k: int, key: str, vec: str, block: int | None = None) -> DataFrame:
     """(key, rank, neighbour, score): exact k greatest inner products (6 digits), ties to the smaller id.
 
-    Rows are dealt into blocks of about ``block`` vectors of one length.  Every block of
-    queries meets every block of candidates through an equi-join and one matrix product;
-    only k rows of a query leave a tile.  Rows that repeat an id have a list each, and leave out
+    Rows are dealt into blocks of one length: two for each core, of at most BLOCK vectors (or of about ``block``).  Every block of
+    queries meets every block of candidates through an equi-join and matrix products of ROWS rows.  A task keeps
+    the best k of its block of queries while the candidates pass, and sends on those alone.  What is
+    shuffled is the rows times the blocks.  Rows that repeat an id have a list each, and leave out
     themselves alone; null ids, null vectors and those with components that are no numbers take no part.
     """
     rows = usable(df, key, vec)
-    blocks = max(1, -(-rows.count() // block))
+    n = rows.count()
+    block = block or max(256, min(BLOCK, -(-n // (2 * df.sparkSession.sparkContext.defaultParallelism))))
+    blocks = max(1, -(-n // block))
     dealt = rows.groupBy(F.size("v").alias("d"), F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("b")).agg(F.collect_list(F.struct("row", "id", "v")).alias("rows"))
+    # Read twice, and candidates go to every block of queries.
+    dealt = written(dealt, "blocks")
+    drop(rows)
     queries = dealt.select("d", F.col("b").alias("q"), F.col("rows").alias("qs"))
     candidates = dealt.select("d", F.col("b").alias("c"), F.col("rows").alias("cs"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("q"))
     names = ("row", "id", "other", "neighbour", "score")
@@ -115,24 +125,58 @@ def knn(df: DataFrame, k: int, key: str, vec: str, block: int = 1024) -> DataFra
         flat = entry.values.field("v").flatten().to_numpy(zero_copy_only=False)
         return numbers, ids, flat.reshape(len(ids), len(flat) // len(ids))
 
+    def best(i: np.ndarray, found: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """The first k of each query's (i) candidates: their other, id and score."""
+        to, ids, score = found
+        order = np.lexsort((to, ids, -score, i))
+        i = i[order]
+        first = np.arange(len(i)) - np.searchsorted(i, i) < k
+        return i[first], *(x[order][first] for x in (to, ids, score))
+
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: dict[tuple, list] = {}
+
+        def done(qn: np.ndarray, qi: np.ndarray, q: np.ndarray, held: tuple, bars: np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch(dict(zip(names, map(pa.array, (qn[held[0]], qi[held[0]], *held[1:])), strict=True)))
+
         for batch in batches:
-            for a, b in zip(batch.column(0), batch.column(1), strict=True):
-                (qn, qi, q), (cn, ci, c) = sides(a), sides(b)
-                score = np.round(q @ c.T, 6)
-                score[qn[:, None] == cn[None, :]] = -np.inf
-                at, to = [], []
-                for i, s in enumerate(score):
-                    near = np.flatnonzero(s >= np.partition(s, -k)[-k]) if len(s) > k else np.arange(len(s))
-                    near = near[np.isfinite(s[near])]
-                    to.append(near[np.lexsort((ci[near], -s[near]))][:k])
-                    at.append(np.full(len(to[-1]), i))
-                i, j = np.concatenate(at), np.concatenate(to)
-                yield pa.record_batch(dict(zip(names, map(pa.array, (qn[i], qi[i], cn[j], ci[j], score[i, j])), strict=True)))
-
-    near = candidates.join(queries, ["d", "q"]).select("qs", "cs").mapInArrow(tiles, "row long, id long, other long, neighbour long, score double")
-    best = near.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), F.asc("neighbour"), F.asc("other")))).filter(F.col("rank") <= k)
-    return best.select(F.col("id").alias(key), "rank", "neighbour", "score")
+            for d, number, a, b in zip(*batch.columns, strict=True):
+                at = d.as_py(), number.as_py()
+                if at not in open_:
+                    if len(open_) >= OPEN:
+                        yield done(*open_.pop(next(iter(open_))))
+                    qn, qi, q = sides(a)
+                    open_[at] = [qn, qi, q, (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.full(len(qn), -np.inf)]
+                qn, qi, q, held, bars = open_[at]
+                cn, ci, c = sides(b)
+                more = [held]
+                for start in range(0, len(q), ROWS):
+                    score = q[start : start + ROWS] @ c.T
+                    low = bars[start : start + ROWS].copy()
+                    new = np.isneginf(low)
+                    if new.any() and len(ci) > k + 1:
+                        # Of the k + 1 greatest one may be the row itself.
+                        low[new] = np.partition(score[new], -k - 1, axis=1)[:, -k - 1]
+                    # A margin for what rounding to 6 digits moves.
+                    i, j = np.nonzero(score >= low[:, None] - 2e-6)
+                    keep = qn[start + i] != cn[j]
+                    i, j = i[keep], j[keep]
+                    value = np.round(score[i, j], 6)
+                    keep = np.isfinite(value)
+                    more.append(best(start + i[keep], [cn[j[keep]], ci[j[keep]], value[keep]]))
+                joined = [np.concatenate(x) for x in zip(*more, strict=True)]
+                held = open_[at][3] = best(joined[0], joined[1:])
+                ends = np.flatnonzero(np.append(held[0][1:] != held[0][:-1], True)) if len(held[0]) else np.zeros(0, np.int64)
+                full = ends[np.bincount(held[0], minlength=len(qn))[held[0][ends]] >= k]
+                bars[held[0][full]] = held[3][full]
+        for one in open_.values():
+            yield done(*one)
+
+    # Hashed by block, not sorted and not sent to the driver: rows are as long as a block.
+    near = candidates.join(queries.hint("shuffle_hash"), ["d", "q"]).select("d", "q", "qs", "cs").mapInArrow(tiles, "row long, id long, other long, neighbour long, score double")
+    # Where a block of queries was dealt to several tasks, each has sent its best.
+    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), F.asc("neighbour"), F.asc("other")))).filter(F.col("rank") <= k)
+    return ranked.select(F.col("id").alias(key), "rank", "neighbour", "score")
 
 
 def label_propagation(edges: DataFrame, a: str, b: str) -> DataFrame:

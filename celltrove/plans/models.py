@@ -22,7 +22,7 @@ def pca_n95(spark, d):
 
 def kmeans_elbow(spark, d):
     rows, inertia, k = ml.kmeans_elbow(_features(spark, d), 10)
-    return rows.select("vec_id", "cluster", F.lit(k).alias("k"), F.round(F.lit(inertia[k - 1]), 4).alias("inertia"))
+    return rows.select("vec_id", "cluster", F.lit(k).alias("k"), F.round(F.lit(dict(enumerate(inertia, 1)).get(k)), 4).alias("inertia"))
 
 
 def _near(spark, d, k):
@@ -79,7 +79,8 @@ def graph_layout(spark, d):
 
 def graph_modularity(spark, d):
     """Modularity of the labels on the exact neighbour graph, at each resolution."""
-    graph = communities.undirected(knn_topk(spark, d), "vec_id", "neighbour")
+    # Written, so that the resolutions do not each find the neighbours again.
+    graph = written(communities.undirected(knn_topk(spark, d), "vec_id", "neighbour"), "graph")
     labels = table(spark, d, "embeddings", ["vec_id", "label"])
     each = [communities.modularity(graph, labels, "vec_id", "label", r).select(F.lit(r).alias("resolution"), F.round("modularity", 9).alias("modularity")) for r in RESOLUTIONS]
     return union_all(*each)

@@ -72,3 +72,15 @@ def test_too_many_neighbours_are_an_error(spark, monkeypatch):
     df = spark.createDataFrame([(1, j, 1.0) for j in range(2, 7)], "vec_id long, neighbour long, distance double")
     with pytest.raises(ValueError, match="more than 3"):
         N.fuzzy_weights(df, "vec_id")
+
+
+def test_exact_neighbours_of_many_blocks_send_only_their_best(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    v = rng.integers(-3, 4, (90, 3)).astype(float)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    want = [(i, r + 1, j, float(v[i] @ v[j])) for i in range(90) for r, j in enumerate(sorted((j for j in range(90) if j != i), key=lambda j: (-(v[i] @ v[j]), j))[:4])]
+    for most in (16, 1):
+        monkeypatch.setattr(ml, "OPEN", most)
+        assert sorted(map(tuple, ml.knn(df, 4, "id", "v", block=10).collect())) == want
+    plan = ml.knn(df, 4, "id", "v", block=10)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastExchange" not in plan
