@@ -127,7 +127,7 @@ def concave_cells(spark, d):
 
 def clipped_parts(spark, d):
     """Concave cells cut by the patches they meet: parts and area."""
-    pairs = S.grid_cells(concave_cells(spark, d)).select("slide_id", "i", "k", "cell_id", "ring").join(grid(spark, d), ["slide_id", "i", "k"])
+    pairs = S.grid_cells(S.spread_rows(concave_cells(spark, d))).select("slide_id", "i", "k", "cell_id", "ring").join(grid(spark, d), ["slide_id", "i", "k"])
     cut = overlay.clip_parts(pairs)
     return cut.select("slide_id", "patch_id", "cell_id", F.size("parts").alias("n_parts"), F.round(overlay.parts_area("parts"), 6).alias("area"))
 
@@ -149,7 +149,7 @@ PIXEL = 8
 def rasterise_cells(spark, d):
     """Cells drawn in their patches, in pixels of PIXEL x PIXEL, one channel for each status."""
     channel = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
-    cells = boxes(spark, d).withColumn("channel", channel).withColumn("value", F.col("cell_id") % 1000 + 1)
+    cells = S.spread_rows(boxes(spark, d)).withColumn("channel", channel).withColumn("value", F.col("cell_id") % 1000 + 1)
     pairs = S.grid_cells(cells).join(grid(spark, d).select("slide_id", "i", "k", "patch_id", F.col("xmin").alias("px"), F.col("ymin").alias("py")), ["slide_id", "i", "k"])
     return S.rasterise(pairs.withColumn("ring", _box_ring(F.col("px"), F.col("py"), float(PIXEL))), S.WIDTH // PIXEL)
 

@@ -117,3 +117,11 @@ def test_on_tables(spark):
     assert [tuple(r) for r in got] == [(1, 2, 30.0)]
     nested = spark.createDataFrame([(1, [BOW, moved(BOW, 20.0, 0.0)]), (2, None), (3, [None, []])], f"i int, ring array<{point}>")
     assert {r.i: (r.n, r.a) for r in O.repair(nested).select("i", F.size("parts").alias("n"), O.parts_area("parts").alias("a")).collect()} == {1: (4, 16.0), 2: (0, 0.0), 3: (0, 0.0)}
+
+
+def test_a_file_of_one_split_is_many_tasks(spark, tmp_path):
+    ring = F.array(*[F.struct((F.col("id") + x).cast("double").alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (4, 4), (4, 0), (0, 4))])
+    spark.range(40).select(ring.alias("ring")).coalesce(1).write.parquet(f"{tmp_path}/rings")
+    df = spark.read.parquet(f"{tmp_path}/rings")
+    assert df.rdd.getNumPartitions() == 1
+    assert "RoundRobinPartitioning" in O.repair(df)._jdf.queryExecution().executedPlan().toString()
