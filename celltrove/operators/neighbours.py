@@ -175,21 +175,28 @@ def bandwidth(distances: Column, steps: int = 64) -> Column:
 
     By bisection within the row, ``steps`` times; not below a thousandth of the mean distance.
     """
-    above = F.filter(distances, lambda d: d > 0)
-    rho = F.coalesce(F.array_min(above), F.lit(0.0))
-    want = F.log2(F.size(distances).cast("double"))
-    total = lambda s: F.aggregate(distances, F.lit(0.0), lambda a, d: a + F.when(d <= rho, 1.0).otherwise(F.exp(-(d - rho) / s)))
+    # Spark works out a lambda's argument once, but an expression at each place it is named: as often as there are steps and distances.
+    bound = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+    above = lambda ds: F.filter(ds, lambda d: d > 0)
     middle = lambda lo, hi: F.when(hi.isNull(), lo * 2).otherwise((lo + hi) / 2)
     start = F.struct(F.lit(0.0).alias("lo"), F.lit(None).cast("double").alias("hi"), F.lit(1.0).alias("s"))
 
-    def step(state: Column, _: Column) -> Column:
-        over = total(state["s"]) > want
-        lo, hi = F.when(over, state["lo"]).otherwise(state["s"]), F.when(over, state["s"]).otherwise(state["hi"])
-        return F.struct(lo.alias("lo"), hi.alias("hi"), middle(lo, hi).alias("s"))
+    def fit(one: Column) -> Column:
+        ds, rho, want = one["ds"], one["rho"], F.log2(F.size(one["ds"]).cast("double"))
+        total = lambda s: F.aggregate(ds, F.lit(0.0), lambda a, d: a + F.when(d <= rho, 1.0).otherwise(F.exp(-(d - rho) / s)))
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: s["s"])
-    mean = F.aggregate(distances, F.lit(0.0), lambda a, d: a + d) / F.size(distances)
-    return F.struct(rho.alias("rho"), F.greatest(found, mean * 1e-3).alias("sigma"))
+        def step(state: Column, _: Column) -> Column:
+            def half(over: Column) -> Column:
+                lo, hi = F.when(over, state["lo"]).otherwise(state["s"]), F.when(over, state["s"]).otherwise(state["hi"])
+                return F.struct(lo.alias("lo"), hi.alias("hi"), middle(lo, hi).alias("s"))
+
+            return bound(total(state["s"]) > want, half)
+
+        found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: s["s"])
+        mean = F.aggregate(ds, F.lit(0.0), lambda a, d: a + d) / F.size(ds)
+        return F.struct(rho.alias("rho"), F.greatest(found, mean * 1e-3).alias("sigma"))
+
+    return bound(F.struct(distances.alias("ds"), F.coalesce(F.array_min(above(distances)), F.lit(0.0)).alias("rho")), fit)
 
 
 def fuzzy_union(edges: DataFrame, a: str, b: str, membership: str) -> DataFrame:

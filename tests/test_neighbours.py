@@ -93,3 +93,10 @@ def test_bandwidths_and_union(spark):
             p, q = member.get((a, b), 0.0), member.get((b, a), 0.0)
             assert a < b and w == pytest.approx(p + q - p * q)
     assert {a for a, b in got if b == 50} == set(range(5)) and all(got[a, 50] == 1.0 for a in range(5))
+
+
+def test_bandwidth_sums_once_a_step(spark):
+    df = spark.createDataFrame([([0.5, 1.0, 2.0, 4.0],)], "d array<double>").select(N.bandwidth(F.col("d")).alias("w"))
+    assert df._jdf.queryExecution().analyzed().toString().lower().count("exp(") == 1
+    w = df.first().w
+    assert w.rho == 0.5 and abs(1 + sum(math.exp(-(d - 0.5) / w.sigma) for d in (1.0, 2.0, 4.0)) - 2) < 1e-9
