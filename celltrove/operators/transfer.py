@@ -19,6 +19,8 @@ from .relational import small
 
 #: Types are few: their products are held by every task.
 MOST_TYPES = 1000
+#: Up to so many types their sums are columns of one aggregation.
+MOST_COLUMNS = 64
 STEPS = 300
 
 
@@ -46,15 +48,22 @@ def transfer_labels(expr: DataFrame, cells: DataFrame, reference: DataFrame, cel
         inner[place[r.type], place[r.other]] = r.v
     ids = cells.select(F.col(cell).alias("cell")).filter("cell IS NOT NULL").distinct()
     once = expr.filter(F.col(cell).isNotNull() & (F.col(value) > 0)).groupBy(F.col(cell).alias("cell"), F.col(gene).alias("gene")).agg(F.sum(value).cast("double").alias("x"))
-    # Rows of at most as many entries as there are types, so their number bounds the bytes.
-    listed = small(known.groupBy("gene").agg(F.collect_list(F.struct("type", "r")).alias("_t")), 1_000_000 // len(names))
-    met = once.join(listed, "gene")
-    size = met.groupBy("cell").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
-    each = met.select("cell", "x", F.explode("_t").alias("_e")).groupBy("cell", F.col("_e.type").alias("type")).agg(F.sum(F.col("x") * F.col("_e.r")).alias("b"))
-    # At most MOST_TYPES entries for a cell.
-    rows = each.groupBy("cell").agg(F.map_from_entries(F.collect_list(F.struct("type", "b"))).alias("_m")).join(size, "cell")
     order = F.lit(names)
-    right = rows.select("cell", F.transform(order, lambda t: F.coalesce(F.try_element_at("_m", t), F.lit(0.0)) / F.col("length")).alias("b"))
+    if len(names) <= MOST_COLUMNS:
+        # One row for an entry, and all sums of a cell in one aggregation.
+        each = [F.coalesce(F.sum(F.when(F.col("type") == F.lit(t), F.col("r"))), F.lit(0.0)).alias(f"r{i}") for i, t in enumerate(names)]
+        met = once.join(small(known.groupBy("gene").agg(*each), 1_000_000 // len(names)), "gene")
+        sums = met.groupBy("cell").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"), *[F.sum(F.col("x") * F.col(f"r{i}")).alias(f"b{i}") for i in range(len(names))])
+        right = sums.select("cell", F.array(*[F.col(f"b{i}") / F.col("length") for i in range(len(names))]).alias("b"))
+    else:
+        # Rows of at most as many entries as there are types, so their number bounds the bytes.
+        listed = small(known.groupBy("gene").agg(F.collect_list(F.struct("type", "r")).alias("_t")), 1_000_000 // len(names))
+        met = once.join(listed, "gene")
+        size = met.groupBy("cell").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+        each = met.select("cell", "x", F.explode("_t").alias("_e")).groupBy("cell", F.col("_e.type").alias("type")).agg(F.sum(F.col("x") * F.col("_e.r")).alias("b"))
+        # At most MOST_TYPES entries for a cell.
+        rows = each.groupBy("cell").agg(F.map_from_entries(F.collect_list(F.struct("type", "b"))).alias("_m")).join(size, "cell")
+        right = rows.select("cell", F.transform(order, lambda t: F.coalesce(F.try_element_at("_m", t), F.lit(0.0)) / F.col("length")).alias("b"))
     rate = 1.0 / float(np.linalg.eigvalsh(inner).max())
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

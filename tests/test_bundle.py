@@ -77,3 +77,15 @@ def test_reference_has_to_have_types(spark):
     empty = spark.createDataFrame([], "type string, gene string, count double")
     with pytest.raises(ValueError):
         T.transfer_labels(spark.createDataFrame([(1, "g", 1.0)], "cell_id long, gene string, count double"), spark.range(1).withColumnRenamed("id", "cell_id"), empty)
+
+
+def test_few_types_take_one_row_for_an_entry(spark, monkeypatch):
+    reference = spark.createDataFrame([(t, f"g{g}", float((t + 1) * (g % 3) + (g == t))) for t in range(3) for g in range(6)], "type long, gene string, count double")
+    expr = spark.createDataFrame([(c, f"g{(c * g) % 7}", float(c + g)) for c in range(9) for g in range(4)], "cell_id long, gene string, count double")
+    cells = spark.range(10).withColumnRenamed("id", "cell_id")
+    narrow = T.transfer_labels(expr, cells, reference)
+    assert "explode" not in narrow._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(T, "MOST_COLUMNS", 0, raising=False)
+    wide = {r.cell_id: r for r in T.transfer_labels(expr, cells, reference).collect()}
+    for r in narrow.collect():
+        assert r.label == wide[r.cell_id].label and r.weights == (wide[r.cell_id].weights and pytest.approx(wide[r.cell_id].weights))
