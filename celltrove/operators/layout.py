@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import drop, written
+from ..scratch import drop, without_broadcast, written
 from ..workers import ship
 from .communities import undirected
 from .numbering import row_numbers
@@ -74,7 +74,12 @@ def _clipped(x: Column) -> Column:
 
 
 def layout(edges: DataFrame, a: str, b: str, weight: str, epochs: int = EPOCHS, min_dist: float = 0.6, seed: int = SEED) -> DataFrame:
-    """(node, x, y) of every node with an edge."""
+    """(node, x, y) of every node with an edge; what the driver gets does not grow with nodes or edges."""
+    with without_broadcast(edges.sparkSession):
+        return _layout(edges, a, b, weight, epochs, min_dist, seed)
+
+
+def _layout(edges: DataFrame, a: str, b: str, weight: str, epochs: int, min_dist: float, seed: int) -> DataFrame:
     alpha, beta = curve(min_dist)
     graph = written(undirected(edges, a, b, weight).filter("u <> v"), "layout-graph")
     strengths = graph.groupBy("u").agg(F.sum("w").alias("k"))

@@ -56,6 +56,16 @@ def test_groups_stay_together(spark):
     assert d.min() > 0  # pushed apart
 
 
+def test_rounds_broadcast_nothing(spark, monkeypatch):
+    plans, write = [], L.written
+    monkeypatch.setattr(L, "written", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, label))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    df = spark.createDataFrame(grouped(random.Random(2), 2, 6), "a long, b long, w double")
+    assert L.layout(df, "a", "b", "w", epochs=2).count() == 12
+    assert any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+
+
 def test_graph_without_edges(spark):
     df = spark.createDataFrame([(1, None, 1.0), (2, 2, 1.0)], "a long, b long, w double")
     assert L.layout(df, "a", "b", "w").count() == 0
