@@ -122,15 +122,19 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
         split, cache = _encoder(path, pattern)
         for column in columns:
             for start, count in cuts(column):
-                raw = [b"".join(map(cache.__getitem__, split(t))) if t else b"" for t in column.slice(start, count).to_pylist()]
-                ends = np.zeros(count + 1, np.int32)
-                np.cumsum([len(x) // 4 for x in raw], out=ends[1:])
-                values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(raw))])
-                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                yield _encoded(column.slice(start, count), split, cache)
 
     return docs.withColumn(out, ids(F.col(text)))
 
 
+def _encoded(texts: pa.Array, split, cache: dict) -> pa.ListArray:
+    raw = [b"".join(map(cache.__getitem__, split(t))) if t else b"" for t in texts.to_pylist()]
+    ends = np.zeros(len(raw) + 1, np.int32)
+    np.cumsum([len(x) // 4 for x in raw], out=ends[1:])
+    values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(raw))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+
+
 def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out``: binary, the bytes that ``ids`` stand for; null ids give empty bytes."""
     path, _ = _vocabulary(path, "")
@@ -140,16 +144,36 @@ def decode(rows: DataFrame, path: str | None = None, ids: str = "ids", out: str
         pieces = _pieces(path)
         for column in columns:
             for start in range(0, len(column), 256):
-                part = column.slice(start, 256)
-                counts = np.array([len(x) if x.is_valid else 0 for x in part], np.int64)
-                flat = pieces.take(part.flatten())
-                bounds = np.concatenate([[0], np.cumsum(counts)])
-                offsets = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int32)
-                yield pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets[bounds].astype(np.int32).tobytes()), flat.buffers()[2] or pa.py_buffer(b"")])
+                yield _decoded(column.slice(start, 256), pieces)
 
     return rows.withColumn(out, back(F.col(ids)))
 
 
+def _decoded(ids: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    counts = np.array([len(x) if x.is_valid else 0 for x in ids], np.int64)
+    flat = pieces.take(ids.flatten())
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    offsets = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets[bounds].astype(np.int32).tobytes()), flat.buffers()[2] or pa.py_buffer(b"")])
+
+
+def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """Add what ``encode`` and then ``decode`` add, by one Python function, so that a task has one worker and not two."""
+    path, pattern = _vocabulary(path, pattern)
+
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def both(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        (split, cache), pieces = _encoder(path, pattern), _pieces(path)
+        for column in columns:
+            for start, count in cuts(column):
+                for at in range(start, start + count, 256):
+                    coded = _encoded(column.slice(at, min(256, start + count - at)), split, cache)
+                    yield pa.StructArray.from_arrays([coded, _decoded(coded, pieces)], ["ids", "decoded"])
+
+    coded = docs.withColumn("_coded", both(F.col(text)))
+    return coded.withColumns({ids: F.col("_coded.ids"), out: F.col("_coded.decoded")}).drop("_coded")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes decoded from them, as digests."""
     coded = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text")))

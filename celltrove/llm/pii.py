@@ -307,23 +307,27 @@ def find(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with each found span replaced by its kind in brackets; overlapping spans are one, named by the first."""
-    found = find(docs, text, "_pii")
-    spans = F.sort_array(F.transform(F.concat("_pii.base", "_pii.added"), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
+    trees, calibrated = train()
 
+    # Spans are found and replaced in one Python function, so a task has one worker and not two.
     @F.arrow_udf("string")
-    def run(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, many in columns:
-            out = []
-            for t, found in zip(texts.to_pylist(), many.to_pylist(), strict=True):
-                parts, end = [], 0
-                for s in found:
-                    if s["start"] >= end:
-                        parts += [t[end : s["start"]], f"[{s['kind'].upper()}]"]
-                    end = max(end, s["stop"])
-                out.append("".join([*parts, t[end:]]) if found else t)
-            yield pa.array(out, pa.string())
-
-    return found.withColumn(text, F.when(F.size(spans) > 0, run(text, spans)).otherwise(F.col(text))).drop("_pii")
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            for start, count in cuts(column):
+                yield pa.array([_redacted(t, trees, calibrated) if t else t for t in column.slice(start, count).to_pylist()], pa.string())
+
+    return docs.withColumn(text, run(text))
+
+
+def _redacted(text: str, trees: boosting.Trees, calibrated: dict[str, boosting.Calibration]) -> str:
+    base = base_spans(text)
+    found = sorted((a, b, kind) for kind, a, b, *_ in (*base, *added_spans(text, base, trees, calibrated)))
+    parts, end = [], 0
+    for a, b, kind in found:
+        if a >= end:
+            parts += [text[end:a], f"[{kind.upper()}]"]
+        end = max(end, b)
+    return "".join([*parts, text[end:]])
 
 
 def _listed(spans: str | Column) -> Column:

@@ -58,7 +58,7 @@ def stage_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def stage_byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    coded = bpe.decode(bpe.encode(docs.select(*COLUMNS)))
+    coded = bpe.round_trip(docs.select(*COLUMNS))
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
 
 

@@ -78,3 +78,11 @@ def test_near_dedup_decides_by_id_and_text(spark, save):
     assert short == [("1", "a0"), ("2", "b0"), ("3", "00"), ("3", "z0"), ("4", "c0"), ("None", "d0"), ("None", "e0")]
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in got if not r["text"]) == [("5", ""), ("5", "None"), ("None", "")]
     assert got[0].__fields__ == list(corpus_pipeline.COLUMNS)
+
+
+def test_a_task_of_a_stage_has_one_python_worker(spark, save):
+    """Workers of two functions in a row are all alive at once, each with its tables, beside the executor's heap."""
+    sf = tables(spark, save, [(1, "mail a@b.com")], [], [])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for stage in (corpus_pipeline.stage_pii, corpus_pipeline.stage_byte_bpe):
+        assert stage(spark, docs, sf)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython ") == 1
