@@ -204,6 +204,18 @@ def test_patches(spark):
     assert rows(S.patch_cells(box, small).select("cell_id", "i")) == [("in", 0), ("touch", 0), ("touch", 1)]
     a = spark.createDataFrame([("s", 1, 0.0, 0.0, 25.0, 25.0), ("s", 2, 30.0, 0.0, 31.0, 1.0)], "slide_id string, a int, xmin double, ymin double, xmax double, ymax double")
     assert rows(S.box_join(a, a.withColumnRenamed("a", "b"), 10.0, "a", "b")) == [("s", 1, 1), ("s", 2, 2)]
+
+
+def test_equal_boxes_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(S, "BOX_IDS", 4, raising=False)  # lists of several parts
+    copies = [("s", i, 0, 0, 12, 12) for i in range(9)] + [("s", None, 0, 0, 12, 12), ("s", 3, 0, 0, 12, 12), (None, 50, 0, 0, 12, 12)]
+    boxes = [*copies, ("s", 20, 12, 12, 30, 15), ("s", 21, 31, 0, 40, 9), ("t", 22, 0, 0, 12, 12)]
+    a = spark.createDataFrame(boxes, "slide_id string, a long, xmin int, ymin int, xmax int, ymax int")
+    want = [(x[0], x[1], y[1]) for x in boxes for y in boxes if x[0] and x[0] == y[0] and x[2] <= y[4] and x[4] >= y[2] and x[3] <= y[5] and x[5] >= y[3]]
+    got = S.box_join(a, a.withColumnRenamed("a", "b"), 10.0, "a", "b")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    # The pairs are made by two lists of ids, behind the join.
+    assert got._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0].count("Generate explode(") == 2
     with pytest.raises(Exception, match="not in the scheme"):
         S.patch_counts(spark.createDataFrame([("p", "x")], "p string, c string"), ["p"], "c", ["y"]).collect()
 
