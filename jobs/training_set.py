@@ -9,7 +9,8 @@ Records (an id, a slide, a tissue, a text) meet sparse expert annotations:
 * the length bin is the quantile of the record's words among those kept;
 * the split goes by the text's digest, so equal texts are never on both sides of a split.
 
-All of this is decided on a narrow table of digests and counts; texts meet the decisions once.
+All of this is decided on a narrow table of digests and counts, which also says in which place of
+which file a record is; texts meet the decisions by that place, once, and move for that alone.
 Written are ``dataset`` (by split and tissue) and ``census`` (by split): records and words by
 tissue and label, and their share of the tissue's.  Both are replaced as a whole, so a run that
 is repeated, also after a failure, gives the same tables.
@@ -31,12 +32,14 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from celltrove import session  # noqa: E402
 from celltrove.operators import aggregates, relational, windows  # noqa: E402
-from celltrove.scratch import drop, written  # noqa: E402
+from celltrove.scratch import drop, without_broadcast, written  # noqa: E402
 from jobs.common import configuration, selected  # noqa: E402
 
 log = logging.getLogger("training_set")
 CONFIG = str(Path(__file__).with_suffix(".json"))
 RECORD = ("record_id", "slide_id", "tissue", "text")
+#: Where a row lies in the files read: no two rows have the same.
+PLACE = {"file": "_metadata.file_path", "place": "_metadata.row_index"}
 WORD = r"[^ \t\n\x0B\f\r]+"
 
 
@@ -52,9 +55,12 @@ def first_rule(rules: list[list[str]], default: str) -> Column:
 
 
 def decide(records: DataFrame, annotations: DataFrame, config: dict) -> DataFrame:
-    """(record_id, digest, slide_id, tissue, label, n_words, split) of the records that stay; a narrow table."""
-    narrow = records.select("record_id", "slide_id", "tissue", _digest("text", "slide_id", "tissue").alias("digest"), _digest("text").alias("text_digest"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("n_words"))
-    one = relational.dedup_first(narrow, ["record_id"], "digest")
+    """(file, place, slide_id, tissue, label, n_words, split) of the records that stay; a narrow table."""
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("n_words")
+    share = (F.conv(F.substr(_digest("text"), F.lit(1), F.lit(8)), 16, 10).cast("double") / 2**32).alias("share")
+    # Of an id the row of the least digest; rows that repeat whole are one record, the first in place.
+    narrow = F.struct(_digest("text", "slide_id", "tissue").alias("digest"), *PLACE, "slide_id", "tissue", share, words)
+    one = records.groupBy("record_id").agg(F.min(narrow).alias("_r")).select("record_id", "_r.*").drop("digest")
     rules = annotations.withColumn("label", first_rule(config["labels"], config["unlabelled"]))
     rules = rules.filter("record_id IS NOT NULL").groupBy("record_id").agg(F.min("label").alias("label"))
     labelled = one.join(relational.small(rules), "record_id", "left").withColumn("label", F.coalesce("label", F.lit(config["unlabelled"])))
@@ -62,26 +68,24 @@ def decide(records: DataFrame, annotations: DataFrame, config: dict) -> DataFram
     annotated = labelled.filter(~F.col("label").isin(config["unlabelled"], config["low"]))
     known = annotated.groupBy("slide_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= config["least_labelled"])
     kept = labelled.join(known.select("slide_id"), "slide_id", "left_semi")
-    place = F.conv(F.substr("text_digest", F.lit(1), F.lit(8)), 16, 10).cast("double") / 2**32
     split = F.lit(None).cast("string")
     for name, upto in reversed(config["splits"]):
-        split = F.when(place < upto, F.lit(name)).otherwise(split)
-    return kept.select("record_id", "digest", "slide_id", "tissue", "label", "n_words", split.alias("split"))
+        split = F.when(F.col("share") < upto, F.lit(name)).otherwise(split)
+    return kept.select(*PLACE, "slide_id", "tissue", "label", "n_words", split.alias("split"))
 
 
 def run(spark: SparkSession, config: dict, documents: str, labels: str, output: str) -> None:
     lost = F.col("record_id").isNull() | F.col("slide_id").isNull() | F.col("tissue").isNull()
-    source = selected(spark.read.parquet(documents), config["record"], RECORD)
+    source = selected(spark.read.parquet(documents), config["record"] | PLACE, (*RECORD, *PLACE))
     annotations = selected(spark.read.parquet(labels), config["annotation"], config["annotation"])
     log.info("records from %s, annotations from %s", documents, labels)
     read, left_out = source.agg(F.count(F.lit(1)), F.count_if(lost)).first()
     decided = written(decide(source.filter(~lost), annotations, config), "training-set")
     binned = windows.quantile_bins(decided, "n_words", config["bins"])
-    texts = source.filter(~lost).select("record_id", "text", _digest("text", "slide_id", "tissue").alias("digest"))
-    # Rows that repeat whole are one record; the join has placed equal ids together.
-    rows = texts.join(binned, ["record_id", "digest"]).drop("digest").dropDuplicates(["record_id"])
-    rows = rows.select("record_id", "slide_id", "label", "n_words", "bin", "text", "split", "tissue")
-    rows.write.mode("overwrite").partitionBy("split", "tissue").parquet(f"{output}/dataset")
+    texts = source.filter(~lost).select("record_id", "text", *PLACE)
+    with without_broadcast(spark):
+        rows = texts.join(binned, list(PLACE)).select("record_id", "slide_id", "label", "n_words", "bin", "text", "split", "tissue")
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy("split", "tissue").parquet(f"{output}/dataset")
     drop(decided)
     back = dataset(spark, config, documents, output)
     log.info("read %d records, left out %d; wrote %d to %s/dataset", read, left_out, back.count(), output)

@@ -186,6 +186,23 @@ def test_training_set_equals_its_sql(spark, tmp_path, caplog):
     assert any(a and a[:3] == (130, 3, len(data)) for a in told.values())
 
 
+def test_texts_move_once_and_by_their_place(spark, tmp_path, monkeypatch):
+    """What is written to the dataset has two exchanges: of the texts, and of the decisions."""
+    kind, plans = type(spark.range(1).write), []
+    write = kind.parquet
+
+    def seen(self, path, *a, **k):
+        if path.endswith("/dataset"):
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *a, **k)
+
+    monkeypatch.setattr(kind, "parquet", seen)
+    data, _ = training(spark, tmp_path, documents() * 2, labels())
+    assert len({r[0] for r in data}) == len(data)
+    moved = [line for line in plans[0].splitlines() if "Exchange" in line]
+    assert len(plans) == 1 and len(moved) == 2 and not [line for line in moved if "Broadcast" in line]
+
+
 def test_training_set_rules(spark, tmp_path):
     data, _ = training(spark, tmp_path, documents(), labels())
     found = {r[0]: r for r in data}
