@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ..scratch import drop, written
+from ..workers import ship
 
 WIDTH, OVERLAP = 256, 64
 
@@ -246,28 +250,71 @@ def overlap_area(ring: Column, other: Column) -> Column:
     return F.when((F.size(ring) >= 3) & (F.size(other) >= 3), _shared(_slopes(ring), _slopes(other), low)).otherwise(F.lit(0.0))
 
 
-def overlaps(cells: DataFrame, cell: float, slide: str = "slide_id", key: str = "cell_id") -> DataFrame:
+#: Pairs of edges that are in memory at once.
+EDGE_PAIRS = 1 << 18
+
+
+def _measured(p: pa.Array, q: pa.Array, low: pa.Array) -> pa.Array:
+    """``_shared`` of two columns of ``_slopes``, EDGE_PAIRS pairs of edges at a time."""
+    edges = [np.column_stack([f.to_numpy(zero_copy_only=False) for f in x.flatten().flatten()]) for x in (p, q)]
+    sizes = [pc.list_value_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (p, q)]
+    starts = [np.cumsum(n) - n for n in sizes]
+    low, total = low.to_numpy(zero_copy_only=False), np.zeros(len(p))
+    # Edges of p, each with the pair of rings it belongs to; they meet all edges of q.
+    ring = np.repeat(np.arange(len(p)), sizes[0])
+    ends = np.cumsum(sizes[1][ring])
+    at = 0
+    while at < len(ring):
+        till = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + EDGE_PAIRS, "right")))
+        number = sizes[1][ring[at:till]]
+        i = np.repeat(np.arange(at, till), number)
+        j = starts[1][ring[i]] + np.arange(len(i)) - np.repeat(np.cumsum(number) - number, number)
+        (l, h, y, m, s), (k, g, z, n, t) = edges[0][i].T, edges[1][j].T
+        left, right = np.maximum(l, k), np.minimum(h, g)
+        p0, p1, q0, q1 = y + m * (left - l), y + m * (right - l), z + n * (left - k), z + n * (right - k)
+        d0, d1 = p0 - q0, p1 - q1
+        crosses = d0 * d1 < 0
+        bend = np.where(crosses, -d0 * d1 / np.where(crosses, np.abs(d0 - d1), 1.0), 0.0)
+        strip = s * t * (right - left) * ((np.minimum(p0, q0) + np.minimum(p1, q1) + bend) / 2 - low[ring[i]])
+        total += np.bincount(ring[i], np.where(left < right, strip, 0.0), len(p))
+        at = till
+    return pa.array(np.abs(total))
+
+
+def overlaps(cells: DataFrame, cell: float, slide: str = "slide_id", key: str = "cell_id", digits: int | None = None) -> DataFrame:
     """(slide, a, b, shared, share), a < b: pairs of cells of a slide whose rings share an area, and its share of the smaller one.
 
     Pairs are found by the boxes' grid of side ``cell``, and measured in the bucket that they meet in, where
-    the box's row has the ring's edges; so no pair is shuffled.  Cells are unique by (slide, key).
+    the box's row has the ring's edges; so no pair is shuffled.  Cells of one ring are one row with lists of at most
+    BOX_IDS ids, so rings are measured once for all their copies, and the pairs of ids are made last.  Both areas
+    are rounded to ``digits``, if given.  Cells are unique by (slide, key).
     """
+    ship(cells.sparkSession)
     xs, ys = axes("ring")
     at = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("bigint")
-    sized = cells.filter(F.size("ring") >= 3).select(F.col(slide).alias("slide_id"), F.col(key).alias("_k"), area(F.col("ring")).alias("_area"), _slopes(F.col("ring")).alias("_e"), *[f(v).cast("double").alias(n) for n, f, v in (("xl", F.array_min, xs), ("xh", F.array_max, xs), ("yl", F.array_min, ys), ("yh", F.array_max, ys))])
-    spread = sized.withColumn("_x", F.explode(F.sequence(at("xl"), at("xh")))).withColumn("_y", F.explode(F.sequence(at("yl"), at("yh"))))
-    # Buckets are dealt by number and not merged into few tasks by size: rows are small, with much work each.
+    # Rings and buckets are dealt by number and not merged into few tasks by size: rows are small, with much work each.
     parts = max(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), cells.sparkSession.sparkContext.defaultParallelism)
+    rows = cells.filter(F.size("ring") >= 3).select(F.col(slide).alias("slide_id"), "ring", key).repartition(parts, "slide_id", "ring")
+    # All ids of a ring come together once, which are less by far than their pairs.
+    rings = rows.groupBy("slide_id", "ring").agg(F.array_sort(F.collect_list(key)).alias("_all")).filter(F.size("_all") > 0)
+    lists = F.explode(F.transform(F.sequence(F.lit(1), F.size("_all"), F.lit(BOX_IDS)), lambda i: F.slice("_all", i, BOX_IDS))).alias("_ids")
+    sized = rings.select("slide_id", lists, area(F.col("ring")).alias("_area"), _slopes(F.col("ring")).alias("_e"), *[f(v).cast("double").alias(n) for n, f, v in (("xl", F.array_min, xs), ("xh", F.array_max, xs), ("yl", F.array_min, ys), ("yh", F.array_max, ys))])
+    spread = sized.withColumn("_k", F.get("_ids", F.lit(0))).withColumn("_x", F.explode(F.sequence(at("xl"), at("xh")))).withColumn("_y", F.explode(F.sequence(at("yl"), at("yh"))))
     dealt = spread.repartition(parts, "slide_id", "_x", "_y")
     p, q = dealt.alias("p"), dealt.alias("q")
     same = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("slide_id", "_x", "_y")]
     low = {c: F.greatest(F.col(f"p.{c}l"), F.col(f"q.{c}l")) for c in "xy"}
+    # Lists go by their first ids, and a list of several meets itself.
+    ordered = (F.col("p._k") < F.col("q._k")) | ((F.col("p._k") == F.col("q._k")) & (F.size("p._ids") > 1))
     # Boxes that only touch share nothing; a pair is met by the bucket of the lower left corner of the common part.
-    meets = [F.col("p._k") < F.col("q._k"), *[low[c] < F.least(F.col(f"p.{c}h"), F.col(f"q.{c}h")) for c in "xy"], *[F.floor(low[c] / cell) == F.col(f"p._{c}") for c in "xy"]]
+    meets = [ordered, *[low[c] < F.least(F.col(f"p.{c}h"), F.col(f"q.{c}h")) for c in "xy"], *[F.floor(low[c] / cell) == F.col(f"p._{c}") for c in "xy"]]
     met = p.join(q, reduce(Column.__and__, [*same, *meets]))
-    # As a generator, so that the filters below do not write the area out again.
-    shared = met.withColumn("shared", F.explode(F.array(_shared(F.col("p._e"), F.col("q._e"), F.least("p.yl", "q.yl")))))
-    return shared.filter("shared > 0").select(F.col("p.slide_id").alias(slide), F.col("p._k").alias("a"), F.col("q._k").alias("b"), "shared", F.try_divide("shared", F.least("p._area", "q._area")).alias("share"))
+    met = met.withColumn("shared", F.arrow_udf(_measured, "double")(F.col("p._e"), F.col("q._e"), F.least("p.yl", "q.yl"))).filter("shared > 0")
+    rounded = lambda c: c if digits is None else F.round(c, digits)
+    share = rounded(F.try_divide("shared", F.least("p._area", "q._area"))).alias("share")
+    found = met.select(F.col("p.slide_id").alias(slide), F.col("p._ids").alias("_p"), F.col("q._ids").alias("_q"), (F.col("p._k") == F.col("q._k")).alias("_self"), rounded(F.col("shared")).alias("shared"), share)
+    ids = found.select(slide, F.explode("_p").alias("_a"), "_q", "_self", "shared", "share").select(slide, "_a", F.explode("_q").alias("_b"), "_self", "shared", "share")
+    return ids.filter(~F.col("_self") | (F.col("_a") < F.col("_b"))).select(slide, F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "shared", "share")
 
 
 def without_conflicts(cells: DataFrame, pairs: DataFrame, slide: str = "slide_id", key: str = "cell_id", share: float = 0.5) -> DataFrame:

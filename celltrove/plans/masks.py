@@ -47,8 +47,7 @@ def _rings(spark, d):
 
 def shared_areas(spark, d):
     """Cells of a slide that share an area."""
-    pairs = S.overlaps(_rings(spark, d), CELL)
-    return pairs.select("slide_id", "a", "b", F.round("shared", 6).alias("shared"), F.round("share", 6).alias("share"))
+    return S.overlaps(_rings(spark, d), CELL, digits=6).select("slide_id", "a", "b", "shared", "share")
 
 
 def resolved_cells(spark, d):

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +126,29 @@ def test_pairs_are_measured_where_they_meet(spark):
     plan = S.overlaps(cells, 4.0)._jdf.queryExecution().optimizedPlan().toString()
     # One join, by the bucket: the pairs do not go on to joins with their rings.
     assert plan.count("Join ") == 1
+
+
+def test_equal_rings_are_measured_once(spark, monkeypatch):
+    monkeypatch.setattr(S, "BOX_IDS", 3)  # lists of a ring meet themselves and each other
+    rings = [CONCAVE, moved(CONCAVE, 1.0, 1.0), moved(CONCAVE, 40.0, 0.0)]
+    cells = spark.createDataFrame([("a", i * 7 % 30, rings[i % 3]) for i in range(30)] + [("a", None, CONCAVE), ("b", 3, CONCAVE)], RING)
+    of = {i * 7 % 30: i % 3 for i in range(30)}
+    whole = {(0, 0): grid_area(rings[0], rings[0]), (0, 1): grid_area(rings[0], rings[1])}
+    want = {(a, b): float(whole[0, 0] if of[a] == of[b] else whole[0, 1]) for a in of for b in of if a < b and (of[a] == of[b] or {of[a], of[b]} == {0, 1})}
+    rows = S.overlaps(cells, 4.0, digits=6).collect()
+    assert {(r.a, r.b): r.shared for r in rows} == want and len(rows) == len(want) and {r.slide_id for r in rows} == {"a"}
+    # The rings of ten cells each are measured as lists: the pairs of ids are made above the measure.
+    plan = S.overlaps(cells, 4.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(_p") < plan.index("_measured")
+    assert S.overlaps(cells.limit(0), 4.0).count() == 0
+
+
+def test_edges_are_met_in_parts(monkeypatch):
+    rng = random.Random(5)
+    edge = lambda: {"l": float(l := rng.randrange(9)), "h": float(l + 1 + rng.randrange(5)), "y": rng.random() * 9, "m": rng.random(), "s": rng.choice([1.0, -1.0])}
+    kind = pa.list_(pa.struct([(c, pa.float64()) for c in "lhyms"]))
+    p, q = (pa.array([[edge() for _ in range(rng.randrange(6))] for _ in range(40)], kind) for _ in range(2))
+    low = pa.array([0.0] * 40)
+    whole = S._measured(p, q, low).to_numpy()
+    monkeypatch.setattr(S, "EDGE_PAIRS", 5)
+    assert S._measured(p, q, low).to_numpy() == pytest.approx(whole) and (whole > 0).any()
