@@ -24,14 +24,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..scratch import drop, written
+from ..scratch import bucketed, drop, written
 from .numbering import row_numbers
 
 #: Rounds of a level end when modularity rises by less in two of them, and in any case after MOVES: the next level goes on.
 TOLERANCE, MOVES, ROUNDS, LEVELS = 1e-3, 12, 60, 30
+#: Edges of a block, about, each direction of each resolution counted.
+EDGES = 1 << 17
 _EPS = 1e-12
 
 
@@ -58,41 +62,96 @@ def modularity(edges: DataFrame, communities: DataFrame, node: str, community: s
 
 
 class _Level:
-    """A graph of one level: edges (res, u, v, w) in both directions without loops, nodes (res, u, k); k has the loops."""
+    """A graph of one level: edges (res, u, v, w) in both directions without loops, nodes (res, u, k[, p]); k has the loops.
 
-    def __init__(self, edges: DataFrame, nodes: DataFrame, weights: dict[int, float], gammas: dict[int, float]) -> None:
-        self.edges, self.nodes, self.weights, self.gammas = edges, nodes, weights, gammas
+    Edges lie packed in blocks of nodes, in buckets, with the nodes as places among those that the block
+    sees: its own and their neighbours.  A round sends each node's community once to each block that
+    sees the node, and a block finds the wishes of its own nodes.
+    """
 
-    def of(self, values: dict[int, float]) -> Column:
-        return F.element_at(F.create_map(*[F.lit(x) for r, v in values.items() for x in (r, float(v))]), F.col("res"))
+    def __init__(self, edges: DataFrame, nodes: DataFrame, total: float, gammas: dict[int, float]) -> None:
+        self.gammas, self.total = gammas, total
+        blocks = max(1, -(-edges.count() // EDGES))
+        home = lambda c: F.pmod(F.xxhash64("res", c), F.lit(blocks)).cast("int")
+        sided = edges.select(home("u").alias("block"), "res", "u", "v", "w")
+        seen = sided.select("res", F.col("v").alias("u"), "block").unionByName(nodes.select("res", "u", home("u").alias("block")))
+        self.nodes = written(nodes.join(seen.groupBy("res", "u").agg(F.collect_set("block").alias("blocks")), ["res", "u"]), "nodes")
+
+        def pack(_: tuple, ends: pa.Table, own: pa.Table) -> pa.Table:
+            er, u, v = (ends[c].to_numpy() for c in ("res", "u", "v"))
+            nr, n = own["res"].to_numpy(), own["u"].to_numpy()
+            from_own, to_seen, order = np.empty(len(er), np.int32), np.empty(len(er), np.int32), np.lexsort((n, nr))
+            places, start, first = [], 0, 0
+            for r in np.unique(nr):
+                of, mine = er == r, np.sort(n[nr == r])
+                all_seen = np.unique(np.concatenate([mine, v[of]]))
+                from_own[of], to_seen[of] = first + np.searchsorted(mine, u[of]), start + np.searchsorted(all_seen, v[of])
+                places.append(start + np.searchsorted(all_seen, mine))
+                start, first = start + len(all_seen), first + len(mine)
+            raw = [np.concatenate(places).astype(np.int32), own["k"].to_numpy()[order], from_own, to_seen, ends["w"].to_numpy()]
+            held = own["blocks"].take(pa.array(order)).combine_chunks()
+            held = pa.ListArray.from_arrays(pa.array([0, len(order)], pa.int32()), held)
+            return pa.table([own["at"].slice(0, 1).combine_chunks(), held, *[pa.array([x.tobytes()], pa.binary()) for x in raw]], ["block", "blocks", "own", "k", "from", "to", "w"])
+
+        stored = self.nodes.select(home("u").alias("at"), "res", "u", "k", "blocks")
+        done = sided.groupBy("block").cogroup(stored.groupBy("at")).applyInArrow(pack, "block int, blocks array<array<int>>, own binary, k binary, from binary, to binary, w binary")
+        self.packed = bucketed(done, "packed", "block", blocks)
+
+    def drop(self) -> None:
+        drop(self.packed, self.nodes)
 
     def wishes(self, state: DataFrame, fence: bool) -> DataFrame:
-        """(res, u, c, k[, p], inner, to, gain): what each node has in its community, and its best other one.
+        """(res, u, c, k, blocks[, p], inner, size, shared, to, to_shared, gain): what each node has in its community, and its best other one.
 
-        ``state`` is (res, u, c, k), with the fence p if moves have to stay within it.
+        ``state`` is (res, u, c, k, blocks), with the fence p if moves have to stay within it.  A community is shared if it has more nodes.
         """
         more = ["p"] if fence else []
         sizes = state.groupBy("res", "c").agg(F.sum("k").alias("size"))
-        there = state.select("res", F.col("u").alias("v"), F.col("c").alias("d"), *[F.col("p").alias("q") for _ in more])
-        met = self.edges.join(there, ["res", "v"])
-        own = state.join(sizes.withColumnRenamed("size", "own_size"), ["res", "c"])
-        links = met.groupBy("res", "u", "d", *(["q"] if fence else [])).agg(F.sum("w").alias("e"))
-        rate = self.of({r: g / self.weights[r] for r, g in self.gammas.items()})
-        joined = own.join(links, ["res", "u"], "left").join(sizes.withColumnsRenamed({"c": "d"}), ["res", "d"], "left")
-        inside = F.col("d") == F.col("c")
-        stay = F.coalesce(F.sum(F.when(inside, F.col("e"))), F.lit(0.0))
-        away = F.col("e") - rate * F.col("k") * F.col("size")
-        allowed = ~inside & (F.col("p") == F.col("q")) if fence else ~inside
-        best = F.max(F.when(allowed, F.struct(away.alias("g"), (-F.col("d")).alias("d"))))
-        one = joined.groupBy("res", "u", "c", "k", "own_size", *more).agg(stay.alias("inner"), best.alias("best"))
-        kept = F.col("inner") - rate * F.col("k") * (F.col("own_size") - F.col("k"))
-        return one.select("res", "u", "c", "k", *more, "inner", (-F.col("best.d")).alias("to"), (F.col("best.g") - kept).alias("gain"), (F.col("own_size") > F.col("k")).alias("_shared"))
-
-    def score(self, wishes: DataFrame, loops: dict[int, float]) -> dict[int, tuple[float, int]]:
-        """Modularity and number of wishes of each resolution."""
-        inner = wishes.groupBy("res", "c").agg(F.sum("k").alias("k"), F.sum("inner").alias("e"), F.count_if(F.col("gain") > _EPS).alias("n"))
-        rows = inner.groupBy("res").agg(F.sum("e").alias("e"), F.sum(F.col("k") * F.col("k")).alias("kk"), F.sum("n").alias("n")).collect()
-        return {r.res: ((r.e + loops[r.res]) / (m := self.weights[r.res]) - self.gammas[r.res] * r.kk / m / m, r.n) for r in rows}
+        sized = state.join(sizes, ["res", "c"]).withColumn("shared", F.col("size") > F.col("k"))
+        sent = sized.select(F.explode("blocks").alias("at"), "res", "u", "c", "size", "shared", *more)
+        rates = np.array([self.gammas.get(r, 0.0) / self.total for r in range(max(self.gammas) + 1)])
+
+        def wish(block: pa.Table, rows: pa.Table) -> pa.Table:
+            order = np.lexsort((rows["u"].to_numpy(), rows["res"].to_numpy()))
+            get = lambda c: rows[c].to_numpy()[order]
+            read = lambda c, kind: np.frombuffer(block[c][0].as_buffer(), kind)
+            res, u, c, size, shared = map(get, ("res", "u", "c", "size", "shared"))
+            own, k, a, b, w = read("own", np.int32), read("k", np.float64), read("from", np.int32).astype(np.int64), read("to", np.int32), read("w", np.float64)
+            if fence:
+                fences = get("p")
+                within = np.flatnonzero(fences[b] == fences[own[a]])
+                a, b, w = a[within], b[within], w[within]
+            # The weight between each node and each community that it meets.
+            names, d = np.unique(c[b], return_inverse=True)
+            pairs, first, at = np.unique(a * max(1, len(names)) + d, return_index=True, return_inverse=True)
+            e = np.bincount(at, w, len(pairs)).astype(np.float64, copy=False)
+            node, to, there = a[first], c[b[first]], b[first]
+            inside = to == c[own[node]]
+            inner = np.bincount(node[inside], e[inside], len(own)).astype(np.float64, copy=False)
+            rate = rates[res[own]]
+            away = (e - rate[node] * k[node] * size[there])[~inside]
+            node, to, there = node[~inside], to[~inside], there[~inside]
+            best = np.lexsort((to, -away, node))
+            best = best[np.unique(node[best], return_index=True)[1]]
+            gain, target, joined = np.zeros(len(own)), np.zeros(len(own), np.int64), np.zeros(len(own), bool)
+            none = np.ones(len(own), bool)
+            gain[node[best]], target[node[best]], joined[node[best]], none[node[best]] = away[best], to[best], shared[there[best]], False
+            gain -= inner - rate * k * (size[own] - k)
+            columns = [res[own], u[own], c[own], k, block["blocks"].combine_chunks().values, *([fences[own]] if fence else []), inner, size[own], shared[own]]
+            return pa.table([*map(pa.array, columns), pa.array(target, mask=none), pa.array(joined), pa.array(gain, mask=none)], ["res", "u", "c", "k", "blocks", *more, "inner", "size", "shared", "to", "to_shared", "gain"])
+
+        schema = f"res int, u long, c long, k double, blocks array<int>, {'p long, ' if fence else ''}inner double, size double, shared boolean, to long, to_shared boolean, gain double"
+        return self.packed.groupBy("block").cogroup(sent.groupBy("at")).applyInArrow(wish, schema)
+
+    def scored(self, wishes: DataFrame, loops: dict[int, float]) -> tuple[DataFrame, dict[int, tuple[float, int]]]:
+        """Written wishes, with the modularity and number of wishes of each resolution, found in the same pass."""
+        of = {r: F.col("res") == r for r in self.gammas}
+        # The sum of k times the size over nodes is that of squared sizes over communities.
+        parts = {"e": lambda r: F.sum(F.when(of[r], F.col("inner"))), "kk": lambda r: F.sum(F.when(of[r], F.col("k") * F.col("size"))), "n": lambda r: F.count_if(of[r] & (F.col("gain") > _EPS))}
+        seen = Observation()
+        done = written(wishes.observe(seen, *[f(r).alias(f"{name}{r}") for r in of for name, f in parts.items()]), "wishes")
+        found, m = seen.get, self.total
+        return done, {r: (((found[f"e{r}"] or 0.0) + loops[r]) / m - self.gammas[r] * (found[f"kk{r}"] or 0.0) / m / m, found[f"n{r}"]) for r in of}
 
 
 def _hash(column: str, turn: int) -> Column:
@@ -116,17 +175,15 @@ def _moved(wishes: DataFrame, turn: int, careful: list[int], more: list[str]) ->
 
 def _moves(level: _Level, state: DataFrame, loops: dict[int, float], tolerance: float, log: list | None) -> DataFrame:
     """(res, u, c, k) after rounds of moving; modularity never falls."""
-    last = written(level.wishes(state, False), "wishes")
-    score = level.score(last, loops)
+    last, score = level.scored(level.wishes(state, False), loops)
     done, slow, careful = set(), dict.fromkeys(score, 0), []
     for turn in range(MOVES):
         done |= {r for r, (_, n) in score.items() if not n} | {r for r, n in slow.items() if n >= 2}
         if done >= set(score):
             break
-        still = last.filter(F.col("res").isin(sorted(done))).select("res", "u", "k", "c") if done else None
-        going = _moved(last.filter(~F.col("res").isin(sorted(done))) if done else last, turn, careful, [])
-        new = written(level.wishes(going.unionByName(still) if done else going, False), "wishes")
-        found = level.score(new, loops)
+        still = last.filter(F.col("res").isin(sorted(done))).select("res", "u", "k", "blocks", "c") if done else None
+        going = _moved(last.filter(~F.col("res").isin(sorted(done))) if done else last, turn, careful, ["blocks"])
+        new, found = level.scored(level.wishes(going.unionByName(still) if done else going, False), loops)
         fell = [r for r in found if r not in done and found[r][0] < score[r][0] - _EPS]
         for r in found:
             if r not in done and r not in fell:
@@ -147,22 +204,21 @@ def _moves(level: _Level, state: DataFrame, loops: dict[int, float], tolerance:
 
 def _refined(level: _Level, state: DataFrame) -> DataFrame:
     """(res, u, c, k, p), written: connected groups c within the communities p of ``state``."""
-    now, last = state.select("res", "u", "k", F.col("c").alias("p"), F.col("u").alias("c")), None
+    now, last = state.select("res", "u", "k", "blocks", F.col("c").alias("p"), F.col("u").alias("c")), None
+    able = F.coalesce(F.col("gain") > _EPS, F.lit(False)) & ~F.col("shared")
+    half = lambda c, turn: F.pmod(_hash(c, turn), F.lit(2))
     for turn in range(ROUNDS):
-        wishes = written(level.wishes(now, True), "refining")
+        seen = Observation()
+        wishes = written(level.wishes(now, True).observe(seen, F.count_if(able).alias("n"), F.count_if(able & F.col("to_shared")).alias("sure")), "refining")
         drop(*[last] if last is not None else [])
         last = now = wishes
-        # Only single nodes leave, each for a group that stays.
-        able = wishes.filter((F.col("gain") > _EPS) & ~F.col("_shared"))
-        if not able.limit(1).count():
+        n, sure = seen.get["n"], seen.get["sure"]
+        if not n:
             break
-        others = able.select("res", F.col("c").alias("to"), F.lit(True).alias("_unsure"))
-        asked = able.select("res", "u", "c", "to").join(others, ["res", "to"], "left").withColumn("_unsure", F.coalesce("_unsure", F.lit(False)))
-        # Those whose group stays in any case go; of the rest one half goes to those of the other half that don't go.
-        sure = asked.filter("NOT _unsure").select("res", F.col("c").alias("to"), F.lit(True).alias("_going"))
-        halves = (F.pmod(_hash("c", turn), F.lit(2)) == 0) & (F.pmod(_hash("to", turn), F.lit(2)) == 1)
-        leaving = asked.join(sure, ["res", "to"], "left").filter(~F.col("_unsure") | (F.col("_going").isNull() & halves)).select("res", "u", F.lit(True).alias("_leaves"))
-        now = wishes.join(leaving, ["res", "u"], "left").select("res", "u", "k", "p", F.when(F.col("_leaves"), F.col("to")).otherwise(F.col("c")).alias("c"))
+        # Only single nodes leave, each for a group that stays: groups of several do in any case, so all go to them where most want to.
+        # Else one half goes, to groups of several and to single nodes of the other half.
+        leaves = able & F.col("to_shared") if 2 * sure >= n else able & (half("c", turn) == 0) & (F.col("to_shared") | (half("to", turn) == 1))
+        now = wishes.select("res", "u", "k", "blocks", "p", F.when(leaves, F.col("to")).otherwise(F.col("c")).alias("c"))
     groups = written(now.select("res", "u", "c", "k", "p"), "groups")
     drop(last)
     return groups
@@ -214,11 +270,12 @@ def modularity_clusters(edges: DataFrame, a: str, b: str, weight: str | None = N
         loops = dict.fromkeys(gammas, 0.0) | {r.res: r.w for r in graph.filter("u = v").groupBy("res").agg(F.sum(F.col("w") * 2).alias("w")).collect()}
         nodes = graph.groupBy("res", "u").agg(F.sum(F.when(F.col("u") == F.col("v"), F.col("w") * 2).otherwise(F.col("w"))).alias("k"))
         nodes = nodes if inner is None else nodes.join(inner, ["res", "u"])
-        level = _Level(graph.filter("u <> v"), nodes, dict.fromkeys(gammas, float(total)), gammas)
-        state = nodes.select("res", "u", F.col("u").alias("c") if inner is None else F.col("p").alias("c"), "k")
+        level = _Level(graph.filter("u <> v"), nodes, float(total), gammas)
+        state = level.nodes.select("res", "u", F.col("u").alias("c") if inner is None else F.col("p").alias("c"), "k", "blocks")
         moved = _moves(level, state, loops, tolerance, log)
-        groups = written(_refined(level, moved.select("res", "u", "c", "k")), "groups")
+        groups = _refined(level, moved.select("res", "u", "c", "k", "blocks"))
         drop(moved)
+        level.drop()
         named = groups.select("res", "u", F.col("c").alias("group"), "p")
         if members is None:
             now = named.withColumnRenamed("u", "node")

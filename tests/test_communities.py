@@ -133,3 +133,23 @@ def test_columns_by_size(spark):
     rows = [(0, n, 5) for n in (5, 6)] + [(0, n, 1) for n in (1, 2, 3)] + [(0, 9, 9)] + [(1, n, n) for n in (1, 2, 3, 5, 6, 9)]
     got = C.cluster_columns(spark.createDataFrame(rows, "res int, node long, community long"), ["a", "b"]).orderBy("node").collect()
     assert [tuple(r) for r in got] == [(1, 0, 0), (2, 0, 1), (3, 0, 2), (5, 1, 3), (6, 1, 4), (9, 2, 5)]
+
+
+def test_a_round_is_few_shuffles_and_one_pass(spark, monkeypatch):
+    seen, real = [], C.written
+
+    def watched(df, label):
+        if label in ("wishes", "refining"):
+            seen.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+        return real(df, label)
+
+    monkeypatch.setattr(C, "written", watched)
+    monkeypatch.setattr(C, "EDGES", 40, raising=False)  # several blocks
+    rng = random.Random(8)
+    edges = [(a, b, rng.random() + 0.1) for a in range(60) for b in range(a) if (a // 15 == b // 15 and rng.random() < 0.5) or rng.random() < 0.03]
+    found = C.modularity_clusters(spark.createDataFrame([*edges, (99, 99, 1.0)], "a long, b long, w double"), "a", "b", "w", (1.0,)).collect()
+    # By community, by community again for the sizes, and by block; no other job counts or looks up anything in a round.
+    assert seen and max(seen) <= 4
+    of = {r.node: r.community for r in found}
+    assert sorted(of) == [*range(60), 99] and of[99] == 99
+    assert [len({of[i] for i in range(s, s + 15)}) for s in range(0, 60, 15)] == [1] * 4 and len(set(of.values())) == 5
